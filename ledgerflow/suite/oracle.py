@@ -8,13 +8,17 @@ rounded HALF_UP on exact integer cents, as NUMERIC rounding does.
 from __future__ import annotations
 
 
-def pct(num: str, den: str) -> str:
-    """round(num / nullif(den, 0), 4) with HALF_UP on exact cents, as a DOUBLE."""
-    n = f"CAST(round(({num}) * 100) AS HUGEINT)"
-    d = f"CAST(round(({den}) * 100) AS HUGEINT)"
+def pct(num: str, den: str, num_scale: int = 2, den_scale: int = 2) -> str:
+    """round(num / nullif(den, 0), 4) with HALF_UP on the exact scaled integers, as a
+    DOUBLE. ``num_scale``/``den_scale`` are the decimal places of the inputs."""
+    n = f"CAST(round(({num}) * {10 ** num_scale}) AS HUGEINT)"
+    d = f"CAST(round(({den}) * {10 ** den_scale}) AS HUGEINT)"
+    shift = 4 + den_scale - num_scale
+    n_scaled = f"abs({n}) * {10 ** shift}" if shift >= 0 else f"abs({n})"
+    d_scaled = f"abs({d})" if shift >= 0 else f"abs({d}) * {10 ** -shift}"
     return (
         f"(CASE WHEN ({den}) = 0 OR ({den}) IS NULL OR ({num}) IS NULL THEN NULL ELSE "
-        f"CAST(sign({n}) * sign({d}) * ((abs({n}) * 20000 + abs({d})) // (2 * abs({d}))) AS DOUBLE) / 10000 END)"
+        f"CAST(sign({n}) * sign({d}) * (({n_scaled} * 2 + {d_scaled}) // (2 * {d_scaled})) AS DOUBLE) / 10000 END)"
     )
 
 
@@ -218,8 +222,176 @@ WHERE m.release_date IS NOT NULL
 GROUP BY m.employee_id, m.release_date"""
 
 
+TX = """tx AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS transaction_id,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'SalesOrd' WHEN '2-HIGH' THEN 'CustInvc'
+              WHEN '3-MEDIUM' THEN 'CustCred' WHEN '4-NOT SPECIFIED' THEN 'PurchOrd'
+              WHEN '5-LOW' THEN 'VendAuth' END AS transaction_type,
+         CASE o_orderstatus WHEN 'F' THEN 'Billed' WHEN 'O' THEN 'Pending Billing'
+              WHEN 'P' THEN 'Rejected by Supervisor' END AS transaction_status
+  FROM orders)"""
+
+LINES = """lines AS (
+  SELECT transaction_id, line_id, line_id = 1 AS is_mainline, transaction_id AS entity_id
+  FROM (SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS transaction_id,
+                        CAST(l_linenumber AS INTEGER) AS line_id FROM lineitem))"""
+
+ACL = """acl AS (
+  SELECT CAST(l_orderkey AS INTEGER) AS transaction_id, CAST(l_linenumber AS INTEGER) AS line_id,
+         CAST(l_partkey AS INTEGER) AS account_id, CAST(l_extendedprice AS DECIMAL(14,2)) AS amount
+  FROM lineitem)"""
+
+ACCTS = """accts AS (
+  SELECT CAST(p_partkey AS INTEGER) AS account_id,
+         CASE p_type WHEN 'STANDARD' THEN '40000' WHEN 'PROMO' THEN '40110' WHEN 'ECONOMY' THEN '25000'
+              WHEN 'LARGE' THEN '50100' WHEN 'SMALL' THEN '50300' WHEN 'MEDIUM' THEN '32000' END AS account_number,
+         CASE p_type WHEN 'STANDARD' THEN 'Income' WHEN 'PROMO' THEN 'Income' WHEN 'ECONOMY' THEN 'DeferRevenue'
+              WHEN 'LARGE' THEN 'COGS' WHEN 'SMALL' THEN 'COGS' WHEN 'MEDIUM' THEN 'Equity' END AS account_type
+  FROM part)"""
+
+CLASSES = """classes AS (
+  SELECT * FROM (VALUES ('32000', 'excluded'), ('40000', 'revenue'), ('40110', 'pass_through_travel'),
+    ('40120', 'pass_through_incentive'), ('50100', 'field_cost'), ('50200', 'field_cost'),
+    ('50300', 'incentive_cost'), ('50400', 'travel_cost')) AS t(account_number, account_class))"""
+
+FIN = """classified AS (
+  SELECT l.transaction_id, l.line_id, l.entity_id AS project_id, p.is_complete AS project_is_complete,
+         t.transaction_type, t.transaction_status, a.account_id, a.account_number, a.account_type,
+         c.account_class,
+         CAST(CASE WHEN a.account_type IN ('Income', 'OthIncome', 'DeferRevenue') THEN -x.amount
+                   ELSE x.amount END AS DECIMAL(14,2)) AS amount,
+         t.transaction_type IN ('SalesOrd', 'CustInvc', 'CustCred') AS is_revenue_document,
+         coalesce(c.account_class IN ('revenue', 'pass_through_travel', 'pass_through_incentive')
+                  OR a.account_type = 'DeferRevenue', false) AS is_revenue_account,
+         CASE WHEN c.account_class = 'excluded' THEN 'excluded account'
+              WHEN t.transaction_status = 'Rejected by Supervisor' THEN 'rejected by supervisor'
+              WHEN t.transaction_type = 'PurchOrd'
+                   AND t.transaction_status NOT IN ('Pending Supervisor Approval', 'Pending Billing')
+                THEN 'purchase order no longer pending'
+              WHEN a.account_type = 'DeferRevenue' AND t.transaction_type NOT IN ('SalesOrd', 'CustInvc', 'CustCred')
+                THEN 'deferred revenue outside a sales document'
+              WHEN t.transaction_type = 'VendAuth' THEN 'vendor return authorization' END AS exclusion_reason
+  FROM (SELECT * FROM lines WHERE NOT is_mainline) l
+  JOIN proj p ON l.entity_id = p.project_id
+  JOIN tx t ON l.transaction_id = t.transaction_id
+  JOIN acl x ON l.transaction_id = x.transaction_id AND l.line_id = x.line_id
+  JOIN accts a ON x.account_id = a.account_id
+  LEFT JOIN classes c ON a.account_number = c.account_number),
+priced AS (
+  SELECT *, exclusion_reason IS NOT NULL AS is_excluded,
+         CASE WHEN project_is_complete THEN transaction_type IN ('CustInvc', 'CustCred')
+              ELSE transaction_type = 'SalesOrd' END AS counts_toward_price
+  FROM classified),
+fin AS (
+  SELECT *,
+    CAST(CASE WHEN NOT is_excluded AND is_revenue_document AND is_revenue_account AND counts_toward_price
+              THEN amount ELSE 0 END AS DECIMAL(14,2)) AS price_amount,
+    CAST(CASE WHEN NOT is_excluded AND is_revenue_document AND counts_toward_price
+              AND account_class IN ('pass_through_travel', 'pass_through_incentive')
+              THEN amount ELSE 0 END AS DECIMAL(14,2)) AS pass_through_amount,
+    CAST(CASE WHEN NOT is_excluded AND account_class = 'field_cost' THEN amount ELSE 0 END AS DECIMAL(14,2)) AS field_cost,
+    CAST(CASE WHEN NOT is_excluded AND account_class = 'incentive_cost' THEN amount ELSE 0 END AS DECIMAL(14,2)) AS incentive_cost,
+    CAST(CASE WHEN NOT is_excluded AND account_class = 'travel_cost' THEN amount ELSE 0 END AS DECIMAL(14,2)) AS travel_cost
+  FROM priced)"""
+
+DIM_PROJ = """dim_proj AS (
+  SELECT p.project_id, p.project_number, p.project_name,
+         concat_ws(' ', p.project_number, concat_ws(' : ', c.client_name, p.project_name)) AS project_display_name,
+         p.customer_id AS client_id, c.client_name, p.project_status_label, p.start_date,
+         CAST(NULL AS VARCHAR) AS department_name, m.employee_name AS project_lead
+  FROM proj p
+  LEFT JOIN clients c ON p.customer_id = c.client_id
+  LEFT JOIN emp m ON p.project_manager_id = m.employee_id)"""
+
+DIM_ITEM = """dim_item AS (
+  SELECT it.item_id, it.item_name, coalesce(c.category_name, 'Unmapped') AS category_name
+  FROM items it LEFT JOIN cats c ON lower(it.item_name) = lower(c.item_name))"""
+
+
+def financial_lines_sql() -> str:
+    return with_(*BASE, TX, LINES, ACL, ACCTS, CLASSES, FIN) + """SELECT transaction_id, line_id, project_id,
+       project_is_complete, transaction_type, transaction_status, account_id, account_number, account_type,
+       account_class, CAST(amount AS DOUBLE) AS amount, is_revenue_document, is_revenue_account,
+       exclusion_reason, is_excluded, counts_toward_price,
+       CAST(price_amount AS DOUBLE) AS price_amount, CAST(pass_through_amount AS DOUBLE) AS pass_through_amount,
+       CAST(field_cost AS DOUBLE) AS field_cost, CAST(incentive_cost AS DOUBLE) AS incentive_cost,
+       CAST(travel_cost AS DOUBLE) AS travel_cost
+FROM fin"""
+
+
+def project_margin_sql() -> str:
+    money = ("time_cost", "burdened_time_cost", "price", "pass_through_revenue", "net_revenue",
+             "field_cost", "incentive_cost", "travel_cost", "project_profit", "contribution_margin")
+    cols = ", ".join(f"CAST(CAST({c} AS DECIMAL(14,2)) AS DOUBLE) AS {c}" for c in money)
+    return with_(*BASE, TX, LINES, ACL, ACCTS, CLASSES, FIN, CLIENTS, DIM_PROJ, """f AS (
+  SELECT project_id, sum(price_amount) AS price, sum(pass_through_amount) AS pass_through_revenue,
+         sum(field_cost) AS field_cost, sum(incentive_cost) AS incentive_cost, sum(travel_cost) AS travel_cost
+  FROM fin GROUP BY 1),
+ts AS (
+  SELECT project_id, sum(hours) AS total_hours, sum(time_cost) AS time_cost,
+         sum(burdened_time_cost) AS burdened_time_cost
+  FROM cte WHERE project_id IS NOT NULL GROUP BY 1),
+pj AS (
+  SELECT d.*, coalesce(ts.total_hours, 0) AS total_hours, coalesce(ts.time_cost, 0) AS time_cost,
+         coalesce(ts.burdened_time_cost, 0) AS burdened_time_cost, coalesce(f.price, 0) AS price,
+         coalesce(f.pass_through_revenue, 0) AS pass_through_revenue, coalesce(f.field_cost, 0) AS field_cost,
+         coalesce(f.incentive_cost, 0) AS incentive_cost, coalesce(f.travel_cost, 0) AS travel_cost
+  FROM dim_proj d LEFT JOIN f ON d.project_id = f.project_id LEFT JOIN ts ON d.project_id = ts.project_id),
+mg AS (
+  SELECT *, price - pass_through_revenue AS net_revenue,
+         price - (field_cost + incentive_cost + travel_cost + time_cost) AS project_profit,
+         price - (field_cost + incentive_cost + travel_cost + burdened_time_cost) AS contribution_margin
+  FROM pj)""") + f"""SELECT project_id, project_display_name, client_name, department_name, project_lead,
+       project_status_label, start_date, CAST(CAST(total_hours AS DECIMAL(10,2)) AS DOUBLE) AS total_hours,
+       {cols},
+       {pct('project_profit', 'net_revenue', 4, 2)} AS project_profit_pct,
+       {pct('contribution_margin', 'net_revenue', 4, 2)} AS contribution_margin_pct
+FROM mg"""
+
+
+def client_hours_sql() -> str:
+    return with_(*BASE, CLIENTS, DEPTS, "cal AS (SELECT max(entry_date) AS date_day FROM te)", DIM_EMP) + """SELECT e.client_id, c.client_name, e.employee_id, d.employee_name, d.department_name, e.entry_date,
+       CAST(CAST(sum(e.hours) AS DECIMAL(10,2)) AS DOUBLE) AS total_hours,
+       CAST(CAST(sum(e.client_facing_hours) AS DECIMAL(10,2)) AS DOUBLE) AS client_facing_hours
+FROM cte e
+JOIN clients c ON e.client_id = c.client_id AND NOT c.is_internal
+LEFT JOIN dim_emp d ON e.employee_id = d.employee_id
+GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+def top_clients_sql() -> str:
+    return with_(*BASE, CLIENTS) + """SELECT client_id, client_name,
+       CAST(CAST(client_facing_hours AS DECIMAL(10,2)) AS DOUBLE) AS client_facing_hours,
+       CAST(CAST(total_hours AS DECIMAL(10,2)) AS DOUBLE) AS total_hours,
+       CAST(client_rank AS INTEGER) AS client_rank, client_rank <= 15 AS is_top_15
+FROM (
+  SELECT *, rank() OVER (ORDER BY client_facing_hours DESC NULLS FIRST, total_hours DESC NULLS FIRST) AS client_rank
+  FROM (SELECT e.client_id, c.client_name, sum(e.client_facing_hours) AS client_facing_hours,
+               sum(e.hours) AS total_hours
+        FROM cte e JOIN clients c ON e.client_id = c.client_id AND NOT c.is_internal
+        GROUP BY 1, 2))"""
+
+
+def task_breakdown_sql() -> str:
+    return with_(*BASE, CLIENTS, DEPTS, "cal AS (SELECT max(entry_date) AS date_day FROM te)", DIM_EMP, DIM_PROJ, DIM_ITEM) + """SELECT CAST(date_trunc('month', e.entry_date) AS DATE) AS month_start, e.employee_id,
+       d.employee_name, d.department_name AS employee_department, e.project_id, p.project_display_name,
+       p.department_name AS project_department, coalesce(p.client_name, c.client_name) AS client_name,
+       i.item_name, i.category_name, CAST(CAST(sum(e.hours) AS DECIMAL(10,2)) AS DOUBLE) AS hours
+FROM cte e
+LEFT JOIN dim_emp d ON e.employee_id = d.employee_id
+LEFT JOIN dim_proj p ON e.project_id = p.project_id
+LEFT JOIN clients c ON e.client_id = c.client_id
+LEFT JOIN dim_item i ON e.item_id = i.item_id
+GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "financial_lines": financial_lines_sql(),
+        "project_margin": project_margin_sql(),
+        "client_hours": client_hours_sql(),
+        "top_clients": top_clients_sql(),
+        "task_breakdown": task_breakdown_sql(),
         "calendar": calendar_sql(),
         "date_dimension": date_dimension_sql(),
         "categorized_entries": categorized_entries_sql(),

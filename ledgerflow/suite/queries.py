@@ -55,8 +55,42 @@ def q_capacity_from_released(spark: SparkSession, sf: str) -> DataFrame:
     return for_driver(out)
 
 
+def q_financial_lines(spark: SparkSession, sf: str) -> DataFrame:
+    fl = StandIns(spark, sf).financial_lines
+    return for_driver(
+        fl.drop("transaction_date", "document_number", "transaction_type_name", "account_name")
+    )
+
+
+def q_project_margin(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return for_driver(reporting.project_margin(s.dim_project, s.financial_lines, s.categorized))
+
+
+def q_client_hours(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return for_driver(reporting.client_hours(s.categorized, s.dim_client, s.dim_employee))
+
+
+def q_top_clients(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return for_driver(reporting.top_clients(s.categorized, s.dim_client, n=15))
+
+
+def q_task_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return for_driver(
+        reporting.task_breakdown(s.categorized, s.dim_employee, s.dim_project, s.dim_client, s.dim_item)
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "financial_lines": q_financial_lines,
+        "project_margin": q_project_margin,
+        "client_hours": q_client_hours,
+        "top_clients": q_top_clients,
+        "task_breakdown": q_task_breakdown,
         "calendar": q_calendar,
         "date_dimension": q_date_dimension,
         "categorized_entries": q_categorized_entries,
