@@ -319,11 +319,7 @@ def financial_lines_sql() -> str:
 FROM fin"""
 
 
-def project_margin_sql() -> str:
-    money = ("time_cost", "burdened_time_cost", "price", "pass_through_revenue", "net_revenue",
-             "field_cost", "incentive_cost", "travel_cost", "project_profit", "contribution_margin")
-    cols = ", ".join(f"CAST(CAST({c} AS DECIMAL(14,2)) AS DOUBLE) AS {c}" for c in money)
-    return with_(*BASE, TX, LINES, ACL, ACCTS, CLASSES, FIN, CLIENTS, DIM_PROJ, """f AS (
+PM = """f AS (
   SELECT project_id, sum(price_amount) AS price, sum(pass_through_amount) AS pass_through_revenue,
          sum(field_cost) AS field_cost, sum(incentive_cost) AS incentive_cost, sum(travel_cost) AS travel_cost
   FROM fin GROUP BY 1),
@@ -341,12 +337,117 @@ mg AS (
   SELECT *, price - pass_through_revenue AS net_revenue,
          price - (field_cost + incentive_cost + travel_cost + time_cost) AS project_profit,
          price - (field_cost + incentive_cost + travel_cost + burdened_time_cost) AS contribution_margin
-  FROM pj)""") + f"""SELECT project_id, project_display_name, client_name, department_name, project_lead,
-       project_status_label, start_date, CAST(CAST(total_hours AS DECIMAL(10,2)) AS DOUBLE) AS total_hours,
-       {cols},
-       {pct('project_profit', 'net_revenue', 4, 2)} AS project_profit_pct,
-       {pct('contribution_margin', 'net_revenue', 4, 2)} AS contribution_margin_pct
-FROM mg"""
+  FROM pj),
+pm AS (
+  SELECT project_id, project_display_name, client_name, department_name, project_lead, project_status_label,
+         start_date, CAST(total_hours AS DECIMAL(10,2)) AS total_hours,
+         CAST(time_cost AS DECIMAL(14,2)) AS time_cost, CAST(burdened_time_cost AS DECIMAL(14,2)) AS burdened_time_cost,
+         CAST(price AS DECIMAL(14,2)) AS price, CAST(pass_through_revenue AS DECIMAL(14,2)) AS pass_through_revenue,
+         CAST(net_revenue AS DECIMAL(14,2)) AS net_revenue, CAST(field_cost AS DECIMAL(14,2)) AS field_cost,
+         CAST(incentive_cost AS DECIMAL(14,2)) AS incentive_cost, CAST(travel_cost AS DECIMAL(14,2)) AS travel_cost,
+         CAST(project_profit AS DECIMAL(14,2)) AS project_profit,
+         CAST(contribution_margin AS DECIMAL(14,2)) AS contribution_margin,
+         project_profit AS raw_profit, contribution_margin AS raw_cm, net_revenue AS raw_net
+  FROM mg)"""
+
+def project_margin_sql() -> str:
+    money = ("total_hours", "time_cost", "burdened_time_cost", "price", "pass_through_revenue", "net_revenue",
+             "field_cost", "incentive_cost", "travel_cost", "project_profit", "contribution_margin")
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money)
+    return with_(*MARGIN_CTES) + f"""SELECT project_id, project_display_name, client_name, department_name, project_lead,
+       project_status_label, start_date, {cols},
+       {pct('raw_profit', 'raw_net', 4, 2)} AS project_profit_pct,
+       {pct('raw_cm', 'raw_net', 4, 2)} AS contribution_margin_pct
+FROM pm"""
+
+
+def margin_measures_sql() -> str:
+    keys = "department_name, project_lead, client_name, project_display_name, project_status_label, project_id"
+    sums = ("total_hours", "price", "travel_cost", "incentive_cost", "field_cost")
+    agg = ", ".join(f"CAST(sum({c}) AS DOUBLE) AS {c}" for c in sums)
+    ratio = ("CASE WHEN coalesce(CAST(sum(net_revenue) AS DOUBLE), 0) = 0 THEN NULL "
+             "ELSE CAST(sum({n}) AS DOUBLE) / CAST(sum(net_revenue) AS DOUBLE) END")
+    tail = (f"{agg}, {ratio.format(n='project_profit')} AS project_profit_pct, "
+            f"{ratio.format(n='contribution_margin')} AS contribution_margin_pct")
+    nulls = ("CAST(NULL AS VARCHAR) AS department_name, CAST(NULL AS VARCHAR) AS project_lead, "
+             "CAST(NULL AS VARCHAR) AS client_name, CAST(NULL AS VARCHAR) AS project_display_name, "
+             "CAST(NULL AS VARCHAR) AS project_status_label, CAST(NULL AS INTEGER) AS project_id")
+    return with_(*MARGIN_CTES) + f"""SELECT {keys}, 0 AS grouping_level, {tail} FROM pm GROUP BY {keys}
+UNION ALL
+SELECT {nulls}, 1 AS grouping_level, {tail} FROM pm"""
+
+
+def _rollup_join(rows: list[str], left: str, right: str) -> str:
+    cond = " AND ".join([f"a.{r} IS NOT DISTINCT FROM b.{r}" for r in rows] + ["a.grouping_level = b.grouping_level"])
+    keys = ", ".join(f"coalesce(a.{r}, b.{r}) AS {r}" for r in rows)
+    return f"FROM {left} a FULL JOIN {right} b ON {cond}", keys
+
+
+def _div(num: str, den: str) -> str:
+    return (f"(CASE WHEN {den} IS NULL OR CAST({den} AS DOUBLE) = 0 THEN NULL "
+            f"ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END)")
+
+
+def utilization_rollup_sql() -> str:
+    rows = ["group_name", "department_name", "employee_name", "week_start"]
+    grp = "d.group_name, d.department_name, d.employee_name, dd.week_start"
+    frm, keys = _rollup_join(rows, "ta", "ca")
+    return with_(*BASE, CAL, DAYS, DEPTS, DIM_EMP, f"""dd AS (
+  SELECT date_day, week_start FROM cal WHERE date_day BETWEEN DATE '2024-01-07' AND DATE '2024-01-27'),
+ta AS (
+  SELECT {grp}, CAST(GROUPING({grp}) AS INTEGER) AS grouping_level,
+         sum(e.worked_hours) AS worked, sum(e.project_work_hours) AS pw, sum(e.client_bd_hours) AS bd,
+         sum(e.internal_productive_hours) AS ip, sum(e.internal_admin_hours) AS ia, sum(e.exempt_hours) AS ex
+  FROM cte e JOIN dd ON e.entry_date = dd.date_day LEFT JOIN dim_emp d ON e.employee_id = d.employee_id
+  GROUP BY ROLLUP ({grp})),
+ca AS (
+  SELECT {grp}, CAST(GROUPING({grp}) AS INTEGER) AS grouping_level,
+         sum(c.expected_hours) AS expected, sum(c.standard_hours) AS standard
+  FROM days c JOIN dd ON c.date_day = dd.date_day LEFT JOIN dim_emp d ON c.employee_id = d.employee_id
+  GROUP BY ROLLUP ({grp}))""") + f"""SELECT {keys}, coalesce(a.grouping_level, b.grouping_level) AS grouping_level,
+       {_div('a.worked', 'b.expected')} AS net_utilization_pct,
+       {_div('a.ex', 'b.standard')} AS exempt_pct,
+       {_div('a.pw', 'b.expected')} AS project_work_pct,
+       {_div('a.bd', 'b.expected')} AS client_bd_pct,
+       {_div('a.ip + a.ia', 'b.expected')} AS internal_pct
+{frm}"""
+
+
+def client_rank_in_selection_sql() -> str:
+    grp = "c.client_name, d.department_name, d.employee_name"
+    return with_(*BASE, CLIENTS, CAL, DEPTS, DIM_EMP, f"""m AS (
+  SELECT {grp}, CAST(GROUPING({grp}) AS INTEGER) AS grouping_level,
+         sum(e.hours) AS total_hours, sum(e.client_facing_hours) AS client_hours
+  FROM cte e JOIN clients c ON e.client_id = c.client_id AND c.is_internal = false
+  LEFT JOIN dim_emp d ON e.employee_id = d.employee_id
+  GROUP BY ROLLUP ({grp}))""") + """SELECT client_name, department_name, employee_name, grouping_level,
+       CAST(total_hours AS DOUBLE) AS total_hours, CAST(client_hours AS DOUBLE) AS client_hours,
+       CASE WHEN (grouping_level & 4) = 0 THEN CAST(rank() OVER (
+            PARTITION BY grouping_level, department_name, employee_name, (grouping_level & 4)
+            ORDER BY client_hours DESC NULLS LAST) AS INTEGER) END AS client_rank
+FROM m"""
+
+
+def _tasks_sql(rows: list[tuple[str, str, str]]) -> str:
+    grp = ", ".join(f"{src} AS {al}" for src, al, _ in rows)
+    raw = ", ".join(src for src, _, _ in rows)
+    return with_(*BASE, CLIENTS, CAL, DEPTS, DIM_EMP, DIM_PROJ) + f"""SELECT {grp},
+       CAST(GROUPING({raw}) AS INTEGER) AS grouping_level, CAST(sum(e.hours) AS DOUBLE) AS total_hours
+FROM cte e
+JOIN items it ON e.item_id = it.item_id AND it.item_name IN ('view', 'click', 'purchase')
+LEFT JOIN dim_emp d ON e.employee_id = d.employee_id
+LEFT JOIN dim_proj p ON e.project_id = p.project_id
+GROUP BY ROLLUP ({raw})"""
+
+
+def tasks_by_person_sql() -> str:
+    return _tasks_sql([("p.department_name", "department_name", ""), ("p.project_display_name", "project_display_name", ""),
+                       ("it.item_name", "item_name", ""), ("d.employee_name", "employee_name", "")])
+
+
+def persons_by_task_sql() -> str:
+    return _tasks_sql([("d.department_name", "department_name", ""), ("d.employee_name", "employee_name", ""),
+                       ("it.item_name", "item_name", ""), ("p.project_display_name", "project_display_name", "")])
 
 
 def client_hours_sql() -> str:
@@ -385,8 +486,16 @@ LEFT JOIN dim_item i ON e.item_id = i.item_id
 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10"""
 
 
+MARGIN_CTES = (*BASE, TX, LINES, ACL, ACCTS, CLASSES, FIN, CLIENTS, DIM_PROJ, PM)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "utilization_rollup": utilization_rollup_sql(),
+        "client_rank_in_selection": client_rank_in_selection_sql(),
+        "tasks_by_person": tasks_by_person_sql(),
+        "persons_by_task": persons_by_task_sql(),
+        "margin_measures": margin_measures_sql(),
         "financial_lines": financial_lines_sql(),
         "project_margin": project_margin_sql(),
         "client_hours": client_hours_sql(),

@@ -6,12 +6,13 @@ operators; decimals are rendered as doubles only at the very end.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import reporting
+from ledgerflow.plans import pages, reporting
 from ledgerflow.plans.standins import StandIns, for_driver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,8 +85,60 @@ def q_task_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _star(s: StandIns) -> pages.Star:
+    return pages.Star(
+        facts={"time_entries": s.categorized, "capacity": s.capacity},
+        dims={
+            "date": s.dim_date,
+            "employee": s.dim_employee,
+            "client": s.dim_client,
+            "project": s.dim_project,
+            "item": s.dim_item,
+        },
+    )
+
+
+SELECTED_ITEMS = ("view", "click", "purchase")
+
+
+def q_utilization_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return pages.utilization_page(_star(s), (datetime.date(2024, 1, 7), datetime.date(2024, 1, 27)))
+
+
+def q_client_rank_in_selection(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    return for_driver(
+        pages.pivot(
+            _star(s),
+            [("client", "client_name"), ("employee", "department_name"), ("employee", "employee_name")],
+            ["Total Hours", "Client Hours", "Client Rank"],
+            {("client", "is_internal"): False},
+        )
+    )
+
+
+def q_tasks_by_person(spark: SparkSession, sf: str) -> DataFrame:
+    return for_driver(pages.tasks_by_person_page(_star(StandIns(spark, sf)), SELECTED_ITEMS))
+
+
+def q_persons_by_task(spark: SparkSession, sf: str) -> DataFrame:
+    return for_driver(pages.persons_by_task_page(_star(StandIns(spark, sf)), SELECTED_ITEMS))
+
+
+def q_margin_measures(spark: SparkSession, sf: str) -> DataFrame:
+    s = StandIns(spark, sf)
+    margin = reporting.project_margin(s.dim_project, s.financial_lines, s.categorized)
+    return for_driver(pages.margin_page(margin))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "utilization_rollup": q_utilization_rollup,
+        "client_rank_in_selection": q_client_rank_in_selection,
+        "tasks_by_person": q_tasks_by_person,
+        "persons_by_task": q_persons_by_task,
+        "margin_measures": q_margin_measures,
         "financial_lines": q_financial_lines,
         "project_margin": q_project_margin,
         "client_hours": q_client_hours,
