@@ -20,8 +20,19 @@ from ledgerflow.functions.scalars import split_nonempty
 PAGE_SHIFT = 1 << 20
 
 
+PAGE_PATTERN = r"(?:page=(\d+)/[^/]*|(\d+)\.jsonl?)$"
+
+
+def page_number(path: Column) -> Column:
+    """Page number from a landed file path: a ``page=<n>`` directory or ``...<n>.json``."""
+    return F.coalesce(
+        F.nullif(F.regexp_extract(path, PAGE_PATTERN, 1), F.lit("")),
+        F.nullif(F.regexp_extract(path, PAGE_PATTERN, 2), F.lit("")),
+    ).cast("long")
+
+
 def _page_no() -> Column:
-    return F.regexp_extract(F.input_file_name(), r"(\d+)\.jsonl?$", 1).cast("long")
+    return page_number(F.input_file_name())
 
 
 def ordinal(page: Column, pos: Column) -> Column:
