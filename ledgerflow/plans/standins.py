@@ -109,13 +109,14 @@ class StandIns:
     @cached_property
     def items(self) -> DataFrame:
         rows = [(i, n, n.title(), "Service", False) for i, n in EVENT_ITEMS]
-        return self.spark.createDataFrame(
+        # a literal of five rows: bounded by construction, so it is broadcast
+        return seeds.bounded(self.spark.createDataFrame(
             rows, "item_id int, item_name string, display_name string, item_type string, is_inactive boolean"
-        )
+        ))
 
     @cached_property
     def categories(self) -> DataFrame:
-        return self.spark.createDataFrame(EVENT_CATEGORIES, seeds.TIME_CATEGORIES_SCHEMA)
+        return seeds.bounded(self.spark.createDataFrame(EVENT_CATEGORIES, seeds.TIME_CATEGORIES_SCHEMA))
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -241,7 +242,7 @@ class StandIns:
 
     @cached_property
     def classes(self) -> DataFrame:
-        return seeds.account_classes(self.spark)
+        return seeds.bounded(seeds.account_classes(self.spark))
 
     # --- model chain ----------------------------------------------------------------
 

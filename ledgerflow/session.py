@@ -72,3 +72,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     suffix = next(tempfile._get_candidate_names())
     return f"{base}/{name}-{os.getpid()}-{suffix}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back:
+    cuts lineage (a lost executor recomputes nothing before this point) in one job."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -162,7 +162,7 @@ def q_tombstone_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 def _runs(spark: SparkSession, rows: list[dict]) -> DataFrame:
     full = [{f.name: r.get(f.name) for f in RUNS_SCHEMA.fields} for r in rows]
-    return spark.createDataFrame(full, RUNS_SCHEMA)
+    return F.broadcast(spark.createDataFrame(full, RUNS_SCHEMA))
 
 
 def q_snapshot_latest_run(spark: SparkSession, sf: str) -> DataFrame:
