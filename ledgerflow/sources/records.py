@@ -115,7 +115,7 @@ def flatten_geojson(features: DataFrame) -> DataFrame:
 
     def iso_millis(key: str) -> Column:
         ms = F.expr(f"record:properties.{key}").cast("long")
-        return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+        return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSSxxx")
 
     def csv_list(key: str) -> Column:
         return split_nonempty(F.expr(f"record:properties.{key}").cast("string"), ",").cast("variant")
