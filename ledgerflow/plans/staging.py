@@ -36,7 +36,17 @@ def _int(name: str) -> F.Column:
     return F.col(name).cast("int")
 
 
+def ensure_columns(raw: DataFrame, names: list[str]) -> DataFrame:
+    """Add raw columns the source never returned as NULL text: the API omits null
+    fields, so a field that was NULL in every record never became a column."""
+    for n in names:
+        if n not in raw.columns:
+            raw = raw.withColumn(n, F.lit(None).cast("string"))
+    return raw
+
+
 def stg_accounts(raw: DataFrame, runs: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'acctnumber', 'fullname', 'accttype', 'isinactive'])
     return latest_snapshot(raw, runs, "accounts").select(
         _int("id").alias("account_id"),
         F.col("acctnumber").alias("account_number"),
@@ -47,6 +57,7 @@ def stg_accounts(raw: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def stg_customers(raw: DataFrame, internal_names: Sequence[str] = ()) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'entityid', 'companyname', 'email', 'phone', 'isinactive', 'datecreated', 'lastmodifieddate'])
     internal = (
         F.col("companyname").isin(*internal_names)
         if internal_names
@@ -66,6 +77,7 @@ def stg_customers(raw: DataFrame, internal_names: Sequence[str] = ()) -> DataFra
 
 
 def stg_departments(raw: DataFrame, runs: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'name', 'isinactive'])
     return latest_snapshot(raw, runs, "departments").select(
         _int("id").alias("department_id"),
         F.col("name").alias("department_name"),
@@ -74,6 +86,7 @@ def stg_departments(raw: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def stg_employees(raw: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'entityid', 'firstname', 'lastname', 'email', 'department', 'title', 'isinactive', 'hiredate', 'releasedate', 'laborcost', 'custentity_burdened_cost', 'custentity_hours_per_day', 'lastmodifieddate'])
     return raw.select(
         _int("id").alias("employee_id"),
         F.col("entityid").alias("employee_name"),
@@ -95,6 +108,7 @@ def stg_employees(raw: DataFrame) -> DataFrame:
 
 
 def stg_items(raw: DataFrame, runs: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'itemid', 'displayname', 'itemtype', 'isinactive'])
     return latest_snapshot(raw, runs, "items").select(
         _int("id").alias("item_id"),
         F.col("itemid").alias("item_name"),
@@ -115,6 +129,7 @@ def project_status_columns(status: F.Column) -> list[F.Column]:
 
 
 def stg_projects(raw: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'entityid', 'companyname', 'parent', 'custentity_project_status', 'startdate', 'projectedenddate', 'department', 'projectmanager', 'isinactive', 'lastmodifieddate'])
     status = F.col("custentity_project_status")
     return raw.select(
         _int("id").alias("project_id"),
@@ -133,6 +148,7 @@ def stg_projects(raw: DataFrame) -> DataFrame:
 
 
 def stg_time_entries(raw: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'employee', 'trandate', 'hours', 'customer', 'item', 'department', 'memo', 'isbillable', 'lastmodifieddate'])
     return raw.select(
         _int("id").alias("time_entry_id"),
         _int("employee").alias("employee_id"),
@@ -148,6 +164,7 @@ def stg_time_entries(raw: DataFrame) -> DataFrame:
 
 
 def stg_transaction_accounting_lines(raw: DataFrame, runs: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['transaction', 'transactionline', 'account', 'amount', 'posting'])
     return latest_snapshot(raw, runs, "transaction_accounting_lines").select(
         _int("transaction").alias("transaction_id"),
         _int("transactionline").alias("line_id"),
@@ -158,6 +175,7 @@ def stg_transaction_accounting_lines(raw: DataFrame, runs: DataFrame) -> DataFra
 
 
 def stg_transaction_lines(raw: DataFrame, runs: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['transaction', 'id', 'linesequencenumber', 'mainline', 'entity', 'item', 'memo', 'foreignamount'])
     return latest_snapshot(raw, runs, "transaction_lines").select(
         _int("transaction").alias("transaction_id"),
         _int("id").alias("line_id"),
@@ -179,6 +197,7 @@ def transaction_type_name(code: F.Column) -> F.Column:
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:
+    raw = ensure_columns(raw, ['id', 'tranid', 'type', 'status', 'entity', 'currency', 'foreigntotal', 'memo', 'trandate', 'lastmodifieddate'])
     return raw.select(
         _int("id").alias("transaction_id"),
         F.col("tranid").alias("document_number"),
