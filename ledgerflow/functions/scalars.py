@@ -121,3 +121,13 @@ def format_instant(col: str | Column, datetime_format: str) -> Column:
     if datetime_format == "epoch":
         return F.unix_seconds(c).cast("string")
     return F.date_format(c, strptime_to_spark(datetime_format))
+
+
+def instant(value) -> Column:
+    """A Python datetime as a Spark timestamp literal, independent of the Python
+    process's and the session's time zone (naive values are read as UTC)."""
+    from datetime import UTC
+
+    aware = value if value.tzinfo else value.replace(tzinfo=UTC)
+    micros = int(aware.timestamp()) * 1_000_000 + aware.microsecond
+    return F.timestamp_micros(F.lit(micros))

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.functions.scalars import instant
+
 
 @dataclass(frozen=True)
 class Check:
@@ -64,7 +66,7 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def freshness(df: DataFrame, loaded_at: str, now: datetime, warn_after_hours: float = 36) -> DataFrame:
     """Q7: one row (latest, age_hours, is_stale) comparing max(loaded_at) with ``now``."""
     latest = F.max(F.col(loaded_at).cast("timestamp")).alias("latest_loaded_at")
-    now_col = F.lit(now).cast("timestamp")
+    now_col = instant(now)
     age = (F.unix_micros(now_col) - F.unix_micros(F.col("latest_loaded_at"))) / F.lit(3_600_000_000.0)
     return df.agg(latest).select("latest_loaded_at", age.alias("age_hours")).withColumn("is_stale", F.coalesce(F.col("age_hours") > F.lit(warn_after_hours), F.lit(True)))
 

@@ -43,7 +43,7 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    configure(spark)
     return spark
 
 
@@ -80,3 +80,24 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Settings the library's results depend on (not tuning): instants are rendered and
+# parsed in UTC, and casts are ANSI-strict.
+SEMANTIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the semantic settings and the checkpoint folder to an existing session
+    (e.g. one created by a caller with other defaults)."""
+    for key, value in SEMANTIC_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, "true")
+    checkpoint_dir(spark)
+    return spark
