@@ -459,7 +459,7 @@ def q_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
        .write.partitionBy("page").text(landing))
     spec = JobSpec("stream", "events", ("user_id", "event_type"))
     sample = _records(ev, line, F.col("event_id"))
-    schema = infer_schema(sample, spec, checkpoint=False)
+    schema = infer_schema(sample, spec)
     q = stream_upsert(spark, landing, spec, schema, warehouse, checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     table = read_table(spark, warehouse, "stream", "events")
