@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,17 +53,23 @@ def stream_upsert(
     records = page_records(pages)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        load_job(
-            spark,
-            batch,
-            spec,
-            schema,
-            warehouse,
-            full_refresh=True,  # the stream checkpoint already selects unseen input
-            run_id=f"stream-{epoch_id}-{datetime.now(UTC).strftime('%Y%m%d%H%M%S%f')}",
-        )
+        # the micro-batch is read more than once (emptiness, metrics + write): keep it
+        # (memory, spilling to disk) for the duration of the batch only
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.isEmpty():
+                return
+            load_job(
+                spark,
+                batch,
+                spec,
+                schema,
+                warehouse,
+                full_refresh=True,  # the stream checkpoint already selects unseen input
+                run_id=f"stream-{epoch_id}-{datetime.now(UTC).strftime('%Y%m%d%H%M%S%f')}",
+            )
+        finally:
+            batch.unpersist()
 
     writer = records.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
