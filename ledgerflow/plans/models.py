@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerflow.operators.runs import RUNS_SCHEMA
 from ledgerflow.plans import intermediate, marts, reporting, staging
 from ledgerflow.sources import seeds
+from ledgerflow.session import materialize
 from ledgerflow.spec import ModelParams
 
 RAW_TABLES = ("accounts", "customers", "departments", "employees", "items", "projects", "time_entries",
@@ -21,7 +22,10 @@ RAW_TABLES = ("accounts", "customers", "departments", "employees", "items", "pro
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None = None,
-          params: ModelParams = ModelParams()) -> dict[str, DataFrame]:
+          params: ModelParams = ModelParams(), materialize_facts: bool = False) -> dict[str, DataFrame]:
+    """All models as lazy DataFrames. With ``materialize_facts`` the categorized time
+    entries (read by the capacity spine, five reports and the pages) are written once to
+    the shared checkpoint folder and every consumer reads that table."""
     runs = runs if runs is not None else spark.createDataFrame([], RUNS_SCHEMA)
     m: dict[str, DataFrame] = {}
     m["stg_accounts"] = staging.stg_accounts(raw["accounts"], runs)
@@ -43,6 +47,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     m["int_time_entries__categorized"] = intermediate.categorize_time(
         m["stg_time_entries"], m["stg_items"], cats, m["stg_projects"], m["stg_employees"]
     )
+    if materialize_facts:
+        m["int_time_entries__categorized"] = materialize(m["int_time_entries__categorized"], "fct_time_entries")
     m["int_employee_days"] = intermediate.employee_days(
         m["stg_employees"], m["int_calendar"], m["int_time_entries__categorized"]
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.measures import MEASURES, base_measures, measure_column, slug
 from ledgerflow.operators.ranking import global_rank
+from ledgerflow.session import materialize
 
 Attr = tuple[str, str]  # (dimension, attribute)
 
@@ -172,6 +173,9 @@ def client_rank(matrix: DataFrame, aliases: Sequence[str], client_col: str) -> D
     The client-only level (every client in one context) uses the distributed global
     rank; deeper levels rank within their (level, other attributes) partitions.
     """
+    # the aggregated matrix is read by three branches below: write it once (it is
+    # one row per output cell, far smaller than the facts) instead of recomputing it
+    matrix = materialize(matrix, "pivot-matrix")
     n = len(aliases)
     pos = list(aliases).index(client_col)
     bit = 1 << (n - 1 - pos)

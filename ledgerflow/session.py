@@ -101,3 +101,28 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, "true")
     checkpoint_dir(spark)
     return spark
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
+    """Starting settings for a cluster run over ``input_bytes`` of Parquet input with
+    ``executor_cores_total`` task slots: ~256 MB scan splits; initial shuffle partitions
+    of ~512 MB of input each (projection and partial aggregation shrink shuffles well
+    below the input), clamped to 2-8 waves of tasks - AQE then coalesces small
+    partitions and splits skewed ones; a broadcast threshold that keeps broadcasts to
+    genuinely small dimensions."""
+    mb = 1024 * 1024
+    cores = max(1, executor_cores_total)
+    shuffle = min(max(cores * 2, input_bytes // (512 * mb)), cores * 8)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    }
