@@ -198,10 +198,11 @@ def slicer_values(dim: DataFrame, attr: str) -> DataFrame:
     return dim.select(attr).distinct().orderBy(attr)
 
 
-def top_n(matrix: DataFrame, by: str, n: int) -> DataFrame:
-    """Chart ordering (L5): the first ``n`` rows by ``by`` descending (distributed
-    take-ordered, no global sort)."""
-    return matrix.orderBy(F.col(by).desc_nulls_last()).limit(n)
+def top_n(matrix: DataFrame, by: str, n: int, tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """Chart ordering (L5): the first ``n`` rows by ``by`` descending, ties broken by
+    ``tie_breakers`` (planned as a distributed take-ordered: per-partition top n, then
+    one merge of n rows per partition - no global sort)."""
+    return matrix.orderBy(F.col(by).desc_nulls_last(), *[F.col(c) for c in tie_breakers]).limit(n)
 
 
 # --- the five report pages ----------------------------------------------------------

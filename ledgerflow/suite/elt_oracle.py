@@ -240,8 +240,75 @@ def dq_freshness_sql() -> str:
 FROM (SELECT max(ts) AS m FROM events)"""
 
 
+def conform_customers_sql() -> str:
+    return """SELECT 'shopfront' AS source, 's' || CAST(c_custkey AS VARCHAR) AS customer_id,
+  lower(c_name) || '@x.io' AS email, c_name AS full_name,
+  CASE WHEN c_acctbal > 5000 THEN 'pro' END AS tier, c_acctbal > 0 AS marketing_opt_in,
+  'City ' || CAST(c_nationkey AS VARCHAR) AS city, 'NO' AS country,
+  '2024-01-01 00:00:00' AS created_at, false AS is_deleted
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE')
+UNION ALL
+SELECT 'cartwheel', CAST(c_custkey AS VARCHAR), lower(c_name) || '@x.io',
+  concat_ws(' ', nullif(split_part(c_name, '#', 1), ''), nullif(split_part(c_name, '#', 2), '')),
+  CASE WHEN c_acctbal > 5000 THEN 'gold' END, c_acctbal > 0,
+  CASE WHEN c_nationkey < 12 THEN 'City ' || CAST(c_nationkey AS VARCHAR) END, 'DE',
+  '2024-01-01 00:00:00', c_acctbal < 0
+FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'FURNITURE')"""
+
+
+def conform_agents_sql() -> str:
+    return """SELECT 'ticketdesk' AS source, CAST(s_suppkey AS VARCHAR) AS agent_id, s_name AS name,
+  lower(s_name) || '@desk.io' AS email, 'team ' || CAST(s_nationkey AS VARCHAR) AS team, s_acctbal >= 0 AS is_active
+FROM supplier WHERE s_nationkey < 12
+UNION ALL
+SELECT 'helpline', 'S' || CAST(s_suppkey AS VARCHAR), s_name, lower(s_name) || '@help.io',
+  'Tier ' || CAST(s_nationkey AS VARCHAR), s_acctbal >= 0
+FROM supplier WHERE s_nationkey >= 12"""
+
+
+def uncategorized_items_sql() -> str:
+    from ledgerflow.suite.oracle import BASE, with_
+
+    return with_(*BASE) + """SELECT item_name, CAST(count(*) AS BIGINT) AS entries,
+  CAST(CAST(sum(hours) AS DECIMAL(18,2)) AS DOUBLE) AS hours
+FROM cte WHERE category_code = 'unmapped' GROUP BY item_name"""
+
+
+def top_client_hours_chart_sql() -> str:
+    from ledgerflow.suite.oracle import BASE, CLIENTS, with_
+
+    return with_(*BASE, CLIENTS) + """SELECT c.client_name, CAST(sum(e.client_facing_hours) AS DOUBLE) AS client_hours
+FROM cte e JOIN clients c ON e.client_id = c.client_id AND NOT c.is_internal
+GROUP BY e.client_id, c.client_name
+ORDER BY client_hours DESC NULLS LAST, client_name LIMIT 10"""
+
+
+def employee_dimension_sql() -> str:
+    from ledgerflow.suite.oracle import BASE, CAL, DEPTS, DIM_EMP, with_
+
+    return with_(*BASE, CAL, DEPTS, DIM_EMP) + """SELECT employee_id, employee_name, department_name, group_name,
+  hire_date, release_date, employment_status, CAST(standard_hours_per_day AS DOUBLE) AS standard_hours_per_day
+FROM dim_emp"""
+
+
+def schema_drift_sql() -> str:
+    return f"""WITH fresh AS ({infer_mixed_sql()}),
+committed AS ({infer_events_props_sql()})
+SELECT coalesce(f.path, c.path) AS path, f.type AS fresh_type, f.format AS fresh_format,
+  f.nullable AS fresh_nullable, c.type AS committed_type, c.format AS committed_format,
+  c.nullable AS committed_nullable
+FROM fresh f FULL JOIN committed c ON f.path = c.path
+WHERE f.type IS DISTINCT FROM c.type OR f.format IS DISTINCT FROM c.format OR f.nullable IS DISTINCT FROM c.nullable"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "conform_customers": conform_customers_sql(),
+        "conform_agents": conform_agents_sql(),
+        "uncategorized_items": uncategorized_items_sql(),
+        "top_client_hours_chart": top_client_hours_chart_sql(),
+        "employee_dimension": employee_dimension_sql(),
+        "schema_drift": schema_drift_sql(),
         "infer_events_props": infer_events_props_sql(),
         "infer_mixed": infer_mixed_sql(),
         "infer_conflicts": infer_conflicts_sql(),

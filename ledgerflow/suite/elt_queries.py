@@ -490,4 +490,101 @@ def queries() -> dict:
         "dq_freshness": q_dq_freshness,
         "contract_report": q_contract_report,
         "stream_upsert": q_stream_upsert,
+        "conform_customers": q_conform_customers,
+        "conform_agents": q_conform_agents,
+        "uncategorized_items": q_uncategorized_items,
+        "top_client_hours_chart": q_top_client_hours_chart,
+        "employee_dimension": q_employee_dimension,
+        "schema_drift": q_schema_drift,
     }
+
+
+# --- more common models, checks and report pieces ------------------------------------------
+
+def q_conform_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of segments BUILDING/FURNITURE arrive in the storefront shape
+    (nested address, single name), the others in the cart shape (flat columns, first and
+    last name, Y/N consent, '' for missing tier, epoch seconds)."""
+    c = _t(spark, sf, "customer")
+    shop_seg = F.col("c_mktsegment").isin("BUILDING", "FURNITURE")
+    created = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    shop = c.filter(shop_seg).select(
+        F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("id"),
+        F.concat(F.lower(F.col("c_name")), F.lit("@x.io")).alias("email"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") > 5000, "pro").alias("tier"),
+        (F.col("c_acctbal") > 0).alias("marketing_opt_in"),
+        F.parse_json(F.to_json(F.struct(F.concat(F.lit("City "), F.col("c_nationkey").cast("string")).alias("city"),
+                                        F.lit("NO").alias("country")))).alias("address"),
+        created.alias("created_at"),
+        created.alias("updated_at"),
+    )
+    cart = c.filter(~shop_seg).select(
+        F.col("c_custkey").alias("customerId"),
+        F.split("c_name", "#").getItem(0).alias("firstName"),
+        F.split("c_name", "#").getItem(1).alias("lastName"),
+        F.concat(F.lower(F.col("c_name")), F.lit("@x.io")).alias("emailAddress"),
+        F.when(F.col("c_acctbal") > 5000, "GOLD").otherwise("").alias("loyaltyTier"),
+        F.when(F.col("c_acctbal") > 0, "Y").otherwise("N").alias("marketingConsent"),
+        F.when(F.col("c_nationkey") < 12, F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))).otherwise("").alias("addrCity"),
+        F.lit("DE").alias("addrCountry"),
+        F.unix_seconds(created).alias("created"),
+        F.unix_seconds(created).alias("modified"),
+        (F.col("c_acctbal") < 0).alias("isDeleted"),
+    )
+    out = conform.common_customers(shop, cart)
+    return out.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss")).drop("updated_at")
+
+
+def q_conform_agents(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers of nations 0-11 are desk agents (boolean active), the others
+    helpline staff (status word)."""
+    s = _t(spark, sf, "supplier")
+    desk = s.filter(F.col("s_nationkey") < 12).select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.concat(F.lower("s_name"), F.lit("@desk.io")).alias("email"),
+        F.concat(F.lit("team "), F.col("s_nationkey").cast("string")).alias("team"),
+        (F.col("s_acctbal") >= 0).alias("active"),
+    )
+    staff = s.filter(F.col("s_nationkey") >= 12).select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("staff_id"), F.col("s_name").alias("display_name"),
+        F.concat(F.lower("s_name"), F.lit("@help.io")).alias("email"),
+        F.concat(F.lit("Tier "), F.col("s_nationkey").cast("string")).alias("group"),
+        F.when(F.col("s_acctbal") >= 0, "active").otherwise("deactivated").alias("status"),
+    )
+    return conform.common_agents(desk, staff)
+
+
+def q_uncategorized_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items logged but not mapped by the category seed (severity warn)."""
+    out = quality.uncategorized_items(StandIns(spark, sf).categorized)
+    return out.select("item_name", F.col("entries").cast("bigint").alias("entries"),
+                      F.col("hours").cast("decimal(18,2)").cast("double").alias("hours"))
+
+
+def q_top_client_hours_chart(spark: SparkSession, sf: str) -> DataFrame:
+    """The bar chart of the time-to-clients page - the ten external clients with
+    the most client hours (ties broken by name), over the slicer's client list."""
+    from ledgerflow.plans import pages
+
+    s = StandIns(spark, sf)
+    totals = reporting.client_totals(s.categorized, s.dim_client).select(
+        "client_name", F.col("client_facing_hours").cast("double").alias("client_hours")
+    )
+    return pages.top_n(totals, "client_hours", 10, tie_breakers=("client_name",))
+
+
+def q_employee_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """Employees with department, reporting group and employment status."""
+    d = StandIns(spark, sf).dim_employee
+    return d.select("employee_id", "employee_name", "department_name", "group_name", "hire_date",
+                    "release_date", "employment_status", F.col("standard_hours_per_day").cast("double").alias("standard_hours_per_day"))
+
+
+def q_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift between two inferred schemas of event records (the plain event
+    shape as 'committed', the mixed shape as 'fresh'): paths whose type, format or
+    nullability differ, or that exist on one side only."""
+    fresh = q_infer_mixed(spark, sf)
+    committed = q_infer_events_props(spark, sf)
+    return quality.schema_drift(fresh, committed)
