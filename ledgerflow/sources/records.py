@@ -20,7 +20,7 @@ from ledgerflow.functions.scalars import split_nonempty
 PAGE_SHIFT = 1 << 20
 
 
-PAGE_PATTERN = r"(?:page=(\d+)/[^/]*|(\d+)\.jsonl?)$"
+PAGE_PATTERN = r"(?:page=(\d+)/[^/]*|(\d+)\.jsonl?)$"  # page=<n>/file or ...<n>.json[l]
 
 
 def page_number(path: Column) -> Column:
@@ -32,7 +32,9 @@ def page_number(path: Column) -> Column:
 
 
 def _page_no() -> Column:
-    return page_number(F.input_file_name())
+    # the file source's metadata column is deterministic (input_file_name() is not, and
+    # would stop predicates from being pushed below this projection)
+    return page_number(F.col("_metadata.file_path"))
 
 
 def ordinal(page: Column, pos: Column) -> Column:
@@ -51,14 +53,21 @@ def records_from_python(spark: SparkSession, records: Iterable[Any]) -> DataFram
     return records_from_json(df)
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines pages: each file is a page, each line a record."""
-    pages = spark.read.text(path, wholetext=True).select(_page_no().alias("page"), "value")
+def read_json_lines(spark: SparkSession, path: str, landed_on: str | None = None) -> DataFrame:
+    """JSON-lines pages: each file is a page, each line a record (S1). With
+    ``landed_on`` the landing area is partitioned by extraction day
+    (``<path>/<landed_on>=YYYY-MM-DD/...``) and that column is kept, so an incremental
+    bound can prune partitions (see ``incremental_filter``)."""
+    raw = spark.read.text(path, wholetext=True)
+    keep = [F.col(landed_on).cast("date").alias(landed_on)] if landed_on else []
+    pages = raw.select(_page_no().alias("page"), "value", *keep)
     lines = pages.select(
-        "page", F.posexplode(split_nonempty(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "text")
+        "page", *([landed_on] if landed_on else []),
+        F.posexplode(split_nonempty(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "text"),
     )
     return lines.select(
-        ordinal(F.col("page"), F.col("pos")).alias("ordinal"), F.parse_json("text").alias("record")
+        ordinal(F.col("page"), F.col("pos")).alias("ordinal"), F.parse_json("text").alias("record"),
+        *([landed_on] if landed_on else []),
     )
 
 

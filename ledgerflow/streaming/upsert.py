@@ -26,7 +26,7 @@ from ledgerflow.spec import JobSpec
 
 def page_records(pages: DataFrame) -> DataFrame:
     """JSON-lines page files (``value`` = whole file) -> ``ordinal, record``."""
-    page = page_number(F.input_file_name())
+    page = page_number(F.col("_metadata.file_path"))
     lines = pages.select(
         page.alias("page"),
         F.posexplode(split_nonempty(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "text"),

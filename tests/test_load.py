@@ -145,3 +145,24 @@ def test_dedupe_keeps_last_by_ordinal(spark):
 def test_config_schema_key_mismatch(spark, schema):
     with pytest.raises(LoadError, match="differ"):
         load_job(spark, records_from_python(spark, RECORDS), JobSpec("demo_fake", "widgets", ("name",), INC), schema, wh())
+
+
+def test_landing_partitions_are_pruned_by_the_bound(spark):
+    import os
+
+    from ledgerflow.operators.load import incremental_filter
+    from ledgerflow.sources.records import read_json_lines
+
+    root = tempfile.mkdtemp(prefix="land-dt-", dir="/tmp")
+    for day, stamps in (("2024-01-01", ["2024-01-01 08:00:00"]), ("2024-01-02", ["2024-01-01 23:00:00", "2024-01-02 09:00:00"])):
+        os.makedirs(f"{root}/dt={day}")
+        with open(f"{root}/dt={day}/page-000001.jsonl", "w") as fh:
+            for i, s in enumerate(stamps):
+                fh.write('{"id": %d, "updated_at": "%s"}\n' % (i, s))
+    recs = read_json_lines(spark, root, landed_on="dt")
+    out = incremental_filter(recs, SPEC, datetime(2024, 1, 1, 22, tzinfo=UTC), landed_on="dt")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    assert sorted(r["ordinal"] for r in out.select("ordinal").collect()) == [1048576, 1048577]
+    assert [r[0] for r in out.select(F.variant_get("record", "$.updated_at", "string")).orderBy("ordinal").collect()] == [
+        "2024-01-01 23:00:00", "2024-01-02 09:00:00"]
