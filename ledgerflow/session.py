@@ -8,8 +8,8 @@ than a silent machine-local folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,8 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
-    suffix = next(tempfile._get_candidate_names())
-    return f"{base}/{name}-{os.getpid()}-{suffix}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):
