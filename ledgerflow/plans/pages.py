@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.measures import MEASURES, base_measures, measure_column, slug
+from ledgerflow.functions.measures import base_measures, measure_column, slug
 from ledgerflow.operators.ranking import global_rank
 from ledgerflow.session import materialize
 

@@ -30,11 +30,11 @@ from ledgerflow.operators.load import (
     upsert,
 )
 from ledgerflow.operators.runs import RUNS_SCHEMA, latest_snapshot
-from ledgerflow.functions.scalars import format_instant, split_nonempty, strptime_to_spark
+from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import reporting
 from ledgerflow.plans.standins import StandIns
 from ledgerflow.session import scratch_path
-from ledgerflow.sources.records import PAGE_SHIFT, read_pages, unnest_pages
+from ledgerflow.sources.records import PAGE_SHIFT, unnest_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.streaming.upsert import stream_upsert
 
