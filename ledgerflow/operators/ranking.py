@@ -1,9 +1,14 @@
 """Distributed global rank.
 
-``rank() OVER (ORDER BY ...)`` without a partition moves every row into one task. Here
-rows are range-partitioned on the ordering keys (equal keys always share a partition),
-ranked locally, and shifted by the number of rows in all earlier partitions. The offset
-table has one row per partition, so it is bounded by the partition count, not the data.
+``rank() OVER (ORDER BY ...)`` without a partition moves every row into one task. Here:
+
+1. rows collapse to their distinct ordering keys with a count (a partial+final
+   aggregate), so a value shared by a third of all rows becomes one row before any sort;
+2. the distinct keys are range-partitioned on the ordering, and each key's rank is
+   1 + (rows with a greater key in its own partition) + (rows in all earlier
+   partitions), the latter from a table with one row per partition;
+3. ranks join back to the rows on the key (null-safe); a hot key there is one row on
+   the small side, which the planner broadcasts when small or AQE splits when skewed.
 """
 
 from __future__ import annotations
@@ -14,38 +19,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _order(col: str, descending: bool, nulls_first: bool) -> Column:
+    c = F.col(col)
+    if descending:
+        return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
+    return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+
+
 def global_rank(
     df: DataFrame,
-    order: Sequence[Column],
+    columns: Sequence[str],
+    descending: bool = True,
+    nulls_first: bool = False,
     name: str = "rank",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``name`` = SQL ``rank()`` over the whole frame ordered by ``order``.
-
-    Ties share a rank and the next rank skips, as with ``rank()``.
-    """
+    """Add ``name`` = SQL ``rank()`` over the whole frame ordered by ``columns``
+    (all descending or all ascending). Ties share a rank and the next rank skips."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
-    local = tagged.withColumn(
-        "__local", F.rank().over(Window.partitionBy("__pid").orderBy(*order))
+    order = [_order(c, descending, nulls_first) for c in columns]
+    keys = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = keys.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    before_local = F.coalesce(
+        F.sum("__n").over(
+            Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        ),
+        F.lit(0),
     )
+    local = ranged.withColumn("__before", before_local)
     offsets = (
-        tagged.groupBy("__pid")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        ranged.groupBy("__pid")
+        .agg(F.sum("__n").alias("__size"))
         .withColumn(
             "__offset",
             F.coalesce(
-                F.sum("__n").over(
-                    Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-                ),
+                F.sum("__size").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                 F.lit(0),
             ),
         )
         .select("__pid", "__offset")
     )
-    return (
-        local.join(F.broadcast(offsets), "__pid")
-        .withColumn(name, (F.col("__offset") + F.col("__local")).cast("int"))
-        .drop("__pid", "__local", "__offset")
+    ranked_keys = local.join(F.broadcast(offsets), "__pid").select(
+        *[F.col(c).alias(f"__k_{c}") for c in columns],
+        (F.col("__offset") + F.col("__before") + F.lit(1)).cast("int").alias(name),
     )
+    cond = None
+    for c in columns:
+        eq = F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+        cond = eq if cond is None else cond & eq
+    return df.join(ranked_keys, cond, "inner").drop(*[f"__k_{c}" for c in columns])

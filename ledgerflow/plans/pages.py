@@ -187,7 +187,7 @@ def client_rank(matrix: DataFrame, aliases: Sequence[str], client_col: str) -> D
     top = matrix.filter(F.col("grouping_level") == top_level)
     deeper = matrix.filter(in_scope & (F.col("grouping_level") != top_level))
     rest = matrix.filter(~in_scope).withColumn("client_rank", F.lit(None).cast("int"))
-    top_ranked = global_rank(top, [order], name="client_rank")
+    top_ranked = global_rank(top, ["client_hours"], descending=True, nulls_first=False, name="client_rank")
     w = Window.partitionBy("grouping_level", *[F.col(o) for o in others]).orderBy(order)
     deeper_ranked = deeper.withColumn("client_rank", F.rank().over(w).cast("int"))
     return top_ranked.unionByName(deeper_ranked).unionByName(rest)

@@ -173,9 +173,7 @@ def top_clients(entries: DataFrame, dim_client: DataFrame, n: int = 15) -> DataF
     """
     totals = client_totals(entries, dim_client)
     ranked = global_rank(
-        totals,
-        [F.col("client_facing_hours").desc_nulls_first(), F.col("total_hours").desc_nulls_first()],
-        name="client_rank",
+        totals, ["client_facing_hours", "total_hours"], descending=True, nulls_first=True, name="client_rank"
     )
     return ranked.select(
         F.col("client_id").cast("int").alias("client_id"),

@@ -68,12 +68,25 @@ def test_slicer_filters_only_reach_related_facts_and_rank(spark):
 
 def test_global_rank_matches_sql_rank(spark):
     df = spark.createDataFrame([(i, (i * 7) % 13) for i in range(500)], "id int, v int")
-    ours = {r.id: r.rank for r in global_rank(df, [F.col("v").desc()], num_partitions=7).collect()}
+    ours = {r.id: r.rank for r in global_rank(df, ["v"], num_partitions=7).collect()}
     df.createOrReplaceTempView("gr")
     sql = {r.id: r.rank for r in spark.sql("select id, rank() over (order by v desc) as rank from gr").collect()}
     assert ours == sql
 
 
+def test_global_rank_hot_value_and_nulls(spark):
+    # a third of the rows share one value; NULLs sort last (descending) and tie together
+    rows = [(i, 5 if i % 3 == 0 else (None if i % 7 == 0 else i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v int")
+    ours = {r.id: r.rank for r in global_rank(df, ["v"], num_partitions=5).collect()}
+    df.createOrReplaceTempView("gr2")
+    sql = {r.id: r.rank for r in spark.sql("select id, rank() over (order by v desc nulls last) as rank from gr2").collect()}
+    assert ours == sql
+    asc = {r.id: r.rank for r in global_rank(df, ["v"], descending=False, nulls_first=True).collect()}
+    sql2 = {r.id: r.rank for r in spark.sql("select id, rank() over (order by v asc nulls first) as rank from gr2").collect()}
+    assert asc == sql2
+
+
 def test_stream_upsert_equals_batch(spark):
     landing = tempfile.mkdtemp(prefix="land-", dir="/tmp")
     rows = [{"k": i % 7, "v": i} for i in range(60)]
