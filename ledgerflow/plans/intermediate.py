@@ -113,15 +113,13 @@ def employee_days(employees: DataFrame, calendar_df: DataFrame, categorized: Dat
     week start and weekday flag are recomputed per day rather than joined back.
     Exempt hours are pre-aggregated per (employee, day) before the join (J6).
     """
-    window = F.broadcast(
-        calendar_df.agg(F.min("date_day").alias("__first"), F.max("date_day").alias("__last"))
-    )
+    first_day = calendar_df.agg(F.min("date_day")).scalar()
+    last_day = calendar_df.agg(F.max("date_day")).scalar()
     hire, release = F.col("hire_date"), F.col("release_date")
-    start = F.when(hire.isNotNull(), F.greatest(hire, F.col("__first")))
-    stop = F.least(F.coalesce(release, F.col("__last")), F.col("__last"))
+    start = F.when(hire.isNotNull(), F.greatest(hire, first_day))
+    stop = F.least(F.coalesce(release, last_day), last_day)
     spine = (
         employees.select("employee_id", "hire_date", "release_date", "standard_hours_per_day")
-        .crossJoin(window)
         .select(
             "employee_id",
             "standard_hours_per_day",

@@ -27,14 +27,13 @@ def dim_employee(
 ) -> DataFrame:
     """Employees with department, reporting group and employment status (P20).
 
-    The calendar end is a one-row aggregate joined to every employee (J7)."""
-    end = F.broadcast(calendar_df.agg(F.max("date_day").alias("__last_day")))
+    The calendar end is a scalar subquery (J7: the one-row relation of the model)."""
+    last_day = calendar_df.agg(F.max("date_day")).scalar()
     e = employees.alias("e")
     dep = departments.select("department_id", "department_name").alias("dep")
     grp = groups.select("department_name", "group_name").alias("grp")
     joined = (
-        e.crossJoin(end)
-        .join(dep, F.col("e.department_id") == F.col("dep.department_id"), "left")
+        e.join(dep, F.col("e.department_id") == F.col("dep.department_id"), "left")
         .join(grp, F.col("dep.department_name") == F.col("grp.department_name"), "left")
     )
     return joined.select(
@@ -49,7 +48,7 @@ def dim_employee(
         F.col("e.title"),
         F.col("e.hire_date"),
         F.col("e.release_date"),
-        F.when(F.col("e.release_date") < F.col("__last_day"), "Released")
+        F.when(F.col("e.release_date") < last_day, "Released")
         .otherwise("Current")
         .alias("employment_status"),
         F.col("e.standard_hours_per_day"),
