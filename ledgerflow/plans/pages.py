@@ -86,7 +86,10 @@ def fact_at_grain(
     filters = filters or {}
     needed = {d for d, _ in rows} | {d for d, _ in filters}
     keys = sorted({fc for f, fc, d, _ in star.relationships if f == fact and d in needed})
-    df = star.facts[fact].select(*keys, *measure_columns)
+    # pre-aggregate the fact to its dimension keys (sums are decomposable), so the
+    # dimension joins and the rollup's row expansion see one row per key combination
+    # instead of one per fact row
+    df = star.facts[fact].groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measure_columns])
     aliases = _alias(rows)
     for dim in sorted(needed):
         link = star.link(fact, dim)

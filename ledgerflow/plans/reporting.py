@@ -136,32 +136,34 @@ def _external_clients(dim_client: DataFrame) -> DataFrame:
 
 
 def client_hours(entries: DataFrame, dim_client: DataFrame, dim_employee: DataFrame) -> DataFrame:
-    """Hours on external clients by client, employee and day."""
+    """Hours on external clients by client, employee and day (R8). The fact is summed
+    per (client, employee, day) before the dimension joins."""
     emp = dim_employee.select("employee_id", "employee_name", "department_name")
-    joined = entries.join(_external_clients(dim_client), "client_id", "inner").join(
-        emp, "employee_id", "left"
+    per_key = entries.groupBy("client_id", "employee_id", "entry_date").agg(
+        F.sum("hours").alias("hours"), F.sum("client_facing_hours").alias("client_facing_hours")
     )
-    return joined.groupBy(
+    joined = per_key.join(_external_clients(dim_client), "client_id", "inner").join(emp, "employee_id", "left")
+    return joined.select(
         F.col("client_id").cast("int").alias("client_id"),
         F.col("client_name").cast("string").alias("client_name"),
         F.col("employee_id").cast("int").alias("employee_id"),
         F.col("employee_name").cast("string").alias("employee_name"),
         F.col("department_name").cast("string").alias("department_name"),
         F.col("entry_date").cast("date").alias("entry_date"),
-    ).agg(
-        _dec(F.sum("hours"), 10, 2).alias("total_hours"),
-        _dec(F.sum("client_facing_hours"), 10, 2).alias("client_facing_hours"),
+        _dec(F.col("hours"), 10, 2).alias("total_hours"),
+        _dec(F.col("client_facing_hours"), 10, 2).alias("client_facing_hours"),
     )
 
 
 def client_totals(entries: DataFrame, dim_client: DataFrame) -> DataFrame:
-    return (
-        entries.join(_external_clients(dim_client), "client_id", "inner")
-        .groupBy("client_id", "client_name")
-        .agg(
-            F.sum("client_facing_hours").alias("client_facing_hours"),
-            F.sum("hours").alias("total_hours"),
-        )
+    """External client totals: the fact is summed per client first, then joined to
+    the (filtered) client dimension - one row per client crosses the join."""
+    per_client = entries.groupBy("client_id").agg(
+        F.sum("client_facing_hours").alias("client_facing_hours"),
+        F.sum("hours").alias("total_hours"),
+    )
+    return per_client.join(_external_clients(dim_client), "client_id", "inner").select(
+        "client_id", "client_name", "client_facing_hours", "total_hours"
     )
 
 
@@ -192,8 +194,14 @@ def task_breakdown(
     dim_client: DataFrame,
     dim_item: DataFrame,
 ) -> DataFrame:
-    """Monthly hours by employee, project, client and item."""
-    e = entries.alias("e")
+    """Monthly hours by employee, project, client and item (R10). Hours are summed per
+    (month, employee, project, client, item) ids first; the dimension attributes join
+    to that much smaller set, then the output grain is grouped (ids of different items
+    can share a name, so the final group by stays)."""
+    per_key = entries.groupBy(
+        F.trunc(F.col("entry_date"), "MM").alias("month_start"), "employee_id", "project_id", "client_id", "item_id"
+    ).agg(F.sum("hours").alias("hours"))
+    e = per_key.alias("e")
     emp = dim_employee.select("employee_id", "employee_name", "department_name").alias("emp")
     prj = dim_project.select("project_id", "project_display_name", "department_name", "client_name").alias("prj")
     cli = dim_client.select("client_id", "client_name").alias("cli")
@@ -205,7 +213,7 @@ def task_breakdown(
         .join(itm, F.col("e.item_id") == F.col("itm.item_id"), "left")
     )
     return joined.groupBy(
-        F.trunc(F.col("e.entry_date"), "MM").alias("month_start"),
+        F.col("e.month_start").alias("month_start"),
         F.col("e.employee_id").cast("int").alias("employee_id"),
         F.col("emp.employee_name").cast("string").alias("employee_name"),
         F.col("emp.department_name").cast("string").alias("employee_department"),
