@@ -56,15 +56,22 @@ def latest_snapshot(table: DataFrame, runs: DataFrame, job: str) -> DataFrame:
     )
 
 
-def last_watermark(runs: DataFrame, consumer: str, job: str) -> DataFrame:
-    """One-row frame with the saved high-water mark of (consumer, job) (W4): the
-    ``max_incremental_value`` of the latest finished succeeded run that has one."""
+def saved_watermarks(runs: DataFrame) -> DataFrame:
+    """The saved high-water mark of every (consumer, job) (W4): the
+    ``max_incremental_value`` of the latest finished succeeded run that has one.
+    Failed and still-running runs never count (U3). Equal finish times are broken by
+    run id so the answer is deterministic. One partial+final aggregate per job."""
     return (
-        runs.filter(
-            (F.col("consumer") == consumer)
-            & (F.col("job") == job)
-            & (F.col("status") == "succeeded")
-            & F.col("max_incremental_value").isNotNull()
+        runs.filter((F.col("status") == "succeeded") & F.col("max_incremental_value").isNotNull())
+        .groupBy("consumer", "job")
+        .agg(
+            F.max_by("max_incremental_value", F.struct("finished_at", "run_id")).alias("watermark"),
+            F.max("finished_at").alias("finished_at"),
         )
-        .agg(F.max_by("max_incremental_value", "finished_at").alias("watermark"))
     )
+
+
+def last_watermark(runs: DataFrame, consumer: str, job: str) -> DataFrame:
+    """One-row frame with the saved high-water mark of (consumer, job)."""
+    one = runs.filter((F.col("consumer") == consumer) & (F.col("job") == job))
+    return saved_watermarks(one).select("watermark")

@@ -61,20 +61,24 @@ for _job in ("customers", "orders", "order_items"):
     REGISTRY.register("cartwheel", f"fetch_{_job}")(_cartwheel)
 
 
-def _usgs(spark: SparkSession, landing: str, spec: JobSpec) -> DataFrame:
-    """GeoJSON features flattened; the same scan serves both jobs, with per-job
-    options ``minmagnitude`` / ``minsig`` / ``starttime`` as filters (G6)."""
-    flat = flatten_geojson(_pages(spark, landing, "usgs", spec))
-    opts = spec.options
-    if "minmagnitude" in opts:
-        flat = flat.filter(F.variant_get("record", "$.mag", "double") >= F.lit(float(opts["minmagnitude"])))
-    if "minsig" in opts:
-        flat = flat.filter(F.variant_get("record", "$.sig", "bigint") >= F.lit(int(opts["minsig"])))
-    if "starttime" in opts:
+def usgs_options(flat: DataFrame, options: dict) -> DataFrame:
+    """Per-job options of the earthquake feed as filters on flattened features (G6):
+    ``minmagnitude`` / ``minsig`` / ``starttime`` (inclusive)."""
+    if "minmagnitude" in options:
+        flat = flat.filter(F.variant_get("record", "$.mag", "double") >= F.lit(float(options["minmagnitude"])))
+    if "minsig" in options:
+        flat = flat.filter(F.variant_get("record", "$.sig", "bigint") >= F.lit(int(options["minsig"])))
+    if "starttime" in options:
         t = F.variant_get("record", "$.time", "string").try_cast("timestamp")
-        flat = flat.filter(t >= F.lit(opts["starttime"]).cast("timestamp"))
+        flat = flat.filter(t >= F.lit(options["starttime"]).cast("timestamp"))
     return flat
 
 
+def _usgs(spark: SparkSession, landing: str, spec: JobSpec) -> DataFrame:
+    """GeoJSON features flattened; the same scan serves both jobs, with per-job
+    options as filters."""
+    return usgs_options(flatten_geojson(_pages(spark, landing, "usgs", spec)), spec.options)
+
+
 REGISTRY.register("usgs", "fetch_earthquakes")(_usgs)
 REGISTRY.register("usgs", "fetch_significant_earthquakes")(_usgs)
