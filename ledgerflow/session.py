@@ -83,6 +83,16 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def spread_skinny(df):
+    """Round-robin ``df`` over the task slots when it has fewer partitions than slots
+    (a single-file or single-row-group input), so heavy per-row work after it runs in
+    parallel. Large inputs already have many splits and are returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 # Settings the library's results depend on (not tuning): instants are rendered and
 # parsed in UTC, and casts are ANSI-strict.
 SEMANTIC_CONF = {

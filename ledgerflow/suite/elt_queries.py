@@ -33,7 +33,7 @@ from ledgerflow.operators.runs import RUNS_SCHEMA, latest_snapshot
 from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import reporting
 from ledgerflow.plans.standins import StandIns
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, spread_skinny
 from ledgerflow.sources.records import PAGE_SHIFT, unnest_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.streaming.upsert import stream_upsert
@@ -54,7 +54,8 @@ def _json(*cols: Column) -> Column:
 
 
 def _records(df: DataFrame, text: Column, ordinal: Column) -> DataFrame:
-    return df.select(ordinal.cast("long").alias("ordinal"), F.parse_json(text).alias("record"))
+    # the JSON text is built and parsed per row: spread a single-split table first
+    return spread_skinny(df).select(ordinal.cast("long").alias("ordinal"), F.parse_json(text).alias("record"))
 
 
 # --- inference ------------------------------------------------------------------------
