@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.measures import base_measures, measure_column, slug
@@ -173,27 +173,25 @@ def client_rank(matrix: DataFrame, aliases: Sequence[str], client_col: str) -> D
     selected clients by Client Hours in the row's context (the other row attributes of
     the same level); blank where the client is rolled up.
 
-    The client-only level (every client in one context) uses the distributed global
-    rank; deeper levels rank within their (level, other attributes) partitions.
+    Every context is ranked with the distributed rank (``partition_by`` the level and
+    the other attributes), so the client-only level - one context holding every client -
+    or a department holding a third of all clients never sorts in a single task.
     """
-    # the aggregated matrix is read by three branches below: write it once (it is
-    # one row per output cell, far smaller than the facts) instead of recomputing it
+    # the aggregated matrix is read by three branches below (distinct keys, join-back,
+    # rolled-up rows): write it once (one row per output cell, far smaller than the
+    # facts) instead of recomputing it from the facts
     matrix = materialize(matrix, "pivot-matrix")
     n = len(aliases)
     pos = list(aliases).index(client_col)
     bit = 1 << (n - 1 - pos)
     in_scope = (F.col("grouping_level").bitwiseAND(F.lit(bit))) == 0
     others = [a for a in aliases if a != client_col]
-    order = F.col("client_hours").desc_nulls_last()
-    # the level where the client is the only grouped attribute: one context of all clients
-    top_level = (1 << n) - 1 - bit
-    top = matrix.filter(F.col("grouping_level") == top_level)
-    deeper = matrix.filter(in_scope & (F.col("grouping_level") != top_level))
+    ranked = global_rank(
+        matrix.filter(in_scope), ["client_hours"], descending=True, nulls_first=False, name="client_rank",
+        partition_by=["grouping_level", *others],
+    )
     rest = matrix.filter(~in_scope).withColumn("client_rank", F.lit(None).cast("int"))
-    top_ranked = global_rank(top, ["client_hours"], descending=True, nulls_first=False, name="client_rank")
-    w = Window.partitionBy("grouping_level", *[F.col(o) for o in others]).orderBy(order)
-    deeper_ranked = deeper.withColumn("client_rank", F.rank().over(w).cast("int"))
-    return top_ranked.unionByName(deeper_ranked).unionByName(rest)
+    return ranked.unionByName(rest)
 
 
 def slicer_values(dim: DataFrame, attr: str) -> DataFrame:

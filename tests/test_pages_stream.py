@@ -106,3 +106,15 @@ def test_stream_upsert_equals_batch(spark):
     batch = sorted((r.k, r.v) for r in read_table(spark, batch_wh, "s", "t").collect())
     stream = sorted((r.k, r.v) for r in read_table(spark, stream_wh, "s", "t").collect())
     assert batch == stream == [(k, max(i for i in range(60) if i % 7 == k)) for k in range(7)]
+
+
+def test_grouped_rank_matches_sql_rank_with_hot_group_and_null_group(spark):
+    # group 0 holds a third of the rows; a NULL group; ties and NULL values inside groups
+    rows = [(i, None if i % 11 == 0 else (0 if i % 3 == 0 else i % 5),
+             None if i % 13 == 0 else (i * 7) % 17) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, g int, v int")
+    ours = {r.id: r.rank for r in global_rank(df, ["v"], num_partitions=6, partition_by=["g"]).collect()}
+    df.createOrReplaceTempView("gr3")
+    sql = {r.id: r.rank for r in spark.sql(
+        "select id, rank() over (partition by g order by v desc nulls last) as rank from gr3").collect()}
+    assert ours == sql
