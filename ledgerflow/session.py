@@ -19,8 +19,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # coalesce shuffle partitions to the advisory size rather than to the core count
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -39,6 +37,11 @@ def get_session(
         builder = builder.master(master)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
+    # a cluster coalesces small shuffles to the advisory size (fewer, fuller tasks on
+    # shared executors); a local master is a dedicated machine, where Spark's default -
+    # keep at least one partition per core - finishes small shuffles sooner
+    local = (master or "").startswith("local")
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.parallelismFirst", str(local).lower())
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (conf or {}).items():
@@ -129,6 +132,7 @@ def scale_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
         "spark.sql.shuffle.partitions": str(int(shuffle)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
