@@ -61,3 +61,34 @@ def test_scale_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 64000  # clamped to 8 waves
     assert int(scale_conf(10 * 1024 ** 3, 64)["spark.sql.shuffle.partitions"]) == 128
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_bi_model_resolves_every_measure_and_relationship(spark):
+    """Consistency of the star (as the BI model test does): every base measure's column
+    exists on its fact, every derived measure resolves to base measures, and every
+    relationship's fact column and dimension key exist on the frames built from the
+    driver tables."""
+    from ledgerflow.plans import pages, reporting
+    from ledgerflow.plans.standins import StandIns
+
+    s = StandIns(spark, "/root/testdata/sf0.001")
+    facts = {
+        "time_entries": s.categorized,
+        "capacity": s.capacity,
+        "project_margin": reporting.project_margin(s.dim_project, s.financial_lines, s.categorized),
+    }
+    dims = {"date": s.dim_date, "employee": s.dim_employee, "client": s.dim_client,
+            "project": s.dim_project, "item": s.dim_item}
+    for m in MEASURES.values():
+        if m.is_base:
+            assert m.column in facts[m.fact].columns, m.name
+        else:
+            assert all(i in MEASURES for i in m.inputs), m.name
+            assert base_measures([m.name]), m.name
+    for fact, fcol, dim, key in pages.RELATIONSHIPS:
+        assert fcol in facts[fact].columns, (fact, fcol)
+        assert key in dims[dim].columns, (dim, key)
+    # every dimension key is unique (many-to-one relationships)
+    for dim, key in {(d, k) for _, _, d, k in pages.RELATIONSHIPS}:
+        df = dims[dim]
+        assert df.groupBy(key).count().filter("count > 1").count() == 0, dim
