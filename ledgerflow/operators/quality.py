@@ -50,14 +50,27 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFr
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
 
 
+def _parent_keys(parent: DataFrame, parent_column: str) -> DataFrame:
+    # distinct (a partial aggregate), so a parent key repeated many times is one row on
+    # the build side of the anti join
+    return parent.select(F.col(parent_column).alias("__parent_key")).distinct()
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose key has no parent (NULL keys pass); an anti join."""
-    keys = parent.select(F.col(parent_column).alias("__parent_key"))
     return child.filter(F.col(column).isNotNull()).join(
-        keys, F.col(column) == F.col("__parent_key"), "left_anti"
+        _parent_keys(parent, parent_column), F.col(column) == F.col("__parent_key"), "left_anti"
     )
 
 
+def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One-row count of ``relationships`` failures. Child rows are first counted per key
+    (map-side), so a key held by a third of the child rows is one row in the join."""
+    per_key = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    orphans = per_key.join(_parent_keys(parent, parent_column), F.col(column) == F.col("__parent_key"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Q5/A10: combinations that occur more than once (count > 1)."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("occurrences")).filter(F.col("occurrences") > 1)
@@ -125,7 +138,10 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
     for c in checks:
         if c.kind in ("not_null", "accepted_values"):
             continue
-        n = failing_rows(tables, c).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+        if c.kind == "relationships":
+            n = orphan_count(tables[c.table], c.columns[0], tables[c.params["to"]], c.params["field"])
+        else:
+            n = failing_rows(tables, c).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
         parts.append(n.select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
     if not parts:
         return spark.createDataFrame([], "check string, severity string, failures bigint, status string")

@@ -71,3 +71,15 @@ def test_common_order_lines_keep_every_line(spark):
     assert out.filter(F.col("source") == "cartwheel").count() == cart_li.count()
     # line numbers of embedded items start at 1
     assert out.filter((F.col("source") == "shopfront") & (F.col("line_number") < 1)).count() == 0
+
+
+def test_orphan_count_with_hot_key_equals_failing_rows(spark):
+    from ledgerflow.operators.quality import orphan_count, relationships
+
+    # a third of the child rows share one orphan key; NULL keys pass; parents repeat
+    child = spark.createDataFrame([(i, 999 if i % 3 == 0 else (None if i % 10 == 1 else i % 50)) for i in range(900)],
+                                  "id int, fk int")
+    parent = spark.createDataFrame([(k % 40,) for k in range(400)], "pk int")
+    expected = relationships(child, "fk", parent, "pk").count()
+    assert expected == orphan_count(child, "fk", parent, "pk").first()["failures"]
+    assert expected == 300 + child.filter("fk >= 40 and fk < 50").count()
