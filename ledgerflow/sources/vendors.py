@@ -7,7 +7,7 @@ by the load (``incremental_filter``), per-job options become filters (G6).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.sources.catalog import SourceRegistry
@@ -61,17 +61,22 @@ for _job in ("customers", "orders", "order_items"):
     REGISTRY.register("cartwheel", f"fetch_{_job}")(_cartwheel)
 
 
-def usgs_options(flat: DataFrame, options: dict) -> DataFrame:
-    """Per-job options of the earthquake feed as filters on flattened features (G6):
-    ``minmagnitude`` / ``minsig`` / ``starttime`` (inclusive)."""
+def usgs_predicate(options: dict) -> Column:
+    """Per-job options of the earthquake feed as one predicate over flattened features
+    (G6): ``minmagnitude`` / ``minsig`` / ``starttime`` (inclusive)."""
+    cond = F.lit(True)
     if "minmagnitude" in options:
-        flat = flat.filter(F.variant_get("record", "$.mag", "double") >= F.lit(float(options["minmagnitude"])))
+        cond = cond & (F.variant_get("record", "$.mag", "double") >= F.lit(float(options["minmagnitude"])))
     if "minsig" in options:
-        flat = flat.filter(F.variant_get("record", "$.sig", "bigint") >= F.lit(int(options["minsig"])))
+        cond = cond & (F.variant_get("record", "$.sig", "bigint") >= F.lit(int(options["minsig"])))
     if "starttime" in options:
         t = F.variant_get("record", "$.time", "string").try_cast("timestamp")
-        flat = flat.filter(t >= F.lit(options["starttime"]).cast("timestamp"))
-    return flat
+        cond = cond & (t >= F.lit(options["starttime"]).cast("timestamp"))
+    return F.coalesce(cond, F.lit(False))
+
+
+def usgs_options(flat: DataFrame, options: dict) -> DataFrame:
+    return flat.filter(usgs_predicate(options))
 
 
 def _usgs(spark: SparkSession, landing: str, spec: JobSpec) -> DataFrame:

@@ -18,7 +18,7 @@ from ledgerflow.operators.runs import saved_watermarks
 from ledgerflow.plans import pages
 from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.sources.records import flatten_geojson
-from ledgerflow.sources.vendors import usgs_options
+from ledgerflow.sources.vendors import usgs_predicate
 
 SPLIT_TS = "2024-01-15 00:00:00"
 
@@ -117,27 +117,29 @@ def earthquake_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_earthquake_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """One feature scan flattened once, filtered per job by its options."""
+    """One feature scan flattened once; each feature is emitted once per job
+    whose options it satisfies (both jobs read the same scan, in one pass)."""
     flat = flatten_geojson(earthquake_features(spark, sf))
-    out = []
-    for job, options in EARTHQUAKE_JOBS.items():
-        rec = usgs_options(flat, options)
-        out.append(rec.select(
-            F.lit(job).alias("job"),
-            F.variant_get("record", "$.id", "string").alias("id"),
-            F.variant_get("record", "$.mag", "double").alias("mag"),
-            F.variant_get("record", "$.sig", "bigint").alias("sig"),
-            F.variant_get("record", "$.place", "string").alias("place"),
-            F.variant_get("record", "$.time", "string").alias("time"),
-            F.variant_get("record", "$.updated", "string").alias("updated"),
-            F.variant_get("record", "$.ids[0]", "string").alias("first_id"),
-            F.variant_get("record", "$.sources[0]", "string").alias("first_source"),
-            F.variant_get("record", "$.types[1]", "string").alias("second_type"),
-            F.variant_get("record", "$.longitude", "double").alias("longitude"),
-            F.variant_get("record", "$.latitude", "double").alias("latitude"),
-            F.variant_get("record", "$.depth_km", "double").alias("depth_km"),
-        ))
-    return out[0].unionByName(out[1])
+    matching = F.filter(
+        F.array(*[F.when(usgs_predicate(o), F.lit(job)) for job, o in EARTHQUAKE_JOBS.items()]),
+        lambda j: j.isNotNull(),
+    )
+    rec = flat.select(F.explode(matching).alias("job"), "record")
+    return rec.select(
+        "job",
+        F.variant_get("record", "$.id", "string").alias("id"),
+        F.variant_get("record", "$.mag", "double").alias("mag"),
+        F.variant_get("record", "$.sig", "bigint").alias("sig"),
+        F.variant_get("record", "$.place", "string").alias("place"),
+        F.variant_get("record", "$.time", "string").alias("time"),
+        F.variant_get("record", "$.updated", "string").alias("updated"),
+        F.variant_get("record", "$.ids[0]", "string").alias("first_id"),
+        F.variant_get("record", "$.sources[0]", "string").alias("first_source"),
+        F.variant_get("record", "$.types[1]", "string").alias("second_type"),
+        F.variant_get("record", "$.longitude", "double").alias("longitude"),
+        F.variant_get("record", "$.latitude", "double").alias("latitude"),
+        F.variant_get("record", "$.depth_km", "double").alias("depth_km"),
+    )
 
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
