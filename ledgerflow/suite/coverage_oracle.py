@@ -81,6 +81,37 @@ def insert_only_keys_sql() -> str:
     return "SELECT DISTINCT user_id, event_type FROM events WHERE ts IS NOT NULL"
 
 
+_ACTIVITY = """r AS (
+  SELECT user_id, event_type, event_id, value, ts, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS updated_at FROM events),
+w1 AS (SELECT max(updated_at) AS wm FROM r WHERE ts < TIMESTAMP '2024-01-15 00:00:00'),
+w2 AS (SELECT max(updated_at) AS wm FROM r)"""
+
+
+def incremental_load_runs_sql() -> str:
+    return f"""WITH {_ACTIVITY}
+SELECT 1 AS run_seq, 'succeeded' AS status,
+       (SELECT count(*) FROM r WHERE ts < TIMESTAMP '2024-01-15 00:00:00' AND updated_at >= '2024-01-01T00:00:00')
+         AS records_loaded,
+       '2024-01-01T00:00:00' AS lower_bound, (SELECT wm FROM w1) AS max_incremental_value,
+       false AS unknown_field_error
+UNION ALL
+SELECT 2, 'succeeded', (SELECT count(*) FROM r WHERE updated_at >= (SELECT wm FROM w1)),
+       (SELECT wm FROM w1), (SELECT wm FROM w2), false
+UNION ALL
+SELECT 3, 'failed', 0, (SELECT wm FROM w2), NULL, true"""
+
+
+def incremental_load_table_sql() -> str:
+    return f"""WITH {_ACTIVITY},
+last AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn,
+         max(updated_at) OVER (PARTITION BY user_id, event_type) AS latest
+  FROM r)
+SELECT user_id, event_type, event_id, value, updated_at,
+       CASE WHEN latest >= (SELECT wm FROM w1) THEN 'run-2' ELSE 'run-1' END AS _run_id
+FROM last WHERE rn = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "project_dimension": project_dimension_sql(),
@@ -90,4 +121,6 @@ def oracle_sql() -> dict[str, str]:
         "earthquake_feed": earthquake_feed_sql(),
         "saved_watermarks": saved_watermarks_sql(),
         "insert_only_keys": insert_only_keys_sql(),
+        "incremental_load_runs": incremental_load_runs_sql(),
+        "incremental_load_table": incremental_load_table_sql(),
     }

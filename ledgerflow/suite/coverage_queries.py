@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import conform
-from ledgerflow.operators.load import upsert
+from ledgerflow.operators.infer import infer_schema
+from ledgerflow.operators.load import load_job, read_runs, read_table, upsert
 from ledgerflow.operators.runs import saved_watermarks
 from ledgerflow.plans import pages
 from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.sources.records import flatten_geojson
+from ledgerflow.session import scratch_path, spread_skinny
 from ledgerflow.sources.vendors import usgs_predicate
+from ledgerflow.spec import IncrementalSpec, JobSpec
 
 SPLIT_TS = "2024-01-15 00:00:00"
 
@@ -183,6 +186,66 @@ def q_insert_only_keys(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(first, second, ["user_id", "event_type"], order_col=None)
 
 
+# The incremental job of the load queries.
+LOAD_FORMAT = "%Y-%m-%dT%H:%M:%S"
+LOAD_SPEC = JobSpec("events", "activity", ("user_id", "event_type"),
+                    IncrementalSpec("updated_at", "2024-01-01T00:00:00", LOAD_FORMAT))
+
+
+def _activity_records(spark: SparkSession, sf: str, until: str | None = None, extra: bool = False) -> DataFrame:
+    """Event records as landed JSON (ordinal = event_id): the landing area before
+    ``until`` or complete; ``extra`` adds a field the schema does not know."""
+    ev = spread_skinny(_t(spark, sf, "events"))
+    if until:
+        ev = ev.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    fields = [F.col("user_id"), F.col("event_type"), F.col("event_id"), F.col("value"),
+              F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at")]
+    if extra:
+        fields.append(F.lit("late field").alias("note"))
+    return ev.select(F.col("event_id").alias("ordinal"), F.parse_json(F.to_json(F.struct(*fields))).alias("record"))
+
+
+def _three_runs(spark: SparkSession, sf: str) -> str:
+    """U2 three times into a fresh warehouse under the checkpoint folder: the landing
+    area up to the split, then complete (resumes from the saved watermark, inclusive),
+    then with an unknown field (fails; the watermark does not move)."""
+    warehouse = scratch_path(spark, "load-warehouse")
+    schema = infer_schema(_activity_records(spark, sf, SPLIT_TS), LOAD_SPEC)
+    load_job(spark, _activity_records(spark, sf, SPLIT_TS), LOAD_SPEC, schema, warehouse, run_id="run-1")
+    load_job(spark, _activity_records(spark, sf), LOAD_SPEC, schema, warehouse, run_id="run-2")
+    try:
+        load_job(spark, _activity_records(spark, sf, extra=True), LOAD_SPEC, schema, warehouse, run_id="run-3")
+    except Exception:  # noqa: BLE001 - the failure is recorded in the run log
+        pass
+    return warehouse
+
+
+def q_incremental_load_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The run log of three runs - status, records read before
+    dedupe, the bound each run used and the high-water mark it saved."""
+    runs = read_runs(spark, _three_runs(spark, sf), LOAD_SPEC.consumer)
+    return runs.select(
+        F.substring("run_id", 5, 3).cast("int").alias("run_seq"),
+        "status",
+        F.col("records_loaded").cast("bigint").alias("records_loaded"),
+        "lower_bound",
+        "max_incremental_value",
+        F.coalesce(F.col("error").contains("not in the inferred schema"), F.lit(False)).alias("unknown_field_error"),
+    )
+
+
+def q_incremental_load_table(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 through U2: the current table after the three runs - last write per key, and
+    the run that last wrote it (keys re-read at the watermark second are re-stamped)."""
+    warehouse = _three_runs(spark, sf)
+    table = read_table(spark, warehouse, LOAD_SPEC.consumer, LOAD_SPEC.name)
+    return table.select(
+        "user_id", "event_type", "event_id", "value",
+        F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),
+        "_run_id",
+    )
+
+
 def queries() -> dict:
     return {
         "project_dimension": q_project_dimension,
@@ -192,4 +255,6 @@ def queries() -> dict:
         "earthquake_feed": q_earthquake_feed,
         "saved_watermarks": q_saved_watermarks,
         "insert_only_keys": q_insert_only_keys,
+        "incremental_load_runs": q_incremental_load_runs,
+        "incremental_load_table": q_incremental_load_table,
     }
