@@ -112,6 +112,19 @@ SELECT user_id, event_type, event_id, value, updated_at,
 FROM last WHERE rn = 1"""
 
 
+def rendered_orders_sql() -> str:
+    return """SELECT o_orderkey AS id, o_custkey AS entity, o_orderstatus AS status,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS trandate
+FROM orders"""
+
+
+def landed_records_sql() -> str:
+    return """SELECT event_id // 1000 AS page,
+  CAST(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS BIGINT) AS pos,
+  event_id, event_type, value
+FROM events"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "project_dimension": project_dimension_sql(),
@@ -123,4 +136,6 @@ def oracle_sql() -> dict[str, str]:
         "insert_only_keys": insert_only_keys_sql(),
         "incremental_load_runs": incremental_load_runs_sql(),
         "incremental_load_table": incremental_load_table_sql(),
+        "rendered_orders": rendered_orders_sql(),
+        "landed_records": landed_records_sql(),
     }

@@ -18,7 +18,8 @@ from ledgerflow.operators.load import load_job, read_runs, read_table, upsert
 from ledgerflow.operators.runs import saved_watermarks
 from ledgerflow.plans import pages
 from ledgerflow.plans.standins import StandIns, for_driver
-from ledgerflow.sources.records import flatten_geojson
+from ledgerflow.sources.catalog import render_columns
+from ledgerflow.sources.records import PAGE_SHIFT, flatten_geojson, read_json_lines, require_objects
 from ledgerflow.session import scratch_path, spread_skinny
 from ledgerflow.sources.vendors import usgs_predicate
 from ledgerflow.spec import IncrementalSpec, JobSpec
@@ -246,6 +247,36 @@ def q_incremental_load_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_rendered_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """An ERP-style explicit column list with renames, the date rendered as
+    ``yyyy-MM-dd HH:mm:ss`` text."""
+    o = _t(spark, sf, "orders")
+    return render_columns(
+        o,
+        {"o_orderkey": "id", "o_custkey": "entity", "o_orderstatus": "status", "o_orderdate": "trandate"},
+        dates=("o_orderdate",),
+    )
+
+
+def q_landed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed as JSON-lines pages (1000 event ids per page, in id order),
+    read back as records with page/position ordinals behind the object-only guard."""
+    ev = _t(spark, sf, "events").withColumn("page", F.floor(F.col("event_id") / 1000).cast("long"))
+    landing = scratch_path(spark, "landing-lines")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    (ev.select("page", "event_id", line.alias("value"))
+       .repartition("page").sortWithinPartitions("event_id").drop("event_id")
+       .write.partitionBy("page").text(landing))
+    recs = require_objects(read_json_lines(spark, landing))
+    return recs.select(
+        (F.col("ordinal") / F.lit(PAGE_SHIFT)).cast("long").alias("page"),
+        (F.col("ordinal") % F.lit(PAGE_SHIFT)).alias("pos"),
+        F.variant_get("record", "$.event_id", "bigint").alias("event_id"),
+        F.variant_get("record", "$.event_type", "string").alias("event_type"),
+        F.variant_get("record", "$.value", "double").alias("value"),
+    )
+
+
 def queries() -> dict:
     return {
         "project_dimension": q_project_dimension,
@@ -257,4 +288,6 @@ def queries() -> dict:
         "insert_only_keys": q_insert_only_keys,
         "incremental_load_runs": q_incremental_load_runs,
         "incremental_load_table": q_incremental_load_table,
+        "rendered_orders": q_rendered_orders,
+        "landed_records": q_landed_records,
     }
