@@ -89,7 +89,10 @@ def materialize(df, name: str):
 def spread_skinny(df):
     """Round-robin ``df`` over the task slots when it has fewer partitions than slots
     (a single-file or single-row-group input), so heavy per-row work after it runs in
-    parallel. Large inputs already have many splits and are returned unchanged."""
+    parallel. Large inputs already have many splits and are returned unchanged.
+
+    Call it on scan-side frames: counting the partitions of a frame that already holds a
+    shuffle would run that shuffle's map stages (AQE finalizes the plan first)."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
