@@ -125,8 +125,8 @@ def scale_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
     ``executor_cores_total`` task slots: ~256 MB scan splits; initial shuffle partitions
     of ~512 MB of input each (projection and partial aggregation shrink shuffles well
     below the input), clamped to 2-8 waves of tasks - AQE then coalesces small
-    partitions and splits skewed ones; a broadcast threshold that keeps broadcasts to
-    genuinely small dimensions."""
+    partitions and splits skewed ones; a broadcast threshold, applied to decoded-size
+    estimates, that keeps broadcasts to genuinely small dimensions."""
     mb = 1024 * 1024
     cores = max(1, executor_cores_total)
     shuffle = min(max(cores * 2, input_bytes // (512 * mb)), cores * 8)
@@ -141,6 +141,10 @@ def scale_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        # plan-time broadcast decisions use Parquet file sizes, which understate the
+        # decoded size several-fold; scale the estimate so only truly small relations
+        # qualify (runtime AQE decisions use the measured shuffle sizes instead)
+        "spark.sql.sources.fileCompressionFactor": "4",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mb),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
