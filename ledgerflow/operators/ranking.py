@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import materialize
+
 
 def _order(col: str, descending: bool, nulls_first: bool) -> Column:
     c = F.col(col)
@@ -29,6 +31,13 @@ def _order(col: str, descending: bool, nulls_first: bool) -> Column:
     return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
 
 
+def _stage_reuse(spark) -> bool:
+    """True when AQE materializes an exchange once for every branch that reads it."""
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.exchange.reuse", "true").lower() == "true")
+
+
 def global_rank(
     df: DataFrame,
     columns: Sequence[str],
@@ -49,6 +58,10 @@ def global_rank(
     ranged = keys.repartitionByRange(n, *[F.col(g).asc_nulls_first() for g in groups], *order).withColumn(
         "__pid", F.spark_partition_id()
     )
+    if not _stage_reuse(spark):
+        # both branches below must see the same range bounds; the bounds come from a
+        # sample of the keys, so without AQE's stage reuse the keys are written once
+        ranged = materialize(ranged, "rank-keys")
     before_local = F.coalesce(
         F.sum("__n").over(
             Window.partitionBy("__pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 import json
 import os
@@ -118,3 +119,20 @@ def test_grouped_rank_matches_sql_rank_with_hot_group_and_null_group(spark):
     sql = {r.id: r.rank for r in spark.sql(
         "select id, rank() over (partition by g order by v desc nulls last) as rank from gr3").collect()}
     assert ours == sql
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_bounds_agree_when_keys_are_sampled(spark, reuse):
+    # enough distinct keys that the range bounds come from a sample, not from all keys;
+    # local ranks and per-partition offsets must use the same bounds with or without
+    # exchange reuse
+    before = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(0, 300_000, numPartitions=8).selectExpr("id", "id % 3 as g", "(id * 7919) % 100003 as v")
+        ours = global_rank(df, ["v"], partition_by=["g"], num_partitions=8).select("id", F.col("rank").alias("r1"))
+        df.createOrReplaceTempView("sampled")
+        sql = spark.sql("select id, rank() over (partition by g order by v desc) as r2 from sampled")
+        assert ours.join(sql, "id").filter("r1 <> r2").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
