@@ -177,9 +177,33 @@ def contract_differences(df: DataFrame, contract: T.StructType) -> list[dict[str
 
 
 def contract_report(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """Q8 as a table: one row per column (name and type comparison) plus, from one
+    aggregation pass over the data, how many non-NULL values would not cast strictly to
+    the declared type (``uncastable``; NULL where the column is missing on one side) and
+    the number of rows checked."""
     rows = contract_differences(df, contract)
-    schema = "column string, expected_type string, actual_type string, problem string"
-    return df.sparkSession.createDataFrame([tuple(r.values()) for r in rows], schema)
+    counts = []
+    for r in rows:
+        if r["expected_type"] and r["actual_type"]:
+            c = F.col(f"`{r['column']}`")
+            counts.append(F.count_if(c.isNotNull() & c.try_cast(r["expected_type"]).isNull()))
+        else:
+            counts.append(F.lit(None).cast("bigint"))
+    agg = df.agg(F.count(F.lit(1)).alias("__rows"), *[n.alias(f"__u{i}") for i, n in enumerate(counts)])
+    text = lambda v: F.lit(v).cast("string")
+    entries = F.array(*[
+        F.struct(
+            text(r["column"]).alias("column"),
+            text(r["expected_type"]).alias("expected_type"),
+            text(r["actual_type"]).alias("actual_type"),
+            text(r["problem"]).alias("problem"),
+            F.col(f"__u{i}").cast("bigint").alias("uncastable"),
+        )
+        for i, r in enumerate(rows)
+    ])
+    return agg.select(F.explode(entries).alias("r"), F.col("__rows").cast("bigint").alias("rows_checked")).select(
+        "r.*", "rows_checked"
+    )
 
 
 def assert_contract(df: DataFrame, contract: T.StructType) -> DataFrame:

@@ -301,6 +301,16 @@ FROM fresh f FULL JOIN committed c ON f.path = c.path
 WHERE f.type IS DISTINCT FROM c.type OR f.format IS DISTINCT FROM c.format OR f.nullable IS DISTINCT FROM c.nullable"""
 
 
+def contract_report_sql() -> str:
+    from ledgerflow.plans.reporting import REPORTING_CONTRACTS
+
+    values = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(REPORTING_CONTRACTS["fct_time_entries"]))
+    return f"""SELECT c.name AS "column", c.expected_type, c.expected_type AS actual_type,
+  CAST(NULL AS VARCHAR) AS problem, CAST(0 AS BIGINT) AS uncastable,
+  (SELECT count(*) FROM events) AS rows_checked
+FROM (VALUES {values}) AS c(pos, name, expected_type)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "conform_customers": conform_customers_sql(),
@@ -309,6 +319,7 @@ def oracle_sql() -> dict[str, str]:
         "top_client_hours_chart": top_client_hours_chart_sql(),
         "employee_dimension": employee_dimension_sql(),
         "schema_drift": schema_drift_sql(),
+        "contract_report": contract_report_sql(),
         "infer_events_props": infer_events_props_sql(),
         "infer_mixed": infer_mixed_sql(),
         "infer_conflicts": infer_conflicts_sql(),

@@ -83,3 +83,17 @@ def test_orphan_count_with_hot_key_equals_failing_rows(spark):
     expected = relationships(child, "fk", parent, "pk").count()
     assert expected == orphan_count(child, "fk", parent, "pk").first()["failures"]
     assert expected == 300 + child.filter("fk >= 40 and fk < 50").count()
+
+
+def test_contract_report_counts_values_that_do_not_cast(spark):
+    from pyspark.sql import types as T
+
+    from ledgerflow.operators.quality import contract_report
+
+    df = spark.createDataFrame([("12", 1), ("abc", 2), (None, 3), ("7.5", 4)], "x string, y int")
+    contract = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("z", T.DateType())])
+    rows = {r["column"]: r.asDict() for r in contract_report(df, contract).collect()}
+    assert rows["x"]["problem"] == "type mismatch" and rows["x"]["uncastable"] == 2  # 'abc' and '7.5'
+    assert rows["z"]["problem"] == "missing" and rows["z"]["uncastable"] is None
+    assert rows["y"]["problem"] == "not in contract"
+    assert {r["rows_checked"] for r in rows.values()} == {4}
