@@ -87,3 +87,9 @@ def _usgs(spark: SparkSession, landing: str, spec: JobSpec) -> DataFrame:
 
 REGISTRY.register("usgs", "fetch_earthquakes")(_usgs)
 REGISTRY.register("usgs", "fetch_significant_earthquakes")(_usgs)
+
+
+def read_records(spark: SparkSession, path: str, spec: JobSpec) -> DataFrame:
+    """The records of a job's landing area (S1-S20): ``ordinal, record`` from the job's
+    source function, resolved by name in the registry (G1), with its options (G6)."""
+    return REGISTRY.fetch(spark, spec.consumer, path, spec)
