@@ -1,7 +1,8 @@
 """Registered queries for the remaining survey rows: project and client dimensions (R5),
 a slicer (A16), common order lines (N3), the earthquake feed with its per-job options
-(S8, S20, G6, C18, C21, C22), saved watermarks and resolved lower bounds (W4, U1) and the
-insert-only upsert (K2).
+(S8, S20, G6, C18, C21, C22), saved watermarks and resolved lower bounds (W4, U1), the
+insert-only upsert (K2), the extract-and-load driver over three runs (U2, K4, U3, A13,
+A14), the rendered ERP column list (P1) and the JSON-lines record scan (S1).
 
 Each reads whole driver tables and derives vendor-shaped records from them by fixed
 rules that the DuckDB oracles restate.
@@ -18,9 +19,9 @@ from ledgerflow.operators.load import load_job, read_runs, read_table, upsert
 from ledgerflow.operators.runs import saved_watermarks
 from ledgerflow.plans import pages
 from ledgerflow.plans.standins import StandIns, for_driver
+from ledgerflow.session import scratch_path
 from ledgerflow.sources.catalog import render_columns
 from ledgerflow.sources.records import PAGE_SHIFT, flatten_geojson, read_json_lines, require_objects
-from ledgerflow.session import scratch_path
 from ledgerflow.sources.vendors import usgs_predicate
 from ledgerflow.spec import IncrementalSpec, JobSpec
 
