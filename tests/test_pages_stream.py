@@ -136,3 +136,29 @@ def test_rank_bounds_agree_when_keys_are_sampled(spark, reuse):
         assert ours.join(sql, "id").filter("r1 <> r2").count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", before)
+
+
+def test_restarted_stream_resumes_from_its_checkpoint(spark):
+    from ledgerflow.operators.load import read_runs
+
+    landing = tempfile.mkdtemp(prefix="land-r-", dir="/tmp")
+    ckpt = tempfile.mkdtemp(prefix="ck-r-", dir="/tmp")
+    wh = tempfile.mkdtemp(prefix="wh-r-", dir="/tmp")
+    spec = JobSpec("s", "t", ("k",))
+
+    def land(page, rows):
+        os.makedirs(f"{landing}/page={page}")
+        with open(f"{landing}/page={page}/part.txt", "w") as fh:
+            for r in rows:
+                fh.write(json.dumps(r) + "\n")
+
+    land(0, [{"k": i % 3, "v": i} for i in range(6)])
+    schema = infer_schema(read_json_lines(spark, landing), spec, checkpoint=False)
+    stream_upsert(spark, landing, spec, schema, wh, checkpoint=ckpt).awaitTermination()
+    land(1, [{"k": 1, "v": 100}, {"k": 7, "v": 7}])
+    # a new query on the same checkpoint reads only the page landed since
+    stream_upsert(spark, landing, spec, schema, wh, checkpoint=ckpt).awaitTermination()
+    table = sorted((r.k, r.v) for r in read_table(spark, wh, "s", "t").collect())
+    assert table == [(0, 3), (1, 100), (2, 5), (7, 7)]
+    runs = read_runs(spark, wh, "s").filter("status = 'succeeded'").collect()
+    assert sorted(r.records_loaded for r in runs) == [2, 6]
