@@ -21,3 +21,7 @@ def test_no_registered_query_plans_pairs_or_python(spark):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+def test_every_registered_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
