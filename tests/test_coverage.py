@@ -97,3 +97,12 @@ def test_contract_report_counts_values_that_do_not_cast(spark):
     assert rows["z"]["problem"] == "missing" and rows["z"]["uncastable"] is None
     assert rows["y"]["problem"] == "not in contract"
     assert {r["rows_checked"] for r in rows.values()} == {4}
+
+
+def test_upsert_matches_null_keys_and_replaces_whole_rows(spark):
+    cur = frame(spark, [{"k": 1, "v": "a", "w": "x"}, {"k": None, "v": "b", "w": "y"}, {"k": 3, "v": "c", "w": "z"}],
+                "k int, v string, w string")
+    inc = frame(spark, [{"k": None, "v": "B"}, {"k": 3, "v": "C"}, {"k": 4, "v": "D"}], "k int, v string")
+    got = sorted(((r.k is None, r.k), r.v, r.w) for r in upsert(cur, inc, ["k"], order_col=None).collect())
+    # the NULL key is one key (replaced, not duplicated); a column the batch lacks becomes NULL
+    assert got == [((False, 1), "a", "x"), ((False, 3), "C", None), ((False, 4), "D", None), ((True, None), "B", None)]
