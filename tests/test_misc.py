@@ -92,3 +92,11 @@ def test_bi_model_resolves_every_measure_and_relationship(spark):
     for dim, key in {(d, k) for _, _, d, k in pages.RELATIONSHIPS}:
         df = dims[dim]
         assert df.groupBy(key).count().filter("count > 1").count() == 0, dim
+
+
+def test_cluster_and_local_coalescing_settings(spark):
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert float(conf["spark.sql.sources.fileCompressionFactor"]) > 1
+    # the test session is a local master: Spark's parallelism-first default
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst") == "true"
