@@ -5,26 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup
+from ledgerflow.llm import exact_dedup, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_substring_dedup": op6_substring_dedup,
+        "op7_simhash": op7_simhash,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_substring_dedup": r"""
+            WITH words AS (
+              SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            starts AS (
+              SELECT doc_id, unnest(range(1, len(w) - 11)) AS s FROM words WHERE len(w) >= 13),
+            win AS (
+              SELECT starts.doc_id, s, array_to_string(list_slice(w, s, s + 12), ' ') AS k
+              FROM starts JOIN words ON starts.doc_id = words.doc_id),
+            least AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k HAVING count(*) > 1),
+            hit AS (
+              SELECT DISTINCT win.doc_id, unnest(range(s, s + 13)) AS pos
+              FROM win JOIN least ON win.k = least.k WHERE least.m < win.doc_id),
+            gone AS (SELECT doc_id, list(pos) AS p, count(*) AS n FROM hit GROUP BY doc_id)
+            SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+                   sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE
+                     coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1),
+                       i -> NOT list_contains(p, i)), i -> w[i]), ' '), '') END) AS kept_sha256
+            FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id""",
         "op9_exact_dedup": """
             WITH d AS (
               SELECT doc_id,
