@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, packing, simhash, substring_dedup
+from ledgerflow.llm import exact_dedup, language_id, license_scan, packing, quality, sampling, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                         quality.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(_table(spark, sf_dir, "documents")).drop("finds")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = sampling.fold(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs.where(~held_out))
+    out = language_id.predict(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -33,6 +53,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op2_license_scan": op2_license_scan,
+        "op5_language_id": op5_language_id,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_simhash": op7_simhash,
         "op9_exact_dedup": op9_exact_dedup,
