@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.logistic import scale_and_offset
+from ledgerflow.llm.rows import map_rows
 from ledgerflow.llm.sampling import sample_per_class
 from ledgerflow.session import materialize
 
@@ -177,11 +178,6 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
 def predict(docs: DataFrame, model: Codes, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: the id, lang_pred, score (the codeword's share), ambiguous."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = pd.DataFrame([model.predict(t) for t in batch["text"]], columns=["lang_pred", "score", "ambiguous"])
-            out["id"] = batch["id"].astype("Int64").to_numpy()
-            yield out.astype({"lang_pred": str, "score": float, "ambiguous": bool})[["id", "lang_pred", "score", "ambiguous"]]
-
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    return rows.mapInPandas(run, "id long, lang_pred string, score double, ambiguous boolean").withColumnRenamed("id", key)
+    out = map_rows(rows, lambda: lambda i, t: (i, *model.predict(t)), "id long, lang_pred string, score double, ambiguous boolean")
+    return out.withColumnRenamed("id", key)

@@ -16,12 +16,12 @@ an empty result; other columns are not read. Texts of any length are scanned who
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ledgerflow.llm.rows import id_and_text, map_rows
 
 BASE = {b"cc by": "cc-by", b"general public license": "gpl", b"all rights reserved": "reserved"}
 
@@ -126,8 +126,6 @@ def base_places(words: bytes) -> list[tuple[int, str]]:
 
 def _word_spans(text: str) -> list[tuple[int, int]]:
     """Where the words stand in the text, in characters."""
-    import re
-
     return [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", "a", text))]
 
 
@@ -142,11 +140,12 @@ def scan(text: str, scanner: Scanner) -> tuple:
         spans = _word_spans(text)
         for label, start, end, edits in finds:
             first, last = line.count(" ", 0, start + 1), line.count(" ", 0, max(start + 1, end - 1))
-            rows.append((label, first, last, spans[first][0], spans[last][1], edits))
+            rows.append({"label": label, "first_word": first, "last_word": last,
+                         "start": spans[first][0], "end": spans[last][1], "edits": edits})
             score = max(score, 1.0 - edits / (end - start))
     base_labels = {label for _, label in base}
     return (len(words), len(base), base[0][0] if base else None, base[-1][0] if base else None,
-            ",".join(sorted(base_labels)), ",".join(sorted(base_labels | {r[0] for r in rows})), score, rows)
+            ",".join(sorted(base_labels)), ",".join(sorted(base_labels | {r["label"] for r in rows})), score, rows)
 
 
 @lru_cache(maxsize=1)
@@ -158,17 +157,9 @@ def scan_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """One row per input row: the id, base counts and labels, all labels, a score (1 for an
     exact phrase, otherwise the best find's share of unedited characters, 0 without finds)
     and the finds with their words, characters (end exclusive) and edits."""
-    names = [c.split()[0] for c in SCHEMA.split(", ")[:8]] + ["finds"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         scanner = _scanner()
-        for batch in batches:
-            out = pd.DataFrame([(i, *scan(t, scanner)) for i, t in zip(batch["id"], batch["text"])], columns=names)
-            for c in ("id", "first_word", "last_word"):
-                out[c] = out[c].astype("Int64")
-            fields = ("label", "first_word", "last_word", "start", "end", "edits")
-            out["finds"] = [[dict(zip(fields, f)) for f in found] for found in out["finds"]]
-            yield out
-
-    rows = docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    return rows.mapInPandas(run, SCHEMA).withColumnRenamed("id", key)
+        return lambda i, t: (i, *scan(t, scanner))
+
+    return map_rows(id_and_text(docs, text, key), make, SCHEMA).withColumnRenamed("id", key)

@@ -34,12 +34,12 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
-import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ledgerflow.llm.rows import id_and_bytes, map_stream
 
 TIERS = (4096, 2048, 1024, 512)
 STEP = 16 * 4096  # tokens in a step group
@@ -67,16 +67,15 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            split = [t.encode().split() for t in texts[at:at + 256]]
-            if len(self.known) > CHUNKS_KEPT:
-                self.known.clear()
-            new = list({w for words in split for w in words}.difference(self.known))
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+    def encode(self, text: bytes) -> bytes:
+        words, known = text.split(), self.known
+        if new := list(set(words).difference(known)):
+            if len(known) > CHUNKS_KEPT:
+                known.clear()
+                new = list(set(words))
+            for w, e in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
+                known[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
+        return b"".join(map(known.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
@@ -171,15 +170,15 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS, last: bool = True):
 
 
 def _packer(path: str, tiers: tuple[int, ...], step: int, group: int, end_id: int, with_ids: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
+    def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        encode, end = encoder(path).encode, pack_ids("<I", end_id)
         context = TaskContext.get()
         counter = (context.partitionId() if context else 0) << 32
         steps = counter
         held: list[tuple] = []  # (id, ids, where they begin in the document, its length)
         tokens = 0
 
-        def flush(last: bool) -> pd.DataFrame:
+        def flush(last: bool) -> list[tuple]:
             nonlocal held, tokens, counter, steps
             windows, left = pack([len(ids) // 4 for _, ids, _, _ in held], tiers, last)
             windows.sort(key=lambda w: -w[0])
@@ -199,17 +198,14 @@ def _packer(path: str, tiers: tuple[int, ...], step: int, group: int, end_id: in
             steps += 1
             held = [(held[d][0], held[d][1][4 * s:4 * (s + n)], held[d][2] + s, held[d][3]) for d, s, n in left]
             tokens = sum(len(ids) // 4 for _, ids, _, _ in held)
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            frame["id"] = frame["id"].astype("Int64")
-            return frame
-
-        for batch in batches:
-            for i, ids in zip(batch["id"], encode.encode(batch["text"].tolist())):
-                ids += end
-                held.append((i, ids, 0, len(ids) // 4))
-                tokens += len(ids) // 4
-                if tokens >= group:
-                    yield flush(False)
+            return out
+
+        for i, text in rows:
+            ids = encode(text) + end
+            held.append((i, ids, 0, len(ids) // 4))
+            tokens += len(ids) // 4
+            if tokens >= group:
+                yield flush(False)
         if held:
             yield flush(True)
 
@@ -226,5 +222,4 @@ def pack_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", tok
     if any(t & (t - 1) for t in tiers) or step % max(tiers):
         raise ValueError("tiers must be powers of two and a step a multiple of the longest")
     run = _packer(tokenizer or default_tokenizer(), tuple(tiers), step, group, end_id, with_ids)
-    rows = docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    return rows.mapInPandas(run, SCHEMA).withColumnRenamed("id", key)
+    return map_stream(id_and_bytes(docs, text, key), run, SCHEMA).withColumnRenamed("id", key)

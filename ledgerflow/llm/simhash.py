@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.components import connected_components
+from ledgerflow.llm.rows import id_and_bytes, map_rows
 from ledgerflow.session import materialize
 
 SHINGLE, BITS, SEED = 3, 2, 42
@@ -42,8 +43,8 @@ _AT_ONCE = 1 << 15  # shingles whose bits are added up at once
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    words = (text or "").encode().translate(_LOWER).split()
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    words = text.translate(_LOWER).split()
     if not words:
         return 0
     line = b" ".join(words)
@@ -63,13 +64,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp): one row per input row; fp is the unsigned fingerprint's bits as a long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fp = np.fromiter((fingerprint(t, shingle) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "fp": fp.view(np.int64)})
+    def signed(i, t: bytes) -> tuple:
+        fp = fingerprint(t, shingle)
+        return i, fp - (1 << 64) if fp >> 63 else fp
 
-    rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    return rows.mapInPandas(run, "id long, fp long")
+    return map_rows(id_and_bytes(docs, text, key), lambda: signed, "id long, fp long")
 
 
 def blocks(bits: int) -> list[tuple[int, int]]:

@@ -70,7 +70,7 @@ def test_expected_labels():
             14: "gpl", 15: "gpl,lgpl", 16: "agpl,gpl", 19: "mit", 23: "proprietary"}
     for i, labels in want.items():
         assert ls.scan(TEXTS[i], scanner)[5] == labels, TEXTS[i]
-    edits = [f[5] for f in ls.scan(TEXTS[8], scanner)[7]]
+    edits = [f["edits"] for f in ls.scan(TEXTS[8], scanner)[7]]
     assert edits == [2]
 
 
