@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, language_id, license_scan, packing, quality, sampling, simhash, substring_dedup
+from ledgerflow.llm import exact_dedup, language_id, license_scan, packing, pii, quality, sampling, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(_table(spark, sf_dir, "documents")).drop("finds")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                      F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = sampling.fold(F.col("doc_id"), 5) == 0
@@ -55,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_license_scan": op2_license_scan,
+        "op4_pii": op4_pii,
         "op5_language_id": op5_language_id,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_simhash": op7_simhash,
