@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import exact_dedup, language_id, license_scan, packing, pii, quality, sampling, simhash, substring_dedup
+from ledgerflow.llm import (
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    license_scan,
+    packing,
+    pii,
+    quality,
+    sampling,
+    simhash,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +60,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_simhash": op7_simhash,
+        "op8_embedding_dedup": op8_embedding_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
     }
