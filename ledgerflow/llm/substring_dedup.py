@@ -34,6 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.rows import id_and_bytes, map_rows, map_stream
+
 WINDOW = 13
 CHUNK = 1 << 20  # words whose windows a task sorts at once
 BUCKET_BYTES = 16 << 20  # text bytes per bucket
@@ -85,19 +87,21 @@ def _per_document(ids: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, by
         yield int(ids[at]), np.unique(hashes[at:to]).tobytes()
 
 
-def _chunk(ids: list[int], tokens: list[np.ndarray], size: int, buckets: int) -> pd.DataFrame | None:
+def _chunk(ids: list[int], tokens: list[np.ndarray], size: int, buckets: int) -> list[tuple]:
+    """(bucket, id, hashes, holders): flags of this chunk (holders empty), and for each
+    bucket the windows with, packed, the smallest id that holds each."""
     order = sorted(range(len(ids)), key=ids.__getitem__)
     doc_ids, rank = np.unique(np.array([ids[i] for i in order], np.int64), return_inverse=True)
     flat = np.concatenate([tokens[i] for i in order])
     doc = np.repeat(np.arange(len(order), dtype=np.uint32), [len(tokens[i]) for i in order])
     if len(flat) < size:
-        return None
+        return []
     inside = doc[:len(doc) - size + 1] == doc[size - 1:]
     doc = rank.astype(np.uint32)[doc[:len(inside)][inside]]
     h = _rolled(flat, size, _B1)[inside]
     bucket = (_rolled(flat, size, _B2)[inside] % np.uint64(buckets)).astype(np.uint32)
     if not len(h):
-        return None
+        return []
     by = np.argsort(h)
     h, doc, bucket = h[by], doc[by], bucket[by]
     first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -113,42 +117,35 @@ def _chunk(ids: list[int], tokens: list[np.ndarray], size: int, buckets: int) ->
         own, index = np.unique(least[at:to], return_inverse=True)
         wide = np.uint16 if len(own) <= 1 << 16 else np.uint32
         head = len(own).to_bytes(4, "little") + np.dtype(wide).itemsize.to_bytes(1, "little")
-        out.append((int(bucket[at]), None, _planes(h[at:to]),
+        out.append((int(bucket[at]), 0, _planes(h[at:to]),
                     head + _planes(doc_ids[own]) + _planes(index.astype(wide))))
-    return _frame(out, ["bucket", "id", "hashes", "holders"])
-
-
-def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=columns)
-    out["id"] = out["id"].astype("Int64")
     return out
 
 
 def _windows(size: int, buckets: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         ids, tokens, held = [], [], 0
-        for batch in batches:
-            for i, text in zip(batch["id"], batch["text"]):
-                words = text.encode().split()
-                if len(words) < size:
-                    continue
-                ids.append(int(i))
-                tokens.append(_tokens(words))
-                held += len(words)
-                if held >= CHUNK:
-                    if (out := _chunk(ids, tokens, size, buckets)) is not None:
-                        yield out
-                    ids, tokens, held = [], [], 0
-        if ids and (out := _chunk(ids, tokens, size, buckets)) is not None:
-            yield out
+        for i, text in rows:
+            words = text.split()
+            if len(words) < size:
+                continue
+            ids.append(i)
+            tokens.append(_tokens(words))
+            held += len(words)
+            if held >= CHUNK:
+                yield _chunk(ids, tokens, size, buckets)
+                ids, tokens, held = [], [], 0
+        if ids:
+            yield _chunk(ids, tokens, size, buckets)
 
     return run
 
 
 def _repeats(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: flags made by its chunks as they are, and those it adds."""
+    """Of one bucket: (id, hash) of the flags made by its chunks, and of those it adds."""
     local = group["holders"].str.len() == 0
-    out = list(group.loc[local, ["id", "hashes"]].itertuples(index=False, name=None))
+    own = [np.frombuffer(h, np.uint64) for h in group.loc[local, "hashes"]]
+    flagged = [(np.repeat(group.loc[local, "id"].to_numpy(np.int64), [len(h) for h in own]), np.concatenate(own))] if own else []
     hashes, ids = [], []
     for h, holders in group.loc[~local, ["hashes", "holders"]].itertuples(index=False):
         n, wide = int.from_bytes(holders[:4], "little"), holders[4]
@@ -162,48 +159,47 @@ def _repeats(group: pd.DataFrame) -> pd.DataFrame:
         h, doc = h[by], doc[by]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         later = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(h))))
-        if later.any():
-            out += _per_document(doc[later], h[later])
-    return _frame(out, ["id", "hashes"])
+        h, doc = h[later], doc[later]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        flagged.append((doc[new], h[new]))
+    ids, hashes = (np.concatenate(x) for x in zip(*flagged))
+    return pd.DataFrame({"id": ids, "hash": hashes.view(np.int64)})
 
 
 def _kept(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for i, text, flags in zip(batch["id"], batch["text"], batch["flags"]):
-                words = text.encode().split()
-                starts, ends = [], []
-                if flags is not None and len(flags) and len(words) >= size:
-                    flagged = np.frombuffer(b"".join(flags), np.uint64)
-                    hit = np.flatnonzero(np.isin(_rolled(_tokens(words), size, _B1), flagged))
-                    edge = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(edge, hit, 1)
-                    np.add.at(edge, hit + size, -1)
-                    covered = np.cumsum(edge[:-1]) > 0
-                    turn = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
-                    starts, ends = turn[::2].tolist(), turn[1::2].tolist()
-                n, kept = len(words), words
-                if starts:
-                    kept = [w for a, b in zip([0, *ends], [*starts, n]) for w in words[a:b]]
-                out.append((i, n, n - len(kept), starts, ends, b" ".join(kept).decode()))
-            yield _frame(out, ["id", "n_words", "n_removed", "removed_from", "removed_to", "kept_text"])
-
-    return run
+    def one(i, text: bytes, flags) -> tuple:
+        words = text.split()
+        starts, ends = [], []
+        if flags and len(words) >= size:
+            flagged = np.array(flags, np.int64).view(np.uint64)
+            hit = np.flatnonzero(np.isin(_rolled(_tokens(words), size, _B1), flagged))
+            edge = np.zeros(len(words) + 1, np.int32)
+            np.add.at(edge, hit, 1)
+            np.add.at(edge, hit + size, -1)
+            covered = np.cumsum(edge[:-1]) > 0
+            turn = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
+            starts, ends = turn[::2].tolist(), turn[1::2].tolist()
+        n, kept = len(words), words
+        if starts:
+            kept = [w for a, b in zip([0, *ends], [*starts, n]) for w in words[a:b]]
+        return i, n, n - len(kept), starts, ends, b" ".join(kept)
+
+    return one
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = WINDOW) -> DataFrame:
     """One row per input row: the id, n_words, n_removed, the removed word intervals
     (``removed_from`` inclusive, ``removed_to`` exclusive) and the kept words in one line."""
     spark = docs.sparkSession
-    rows = docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    rows = id_and_bytes(docs, text, key)
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // BUCKET_BYTES))
-    windows = rows.where("id is not null").mapInPandas(
-        _windows(size, buckets), "bucket int, id long, hashes binary, holders binary")
-    flags = windows.groupBy("bucket").applyInPandas(_repeats, "id long, hashes binary")
-    flags = flags.groupBy(F.col("id").alias("flag_id")).agg(F.collect_list("hashes").alias("flags"))
+    windows = map_stream(rows.where("id is not null"), _windows(size, buckets),
+                         "bucket int, id long, hashes binary, holders binary")
+    flags = windows.groupBy("bucket").applyInPandas(_repeats, "id long, hash long")
+    flags = flags.groupBy(F.col("id").alias("flag_id")).agg(F.collect_list("hash").alias("flags"))
     joined = rows.join(flags, rows["id"] == flags["flag_id"], "left").select("id", "text", "flags")
-    out = joined.mapInPandas(
-        _kept(size), "id long, n_words long, n_removed long, removed_from array<int>, removed_to array<int>, kept_text string")
-    return out.withColumnRenamed("id", key)
+    out = map_rows(joined, lambda: _kept(size), "id long, n_words long, n_removed long, "
+                   "removed_from array<int>, removed_to array<int>, kept_text binary")
+    return out.withColumn("kept_text", F.col("kept_text").cast("string")).withColumnRenamed("id", key)

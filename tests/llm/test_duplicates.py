@@ -95,11 +95,11 @@ def test_substring_chunks_agree(texts):
     import pandas as pd
 
     def flags(parts):
-        frames = [f for p in parts if (f := substring_dedup._chunk([ids[i] for i in p], [tokens[i] for i in p], 5, 4)) is not None]
+        rows = [r for p in parts for r in substring_dedup._chunk([ids[i] for i in p], [tokens[i] for i in p], 5, 4)]
         out = defaultdict(set)
-        for _, g in pd.concat(frames).groupby("bucket"):
+        for _, g in pd.DataFrame(rows, columns=["bucket", "id", "hashes", "holders"]).groupby("bucket"):
             for i, h in substring_dedup._repeats(g).itertuples(index=False):
-                out[i].update(np.frombuffer(h, np.uint64).tolist())
+                out[i].add(h)
         return dict(out)
 
     every = range(len(ids))
