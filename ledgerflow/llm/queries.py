@@ -16,6 +16,7 @@ from ledgerflow.llm import (
     pii,
     quality,
     sampling,
+    sentencepiece_lattice,
     simhash,
     substring_dedup,
 )
@@ -37,6 +38,13 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(_table(spark, sf_dir, "documents")).drop("finds")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = sentencepiece_lattice.encode(docs.withColumn("text", F.coalesce("text", F.lit(""))))
+    return out.select("doc_id", "n_words", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+                      F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
@@ -76,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_license_scan": op2_license_scan,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_pii": op4_pii,
         "op5_language_id": op5_language_id,
         "op6_substring_dedup": op6_substring_dedup,

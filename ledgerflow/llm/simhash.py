@@ -213,3 +213,12 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingl
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
+                bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that name their group, all columns unchanged; rows without an id
+    stay, and so do all rows that repeat a staying id."""
+    groups = near_groups(docs, text, key, shingle, bits)
+    gone = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
+    return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
