@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-import xxhash
+from brute import components_of, simhash_print
 
 from ledgerflow.llm import components, exact_dedup, simhash, substring_dedup
 
@@ -114,35 +114,9 @@ def test_substring_awkward_rows(spark):
     assert substring_dedup.remove_repeats(rows.limit(0)).count() == 0
 
 
-def _brute_print(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    if not words:
-        return 0
-    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
-
-
-def _brute_components(prints, bits):
-    root = {i: i for i in prints}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    ids = sorted(prints)
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            if (prints[i] ^ prints[j]).bit_count() <= bits:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return {i: find(i) for i in ids}
-
-
 def test_simhash(docs, texts):
-    prints = {i: _brute_print(t) for i, t in texts}
-    want = _brute_components(prints, 2)
+    prints = {i: simhash_print(t) for i, t in texts}
+    want = components_of(prints, 2)
     got = {r["doc_id"]: (int(r["fingerprint"], 16), r["component_id"]) for r in simhash.near_groups(docs).collect()}
     assert got == {i: (prints[i], want[i]) for i in prints}
 

@@ -5,11 +5,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from brute import components_of, simhash_print
 
 import corpus_pipeline
 from ledgerflow.llm import packing, pii, quality
 from ledgerflow.session import materialize
-from tests.llm.test_duplicates import _brute_components, _brute_print
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,7 +57,7 @@ def test_exact(stages):
 
 def test_simhash(stages):
     before, after = stages["simhash"]
-    component = _brute_components({i: _brute_print(r["text"]) for i, r in _rows(before).items()}, 2)
+    component = components_of({i: simhash_print(r["text"]) for i, r in _rows(before).items()}, 2)
     assert _rows(after).keys() == set(component.values())
 
 
@@ -69,7 +69,8 @@ def test_pii(stages):
         text, own = _rows(before)[i]["text"], found[i]["found"]
         for f in sorted(own, key=lambda f: -f["start"]):
             text = text[:f["start"]] + f"[{f['kind'].upper()}]" + text[f["end"]:]
-        overlap = any(a["end"] > b["start"] for a, b in zip(s := sorted(own, key=lambda f: f["start"]), s[1:]))
+        own.sort(key=lambda f: f["start"])
+        overlap = any(a["end"] > b["start"] for a, b in zip(own, own[1:]))
         assert overlap or (r["text"], r["n_chars"]) == (text, len(text))
         changed += bool(own)
         assert not re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r["text"])
