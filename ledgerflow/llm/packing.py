@@ -20,7 +20,8 @@ again after a lost executor repeats its rows.
 
 Token ids of white-space separated chunks are remembered per worker: the tokenizer drops
 white space and splits at it before any merge, so a document's ids are its chunks' ids in
-order (tested against whole-text encoding).
+order, and a plain Latin chunk's ids are those of its lower-cased runs (both tested against
+whole-text encoding).
 
 Defined results: a NULL or empty text is the end token alone; rows that repeat an id are
 packed each; a NULL id is packed like any other; a document of any length is cut into as
@@ -30,6 +31,7 @@ many windows as it needs; an empty table gives an empty result; other columns ar
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -45,7 +47,13 @@ TIERS = (4096, 2048, 1024, 512)
 STEP = 16 * 4096  # tokens in a step group
 GROUP = 1 << 20  # tokens packed together
 END_ID = 2
-CHUNKS_KEPT = 600_000  # chunks whose ids a worker remembers
+CHUNKS_KEPT = 1_000_000  # chunks whose ids a worker remembers
+
+# a chunk of ASCII and Latin letters without apostrophes: the tokenizer lower-cases it and
+# splits it into runs of letters, single digits and runs of other marks
+_LATIN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F"
+_PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
+_RUNS = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
 
 SCHEMA = ("id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, window int, tier int, step_id long")
@@ -69,14 +77,29 @@ class ChunkEncoder:
 
     def encode(self, text: bytes) -> bytes:
         words, known = text.split(), self.known
-        if new := list(set(words).difference(known)):
+        if new := set(words).difference(known):
             if len(known) > CHUNKS_KEPT:
                 known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                known[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
+                new = set(words)
+            self._learn([w.decode("utf-8", "replace") for w in new], new)
         return b"".join(map(known.__getitem__, words))
 
+    def _learn(self, chunks: list[str], words: set[bytes]) -> None:
+        """Ids of new chunks: plain ones from their runs, of which only new ones are encoded."""
+        known, runs, whole = self.known, {}, set()
+        for chunk, word in zip(chunks, words):
+            if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+                runs[word] = [r.encode() for r in _RUNS.findall(chunk.lower())]
+            else:
+                whole.add(word)
+        whole |= {r for found in runs.values() for r in found if r not in known}
+        fresh = list(whole)
+        for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)):
+            known[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
+        for word, found in runs.items():
+            if word not in known:
+                known[word] = b"".join(map(known.__getitem__, found))
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:

@@ -1,5 +1,6 @@
 """Packing: exact round trip of every id, full windows, balanced steps."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -39,7 +40,11 @@ def test_pack(lengths, last):
 
 def test_chunks_encode_like_whole_texts():
     e = packing.ChunkEncoder(packing.default_tokenizer())
-    for text in ODD:
+    rng = random.Random(2)
+    latin = [chr(c) for c in range(0x20, 0x250) if c != 0x7F]
+    texts = ["".join(rng.choice(latin) for _ in range(rng.randint(1, 80))) for _ in range(400)]
+    texts += ["".join(rng.choice("aBéÜ19.,!*$'<|>_ \n") for _ in range(rng.randint(1, 80))) for _ in range(400)]
+    for text in ODD + texts:
         assert np.frombuffer(e.encode(text.encode()), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
