@@ -80,14 +80,10 @@ class SourceRegistry:
         return deco
 
     def resolve(self, consumer: str, spec: JobSpec) -> Fetch:
-        fns = self._fns.get(consumer, {})
-        try:
-            return fns[spec.fetch_name]
-        except KeyError:
-            available = ", ".join(sorted(fns)) or "none"
-            raise KeyError(
-                f"{consumer} has no source function {spec.fetch_name!r}; available: {available}"
-            ) from None
+        fns, wanted = self._fns.get(consumer, {}), spec.fetch or f"fetch_{spec.name}"
+        if wanted not in fns:
+            raise KeyError(f"{consumer}: no source function {wanted}; available: {', '.join(sorted(fns)) or 'none'}")
+        return fns[wanted]
 
     def fetch(self, spark: SparkSession, consumer: str, landing: str, spec: JobSpec) -> DataFrame:
         return self.resolve(consumer, spec)(spark, landing, spec)

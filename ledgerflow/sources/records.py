@@ -1,15 +1,18 @@
 """Record scans (S1-S9): landed JSON pages -> ``DataFrame[ordinal, record: variant]``.
 
-Landing convention: one file per fetched page, named with its page number
-(``...-<page>.json`` / ``.jsonl``). The ordinal is ``page * 2**20 + position``, so it
-is a true source order (page, then position in page) computed per row, with no driver
-listing and no global sort.
+Landing convention: files named with their page number (``...-<page>.json`` / ``.jsonl`` or
+a ``page=<n>`` folder), optionally under one folder per extraction day. The ordinal of a
+record is the struct (landed day, page, file, block, position): comparing two ordinals is
+comparing when, in which page and where in it the records were extracted - a total order
+over any number of pages and lines, computed per row with no driver listing, no global sort
+and no bound on the size of a page. A file without a page number fails the read.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from datetime import date
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,28 +20,36 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import split_nonempty
 
-PAGE_SHIFT = 1 << 20
-
-
 PAGE_PATTERN = r"(?:page=(\d+)/[^/]*|(\d+)\.jsonl?)$"  # page=<n>/file or ...<n>.json[l]
 
 
 def page_number(path: Column) -> Column:
-    """Page number from a landed file path: a ``page=<n>`` directory or ``...<n>.json``."""
-    return F.coalesce(
+    """Page number from a landed file path: a ``page=<n>`` directory or ``...<n>.json``;
+    any other path is an error, as its records would have no place in the order."""
+    found = F.coalesce(
         F.nullif(F.regexp_extract(path, PAGE_PATTERN, 1), F.lit("")),
         F.nullif(F.regexp_extract(path, PAGE_PATTERN, 2), F.lit("")),
     ).cast("long")
+    failed = F.raise_error(F.concat(F.lit("no page number in the landed file name "), path)).cast("long")
+    return F.when(found.isNull(), failed).otherwise(found)
 
 
-def _page_no() -> Column:
+def _file() -> Column:
     # the file source's metadata column is deterministic (input_file_name() is not, and
     # would stop predicates from being pushed below this projection)
-    return page_number(F.col("_metadata.file_path"))
-
-
-def ordinal(page: Column, pos: Column) -> Column:
-    return page * F.lit(PAGE_SHIFT) + pos.cast("long")
+    return F.col("_metadata.file_path")
+
+
+def ordinal(page: Column, pos: Column, file: Column | None = None, block: Column | None = None,
+            landed: Column | None = None) -> Column:
+    """A record's place in extraction order."""
+    return F.struct(
+        (F.lit(None) if landed is None else landed).cast("date").alias("landed"),
+        page.cast("long").alias("page"),
+        (F.lit("") if file is None else file).alias("file"),
+        (F.lit(0) if block is None else block).cast("long").alias("block"),
+        pos.cast("long").alias("pos"),
+    )
 
 
 def records_from_json(df: DataFrame, text: str = "text", ordinal_col: str = "ordinal") -> DataFrame:
@@ -53,28 +64,40 @@ def records_from_python(spark: SparkSession, records: Iterable[Any]) -> DataFram
     return records_from_json(df)
 
 
-def read_json_lines(spark: SparkSession, path: str, landed_on: str | None = None) -> DataFrame:
-    """JSON-lines pages: each file is a page, each line a record (S1). With
-    ``landed_on`` the landing area is partitioned by extraction day
-    (``<path>/<landed_on>=YYYY-MM-DD/...``) and that column is kept, so an incremental
-    bound can prune partitions (see ``incremental_filter``)."""
-    raw = spark.read.text(path, wholetext=True)
-    keep = [F.col(landed_on).cast("date").alias(landed_on)] if landed_on else []
-    pages = raw.select(_page_no().alias("page"), "value", *keep)
-    lines = pages.select(
-        "page", *([landed_on] if landed_on else []),
-        F.posexplode(split_nonempty(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "text"),
-    )
-    return lines.select(
-        ordinal(F.col("page"), F.col("pos")).alias("ordinal"), F.parse_json("text").alias("record"),
-        *([landed_on] if landed_on else []),
-    )
+def located_lines(raw: DataFrame, landed_on: str | None = None) -> DataFrame:
+    """Text lines with the file and the file block that each comes from (batch or stream)."""
+    landed = [F.col(landed_on).cast("date").alias(landed_on)] if landed_on else []
+    return raw.select("value", _file().alias("__file"), F.col("_metadata.file_block_start").alias("__block"), *landed)
+
+
+def line_records(lines: DataFrame, landed_on: str | None = None) -> DataFrame:
+    """Located lines -> records. Files are split like any text input: a record's position
+    is the start of its file block, then its place in the block, which one task reads front
+    to back."""
+    placed = lines.withColumn("__pos", F.monotonically_increasing_id())
+    placed = placed.where(F.trim(F.regexp_replace("value", "\r$", "")) != "")
+    landed = [landed_on] if landed_on else []
+    place = ordinal(page_number(F.col("__file")), F.col("__pos"), F.col("__file"), F.col("__block"), *map(F.col, landed))
+    return placed.select(place.alias("ordinal"), F.parse_json("value").alias("record"), *landed)
+
+
+def read_json_lines(spark: SparkSession, path: str, landed_on: str | None = None,
+                    landed_since: date | None = None) -> DataFrame:
+    """JSON-lines pages: each line a record (S1). With ``landed_on`` the landing area is
+    partitioned by extraction day (``<path>/<landed_on>=YYYY-MM-DD/...``), the day leads the
+    order and the column is kept; ``landed_since`` then reads only the folders of that day
+    and later."""
+    raw = spark.read.text(path)
+    if landed_on and landed_since:
+        raw = raw.where(F.col(landed_on) >= F.lit(landed_since.isoformat()).cast("date"))
+    return line_records(located_lines(raw, landed_on), landed_on)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-page JSON documents (an envelope object or a bare array), one per file."""
+    """Whole-page JSON documents (an envelope object or a bare array), one per file: the
+    document is the unit of the API's answer, so its size is the API's page size."""
     return spark.read.text(path, wholetext=True).select(
-        _page_no().alias("page"), F.parse_json("value").alias("page_doc")
+        page_number(_file()).alias("page"), _file().alias("file"), F.parse_json("value").alias("page_doc")
     )
 
 
@@ -84,8 +107,9 @@ def unnest_pages(pages: DataFrame, envelope: str | None, drop: Sequence[str] = (
     page gives the ordinal, so the change-feed commit order is kept (S5). ``drop`` removes
     per-row keys such as ``links`` or ``attributes``."""
     arr = F.col("page_doc") if envelope is None else F.expr(f"page_doc:{envelope}")
-    rows = pages.select("page", F.posexplode(_as_array(arr)).alias("pos", "record"))
-    out = rows.select(ordinal(F.col("page"), F.col("pos")).alias("ordinal"), "record")
+    file = F.col("file") if "file" in pages.columns else F.lit("")
+    rows = pages.select("page", file.alias("file"), F.posexplode(_as_array(arr)).alias("pos", "record"))
+    out = rows.select(ordinal(F.col("page"), F.col("pos"), F.col("file")).alias("ordinal"), "record")
     if drop:
         out = out.withColumn("record", drop_keys(F.col("record"), drop))
     return out

@@ -1,40 +1,26 @@
 """Continuous upsert (U10): the Structured Streaming form of the incremental load.
 
-Landed pages are read with ``readStream`` (text, whole file per page); each micro-batch
-is validated, coerced, stamped, reduced to the last write per key and upserted into a
-new table version, exactly like a batch run (``foreachBatch``). The stream checkpoint
-(in the shared checkpoint folder) replaces the run-log watermark: files already
-processed are never re-read, and a restarted query resumes where it stopped.
+Landed JSON-lines pages are read with ``readStream`` (text lines, a bounded number of files
+per micro-batch); each micro-batch is validated, coerced, stamped, reduced to the last write
+per key and upserted into the touched buckets, exactly like a batch run (``foreachBatch``).
+The stream checkpoint (in the shared checkpoint folder) replaces the run-log watermark:
+files already processed are never re-read, and a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerflow.functions.scalars import split_nonempty
 from ledgerflow.operators.infer import InferredSchema
 from ledgerflow.operators.load import load_job
 from ledgerflow.session import checkpoint_dir
-from ledgerflow.sources.records import PAGE_SHIFT, page_number
+from ledgerflow.sources.records import line_records, located_lines
 from ledgerflow.spec import JobSpec
 
-
-def page_records(pages: DataFrame) -> DataFrame:
-    """JSON-lines page files (``value`` = whole file) -> ``ordinal, record``."""
-    page = page_number(F.col("_metadata.file_path"))
-    lines = pages.select(
-        page.alias("page"),
-        F.posexplode(split_nonempty(F.regexp_replace("value", "\r", ""), "\n")).alias("pos", "text"),
-    )
-    return lines.select(
-        (F.col("page") * F.lit(PAGE_SHIFT) + F.col("pos")).alias("ordinal"),
-        F.parse_json("text").alias("record"),
-    )
+FILES_PER_BATCH = 1000
 
 
 def stream_upsert(
@@ -45,32 +31,26 @@ def stream_upsert(
     warehouse: str,
     checkpoint: str | None = None,
     available_now: bool = True,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Start the continuous load; with ``available_now`` it processes everything landed
     so far in micro-batches and stops."""
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{spec.consumer}-{spec.name}"
-    pages = spark.readStream.format("text").option("wholetext", True).load(source_dir)
-    records = page_records(pages)
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(source_dir)
+    lines = located_lines(raw)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the micro-batch is read more than once (emptiness, metrics + write): keep it
-        # (memory, spilling to disk) for the duration of the batch only
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
-                return
-            load_job(
-                spark,
-                batch,
-                spec,
-                schema,
-                warehouse,
-                full_refresh=True,  # the stream checkpoint already selects unseen input
-                run_id=f"stream-{epoch_id}-{datetime.now(UTC).strftime('%Y%m%d%H%M%S%f')}",
-            )
-        finally:
-            batch.unpersist()
-
-    writer = records.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", ckpt)
+        # the batch is computed once: load_job stages it and works on the staged rows
+        load_job(
+            spark,
+            line_records(batch),
+            spec,
+            schema,
+            warehouse,
+            full_refresh=True,  # the stream checkpoint already selects unseen input
+            run_id=f"stream-{epoch_id}-{datetime.now(UTC).strftime('%Y%m%d%H%M%S%f')}",
+        )
+
+    writer = lines.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -15,17 +15,16 @@ from pyspark.sql import functions as F
 from ledgerflow.operators import conform, quality
 from ledgerflow.operators.infer import (
     InferredSchema,
-    SchemaType,
-    flatten_records,
+    PathType,
+    conflicts,
     infer_schema,
-    path_summary,
     schema_table,
 )
 from ledgerflow.operators.load import (
     dedupe_last,
     incremental_filter,
     read_table,
-    resolve_lower_bound,
+    next_bound,
     unknown_fields,
     upsert,
 )
@@ -34,7 +33,7 @@ from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import reporting
 from ledgerflow.plans.standins import StandIns
 from ledgerflow.session import scratch_path
-from ledgerflow.sources.records import PAGE_SHIFT, unnest_pages
+from ledgerflow.sources.records import unnest_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.streaming.upsert import stream_upsert
 
@@ -107,18 +106,10 @@ def q_infer_mixed(spark: SparkSession, sf: str) -> DataFrame:
 def q_infer_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     """Per path: each observed class with its first record, and the record at which the
     accumulated types first become incompatible (I8)."""
-    nodes = flatten_records(conflict_records(spark, sf))
-    s = path_summary(nodes).select(
-        F.array_join("path", ".").alias("path"), "cls", F.col("n").cast("bigint").alias("n"), "first_ordinal"
-    )
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("path").orderBy("first_ordinal").rowsBetween(Window.unboundedPreceding, 0)
-    seen = F.array_distinct(F.collect_list(F.when(F.col("cls") != "null", F.col("cls"))).over(w))
-    compatible = (F.size(seen) <= 1) | F.forall(seen, lambda c: c.isin("integer", "number"))
-    flagged = s.withColumn("__bad", ~compatible)
-    first_bad = flagged.filter("__bad").groupBy("path").agg(F.min("first_ordinal").alias("conflict_at"))
-    return flagged.drop("__bad").join(first_bad, "path", "left")
+    found = conflicts(conflict_records(spark, sf))
+    return found.select(
+        F.regexp_replace(F.array_join("path", ""), r"^\.", "").alias("path"), "cls",
+        F.col("n").cast("bigint").alias("n"), "first_ordinal", "conflict_at")
 
 
 # --- upserts --------------------------------------------------------------------------
@@ -207,7 +198,7 @@ def _selected(records: DataFrame) -> DataFrame:
 def q_incremental_bound(spark: SparkSession, sf: str) -> DataFrame:
     """Resume from the saved watermark, inclusive bound."""
     runs = _watermark_runs(spark, "erp", "orders", "1998-06-30 00:00:00")
-    bound = resolve_lower_bound(runs, ORDER_SPEC)
+    bound = next_bound(runs, ORDER_SPEC)
     return _selected(incremental_filter(_order_records(spark, sf), ORDER_SPEC, bound))
 
 
@@ -223,7 +214,7 @@ def q_lookback_reload(spark: SparkSession, sf: str) -> DataFrame:
     spec = JobSpec("helpline", "cases", ("event_id",),
                    IncrementalSpec("updated_at", "2024-01-01T00:00:00+0000", "%Y-%m-%dT%H:%M:%S%z", 1800))
     runs = _watermark_runs(spark, "helpline", "cases", "2024-01-20T12:00:00+0000")
-    bound = resolve_lower_bound(runs, spec)
+    bound = next_bound(runs, spec)
     out = incremental_filter(_event_offset_records(spark, sf), spec, bound)
     return out.select(
         F.variant_get("record", "$.event_id", "bigint").alias("event_id"),
@@ -270,12 +261,9 @@ def q_unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
     )
     recs = _records(ev, text, F.col("event_id"))
     # the job's saved schema: four typed top-level fields
-    schema = InferredSchema(
-        consumer="events", job="events", primary_keys=["event_id"], incremental_key=None,
-        generated_at="", records_scanned=0,
-        fields={"event_id": SchemaType("integer"), "user_id": SchemaType("integer"),
-                "event_type": SchemaType("string"), "value": SchemaType("number")},
-    )
+    kinds = {"event_id": "integer", "user_id": "integer", "event_type": "string", "value": "number"}
+    schema = InferredSchema("events", "events", ("event_id",), None, "", 0,
+                            tuple(PathType((f".{k}",), t) for k, t in kinds.items()))
     return unknown_fields(recs, schema).select(
         F.col("ordinal").alias("event_id"), F.array_join("unknown", ",").alias("unknown")
     )
@@ -296,8 +284,7 @@ def q_envelope_unnest(spark: SparkSession, sf: str) -> DataFrame:
     rows = unnest_pages(docs, "data", drop=["links"])
     labels = split_nonempty(F.variant_get("record", "$.labels", "string"), ",")
     return rows.select(
-        (F.col("ordinal") / F.lit(PAGE_SHIFT)).cast("long").alias("page"),
-        (F.col("ordinal") % F.lit(PAGE_SHIFT)).alias("pos"),
+        "ordinal.page", "ordinal.pos",
         F.variant_get("record", "$.event_id", "bigint").alias("event_id"),
         F.element_at(labels, 1).alias("first_label"),
         F.size(labels).cast("int").alias("n_labels"),
