@@ -45,6 +45,50 @@ def _hours_when(cond: F.Column, hours: F.Column) -> F.Column:
     return F.when(cond, hours).otherwise(F.lit(0)).cast("decimal(8,2)")
 
 
+def bucket_time(entries: DataFrame, items: DataFrame, categories: DataFrame) -> DataFrame:
+    """Each entry with its item's category and its hours split into buckets: all that
+    capacity and utilization need, without projects, clients or rates."""
+    it = items.select("item_id", "item_name").alias("it")
+    cat = categories.alias("cat")
+    named = it.join(cat, F.lower(F.col("cat.item_name")) == F.lower(F.col("it.item_name")), "left").select(
+        F.col("it.item_id").alias("__item"), F.col("it.item_name").alias("item_name"),
+        "category_code", "category_name", "counts_as_worked", "is_client_facing")
+    joined = entries.join(named, entries["item_id"] == F.col("__item"), "left")
+    hours, code = F.col("hours"), F.col("category_code")
+    return joined.select(
+        *[entries[c] for c in entries.columns],
+        "item_name",
+        F.coalesce(code, F.lit("unmapped")).alias("category_code"),
+        F.coalesce("category_name", F.lit("Unmapped")).alias("category_name"),
+        F.coalesce("counts_as_worked", F.lit(False)).alias("counts_as_worked"),
+        F.coalesce("is_client_facing", F.lit(False)).alias("is_client_facing"),
+        _hours_when(F.col("counts_as_worked"), hours).alias("worked_hours"),
+        _hours_when(F.col("is_client_facing"), hours).alias("client_facing_hours"),
+        *[_hours_when(code == b, hours).alias(f"{b}_hours") for b in BUCKETS],
+        _hours_when(code.isNull(), hours).alias("unmapped_hours"),
+    )
+
+
+def resolve_references(bucketed: DataFrame, projects: DataFrame) -> DataFrame:
+    """The entry's reference names a project, whose client it then is, or else directly a
+    client (J10)."""
+    p = projects.select(F.col("project_id"), F.col("customer_id").alias("__client"))
+    joined = bucketed.join(p, bucketed["customer_ref_id"] == F.col("project_id"), "left")
+    direct = F.when(F.col("project_id").isNull(), F.col("customer_ref_id"))
+    return joined.withColumn("client_id", F.coalesce("__client", direct)).drop("__client")
+
+
+def cost_time(entries: DataFrame, employees: DataFrame) -> DataFrame:
+    """Hours at the employee's plain and burdened rate."""
+    emp = employees.select(F.col("employee_id").alias("__emp"), "cost_per_hour", "burdened_cost_per_hour")
+    joined = entries.join(emp, entries["employee_id"] == F.col("__emp"), "left")
+    return joined.select(
+        *[entries[c] for c in entries.columns],
+        (F.col("hours") * F.col("cost_per_hour")).cast("decimal(14,4)").alias("time_cost"),
+        (F.col("hours") * F.col("burdened_cost_per_hour")).cast("decimal(14,4)").alias("burdened_time_cost"),
+    )
+
+
 def categorize_time(
     entries: DataFrame,
     items: DataFrame,
@@ -52,54 +96,19 @@ def categorize_time(
     projects: DataFrame,
     employees: DataFrame,
 ) -> DataFrame:
-    """Categorize each time entry, split its hours into buckets and cost it (R2).
-
-    Joins: item (id), category (case-insensitive name; the seed is bounded, broadcast),
-    project (the entry's reference names a project, else directly a client: J10) and
-    employee rates. Dimension joins are left joins so every entry survives; the planner
-    broadcasts the dimensions whose estimated size is under the threshold and shuffles
-    otherwise (AQE re-plans with real sizes and splits skewed keys).
-    """
-    e = entries.alias("e")
-    it = items.select("item_id", "item_name").alias("it")
-    cat = F.broadcast(categories).alias("cat")
-    p = projects.select("project_id", "customer_id").alias("p")
-    emp = employees.select("employee_id", "cost_per_hour", "burdened_cost_per_hour").alias("emp")
+    """Each time entry categorized, its hours split into buckets, its client resolved and
+    its cost (R2): the three steps above. Reports that need fewer columns read the earlier
+    steps, as a left join under a sum cannot be dropped by the optimizer.
 
-    joined = (
-        e.join(it, F.col("e.item_id") == F.col("it.item_id"), "left")
-        .join(cat, F.lower(F.col("cat.item_name")) == F.lower(F.col("it.item_name")), "left")
-        .join(p, F.col("e.customer_ref_id") == F.col("p.project_id"), "left")
-        .join(emp, F.col("e.employee_id") == F.col("emp.employee_id"), "left")
-    )
-    hours = F.col("e.hours")
-    code = F.col("cat.category_code")
-    buckets = [_hours_when(code == b, hours).alias(f"{b}_hours") for b in BUCKETS]
-    return joined.select(
-        F.col("e.time_entry_id"),
-        F.col("e.entry_date"),
-        F.col("e.employee_id"),
-        F.col("e.department_id"),
-        F.col("e.item_id"),
-        F.col("it.item_name"),
-        F.coalesce(code, F.lit("unmapped")).alias("category_code"),
-        F.coalesce(F.col("cat.category_name"), F.lit("Unmapped")).alias("category_name"),
-        F.coalesce(F.col("cat.counts_as_worked"), F.lit(False)).alias("counts_as_worked"),
-        F.coalesce(F.col("cat.is_client_facing"), F.lit(False)).alias("is_client_facing"),
-        F.col("p.project_id"),
-        F.coalesce(
-            F.col("p.customer_id"),
-            F.when(F.col("p.project_id").isNull(), F.col("e.customer_ref_id")),
-        ).alias("client_id"),
-        hours.alias("hours"),
-        _hours_when(F.col("cat.counts_as_worked"), hours).alias("worked_hours"),
-        _hours_when(F.col("cat.is_client_facing"), hours).alias("client_facing_hours"),
-        *buckets,
-        _hours_when(code.isNull(), hours).alias("unmapped_hours"),
-        (hours * F.col("emp.cost_per_hour")).cast("decimal(14,4)").alias("time_cost"),
-        (hours * F.col("emp.burdened_cost_per_hour")).cast("decimal(14,4)").alias("burdened_time_cost"),
-        F.col("e.is_billable"),
-        F.col("e.memo"),
+    All joins are left joins, so every entry survives; the planner broadcasts dimensions
+    under its size threshold and shuffles otherwise (AQE re-plans with real sizes and
+    splits skewed keys)."""
+    steps = cost_time(resolve_references(bucket_time(entries, items, categories), projects), employees)
+    return steps.select(
+        "time_entry_id", "entry_date", "employee_id", "department_id", "item_id", "item_name",
+        "category_code", "category_name", "counts_as_worked", "is_client_facing", "project_id", "client_id",
+        "hours", "worked_hours", "client_facing_hours", *[f"{b}_hours" for b in BUCKETS], "unmapped_hours",
+        "time_cost", "burdened_time_cost", "is_billable", "memo",
     )
 
 
@@ -168,7 +177,7 @@ def project_financial_lines(
     tx = transactions.alias("tx")
     ac = accounting.alias("ac")
     acct = accounts.alias("acct")
-    cls = F.broadcast(classes.select("account_number", "account_class")).alias("cls")
+    cls = classes.select("account_number", "account_class").alias("cls")
 
     joined = (
         ln.join(pr, F.col("ln.entity_id") == F.col("pr.project_id"), "inner")

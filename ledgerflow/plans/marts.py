@@ -108,7 +108,7 @@ def dim_project(
 
 def dim_item(items: DataFrame, categories: DataFrame) -> DataFrame:
     it = items.alias("it")
-    cat = F.broadcast(categories).alias("cat")
+    cat = categories.alias("cat")
     joined = it.join(cat, F.lower(F.col("it.item_name")) == F.lower(F.col("cat.item_name")), "left")
     return joined.select(
         F.col("it.item_id"),

@@ -44,13 +44,15 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     classes = seeds.bounded(seeds.account_classes(spark))
     groups = seeds.bounded(seeds.department_groups(spark))
     m["int_calendar"] = intermediate.calendar(m["stg_time_entries"], params.calendar_start, params.calendar_end)
+    m["int_time_entries__bucketed"] = intermediate.bucket_time(m["stg_time_entries"], m["stg_items"], cats)
     m["int_time_entries__categorized"] = intermediate.categorize_time(
         m["stg_time_entries"], m["stg_items"], cats, m["stg_projects"], m["stg_employees"]
     )
     if materialize_facts:
         m["int_time_entries__categorized"] = materialize(m["int_time_entries__categorized"], "fct_time_entries")
+        m["int_time_entries__bucketed"] = m["int_time_entries__categorized"]
     m["int_employee_days"] = intermediate.employee_days(
-        m["stg_employees"], m["int_calendar"], m["int_time_entries__categorized"]
+        m["stg_employees"], m["int_calendar"], m["int_time_entries__bucketed"]
     )
     m["int_project_financial_lines"] = intermediate.project_financial_lines(
         m["stg_transaction_lines"], m["stg_projects"], m["stg_transactions"],
@@ -65,7 +67,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     m["fct_employee_capacity"] = marts.fct_employee_capacity(m["int_employee_days"])
     m["fct_project_financials"] = marts.fct_project_financials(m["int_project_financial_lines"])
     m["rpt_utilization_weekly"] = reporting.utilization_weekly(
-        m["fct_employee_capacity"], m["fct_time_entries"], m["dim_employee"]
+        m["fct_employee_capacity"], m["int_time_entries__bucketed"], m["dim_employee"]
     )
     m["rpt_project_margin"] = reporting.project_margin(m["dim_project"], m["fct_project_financials"], m["fct_time_entries"])
     m["rpt_client_hours"] = reporting.client_hours(m["fct_time_entries"], m["dim_client"], m["dim_employee"])

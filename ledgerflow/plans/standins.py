@@ -4,12 +4,13 @@ The driver's parquet tables are not ERP extracts, so each staging-shaped input i
 derived from them by a fixed rule (every rule is mirrored in the DuckDB oracle):
 
   time entries   <- events     (event_id, user_id = employee, ts::date, value = hours,
-                                props.k = customer reference, event_type = item)
+                                props.k = reference: even names project k, odd names
+                                client k; event_type = item)
   employees      <- customer   (custkey; department = nation; hire / release dates and
                                 part-time rule from nation key and market segment)
   clients        <- customer   (segment MACHINERY = internal)
   departments    <- nation,    reporting groups <- nation x region
-  projects       <- orders placed on or after 1998-01-01 (status from order priority)
+  projects       <- orders (ids above the client ids; status from order priority)
   transactions   <- orders     (type from priority, status from order status)
   lines          <- lineitem   (one line per (order, line number); line 1 is the header)
   accounting     <- lineitem   (account = part, amount = extended price)
@@ -31,7 +32,7 @@ from ledgerflow.plans import intermediate, marts, staging
 from ledgerflow.sources import seeds
 
 CALENDAR_START = "2024-01-01"
-PROJECT_SINCE = "1998-01-01"
+PROJECT_IDS = 1 << 30  # projects and clients share one id space: project ids start here
 INTERNAL_SEGMENT = "MACHINERY"
 PART_TIME_SEGMENT = "HOUSEHOLD"
 RELEASED_SEGMENT = "AUTOMOBILE"
@@ -94,12 +95,13 @@ class StandIns:
     @cached_property
     def time_entries(self) -> DataFrame:
         ev = self.table("events")
+        reference = F.get_json_object("props", "$.k").cast("int")
         return ev.select(
             F.col("event_id").cast("int").alias("time_entry_id"),
             F.col("user_id").cast("int").alias("employee_id"),
             F.col("ts").cast("date").alias("entry_date"),
             F.round(F.col("value"), 2).cast("decimal(8,2)").alias("hours"),
-            F.get_json_object("props", "$.k").cast("int").alias("customer_ref_id"),
+            F.when(reference % 2 == 0, reference + PROJECT_IDS).otherwise(reference).alias("customer_ref_id"),
             _case(F.col("event_type"), [(n, i) for i, n in EVENT_ITEMS]).cast("int").alias("item_id"),
             F.lit(None).cast("int").alias("department_id"),
             F.lit(None).cast("string").alias("memo"),
@@ -173,11 +175,11 @@ class StandIns:
 
     @cached_property
     def projects(self) -> DataFrame:
-        o = self.table("orders").filter(F.col("o_orderdate") >= F.lit(PROJECT_SINCE).cast("timestamp_ntz"))
+        o = self.table("orders")
         pr = F.col("o_orderpriority")
         status = F.concat(F.substring(pr, 1, 1), F.lit(". "), F.substring(pr, 3, 100))
         return o.select(
-            F.col("o_orderkey").cast("int").alias("project_id"),
+            (F.col("o_orderkey") + PROJECT_IDS).cast("int").alias("project_id"),
             F.concat(F.lit("PRJ-"), F.col("o_orderkey").cast("string")).alias("project_number"),
             F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("project_name"),
             F.col("o_custkey").cast("int").alias("customer_id"),
@@ -216,7 +218,7 @@ class StandIns:
             "transaction_id",
             "line_id",
             (F.col("line_id") == 1).alias("is_mainline"),
-            F.col("transaction_id").alias("entity_id"),
+            (F.col("transaction_id") + PROJECT_IDS).alias("entity_id"),
         )
 
     @cached_property
@@ -250,6 +252,14 @@ class StandIns:
     def calendar(self) -> DataFrame:
         return intermediate.calendar(self.time_entries, CALENDAR_START)
 
+    @cached_property
+    def bucketed(self) -> DataFrame:
+        return intermediate.bucket_time(self.time_entries, self.items, self.categories)
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return intermediate.resolve_references(self.bucketed, self.projects)
+
     @cached_property
     def categorized(self) -> DataFrame:
         return intermediate.categorize_time(
@@ -258,7 +268,7 @@ class StandIns:
 
     @cached_property
     def capacity(self) -> DataFrame:
-        return intermediate.employee_days(self.employees, self.calendar, self.categorized)
+        return intermediate.employee_days(self.employees, self.calendar, self.bucketed)
 
     @cached_property
     def financial_lines(self) -> DataFrame:

@@ -27,7 +27,8 @@ TE = """te AS (
          CAST(user_id AS INTEGER) AS employee_id,
          CAST(ts AS DATE) AS entry_date,
          CAST(round(value, 2) AS DECIMAL(8,2)) AS hours,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS customer_ref_id,
+         CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) + CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0
+              THEN 1073741824 ELSE 0 END AS INTEGER) AS customer_ref_id,
          CAST(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'error' THEN 3
               WHEN 'click' THEN 4 WHEN 'purchase' THEN 5 END AS INTEGER) AS item_id,
          event_type IN ('view', 'click') AS is_billable
@@ -58,7 +59,7 @@ EMP = """emp AS (
   FROM customer)"""
 
 PROJ = """proj AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS project_id,
+  SELECT CAST(o_orderkey + 1073741824 AS INTEGER) AS project_id,
          'PRJ-' || CAST(o_orderkey AS VARCHAR) AS project_number,
          'Order ' || CAST(o_orderkey AS VARCHAR) AS project_name,
          CAST(o_custkey AS INTEGER) AS customer_id,
@@ -68,7 +69,7 @@ PROJ = """proj AS (
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) >= 4 AS is_complete,
          CAST(o_orderdate AS DATE) AS start_date,
          CAST(o_custkey AS INTEGER) AS project_manager_id
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
+  FROM orders)"""
 
 CLIENTS = """clients AS (
   SELECT CAST(c_custkey AS INTEGER) AS client_id, CAST(c_custkey AS VARCHAR) AS client_number,
@@ -232,7 +233,8 @@ TX = """tx AS (
   FROM orders)"""
 
 LINES = """lines AS (
-  SELECT transaction_id, line_id, line_id = 1 AS is_mainline, transaction_id AS entity_id
+  SELECT transaction_id, line_id, line_id = 1 AS is_mainline,
+         CAST(transaction_id + 1073741824 AS INTEGER) AS entity_id
   FROM (SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS transaction_id,
                         CAST(l_linenumber AS INTEGER) AS line_id FROM lineitem))"""
 

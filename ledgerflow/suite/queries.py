@@ -36,7 +36,7 @@ def q_employee_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_utilization_weekly(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    return for_driver(reporting.utilization_weekly(s.capacity, s.categorized, s.dim_employee))
+    return for_driver(reporting.utilization_weekly(s.capacity, s.bucketed, s.dim_employee))
 
 
 def q_capacity_from_released(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,24 +70,24 @@ def q_project_margin(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_client_hours(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    return for_driver(reporting.client_hours(s.categorized, s.dim_client, s.dim_employee))
+    return for_driver(reporting.client_hours(s.resolved, s.dim_client, s.dim_employee))
 
 
 def q_top_clients(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    return for_driver(reporting.top_clients(s.categorized, s.dim_client, n=15))
+    return for_driver(reporting.top_clients(s.resolved, s.dim_client, n=15))
 
 
 def q_task_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
     return for_driver(
-        reporting.task_breakdown(s.categorized, s.dim_employee, s.dim_project, s.dim_client, s.dim_item)
+        reporting.task_breakdown(s.resolved, s.dim_employee, s.dim_project, s.dim_client, s.dim_item)
     )
 
 
-def _star(s: StandIns) -> pages.Star:
+def _star(s: StandIns, entries: DataFrame | None = None) -> pages.Star:
     return pages.Star(
-        facts={"time_entries": s.categorized, "capacity": s.capacity},
+        facts={"time_entries": s.resolved if entries is None else entries, "capacity": s.capacity},
         dims={
             "date": s.dim_date,
             "employee": s.dim_employee,
@@ -103,7 +103,7 @@ SELECTED_ITEMS = ("view", "click", "purchase")
 
 def q_utilization_rollup(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    return pages.utilization_page(_star(s), (datetime.date(2024, 1, 7), datetime.date(2024, 1, 27)))
+    return pages.utilization_page(_star(s, s.bucketed), (datetime.date(2024, 1, 7), datetime.date(2024, 1, 27)))
 
 
 def q_client_rank_in_selection(spark: SparkSession, sf: str) -> DataFrame:
