@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.operators.runs import RUNS_SCHEMA
-from ledgerflow.plans import intermediate, marts, reporting, staging
+from ledgerflow.plans import contracts, intermediate, marts, reporting, staging
 from ledgerflow.sources import seeds
 from ledgerflow.session import materialize
 from ledgerflow.spec import ModelParams
@@ -75,9 +75,11 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     m["rpt_task_breakdown"] = reporting.task_breakdown(
         m["fct_time_entries"], m["dim_employee"], m["dim_project"], m["dim_client"], m["dim_item"]
     )
-    for name in reporting.REPORTING_CONTRACTS:
-        source = m[name]
-        m[f"reporting_{name}"] = reporting.publish(name, source)
+    for name in contracts.CONTRACTS:
+        if name.startswith("rpt_"):
+            m[name] = reporting.publish(name, m[name])
+        else:
+            m[f"reporting_{name}"] = reporting.publish(name, m[name])
     return m
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import safe_ratio, week_start
 from ledgerflow.operators.ranking import global_rank
+from ledgerflow.plans.contracts import CONTRACTS
 
 _LOGGED = (
     "worked_hours",
@@ -232,83 +233,10 @@ def _contract(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.col(name).cast(dtype).alias(name) for name, dtype in columns])
 
 
-# Contracted column lists (name, Spark type) of the published reporting views.
-REPORTING_CONTRACTS: dict[str, list[tuple[str, str]]] = {
-    "dim_date": [
-        ("date_day", "date"), ("week_start", "date"), ("week_label", "string"),
-        ("month_start", "date"), ("month_name", "string"), ("quarter", "int"), ("year", "int"),
-        ("day_of_week", "int"), ("day_name", "string"), ("is_weekday", "boolean"),
-    ],
-    "dim_employee": [
-        ("employee_id", "int"), ("employee_name", "string"), ("department_name", "string"),
-        ("group_name", "string"), ("title", "string"), ("hire_date", "date"),
-        ("release_date", "date"), ("employment_status", "string"),
-        ("standard_hours_per_day", "decimal(4,2)"),
-    ],
-    "dim_client": [
-        ("client_id", "int"), ("client_number", "string"), ("client_name", "string"),
-        ("is_internal", "boolean"), ("is_inactive", "boolean"),
-    ],
-    "dim_project": [
-        ("project_id", "int"), ("project_number", "string"), ("project_name", "string"),
-        ("project_display_name", "string"), ("client_id", "int"), ("client_name", "string"),
-        ("project_status", "string"), ("project_status_label", "string"),
-        ("is_complete", "boolean"), ("start_date", "date"), ("projected_end_date", "date"),
-        ("department_name", "string"), ("project_lead", "string"),
-    ],
-    "dim_item": [
-        ("item_id", "int"), ("item_name", "string"), ("category_code", "string"),
-        ("category_name", "string"), ("counts_as_worked", "boolean"),
-        ("is_client_facing", "boolean"),
-    ],
-    "fct_time_entries": [
-        ("time_entry_id", "int"), ("entry_date", "date"), ("employee_id", "int"),
-        ("item_id", "int"), ("project_id", "int"), ("client_id", "int"),
-        ("hours", "decimal(8,2)"), ("worked_hours", "decimal(8,2)"),
-        ("client_facing_hours", "decimal(8,2)"), ("project_work_hours", "decimal(8,2)"),
-        ("client_bd_hours", "decimal(8,2)"), ("internal_productive_hours", "decimal(8,2)"),
-        ("internal_admin_hours", "decimal(8,2)"), ("exempt_hours", "decimal(8,2)"),
-        ("unmapped_hours", "decimal(8,2)"), ("is_billable", "boolean"),
-    ],
-    "fct_employee_capacity": [
-        ("employee_id", "int"), ("date_day", "date"), ("standard_hours", "decimal(8,2)"),
-        ("exempt_hours", "decimal(8,2)"), ("expected_hours", "decimal(8,2)"),
-    ],
-}
-
-
 def publish(name: str, df: DataFrame) -> DataFrame:
     """The contracted reporting view ``name``: an allow-list select with declared types,
     so per-person rates and per-entry costs never reach the reporting layer (P22/P23)."""
-    return _contract(df, REPORTING_CONTRACTS[name])
-
-
-def reporting_dim_date(dim: DataFrame) -> DataFrame:
-    return publish("dim_date", dim)
-
-
-def reporting_dim_employee(dim: DataFrame) -> DataFrame:
-    return publish("dim_employee", dim)
-
-
-def reporting_dim_client(dim: DataFrame) -> DataFrame:
-    return publish("dim_client", dim)
-
-
-def reporting_dim_project(dim: DataFrame) -> DataFrame:
-    return publish("dim_project", dim)
-
-
-def reporting_dim_item(dim: DataFrame) -> DataFrame:
-    return publish("dim_item", dim)
-
-
-def reporting_fct_time_entries(fct: DataFrame) -> DataFrame:
-    return publish("fct_time_entries", fct)
-
-
-def reporting_fct_employee_capacity(fct: DataFrame) -> DataFrame:
-    return publish("fct_employee_capacity", fct)
+    return _contract(df, CONTRACTS[name])
 
 
 # Columns that must never reach the reporting layer (per-person rates, per-entry costs).

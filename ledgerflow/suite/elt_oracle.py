@@ -302,9 +302,9 @@ WHERE f.type IS DISTINCT FROM c.type OR f.format IS DISTINCT FROM c.format OR f.
 
 
 def contract_report_sql() -> str:
-    from ledgerflow.plans.reporting import REPORTING_CONTRACTS
+    from ledgerflow.plans.contracts import CONTRACTS
 
-    values = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(REPORTING_CONTRACTS["fct_time_entries"]))
+    values = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(CONTRACTS["fct_time_entries"]))
     return f"""SELECT c.name AS "column", c.expected_type, c.expected_type AS actual_type,
   CAST(NULL AS VARCHAR) AS problem, CAST(0 AS BIGINT) AS uncastable,
   (SELECT count(*) FROM events) AS rows_checked

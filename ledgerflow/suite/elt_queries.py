@@ -30,7 +30,7 @@ from ledgerflow.operators.load import (
 )
 from ledgerflow.operators.runs import RUNS_SCHEMA, latest_snapshot
 from ledgerflow.functions.scalars import format_instant, split_nonempty
-from ledgerflow.plans import reporting
+from ledgerflow.plans import contracts, reporting
 from ledgerflow.plans.standins import StandIns
 from ledgerflow.session import scratch_path
 from ledgerflow.sources.records import unnest_pages
@@ -423,11 +423,11 @@ def q_dq_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_contract_report(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    published = reporting.reporting_fct_time_entries(s.categorized)
+    published = reporting.publish("fct_time_entries", s.categorized)
     from pyspark.sql import types as T
 
     contract = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in
-                             reporting.REPORTING_CONTRACTS["fct_time_entries"]])
+                             contracts.CONTRACTS["fct_time_entries"]])
     quality.assert_contract(published, contract)
     return quality.contract_report(published, contract)
 

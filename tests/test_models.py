@@ -230,6 +230,6 @@ def test_top_clients_ties_share_a_rank_and_all_flagged(spark):
 
 def test_reporting_contract_redacts_rates(spark):
     df = categorize(spark)
-    published = reporting.reporting_fct_time_entries(df)
+    published = reporting.publish("fct_time_entries", df)
     assert not set(reporting.REDACTED_COLUMNS) & set(published.columns)
     assert published.schema["hours"].dataType.simpleString() == "decimal(8,2)"
