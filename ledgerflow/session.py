@@ -124,12 +124,12 @@ def scale_conf(input_bytes: int, executor_cores_total: int) -> dict[str, str]:
     """Starting settings for a cluster run over ``input_bytes`` of Parquet input with
     ``executor_cores_total`` task slots: ~256 MB scan splits; initial shuffle partitions
     of ~512 MB of input each (projection and partial aggregation shrink shuffles well
-    below the input), clamped to 2-8 waves of tasks - AQE then coalesces small
-    partitions and splits skewed ones; a broadcast threshold, applied to decoded-size
+    below the input), at least two waves of tasks and as many more as the input needs -
+    AQE then coalesces small partitions and splits skewed ones; a broadcast threshold, applied to decoded-size
     estimates, that keeps broadcasts to genuinely small dimensions."""
     mb = 1024 * 1024
     cores = max(1, executor_cores_total)
-    shuffle = min(max(cores * 2, input_bytes // (512 * mb)), cores * 8)
+    shuffle = max(cores * 2, input_bytes // (512 * mb))
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * mb),
         "spark.sql.shuffle.partitions": str(int(shuffle)),

@@ -58,7 +58,7 @@ def test_publish_views_and_tables(spark):
 
 def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024 ** 4, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 64000  # clamped to 8 waves
+    assert int(conf["spark.sql.shuffle.partitions"]) == 204800  # 512 MB of input each
     assert int(scale_conf(10 * 1024 ** 3, 64)["spark.sql.shuffle.partitions"]) == 128
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
