@@ -32,6 +32,7 @@ RELATIONSHIPS = [
     ("time_entries", "item_id", "item", "item_id"),
     ("capacity", "date_day", "date", "date_day"),
     ("capacity", "employee_id", "employee", "employee_id"),
+    ("project_margin", "project_id", "project", "project_id"),
 ]
 
 
@@ -261,24 +262,11 @@ def margin_page(margin: DataFrame) -> DataFrame:
     Margin %, plus the overall card as the rolled-up row (grouping_level 1)."""
     keys = ["department_name", "project_lead", "client_name", "project_display_name",
             "project_status_label", "project_id"]
-    table = margin.groupBy(*keys).agg(
-        F.sum("total_hours").alias("total_hours"),
-        F.sum("price").alias("price"),
-        F.sum("travel_cost").alias("travel_cost"),
-        F.sum("incentive_cost").alias("incentive_cost"),
-        F.sum("field_cost").alias("field_cost"),
-        F.sum("project_profit").alias("project_profit"),
-        F.sum("net_revenue").alias("net_revenue"),
-        F.sum("contribution_margin").alias("contribution_margin"),
-        F.lit(0).alias("grouping_level"),
-    )
-    card = margin.agg(
-        *[F.lit(None).cast(margin.schema[k].dataType).alias(k) for k in keys],
-        *[F.sum(c).alias(c) for c in ("total_hours", "price", "travel_cost", "incentive_cost", "field_cost",
-                                      "project_profit", "net_revenue", "contribution_margin")],
-        F.lit(1).alias("grouping_level"),
-    )
-    both = table.unionByName(card)
+    sums = ("total_hours", "price", "travel_cost", "incentive_cost", "field_cost",
+            "project_profit", "net_revenue", "contribution_margin")
+    # the projects and the card in one pass over the margin rows
+    both = margin.groupingSets([keys, []], *keys).agg(
+        *[F.sum(c).alias(c) for c in sums], (F.grouping_id(*keys) > 0).cast("int").alias("grouping_level"))
     return both.select(
         *keys,
         "grouping_level",

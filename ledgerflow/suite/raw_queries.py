@@ -16,7 +16,7 @@ from ledgerflow.operators import quality
 from ledgerflow.operators.infer import InferenceError, InferredSchema, PathType, infer_schema
 from ledgerflow.operators.load import load_job, read_table, rejected_records
 from ledgerflow.operators.runs import RUNS_SCHEMA
-from ledgerflow.plans import contracts, reporting, staging
+from ledgerflow.plans import contracts, pages, reporting, staging
 from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.session import scratch_path
 from ledgerflow.sources.records import read_json_lines, records_from_json
@@ -293,6 +293,28 @@ def q_model_contracts(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+MARGIN_MEASURES = ("Price", "Net Revenue", "Project Profit", "Project Profit %", "Contribution Margin", "Contribution Margin %")
+
+
+def q_margin_by_client(spark: SparkSession, sf: str) -> DataFrame:
+    """M13-M18 through the star: the margin measures by client and project status with
+    subtotals, the same measures at any grain of the project dimension."""
+    s = StandIns(spark, sf)
+    margin = reporting.project_margin(s.dim_project, s.financial_lines, s.categorized)
+    star = pages.Star(facts={"project_margin": margin}, dims={"project": s.dim_project})
+    return for_driver(pages.pivot(star, [("project", "client_name"), ("project", "project_status_label")], list(MARGIN_MEASURES)))
+
+
+def margin_by_client_sql() -> str:
+    """Sums of the margin report on exact cents, rolled up."""
+    cents = {c: f"sum(CAST(round({c} * 100) AS HUGEINT))" for c in ("price", "net_revenue", "project_profit", "contribution_margin")}
+    shown = ", ".join(f"CAST({v} AS DOUBLE) / 100 AS {c}" for c, v in cents.items())
+    ratio = lambda c: f"CASE WHEN {cents['net_revenue']} <> 0 THEN CAST({cents[c]} AS DOUBLE) / CAST({cents['net_revenue']} AS DOUBLE) END"
+    return f"""SELECT client_name, project_status_label, CAST(GROUPING(client_name, project_status_label) AS INTEGER) AS grouping_level,
+        {shown}, {ratio('project_profit')} AS project_profit_pct, {ratio('contribution_margin')} AS contribution_margin_pct
+        FROM ({oracle.project_margin_sql()}) AS m GROUP BY ROLLUP (client_name, project_status_label)"""
+
+
 def model_checks_sql() -> str:
     financial = oracle.financial_lines_sql()
     source = {
@@ -336,6 +358,7 @@ def queries() -> dict[str, Query]:
         "rejected_records": q_rejected_records,
         "landed_days_upsert": q_landed_days_upsert,
         "infer_key_checks": q_infer_key_checks,
+        "margin_by_client": q_margin_by_client,
         "model_checks": q_model_checks,
         "model_contracts": q_model_contracts,
     }
@@ -347,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
         "rejected_records": REJECTED_SQL,
         "landed_days_upsert": LANDED_DAYS_SQL,
         "infer_key_checks": KEY_CHECKS_SQL,
+        "margin_by_client": margin_by_client_sql(),
         "model_checks": model_checks_sql(),
         "model_contracts": model_contracts_sql(),
     }
