@@ -109,12 +109,14 @@ def oracle_sql() -> dict[str, str]:
             hit AS (
               SELECT DISTINCT win.doc_id, unnest(range(s, s + 13)) AS pos
               FROM win JOIN least ON win.k = least.k WHERE least.m < win.doc_id),
-            gone AS (SELECT doc_id, list(pos) AS p, count(*) AS n FROM hit GROUP BY doc_id)
-            SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
-                   sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE
-                     coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1),
-                       i -> NOT list_contains(p, i)), i -> w[i]), ' '), '') END) AS kept_sha256
-            FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id""",
+            places AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM words),
+            kept AS (
+              SELECT places.doc_id, string_agg(word, ' ' ORDER BY places.pos) AS line
+              FROM places LEFT JOIN hit ON places.doc_id = hit.doc_id AND places.pos = hit.pos
+              WHERE hit.pos IS NULL GROUP BY places.doc_id),
+            gone AS (SELECT doc_id, count(*) AS n FROM hit GROUP BY doc_id)
+            SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
+            FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id LEFT JOIN kept ON words.doc_id = kept.doc_id""",
         "op9_exact_dedup": """
             WITH d AS (
               SELECT doc_id,
