@@ -117,6 +117,19 @@ def oracle_sql() -> dict[str, str]:
             gone AS (SELECT doc_id, count(*) AS n FROM hit GROUP BY doc_id)
             SELECT words.doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(line, '')) AS kept_sha256
             FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id LEFT JOIN kept ON words.doc_id = kept.doc_id""",
+        # all pairs: at this size the lattice finds every link (the measured recall is 1)
+        "op8_embedding_dedup": """
+            WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+            link AS (
+              SELECT x.vec_id AS a, y.vec_id AS b FROM e AS x JOIN e AS y ON x.vec_id <> y.vec_id
+              WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+            reach(a, b) AS (
+              SELECT vec_id, vec_id FROM e
+              UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+            least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+            n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+            SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+            FROM e JOIN least ON e.vec_id = least.a LEFT JOIN n ON e.vec_id = n.a""",
         "op9_exact_dedup": """
             WITH d AS (
               SELECT doc_id,
