@@ -292,15 +292,16 @@ def redact(docs: DataFrame, text: str = "text", count: str = "n_chars") -> DataF
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are
     replaced together under the first one's kind."""
     weights = fit(materialize(with_candidates(docs.select(docs[text].alias("_body")), "_body").drop("_body"), "pii-candidates"))
-    step = with_candidates(docs, text).select(*docs.columns, F.expr(_chosen(weights)).alias("_spans"))
+    names = [f"_{n}" for n in range(len(docs.columns))]  # the caller's names cannot clash with ours
+    body, inner = names[docs.columns.index(text)], docs.toDF(*names)
+    step = with_candidates(inner, body).select(*names, F.expr(_chosen(weights)).alias("_spans"))
     merged = """aggregate(array_sort(transform(_spans, x -> struct(x.s as s, -x.e as e, x.kind as kind))),
         cast(array() as array<struct<s: int, e: int, kind: string>>),
         (a, x) -> if(size(a) > 0 and x.s < element_at(a, -1).e,
           concat(slice(a, 1, size(a) - 1), array(struct(
             element_at(a, -1).s as s, greatest(element_at(a, -1).e, -x.e) as e, element_at(a, -1).kind as kind))),
           array_append(a, struct(x.s as s, -x.e as e, x.kind as kind))))"""
-    step = step.select(*docs.columns, F.expr(f"if(size(_spans) > 0, {merged}, null)").alias("_cuts"))
-    body = f"`{text}`"
+    step = step.select(*names, F.expr(f"if(size(_spans) > 0, {merged}, null)").alias("_cuts"))
     clean = f"""if(_cuts is null, {body}, concat(
         array_join(transform(_cuts, (x, i) -> concat(
           substring({body}, if(i = 0, 0, _cuts[i - 1].e) + 1, x.s - if(i = 0, 0, _cuts[i - 1].e)),
@@ -308,7 +309,6 @@ def redact(docs: DataFrame, text: str = "text", count: str = "n_chars") -> DataF
         substring({body}, element_at(_cuts, -1).e + 1)))"""
     out = step.withColumn("_clean", F.expr(clean))
     return out.select(*[
-        F.col("_clean").alias(text) if c == text
-        else F.when(F.col("_cuts").isNull(), F.col(c)).otherwise(F.length("_clean")).cast(t).alias(c) if c == count
-        else F.col(c) for c, t in docs.dtypes])
-
+        F.col("_clean").alias(c) if c == text
+        else F.when(F.col("_cuts").isNull(), F.col(n)).otherwise(F.length("_clean")).cast(t).alias(c) if c == count
+        else F.col(n).alias(c) for n, (c, t) in zip(names, docs.dtypes)])

@@ -53,12 +53,12 @@ def _random_texts():
 @pytest.fixture(scope="module")
 def rows():
     texts = FIXED + _random_texts()
-    return [(i if i else None, t, 1 if t is None else len(t), "s", 0) for i, t in enumerate(texts)]
+    return [(i if i else None, t, 1 if t is None else len(t), "s", 0, "b", "c", "h") for i, t in enumerate(texts)]
 
 
 @pytest.fixture(scope="module")
 def docs(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string, base int").repartition(4)
+    return spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string, base int, b string, _cuts string, h_email string").repartition(4)
 
 
 def test_base_spans_equal_plain_patterns(docs, rows):
