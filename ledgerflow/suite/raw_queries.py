@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.operators import quality
-from ledgerflow.operators.infer import InferenceError, InferredSchema, PathType, infer_schema
-from ledgerflow.operators.load import load_job, read_table, rejected_records
+from ledgerflow.operators.infer import InferenceError, InferredSchema, PathType, infer_schema, path_text
+from ledgerflow.operators.load import exclude_soft_deleted, extraction_order, load_job, read_table, rejected_records
 from ledgerflow.operators.runs import RUNS_SCHEMA
 from ledgerflow.plans import contracts, pages, reporting, staging
 from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.session import scratch_path
+from ledgerflow.sources import catalog
 from ledgerflow.sources.records import read_json_lines, records_from_json
 from ledgerflow.sources.vendors import read_records
 from ledgerflow.spec import IncrementalSpec, JobSpec
@@ -253,6 +254,80 @@ SELECT key, verdict, CASE WHEN verdict = 'accepted' THEN (SELECT count(*) FROM e
   SELECT 'other', 'no record has the key field ''other''')"""
 
 
+# --- catalog, saved schemas, paging, soft deletes, set equality -------------------------------------
+
+def q_item_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """The item dimension, joined to the items that events name (every item is used)."""
+    s = StandIns(spark, sf)
+    used = s.time_entries.groupBy("item_id").agg(F.count(F.lit(1)).alias("entries"))
+    return s.dim_item.join(used, "item_id").select(
+        "item_id", "item_name", "category_code", "category_name", "counts_as_worked", "is_client_facing", "entries")
+
+
+def q_saved_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The schema inferred from the events, written as its document, read back and
+    shown path by path."""
+    ev = _t(spark, sf, "events")
+    text = F.to_json(F.struct(F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), "user_id",
+                              F.array("event_type").alias("tags"), F.from_json("props", "k bigint").alias("props"), "value"))
+    records = records_from_json(ev.select(F.col("event_id").alias("ordinal"), text.alias("text")))
+    root = scratch_path(spark, "schemas")
+    catalog.write_schema(spark, infer_schema(records, JobSpec("events", "saved", ("id",))), root)
+    schema = catalog.read_schema(spark, root, "events", "saved")
+    rows = [(path_text(p.path), p.type, p.format, p.nullable, schema.records_scanned) for p in schema.paths]
+    return spark.createDataFrame(rows, "path string, type string, format string, nullable boolean, records long")
+
+
+SAVED_SCHEMA_SQL = """
+SELECT path, type, format, nullable, (SELECT count(*) FROM events) AS records FROM (VALUES
+  ('id', 'integer', NULL, false), ('at', 'string', 'date-time', false), ('user_id', 'integer', NULL, false),
+  ('tags', 'array', NULL, false), ('tags[]', 'string', NULL, false), ('props', 'object', NULL, false),
+  ('props.k', 'integer', NULL, false), ('value', 'number', NULL, false)) AS v(path, type, format, nullable)"""
+
+
+def q_catalog_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Logical sources resolved by the catalog, one of them by an override."""
+    c = catalog.Catalog(root=f"{sf}/..", schema=sf.rstrip("/").rsplit("/", 1)[1],
+                        overrides={n: f"{sf}/{n}.parquet" for n in ("orders", "customer")})
+    per = c.source(spark, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    people = c.source(spark, "customer")
+    return people.join(per, people["c_custkey"] == per["o_custkey"]).groupBy("c_mktsegment").agg(F.sum("orders").alias("orders"))
+
+
+def q_first_page(spark: SparkSession, sf: str) -> DataFrame:
+    """L2/L3: the first page of 500 orders in extraction order - by change time, then id."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return extraction_order(o, "o_orderdate", "o_orderkey").limit(500)
+
+
+def q_soft_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows flagged as deleted upstream travel on by default and go on request."""
+    flagged = _t(spark, sf, "customer").select(
+        "c_mktsegment", F.when(F.col("c_nationkey") > 3, F.col("c_nationkey") % 4 == 0).alias("isDeleted"))
+    modes = [exclude_soft_deleted(flagged, include_deleted=keep).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("rows")).withColumn("include_deleted", F.lit(keep)) for keep in (True, False)]
+    return modes[0].unionByName(modes[1])
+
+
+def q_set_equality(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether two results are equal as multisets: line totals summed two ways, and the
+    same with one status left out."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linestatus", F.col("l_quantity").cast("decimal(20,2)").alias("q"))
+    whole = li.groupBy("l_orderkey").agg(F.sum("q").cast("decimal(38,2)").alias("q"))
+    parts = li.groupBy("l_orderkey", "l_linestatus").agg(F.sum("q").cast("decimal(38,2)").alias("q"))
+    again = parts.groupBy("l_orderkey").agg(F.sum("q").cast("decimal(38,2)").alias("q"))
+    short = parts.where("l_linestatus = 'O'").groupBy("l_orderkey").agg(F.sum("q").cast("decimal(38,2)").alias("q"))
+    rows = [("in two steps", quality.set_equal(whole, again)), ("one status", quality.set_equal(whole, short))]
+    return spark.createDataFrame(rows, "summed string, equal boolean")
+
+
+SET_EQUALITY_SQL = """
+WITH a AS (SELECT l_orderkey, sum(CAST(l_quantity AS DECIMAL(20,2))) AS q FROM lineitem GROUP BY 1),
+b AS (SELECT l_orderkey, sum(CAST(l_quantity AS DECIMAL(20,2))) AS q FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1)
+SELECT 'in two steps' AS summed, true AS equal UNION ALL
+SELECT 'one status', (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) = 0 AND (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) = 0"""
+
+
 # --- declared tests and contracts ------------------------------------------------------------------
 
 def _models(s: StandIns) -> dict[str, DataFrame]:
@@ -358,6 +433,12 @@ def queries() -> dict[str, Query]:
         "rejected_records": q_rejected_records,
         "landed_days_upsert": q_landed_days_upsert,
         "infer_key_checks": q_infer_key_checks,
+        "item_dimension": q_item_dimension,
+        "saved_schema": q_saved_schema,
+        "catalog_sources": q_catalog_sources,
+        "first_page": q_first_page,
+        "soft_deletes": q_soft_deletes,
+        "set_equality": q_set_equality,
         "margin_by_client": q_margin_by_client,
         "model_checks": q_model_checks,
         "model_contracts": q_model_contracts,
@@ -370,6 +451,17 @@ def oracle_sql() -> dict[str, str]:
         "rejected_records": REJECTED_SQL,
         "landed_days_upsert": LANDED_DAYS_SQL,
         "infer_key_checks": KEY_CHECKS_SQL,
+        "item_dimension": oracle.with_(oracle.TE, oracle.ITEMS, oracle.CATS) + """
+            SELECT it.item_id, it.item_name, coalesce(c.category_code, 'unmapped') AS category_code,
+              coalesce(c.category_name, 'Unmapped') AS category_name, coalesce(c.counts_as_worked, false) AS counts_as_worked,
+              coalesce(c.is_client_facing, false) AS is_client_facing, (SELECT count(*) FROM te WHERE te.item_id = it.item_id) AS entries
+            FROM items it LEFT JOIN cats c ON lower(c.item_name) = lower(it.item_name)""",
+        "saved_schema": SAVED_SCHEMA_SQL,
+        "catalog_sources": "SELECT c_mktsegment, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1",
+        "first_page": "SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 500",
+        "soft_deletes": """SELECT c_mktsegment, count(*) AS rows, true AS include_deleted FROM customer GROUP BY 1 UNION ALL
+            SELECT c_mktsegment, count(*), false FROM customer WHERE NOT (c_nationkey > 3 AND c_nationkey % 4 = 0) GROUP BY 1""",
+        "set_equality": SET_EQUALITY_SQL,
         "margin_by_client": margin_by_client_sql(),
         "model_checks": model_checks_sql(),
         "model_contracts": model_contracts_sql(),
