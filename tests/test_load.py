@@ -62,11 +62,11 @@ def test_later_runs_rewrite_touched_buckets_only(spark, schema):
     after = load.bucket_runs(spark, root, "depot", "stock", "b")
     changed = {b for b in after if after[b] != before[b]}
     assert len(changed) == 1 and after[changed.pop()] == "b" and touched.records_loaded == 1
-    assert len([d for d in os.listdir(f"{root}/depot/stock/data/run=b") if d.startswith("bucket=")]) == 1
+    assert len([d for d in os.listdir(f"{root}/depot/stock/data/__run=b") if d.startswith("__bucket=")]) == 1
     assert table(spark, root)["south", 10]["units"] == 9 and len(table(spark, root)) == 3
     # nothing at or after the watermark: no files, the table stays
     run(spark, FIRST[:1], schema, root, run_id="c")
-    assert not os.path.exists(f"{root}/depot/stock/data/run=c") and load.current_run(spark, root, "depot", "stock") == "b"
+    assert not os.path.exists(f"{root}/depot/stock/data/__run=c") and load.current_run(spark, root, "depot", "stock") == "b"
 
 
 def test_the_batch_is_computed_once(spark, schema):
@@ -133,15 +133,15 @@ def test_dates_are_strict(spark):
 
 def test_any_field_name_loads(spark):
     spec = JobSpec("depot", "names", ("it's",))
-    rows = [{"it's": 1, "Name": "a", "name": "b", "x.y": 2, "sp ace": True, "`q`": "t"}]
+    rows = [{"it's": 1, "Name": "a", "name": "b", "x.y": 2, "sp ace": True, "`q`": "t", "bucket": 5, "run": "r", "ordinal": 9}]
     schema = infer_schema(records_from_python(spark, rows), spec, checkpoint=False)
     root = fresh()
     for value in ("b", "c"):
         rows[0]["name"] = value
         load_job(spark, records_from_python(spark, rows), spec, schema, root, buckets=2)
     row = read_table(spark, root, "depot", "names").first().asDict()
-    assert {k: row[k] for k in ("it's", "Name", "name__2", "x.y", "sp ace", "`q`")} == {
-        "it's": 1, "Name": "a", "name__2": "c", "x.y": 2, "sp ace": True, "`q`": "t"}
+    assert {k: row[k] for k in ("it's", "Name", "name__2", "x.y", "sp ace", "`q`", "bucket", "run", "ordinal__2")} == {
+        "it's": 1, "Name": "a", "name__2": "c", "x.y": 2, "sp ace": True, "`q`": "t", "bucket": 5, "run": "r", "ordinal__2": 9}
 
 
 def test_new_columns_are_null_in_old_rows(spark):
