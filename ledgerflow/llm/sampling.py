@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MOST_CLASSES = 10_000
+
 
 def fold(key: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts`` (a NULL id counts as empty text)."""
@@ -12,17 +14,20 @@ def fold(key: Column, parts: int) -> Column:
 
 
 def sample_per_class(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
-    """Of each class the rows whose id hashes lowest, about ``most`` of them (ties in).
+    """Of each class about ``most`` rows - all, if it has no more: those whose id hashes into
+    the share that gives so many on average.
 
-    The cut is found on (label, hash) alone: a per-class rank with its group limit applied
-    before the shuffle. Rows are then filtered by their class's cut, one row per class.
-    Rows without an id or a label are never in the sample; rows that repeat an id are in it
-    together."""
+    One narrow count per class finds the shares; the rows are then only filtered, never
+    moved. Rows without an id or a label are never in the sample; rows that repeat an id
+    are in it together."""
     rows = rows.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-    order = F.xxhash64(F.col(key), F.lit("sample"))
-    rank = F.row_number().over(Window.partitionBy("_label").orderBy("_order"))
-    cuts = rows.select(F.col(label).alias("_label"), order.alias("_order"))
-    cuts = cuts.withColumn("_rank", rank).where(F.col("_rank") <= most)
-    cuts = cuts.groupBy("_label").agg(F.max("_order").alias("_cut"))
-    joined = rows.withColumn("_order", order).join(cuts, F.col(label) == F.col("_label"))
-    return joined.where("_order <= _cut").drop("_label", "_order", "_cut")
+    counts = rows.groupBy(label).count().limit(MOST_CLASSES + 1).collect()
+    if len(counts) > MOST_CLASSES:
+        raise ValueError(f"{label} has more than {MOST_CLASSES} values: it names no classes")
+    if not counts:
+        return rows
+    # the hash is even over the 64-bit integers
+    top = (1 << 63) - 1
+    cuts = {r[0]: top if r[1] <= most else int(most / r[1] * 2.0 ** 64) - (1 << 63) for r in counts}
+    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[F.col(label)]
+    return rows.where(F.xxhash64(F.col(key), F.lit("sample")) <= cut)

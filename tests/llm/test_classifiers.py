@@ -18,9 +18,12 @@ def test_fold(spark):
 
 def test_sample_is_bounded_and_repeatable(spark):
     rows = spark.range(2000).select("id", F.when(F.col("id") % 10 == 0, "b").when(F.col("id") % 7 != 0, "a").alias("l"))
-    a, b = (sampling.sample_per_class(x, "l", "id", 30) for x in (rows, rows.repartition(5)))
-    assert a.groupBy("l").count().collect() and sorted(a.collect()) == sorted(b.collect())
-    assert {r["l"]: r["count"] for r in a.groupBy("l").count().collect()} == {"a": 30, "b": 30}
+    a, b = (sampling.sample_per_class(x, "l", "id", 100) for x in (rows, rows.repartition(5)))
+    assert sorted(a.collect()) == sorted(b.collect())
+    sizes = {r["l"]: r["count"] for r in a.groupBy("l").count().collect()}
+    assert sizes.keys() == {"a", "b"} and all(60 <= n <= 140 for n in sizes.values())
+    assert sampling.sample_per_class(rows, "l", "id", 5000).count() == rows.where("l is not null").count()
+    assert sampling.sample_per_class(rows.limit(0), "l", "id", 5).count() == 0
 
 
 def test_quality_held_out(spark):
