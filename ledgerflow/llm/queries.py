@@ -41,7 +41,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = sentencepiece_lattice.encode(docs.withColumn("text", F.coalesce("text", F.lit(""))))
-    return out.select("doc_id", "n_words", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+    return out.select("doc_id", "n_runs", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
                       F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -3,7 +3,7 @@ memory as Python objects at a time, output in bounded batches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,17 +39,23 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: st
     """One output row per row; ``make`` builds the per-row function once per task."""
 
     def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        one, out = make(), []
-        for row in rows:
-            out.append(one(*row))
-            if len(out) >= ROWS_OUT:
-                yield out
-                out = []
-        yield out
+        one = make()
+        return in_lists(one(*row) for row in rows)
 
     return map_stream(df, run, schema)
 
 
+def in_lists(rows: Iterable[tuple], most: int = ROWS_OUT) -> Iterator[list[tuple]]:
+    """Output rows in lists of bounded length."""
+    out = []
+    for row in rows:
+        out.append(row)
+        if len(out) >= most:
+            yield out
+            out = []
+    yield out
+
+
 def id_and_text(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(id long, text string), NULL texts empty."""
     return docs.select(docs[key].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))

@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 *Words.* A text becomes its escaped form (spaces as U+2581, one in front) and is cut where
-no piece can reach across: before a space, around line feeds, and between letters and those
-symbols that no piece joins to letters - all read off the piece table. Distinct words are
-counted in Spark; each is encoded once, however often it stands.
+no piece can reach across: into runs (before a space, around line feeds, between letters and
+symbols that no piece joins to letters) and each run into words at every pair of characters
+that no piece holds - all read off the piece table. Distinct words are counted in Spark;
+each is encoded once, however often it stands.
 
 *Lattice.* Every word's substrings of bounded length are exploded and equi-joined to the
 piece table (broadcast: its size is the vocabulary's, checked), and the matches - edges from
@@ -16,8 +17,9 @@ that joins two neighbours, leftmost first, until none does; the state is the set
 boundaries as bits of one long. Characters outside the vocabulary become byte pieces.
 
 *Assembly.* The ids of the ``HOT`` most frequent words (a bounded number of bounded words)
-are broadcast; the other words of a document are looked up by an equi-join and come back to
-it as rows. Words longer than ``LONGEST`` characters that have no safe cut are rare runs;
+are broadcast as sorted word hashes with their ids. A document that holds any other word is
+set aside: its other words are looked up by an equi-join and come back to it as rows, and
+only such documents are shuffled. Words longer than ``LONGEST`` characters that have no safe cut are rare runs;
 they are encoded one by one by the library inside the tasks.
 
 Defined results: NULL and empty texts have no ids and decode to the empty text; rows that
@@ -34,16 +36,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.rows import id_and_text, map_rows, map_stream
+from ledgerflow.llm.rows import id_and_text, in_lists, map_rows, map_stream
 from ledgerflow.session import materialize
 
 SPACE = "▁"
 LONGEST = 60  # characters of a word in the lattice: its boundaries fit one long
-HOT = 500_000  # words whose ids are broadcast
-_WORDS_AT_ONCE = 1 << 20
+HOT = 8_000_000  # words whose ids are broadcast, about 24 bytes each
+CACHED = 200_000  # words, and runs, whose ids a worker keeps at hand
+WORDS_PER_TASK = 30_000  # distinct words whose edges a task groups
+_RUNS_AT_ONCE = 1 << 17  # distinct runs that a task counts before it hands their words on
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -107,22 +113,14 @@ class Pieces:
         return re.compile(rf"{SPACE}*(?:" + "|".join(r for r in runs if r) + rf")|\n|{SPACE}+")
 
     def split(self, text: str) -> list[str]:
-        """The words of a text; joined they are its escaped form."""
-        if not text:
-            return []
-        out = self.words.findall(SPACE + text.replace(" ", SPACE))
-        if max(map(len, out)) > LONGEST:
-            out = [part for w in out for part in (self._cut(w) if len(w) > LONGEST else (w,))]
-        return out
+        """The runs of a text - to the next space or, where safe, change of kind; joined
+        they are its escaped form."""
+        return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def _cut(self, word: str) -> Iterator[str]:
-        """A long word, cut at every pair that no piece holds."""
-        at = 0
-        for n in range(1, len(word)):
-            if (word[n - 1], word[n]) not in self.inside:
-                yield word[at:n]
-                at = n
-        yield word[at:]
+    def parts(self, run: str) -> list[str]:
+        """The words of a run: cut at every pair of characters that no piece holds."""
+        cuts = [n for n, pair in enumerate(zip(run, run[1:]), 1) if pair not in self.inside]
+        return [run[a:b] for a, b in zip([0, *cuts], [*cuts, len(run)])]
 
     def long_word(self, word: str) -> list[int]:
         """The library's ids of a word too long for the lattice."""
@@ -155,57 +153,82 @@ def pieces(path: str) -> Pieces:
 def count_words(docs: DataFrame, table_of, text: str = "text") -> DataFrame:
     """(word, n) of all texts; every task adds its words up before anything is shuffled."""
 
+    def words_of(table: Pieces, runs: Counter) -> list[tuple]:
+        words = Counter()
+        for run, n in runs.items():
+            for part in table.parts(run):
+                words[part] += n
+        return sorted(words.items())
+
     def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         table, seen = table_of(), Counter()
         for (t,) in rows:
             seen.update(table.split(t))
-            if len(seen) >= _WORDS_AT_ONCE // 4:
-                yield list(seen.items())
+            if len(seen) >= _RUNS_AT_ONCE:
+                yield words_of(table, seen)
                 seen = Counter()
-        yield list(seen.items())
+        yield words_of(table, seen)
 
     rows = docs.select(F.coalesce(docs[text], F.lit("")).alias("text"))
     return map_stream(rows, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def lattice(words: DataFrame, table: Pieces) -> DataFrame:
-    """(word, edges): per word all pieces and single characters as (score, s, e, id, ch).
-
-    ``words`` are distinct; the exploded substrings keep their partitioning, so grouping
-    them by word again moves nothing."""
-    if len(table.pieces) > 1 << 20:
-        raise ValueError("a piece table of over a million pieces is not broadcast")
-    rows = words.sparkSession.createDataFrame([(p, i, float(s)) for p, i, s in table.pieces], "piece string, id int, score double")
+    """(word, s, e, id, score, rank): the edges of every word - pieces, and single characters
+    outside the vocabulary with a NULL id. ``rank`` counts scores from the best (0) on.
+
+    The exploded substrings keep the words' partitioning, so grouping them by word again
+    moves nothing."""
+    if len(table.pieces) >= 1 << 19:
+        raise ValueError("a piece table of over half a million pieces is not broadcast")
+    ranks = {score: n for n, score in enumerate(sorted({s for _, _, s in table.pieces}, reverse=True))}
+    rows = words.sparkSession.createDataFrame(
+        [(p, i, float(s), ranks[s]) for p, i, s in table.pieces], "piece string, id int, score double, rank int")
     start = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
     spans = start.select("word", "s", F.explode(F.sequence(
         F.col("s") + 1, F.least(F.length("word"), F.col("s") + table.longest))).alias("e"))
     spans = spans.withColumn("part", F.expr("substring(word, s + 1, e - s)"))
     edges = spans.join(F.broadcast(rows), F.col("part") == F.col("piece"), "left").where("id is not null or e = s + 1")
-    return edges.groupBy("word").agg(F.collect_list(F.struct(
-        "score", "s", "e", "id", F.when(F.col("id").isNull(), F.col("part")).alias("ch"))).alias("edges"))
+    return edges.select("word", "s", "e", "id", "score", "rank")
 
 
 def fold_bpe(edges: DataFrame) -> DataFrame:
     """(word, path): edges joined by the best score, leftmost first, until none joins two
-    neighbours; bit p of the state is a boundary before character p."""
-    bits = edges.select("word", F.expr("""transform(edges, x -> struct(-x.score as cost, x.s, x.e, x.id, x.ch,
+    neighbours; bit p of the state is a boundary before character p.
+
+    An edge travels as one long - rank, start, end, id from the highest bits down - so
+    sorting the longs sorts by score, then start."""
+    packed = F.expr("""shiftleft(cast(coalesce(rank, 0) as bigint), 44) | shiftleft(cast(s as bigint), 36)
+        | shiftleft(cast(e as bigint), 28) | cast(coalesce(id, 268435455) as bigint)""")
+    words = edges.groupBy("word").agg(F.collect_list(packed).alias("edges"))
+    bits = words.select("word", F.expr("""transform(array_sort(edges), x -> struct(
+        cast(shiftright(x, 36) & 255 as int) as s, cast(shiftright(x, 28) & 255 as int) as e,
+        cast(x & 268435455 as int) as id))""").alias("edges"))
+    bits = bits.select("word", F.expr("""transform(edges, x -> struct(x.s, x.e, x.id,
         shiftleft(1L, x.s) | shiftleft(1L, x.e) as ends, shiftleft(1L, x.e) - shiftleft(1L, x.s + 1) as inside))""").alias("edges"))
-    bits = bits.select("word", "edges", F.expr("array_sort(filter(edges, x -> x.e > x.s + 1))").alias("joins"))
-    bits = bits.select("word", "edges", F.expr("""aggregate(
+    bits = bits.select("word", "edges", F.expr("filter(edges, x -> x.e > x.s + 1)").alias("joins"))
+    # a round looks for the first edge that joins two neighbours; rounds after one that
+    # found none do nothing
+    first = """aggregate(joins, 0L, (r, x) -> if(r <> 0L, r,
+        if((a.m & x.ends) = x.ends and bit_count(a.m & x.inside) = 1, x.inside, 0L)))"""
+    bits = bits.select("word", "edges", F.expr(f"""aggregate(
         if(size(joins) = 0, cast(array() as array<int>), sequence(2, length(word))),
-        shiftleft(1L, length(word) + 1) - 1,
-        (m, n) -> m & ~coalesce(get(filter(joins,
-          x -> (m & x.ends) = x.ends and bit_count(m & x.inside) = 1), 0).inside, 0L))""").alias("m"))
+        struct(shiftleft(1L, length(word) + 1) - 1 as m, true as go),
+        (a, n) -> if(a.go, transform(array({first}), v -> struct(a.m & ~v as m, v <> 0L as go))[0], a),
+        a -> a.m)""").alias("m"))
     return bits.select("word", F.expr("""array_sort(transform(
-        filter(edges, x -> (m & x.ends) = x.ends and (m & x.inside) = 0), x -> struct(x.s, x.e, x.id, x.ch)))""").alias("path"))
+        filter(edges, x -> (m & x.ends) = x.ends and (m & x.inside) = 0),
+        x -> struct(x.s, x.e, nullif(x.id, 268435455) as id, substring(word, x.s + 1, x.e - x.s) as ch)))""").alias("path"))
 
 
 def fold_viterbi(edges: DataFrame, unknown_score: float) -> DataFrame:
     """(word, path): the path with the largest sum of scores, the longer last edge winning
     ties. The state holds, for each position reached, the score, start, id and character of
     the edge that reached it best; the way back is a second fold over it."""
-    best = edges.select("word", F.expr(f"""aggregate(
-        array_sort(transform(edges, x -> struct(x.e, x.s, coalesce(x.score, {unknown_score!r}D) as score, x.id, x.ch))),
+    ch = F.expr("substring(word, s + 1, e - s)").alias("ch")
+    words = edges.groupBy("word").agg(F.collect_list(F.struct(
+        "e", "s", F.coalesce("score", F.lit(unknown_score)).alias("score"), "id", ch)).alias("edges"))
+    best = words.select("word", F.expr("""aggregate(array_sort(edges),
         array(struct(0D as total, 0 as s, 0 as e, cast(null as int) as id, cast(null as string) as ch)),
         (a, x) -> if(size(a) = x.e,
           concat(a, array(struct(a[x.s].total + x.score as total, x.s as s, x.e as e, x.id as id, x.ch as ch))),
@@ -232,14 +255,60 @@ def encode_words(words: DataFrame, table: Pieces) -> DataFrame:
         transform(sequence(1, octet_length(x.ch)), i -> {first} + cast(conv(substring(hex(x.ch), 2 * i - 1, 2), 16, 10) as int)))))""").alias("ids"))
 
 
-def _packed(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    for word, ids in rows:
-        yield [(word, struct.pack(f"<{len(ids)}I", *ids))]
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def hot_words(words: DataFrame, known: DataFrame, most: int) -> dict[str, bytes]:
+class HotWords:
+    """Ids by word: sorted 64-bit hashes, 16 more bits of a second hash, and all ids end to
+    end (a word's are between its place and the next)."""
+
+    def __init__(self, hashes: np.ndarray, checks: np.ndarray, blob: bytes, place: np.ndarray):
+        self.hashes, self.checks, self.blob, self.place = hashes, checks, blob, place
+        self.cache: dict[str, bytes | None] = {}
+        self.runs: dict[str, bytes] = {}  # ids of whole runs, kept by the assembly
+
+    @staticmethod
+    def sorted(hashes: np.ndarray, checks: np.ndarray, blob: np.ndarray, place: np.ndarray) -> HotWords:
+        """From words in any order: byte i of the result comes from where its word's are."""
+        order = np.argsort(hashes)
+        sizes = np.diff(place)[order]
+        new = np.concatenate(([0], np.cumsum(sizes)))
+        source = np.repeat((place[:-1][order] - new[:-1]).astype(np.int32), sizes) + np.arange(new[-1], dtype=np.int32)
+        return HotWords(hashes[order], checks[order], blob[source].tobytes(), new.astype(np.int32))
+
+    @property
+    def size(self) -> int:
+        return len(self.hashes)
+
+    def __reduce__(self):
+        return HotWords, (self.hashes, self.checks, self.blob, self.place)
+
+    def get(self, word: str) -> bytes | None:
+        """The word's packed ids, or None."""
+        if word in self.cache:
+            return self.cache[word]
+        if len(self.cache) >= CACHED:
+            self.cache.clear()
+        h, check = word_hashes(word)
+        at, found = int(np.searchsorted(self.hashes, np.uint64(h))), None
+        while at < len(self.hashes) and int(self.hashes[at]) == h:
+            if int(self.checks[at]) == check:
+                found = self.blob[self.place[at]:self.place[at + 1]]
+            at += 1
+        self.cache[word] = found
+        return found
+
+
+def word_hashes(word: str) -> tuple[int, int]:
+    h = xxhash.xxh3_128_intdigest(word)
+    return h & (1 << 64) - 1, h >> 64 & 0xFFFF
+
+
+def hot_words(words: DataFrame, known: DataFrame, most: int) -> HotWords:
     """Ids of the most frequent words, at most ``most``: the words in the highest classes of
-    log-scaled counts that fit together. The driver sees one row per class, then the words."""
+    log-scaled counts that fit together. The driver sees one row per class, then the hashes
+    and ids of those words."""
     tier = F.floor(F.log2("n") * 16).cast("int")
     left, least = most, None
     for r in words.groupBy(tier.alias("tier")).count().orderBy(F.desc("tier")).collect():
@@ -248,15 +317,25 @@ def hot_words(words: DataFrame, known: DataFrame, most: int) -> dict[str, bytes]
             break
         least = r["tier"]
     if least is None:
-        return {}
-    chosen = map_stream(words.where(tier >= least).select("word").join(known, "word"), _packed, "word string, ids binary")
-    table = chosen.toArrow()
-    return dict(zip(table["word"].to_pylist(), table["ids"].to_pylist()))
+        return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32))
+
+    def hashed(word: str, ids: list[int]) -> tuple:
+        h, check = word_hashes(word)
+        return h - (1 << 64) if h >> 63 else h, check, _packed(ids)
+
+    chosen = words.where(tier >= least).select("word").join(known, "word").select("word", "ids")
+    table = map_rows(chosen, lambda: hashed, "h long, c int, ids binary").toArrow()
+    ids = table["ids"].combine_chunks()
+    if not len(ids):
+        return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32))
+    place = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+    return HotWords.sorted(table["h"].to_numpy().view(np.uint64), table["c"].to_numpy().astype(np.uint16),
+                           np.frombuffer(ids.buffers()[2], np.uint8), place)
 
 
 def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None, hot: int = HOT) -> DataFrame:
     """One row per input row: the id, ids (little-endian unsigned 32-bit, as the library's
-    ids in order), n_words and decoded (the ids turned back into text)."""
+    ids in order), n_runs and decoded (the ids turned back into text)."""
     spark, path = docs.sparkSession, model or default_model()
     table = pieces(path)
 
@@ -265,35 +344,69 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
 
     words = count_words(docs, table_of, text).where(F.length("word") <= LONGEST)
     words = materialize(words, "piece-words")
-    known = materialize(encode_words(words.select("word").repartition("word"), table), "piece-ids")
+    # a word's edges are many times the word: partitions hold a bounded number of words
+    parts = max(1, -(-words.count() // WORDS_PER_TASK))
+    known = materialize(encode_words(words.select("word").repartition(parts, "word"), table), "piece-ids")
     shared = spark.sparkContext.broadcast(hot_words(words, known, hot))
 
-    def rare(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        own, table = shared.value, table_of()
-        for i, t in rows:
-            yield [(i, w) for w in dict.fromkeys(table.split(t)) if w not in own and len(w) <= LONGEST]
+    def whole(table: Pieces, run: str, get) -> bytes | None:
+        """A run's ids from its words', or None if ``get`` misses one."""
+        out = []
+        for word in table.parts(run):
+            ids = get(word) if len(word) <= LONGEST else _packed(table.long_word(word))
+            if ids is None:
+                return None
+            out.append(ids)
+        return b"".join(out)
+
+    def look_up(table: Pieces, runs: list[str]) -> dict[str, bytes | None]:
+        """Every different run of a document once; None where a word is not broadcast."""
+        own, out = shared.value, {}
+        for run in set(runs):
+            ids = own.runs.get(run)
+            if ids is None and (ids := whole(table, run, own.get)) is not None:
+                if len(own.runs) >= CACHED:
+                    own.runs.clear()
+                own.runs[run] = ids
+            out[run] = ids
+        return out
+
+    def others(table: Pieces, ids: dict[str, bytes | None]) -> list[str]:
+        get = shared.value.get
+        missing = (w for run, known in ids.items() if known is None for w in table.parts(run))
+        return list({w for w in missing if len(w) <= LONGEST and get(w) is None})
+
+    def finish(table: Pieces, i, runs: list[str], ids: dict[str, bytes | None]) -> tuple:
+        packed = b"".join(map(ids.__getitem__, runs))
+        return i, len(runs), packed, table.decode(struct.unpack(f"<{len(packed) // 4}I", packed))
+
+    def direct(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        table = table_of()
+        split = ((i, runs, look_up(table, runs)) for i, runs in ((i, table.split(t)) for i, t in rows))
+        return in_lists(finish(table, i, runs, ids) for i, runs, ids in split if None not in ids.values())
 
-    rows = id_and_text(docs, text, key)
-    asked = map_stream(rows, rare, "id long, word string").join(known, "word")
-    found = asked.groupBy(F.col("id").alias("own_id")).agg(F.collect_set(F.struct("word", "ids")).alias("found"))
+    def set_aside(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        table = table_of()
+        return in_lists((i, t, found) for i, t in rows if (found := others(table, look_up(table, table.split(t)))))
 
-    def assemble():
-        own, table = shared.value, table_of()
+    def complete():
+        table, get = table_of(), shared.value.get
 
         def one(i, t: str, found) -> tuple:
-            extra = {f["word"]: struct.pack(f"<{len(f['ids'])}I", *f["ids"]) for f in found or ()}
-            words, out = table.split(t), []
-            for w in words:
-                ids = own.get(w) or extra.get(w)
-                if ids is None:
-                    if len(w) <= LONGEST:
-                        raise ValueError("a word without ids")
-                    ids = extra[w] = struct.pack(f"<{len(found_ids := table.long_word(w))}I", *found_ids)
-                out.append(ids)
-            packed = b"".join(out)
-            return i, len(words), packed, table.decode(struct.unpack(f"<{len(packed) // 4}I", packed))
+            extra, runs = {f["word"]: _packed(f["ids"]) for f in found}, table.split(t)
+            ids = look_up(table, runs)
+            for run in [r for r, known in ids.items() if known is None]:
+                ids[run] = whole(table, run, lambda w: get(w) or extra[w])
+            return finish(table, i, runs, ids)
 
         return one
 
-    joined = rows.join(found, rows["id"].eqNullSafe(found["own_id"]), "left").select("id", "text", "found")
-    return map_rows(joined, assemble, "id long, n_words long, ids binary, decoded string").withColumnRenamed("id", key)
+    rows, result = id_and_text(docs, text, key), "id long, n_runs long, ids binary, decoded string"
+    done = map_stream(rows, direct, result)
+    if words.count() > shared.value.size:  # some words are not broadcast
+        aside = map_stream(rows, set_aside, "id long, text string, others array<string>")
+        asked = aside.select("id", F.explode("others").alias("word")).distinct().join(known, "word")
+        found = asked.groupBy(F.col("id").alias("own_id")).agg(F.collect_list(F.struct("word", "ids")).alias("found"))
+        joined = aside.join(found, aside["id"].eqNullSafe(found["own_id"])).select("id", "text", "found")
+        done = done.unionByName(map_rows(joined, complete, result))
+    return done.withColumnRenamed("id", key)

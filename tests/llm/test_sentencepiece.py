@@ -23,7 +23,7 @@ def texts():
     return TEXTS + ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 200))) for _ in range(60)]
 
 
-@pytest.mark.parametrize("hot", [0, 500_000])
+@pytest.mark.parametrize("hot", [0, 60, 4_000_000])
 def test_ids_are_the_librarys(spark, texts, hot):
     rows = [(i if i else None, t, 1, "w") for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int, word string").repartition(3)
@@ -43,6 +43,9 @@ def test_words_join_to_the_text(texts):
             assert "".join(words) == sl.SPACE + t.replace(" ", sl.SPACE)
             for a, b in zip(words, words[1:]):
                 assert (a[-1], b[0]) not in table.inside
+            for w in words:
+                parts = table.parts(w)
+                assert "".join(parts) == w and all(pair in table.inside for p in parts for pair in zip(p, p[1:]))
 
 
 def _paths(word, table):
