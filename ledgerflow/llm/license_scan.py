@@ -7,7 +7,9 @@ separates them. The scanned line is the words joined by one space.
 each notice is split into one more seed than it may have edits, so at least one seed of any
 match is exact (pigeonhole). One Aho-Corasick pass over the line finds all seeds; around
 each the ``regex`` library's bounded-error matching decides and gives span and edits. Of
-overlapping finds the one with the smaller share of edits, then the longer, stands.
+overlapping finds the one with the smaller share of edits, then the longer, stands; what it
+leaves free of a stretch is searched again, before it and behind it, so a better copy never
+hides another one.
 
 Defined results: NULL is empty; a text without words has no finds and score 0; finds of
 repeated notices count each; rows that repeat an id are returned each; an empty table gives
@@ -17,7 +19,9 @@ an empty result; other columns are not read. Texts of any length are scanned who
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
+from heapq import heappop, heappush
 
 from pyspark.sql import DataFrame
 
@@ -48,6 +52,7 @@ NOTICES = {
     "proprietary and confidential": "proprietary",
 }
 PER_EDIT = 10  # characters of a notice for each edit allowed
+STRETCH = 4  # windows of a notice that one stretch spans at most, so long texts cost linear time
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -79,7 +84,8 @@ class Scanner:
         self.automaton.make_automaton()
 
     def candidates(self, line: str) -> dict[int, list[list[int]]]:
-        """For each notice the merged stretches of the line that can hold it."""
+        """For each notice stretches of the line that can hold it: every seed's window lies
+        whole in one of them; windows that are close share one."""
         out: dict[int, list[list[int]]] = {}
         for last, (size, where) in self.automaton.iter(line):
             for n, offset in where:
@@ -87,28 +93,39 @@ class Scanner:
                 lo = last + 1 - size - offset - edits
                 hi = lo + length + 2 * edits
                 spans = out.setdefault(n, [])
-                if spans and lo <= spans[-1][1] and spans[-1][0] <= hi:
-                    spans[-1] = [min(lo, spans[-1][0]), max(hi, spans[-1][1])]
+                both = [min(lo, spans[-1][0]), max(hi, spans[-1][1])] if spans else [lo, hi]
+                if spans and lo <= spans[-1][1] and spans[-1][0] <= hi and both[1] - both[0] <= STRETCH * (hi - lo):
+                    spans[-1] = both
                 else:
                     spans.append([lo, hi])
         return out
 
     def finds(self, line: str) -> list[tuple[str, int, int, int]]:
         """(label, start, end, edits) in the line, in order, not overlapping."""
-        found = []
+        best: list[tuple] = []  # the best find of each stretch, the best of all first
+        starts: list[int] = []
+        ends: list[int] = []
+        out: list[tuple[str, int, int, int]] = []
+
+        def search(n: int, lo: int, hi: int) -> None:
+            label, length, most, pattern = self.notices[n]
+            if hi - lo >= length - most and (m := pattern.search(line, lo, hi)):
+                edits = sum(m.fuzzy_counts)
+                heappush(best, (edits / length, m.start() - m.end(), label, m.start(), m.end(), edits, n, lo, hi))
+
         for n, spans in self.candidates(line).items():
-            label, length, _, pattern = self.notices[n]
-            spans.sort()
-            at = 0
             for lo, hi in spans:
-                for m in pattern.finditer(line, max(at, lo, 0), min(hi, len(line))):
-                    edits = sum(m.fuzzy_counts)
-                    found.append((edits / length, m.start() - m.end(), label, m.start(), m.end(), edits))
-                    at = m.end()
-        out: list[tuple[str, int, int, int]] = []
-        for _, _, label, start, end, edits in sorted(found):
-            if all(end <= s or e <= start for _, s, e, _ in out):
+                search(n, max(lo, 0), min(hi, len(line)))
+        while best:
+            _, _, label, start, end, edits, n, lo, hi = heappop(best)
+            at = bisect_right(ends, start)
+            if at == len(starts) or starts[at] >= end:
+                starts.insert(at, start)
+                ends.insert(at, end)
                 out.append((label, start, end, edits))
+            first, last = bisect_right(ends, lo), bisect_left(starts, hi)
+            for a, b in zip([lo, *ends[first:last]], [*starts[first:last], hi]):
+                search(n, a, b)
         return sorted(out, key=lambda f: f[1])
 
 

@@ -1,5 +1,6 @@
 """License scan against a plain search over whole lines."""
 
+import random
 import re
 
 import pytest
@@ -80,3 +81,48 @@ def test_edits_are_levenshtein():
         finds = scanner.finds(line)
         assert ([f[3] for f in finds] == [n]) if n is not None else not finds
     assert regex.__name__ == "regex"
+
+
+def _brute_finds(line, notices):
+    """Every substring within a notice's edits, best first, those that overlap none better."""
+    found = []
+    for notice, label in notices.items():
+        size, most = len(notice), max(1, len(notice) // ls.PER_EDIT)
+        for start in range(len(line)):
+            row = list(range(size + 1))
+            for end in range(start + 1, min(len(line), start + size + most) + 1):
+                new = [end - start]
+                for i in range(size):
+                    new.append(min(row[i] + (notice[i] != line[end - 1]), row[i + 1] + 1, new[i] + 1))
+                row = new
+                if row[size] <= most:
+                    found.append((row[size] / size, start - end, label, start, end, row[size]))
+    out = []
+    for _, _, label, start, end, edits in sorted(found):
+        if all(end <= s or e <= start for _, s, e, _ in out):
+            out.append((label, start, end, edits))
+    return sorted(out, key=lambda f: f[1])
+
+
+def test_edited_copy_before_a_better_one():
+    scanner = ls.Scanner()
+    edited, exact = "released under the bit license", "released under the mit license"
+    assert [f[1:] for f in scanner.finds(f"{edited} or {exact}")] == [(0, 30, 1), (34, 64, 0)]
+    many = scanner.finds(" or ".join([edited] * 40 + [exact] + [edited] * 40))
+    assert [f[3] for f in many] == [1] * 40 + [0] + [1] * 40 and {f[0] for f in many} == {"mit"}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_all_copies_of_a_stretch(seed):
+    """Edited and exact copies amid license-dense prose, against every substring of the line."""
+    notices = {n: ls.NOTICES[n] for n in ("released under the mit license", "proprietary and confidential")}
+    rng, parts = random.Random(seed), []
+    for _ in range(6):
+        copy = list(rng.choice(list(notices)))
+        for _ in range(rng.randrange(3)):
+            copy[rng.randrange(len(copy))] = rng.choice(["", "x"])
+        parts += ["".join(copy), rng.choice(["or the license", "license", "and", "a license under the license"])]
+    line = " ".join(parts)
+    got, want = ls.Scanner(notices).finds(line), _brute_finds(line, notices)
+    assert len(want) >= 6 and [(f[0], f[3]) for f in got] == [(f[0], f[3]) for f in want]
+    assert all(g[1] < w[2] and w[1] < g[2] for g, w in zip(got, want))
