@@ -16,8 +16,8 @@ encoding is not the path with the best sum, so the fold applies the edge with th
 that joins two neighbours, leftmost first, until none does; the state is the set of
 boundaries as bits of one long. Characters outside the vocabulary become byte pieces.
 
-*Assembly.* The ids of the ``HOT`` most frequent words (a bounded number of bounded words)
-are broadcast as sorted word hashes with their ids. A document that holds any other word is
+*Assembly.* The most frequent words, at most ``HOT`` of them and at most ``HOT_BYTES`` with
+their ids, are broadcast as sorted word hashes with their ids. A document that holds any other word is
 set aside: its other words are looked up by an equi-join and come back to it as rows, and
 only such documents are shuffled. Words longer than ``LONGEST`` characters that have no safe cut are rare runs;
 they are encoded one by one by the library inside the tasks.
@@ -46,7 +46,10 @@ from ledgerflow.session import materialize
 
 SPACE = "▁"
 LONGEST = 60  # characters of a word in the lattice: its boundaries fit one long
-HOT = 8_000_000  # words whose ids are broadcast, about 24 bytes each
+HOT = 8_000_000  # words whose ids are broadcast
+HOT_BYTES = 32 << 20  # and their bytes: hash, check and place, and the ids
+_WORD_BYTES = 8 + 2 + 4
+_SHARES = 64  # parts that words of about the same count are taken in
 CACHED = 200_000  # words, and runs, whose ids a worker keeps at hand
 WORDS_PER_TASK = 30_000  # distinct words whose edges a task groups
 _RUNS_AT_ONCE = 1 << 17  # distinct runs that a task counts before it hands their words on
@@ -270,12 +273,13 @@ class HotWords:
 
     @staticmethod
     def sorted(hashes: np.ndarray, checks: np.ndarray, blob: np.ndarray, place: np.ndarray) -> HotWords:
-        """From words in any order: byte i of the result comes from where its word's are."""
-        order = np.argsort(hashes)
-        sizes = np.diff(place)[order]
+        """From words in any order: id i of the result comes from where its word's are."""
+        order, first = np.argsort(hashes), place // 4
+        sizes = np.diff(first)[order]
         new = np.concatenate(([0], np.cumsum(sizes)))
-        source = np.repeat((place[:-1][order] - new[:-1]).astype(np.int32), sizes) + np.arange(new[-1], dtype=np.int32)
-        return HotWords(hashes[order], checks[order], blob[source].tobytes(), new.astype(np.int32))
+        source = np.repeat((first[:-1][order] - new[:-1]).astype(np.int32), sizes) + np.arange(new[-1], dtype=np.int32)
+        ids = blob[:place[-1]].view(np.uint32)[source]
+        return HotWords(hashes[order], checks[order], ids.tobytes(), (new * 4).astype(np.int32))
 
     @property
     def size(self) -> int:
@@ -305,17 +309,21 @@ def word_hashes(word: str) -> tuple[int, int]:
     return h & (1 << 64) - 1, h >> 64 & 0xFFFF
 
 
-def hot_words(words: DataFrame, known: DataFrame, most: int) -> HotWords:
-    """Ids of the most frequent words, at most ``most``: the words in the highest classes of
-    log-scaled counts that fit together. The driver sees one row per class, then the hashes
-    and ids of those words."""
+def hot_words(words: DataFrame, known: DataFrame, most: int, most_bytes: int = HOT_BYTES) -> HotWords:
+    """Ids of the most frequent words, at most ``most`` and at most ``most_bytes``: the words
+    in the highest classes of log-scaled counts that fit together, and of the first class
+    that does not fit the share by word hash that fits. The driver sees one row per class
+    and share, then the hashes and ids of those words."""
     tier = F.floor(F.log2("n") * 16).cast("int")
-    left, least = most, None
-    for r in words.groupBy(tier.alias("tier")).count().orderBy(F.desc("tier")).collect():
-        left -= r["count"]
-        if left < 0:
+    share = F.pmod(F.xxhash64("word"), F.lit(_SHARES))
+    sized = words.select("word", tier.alias("tier"), share.alias("share")).join(known, "word")
+    whole = F.sum(F.lit(_WORD_BYTES) + 4 * F.size("ids"))
+    left, room, least = most, most_bytes, None
+    for r in sized.groupBy("tier", "share").agg(F.count("*").alias("n"), whole.alias("bytes")).orderBy(F.desc("tier"), "share").collect():
+        left, room = left - r["n"], room - r["bytes"]
+        if left < 0 or room < 0:
             break
-        least = r["tier"]
+        least = r["tier"], r["share"]
     if least is None:
         return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32))
 
@@ -323,7 +331,7 @@ def hot_words(words: DataFrame, known: DataFrame, most: int) -> HotWords:
         h, check = word_hashes(word)
         return h - (1 << 64) if h >> 63 else h, check, _packed(ids)
 
-    chosen = words.where(tier >= least).select("word").join(known, "word").select("word", "ids")
+    chosen = sized.where((F.col("tier") > least[0]) | (F.col("tier") == least[0]) & (F.col("share") <= least[1])).select("word", "ids")
     table = map_rows(chosen, lambda: hashed, "h long, c int, ids binary").toArrow()
     ids = table["ids"].combine_chunks()
     if not len(ids):
@@ -333,7 +341,8 @@ def hot_words(words: DataFrame, known: DataFrame, most: int) -> HotWords:
                            np.frombuffer(ids.buffers()[2], np.uint8), place)
 
 
-def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None, hot: int = HOT) -> DataFrame:
+def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None, hot: int = HOT,
+           hot_bytes: int = HOT_BYTES) -> DataFrame:
     """One row per input row: the id, ids (little-endian unsigned 32-bit, as the library's
     ids in order), n_runs and decoded (the ids turned back into text)."""
     spark, path = docs.sparkSession, model or default_model()
@@ -347,7 +356,7 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
     # a word's edges are many times the word: partitions hold a bounded number of words
     parts = max(1, -(-words.count() // WORDS_PER_TASK))
     known = materialize(encode_words(words.select("word").repartition(parts, "word"), table), "piece-ids")
-    shared = spark.sparkContext.broadcast(hot_words(words, known, hot))
+    shared = spark.sparkContext.broadcast(hot_words(words, known, hot, hot_bytes))
 
     def whole(table: Pieces, run: str, get) -> bytes | None:
         """A run's ids from its words', or None if ``get`` misses one."""

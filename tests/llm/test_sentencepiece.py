@@ -35,6 +35,24 @@ def test_ids_are_the_librarys(spark, texts, hot):
         assert got[i]["decoded"] == (t or "")
 
 
+def test_broadcast_is_bounded_in_bytes(spark, texts):
+    """What no longer fits comes back by the join, with the same ids."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    table = sl.pieces(sl.default_model())
+    words = sl.count_words(docs, lambda: sl.pieces(sl.default_model())).where(f"length(word) <= {sl.LONGEST}").cache()
+    known = sl.encode_words(words.select("word"), table).cache()
+    for most in (0, 500, 3000, 1 << 20):
+        own = sl.hot_words(words, known, 1_000_000, most)
+        sent = len(own.blob) + own.hashes.nbytes + own.checks.nbytes + own.place.nbytes - 4
+        assert sent <= most and (own.size > 0) == (most > 0)
+    assert own.size == words.count()
+    ids = {r["word"]: np.array(r["ids"], "<u4").tobytes() for r in known.collect()}
+    assert all(own.get(w) == packed for w, packed in ids.items())
+    library = sentencepiece.SentencePieceProcessor(model_file=sl.default_model())
+    for r in sl.encode(docs, hot_bytes=3000).collect():
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == library.encode(texts[r["doc_id"]] or "")
+
+
 def test_words_join_to_the_text(texts):
     table = sl.pieces(sl.default_model())
     for t in texts:
