@@ -106,3 +106,17 @@ def test_upsert_matches_null_keys_and_replaces_whole_rows(spark):
     got = sorted(((r.k is None, r.k), r.v, r.w) for r in upsert(cur, inc, ["k"], order_col=None).collect())
     # the NULL key is one key (replaced, not duplicated); a column the batch lacks becomes NULL
     assert got == [((False, 1), "a", "x"), ((False, 3), "C", None), ((False, 4), "D", None), ((True, None), "B", None)]
+
+
+def test_load_queries_see_changed_input(spark, tmp_path):
+    """A second call in a session loads again: rows that came to the same path are in it."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    pairs = events.select("user_id", "event_type").distinct().count()
+    path = f"{tmp_path}/events.parquet"
+    some = events.where("user_id % 2 = 0")
+    some.write.parquet(path)
+    few = cq.q_incremental_load_table(spark, str(tmp_path)).count()
+    read = max(r["records_loaded"] or 0 for r in cq.q_incremental_load_runs(spark, str(tmp_path)).collect())
+    events.where("user_id % 2 <> 0 or user_id is null").write.mode("append").parquet(path)
+    assert few < pairs == cq.q_incremental_load_table(spark, str(tmp_path)).count()
+    assert read < max(r["records_loaded"] or 0 for r in cq.q_incremental_load_runs(spark, str(tmp_path)).collect())
