@@ -16,6 +16,10 @@ The model is fitted on at most about ``SAMPLE`` texts per language, chosen by a
 id; trigram counts are summed in Spark, so the driver sees DIMS counts per language and one
 margin row per sampled text. Whole texts are scored.
 
+Learnt are at most ``most_languages`` values of the language column (a parameter of ``fit``,
+which bounds the driver's counts), those with the most texts, with a warning that names the
+bound; rarer values are never predicted. Every document is scored, whatever its value.
+
 Defined results: NULL texts and texts without a letter are ``und`` with score 0 and are not
 ambiguous; with one language all texts with letters get it; with none they are ``und``;
 rows that repeat an id are returned each; an empty table gives an empty result.
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.logistic import scale_and_offset
 from ledgerflow.llm.rows import map_rows
-from ledgerflow.llm.sampling import sample_per_class
+from ledgerflow.llm.sampling import MOST_CLASSES, sample_per_class
 from ledgerflow.session import materialize
 
 DIMS = 1 << 16
@@ -120,10 +124,13 @@ class Codes:
         return self.languages[best], float(share[best]), bool(lead < LEAD)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Codes:
-    """A model from the given labelled rows (rows without text or language are not used)."""
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE,
+        most_languages: int = MOST_CLASSES) -> Codes:
+    """A model from the given labelled rows (rows without text or language are not used), of
+    the ``most_languages`` languages with the most texts."""
     rows = docs.select(docs[key].alias("id"), docs[text].alias("text"), docs[lang].cast("string").alias("lang"))
-    rows = materialize(sample_per_class(rows.where("lang is not null and text is not null"), "lang", "id", sample), "lang-sample")
+    rows = sample_per_class(rows.where("lang is not null and text is not null"), "lang", "id", sample, most_languages)
+    rows = materialize(rows, "lang-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}

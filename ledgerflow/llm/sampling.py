@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_CLASSES = 10_000
+MOST_CLASSES = 500
 
 
 def fold(key: Column, parts: int) -> Column:
@@ -13,17 +15,19 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def sample_per_class(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
+def sample_per_class(rows: DataFrame, label: str, key: str, most: int, most_classes: int = MOST_CLASSES) -> DataFrame:
     """Of each class about ``most`` rows - all, if it has no more: those whose id hashes into
-    the share that gives so many on average.
+    the share that gives so many on average. Of more than ``most_classes`` classes those with
+    the most rows are sampled (of equals the lesser label), with a warning.
 
     One narrow count per class finds the shares; the rows are then only filtered, never
     moved. Rows without an id or a label are never in the sample; rows that repeat an id
     are in it together."""
     rows = rows.where(F.col(key).isNotNull() & F.col(label).isNotNull())
-    counts = rows.groupBy(label).count().limit(MOST_CLASSES + 1).collect()
-    if len(counts) > MOST_CLASSES:
-        raise ValueError(f"{label} has more than {MOST_CLASSES} values: it names no classes")
+    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(most_classes + 1).collect()
+    if len(counts) > most_classes:
+        warnings.warn(f"{label} has more than {most_classes} values: only the most frequent are learnt", stacklevel=2)
+        counts = counts[:most_classes]
     if not counts:
         return rows
     # the hash is even over the 64-bit integers

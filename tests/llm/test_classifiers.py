@@ -127,3 +127,18 @@ def test_trigrams_over_pieces(monkeypatch):
     monkeypatch.setattr(language_id, "_AT_ONCE", 16)
     parts = np.concatenate(list(language_id.trigrams(text)))
     assert abs(len(parts) - len(whole)) <= 3 * (len(text) // 16 + 1)
+
+
+def test_stray_language_values_stop_nothing(spark):
+    """More values than a model holds: the frequent ones are learnt, every document is scored."""
+    real = [(t, l) for t, l in (("the dog and the cat", "en"), ("der hund und die katze", "de")) for _ in range(20)]
+    rows = [(i, t, l) for i, (t, l) in enumerate(real + [("the dog", f"stray {n}") for n in range(10_001)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    with pytest.warns(UserWarning, match="more than 2 values"):
+        model = language_id.fit(docs, most_languages=2)
+    assert model.languages == ["de", "en"]
+    assert [model.predict(t)[0] for t in ("the dog", "die katze")] == ["en", "de"]
+    assert language_id.predict(docs, model).count() == len(rows)
+    with pytest.warns(UserWarning):
+        sampled = sampling.sample_per_class(docs, "lang", "doc_id", 5)
+    assert {"en", "de"} <= {r["lang"] for r in sampled.collect()} and sampled.select("lang").distinct().count() <= sampling.MOST_CLASSES
