@@ -36,7 +36,9 @@ def test_every_registered_query_has_an_oracle():
 
 
 def test_without_the_optional_packages(tmp_path):
-    """The entry module imports and registers its own queries when they are not there."""
+    """The entry module imports and registers its own queries when the subpackage is not
+    there, whether or not the pipeline's file still is."""
+    import os
     import shutil
     import subprocess
     import sys
@@ -46,5 +48,9 @@ def test_without_the_optional_packages(tmp_path):
     shutil.copytree(root / "ledgerflow", tmp_path / "ledgerflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; print(len(e.queries()), set(e.queries()) == set(e.oracle_sql()))"
-    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
-    assert out.stdout.split() == [str(len(names())), "True"], out.stderr
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for pipeline in (False, True):
+        if pipeline:
+            (tmp_path / "corpus_pipeline.py").write_text("from ledgerflow.llm import quality\n")
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+        assert out.stdout.split() == [str(len(names())), "True"], out.stderr
