@@ -45,8 +45,8 @@ from ledgerflow.llm.words import WordHashes, from_narrow, from_planes, narrow, p
 from ledgerflow.session import materialize
 
 ORDER = 2
-CHUNK = 1 << 19  # words of a chunk
-BUCKET_BYTES = 16 << 20  # text bytes per bucket of n-grams
+CHUNK = 1 << 18  # words of a chunk
+BUCKET_BYTES = 8 << 20  # text bytes per bucket of n-grams
 DELETED = 16  # one in so many training documents fits the weights
 BITS = 48  # buckets of context counts: their bit length
 OCTAVES = 40  # estimates below 2^-40 share a cell
@@ -58,7 +58,7 @@ _BEGIN, _END = b" ", b"\n"  # no word holds white space
 _FIXED = {_BEGIN: 0x9B05688C2B3E6C1F, _END: 0xBB67AE8584CAA73B}
 _B = np.uint64(0x9E3779B97F4A7C15)
 
-_words = WordHashes(500_000, _FIXED)
+_words = WordHashes(200_000, _FIXED)
 
 # ids and sizes are 64-bit; flags: 1 learnt, 2 the id is NULL; texts are compressed together
 CHUNKS = "chunk long, deleted boolean, ids binary, flags binary, sizes binary, volume long, texts binary"
