@@ -14,7 +14,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.infer import InferenceError, InferredSchema
+from ledgerflow.operators.infer import (
+    InferenceError,
+    InferredSchema,
+    job_patterns,
+    merge_observations,
+    observe_records,
+    resolve_schema,
+)
 from ledgerflow.spec import JobSpec
 
 
@@ -60,6 +67,45 @@ def read_schema(spark: SparkSession, root: str, consumer: str, job: str) -> Infe
     return InferredSchema.from_json(json.loads("".join(r["value"] for r in rows)))
 
 
+# --- statistics saved with the schema -----------------------------------------------------
+
+def observations_path(root: str, consumer: str, job: str) -> str:
+    return f"{root.rstrip('/')}/schemas/{consumer}/{job}.observed"
+
+
+def read_observations(spark: SparkSession, root: str, consumer: str, job: str) -> DataFrame:
+    """The statistics of all landings saved so far, merged."""
+    saved = spark.read.parquet(observations_path(root, consumer, job)).where("n > 0")
+    return merge_observations(saved.drop("landing"))
+
+
+def update_schema(spark: SparkSession, records: DataFrame, spec: JobSpec, root: str, landing: str) -> InferredSchema:
+    """The schema after one more landing (a day, a batch): only its ``records`` are read;
+    their statistics are saved beside those of the landings before, and the schema of all of
+    them is resolved and written. A landing that is observed again replaces itself.
+
+    A landing that does not fit fails with the first conflicting record's place and leaves
+    the written schema as it was; its statistics stay saved, so that the conflict report can
+    be read, until the landing is observed again or taken back (:func:`drop_landing`). Ordinals
+    must be comparable across landings."""
+    path = observations_path(root, spec.consumer, spec.name)
+    observed = observe_records(records, job_patterns(spec)).withColumn("landing", F.lit(landing))
+    observed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("landing").parquet(path)
+    schema = resolve_schema(read_observations(spark, root, spec.consumer, spec.name), spec)
+    write_schema(spark, schema, root)
+    return schema
+
+
+def drop_landing(spark: SparkSession, spec: JobSpec, root: str, landing: str) -> None:
+    """Take one landing's statistics back: it is replaced by an empty one."""
+    path = observations_path(root, spec.consumer, spec.name)
+    kept = spark.read.parquet(path).where(F.col("landing") == landing).withColumn("n", F.lit(0).cast("long"))
+    rows = kept.collect()  # one row per path and class
+    if rows:
+        spark.createDataFrame(rows, kept.schema).coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("landing").parquet(path)
+
+
 # --- source registry (G1) --------------------------------------------------------------
 
 Fetch = Callable[[SparkSession, str, JobSpec], DataFrame]

@@ -75,6 +75,11 @@ def infer_mixed_sql() -> str:
     return f"WITH {rec},\n{nodes}\n{SCHEMA_TABLE}"
 
 
+def schema_document_sql() -> str:
+    return f"""SELECT path, type, format, nullable, (SELECT count(*) FROM events) AS records
+FROM ({infer_mixed_sql()})"""
+
+
 def infer_conflicts_sql() -> str:
     rec = """r AS (SELECT event_id AS ordinal,
     CASE WHEN event_type = 'error' THEN json_object('id', event_id, 'x', event_type, 'y', value)
@@ -323,6 +328,10 @@ def oracle_sql() -> dict[str, str]:
         "infer_events_props": infer_events_props_sql(),
         "infer_mixed": infer_mixed_sql(),
         "infer_conflicts": infer_conflicts_sql(),
+        "merged_schema": infer_mixed_sql(),
+        "merged_conflicts": infer_conflicts_sql(),
+        "schema_by_landing": schema_document_sql(),
+        "merged_schema_documents": schema_document_sql(),
         "upsert_last_write": upsert_last_write_sql(),
         "tombstone_upsert": tombstone_upsert_sql(),
         "snapshot_latest_run": snapshot_latest_run_sql(),

@@ -16,8 +16,14 @@ from ledgerflow.operators import conform, quality
 from ledgerflow.operators.infer import (
     InferredSchema,
     PathType,
+    conflict_report,
     conflicts,
     infer_schema,
+    merge_observations,
+    merge_schemas,
+    observe_records,
+    path_text,
+    resolved_table,
     schema_table,
 )
 from ledgerflow.operators.load import (
@@ -33,6 +39,7 @@ from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import contracts, reporting
 from ledgerflow.plans.standins import StandIns
 from ledgerflow.session import scratch_path
+from ledgerflow.sources.catalog import read_schema, update_schema
 from ledgerflow.sources.records import unnest_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.streaming.upsert import stream_upsert
@@ -103,15 +110,61 @@ def q_infer_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return schema_table(mixed_records(spark, sf))
 
 
-def q_infer_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    """Per path: each observed class with its first record, and the record at which the
-    accumulated types first become incompatible (I8)."""
-    found = conflicts(conflict_records(spark, sf))
+def _conflict_rows(found: DataFrame) -> DataFrame:
     return found.select(
         F.regexp_replace(F.array_join("path", ""), r"^\.", "").alias("path"), "cls",
         F.col("n").cast("bigint").alias("n"), "first_ordinal", "conflict_at")
 
 
+def q_infer_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Per path: each observed class with its first record, and the record at which the
+    accumulated types first become incompatible (I8)."""
+    return _conflict_rows(conflicts(conflict_records(spark, sf)))
+
+
+def _thirds(records: DataFrame) -> list[DataFrame]:
+    """Three landings of the records."""
+    return [records.where(F.pmod("ordinal", F.lit(3)) == n) for n in range(3)]
+
+
+def q_merged_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Landings observed one by one, their statistics merged: the schema of all records."""
+    parts = [observe_records(r) for r in _thirds(mixed_records(spark, sf))]
+    return resolved_table(merge_observations(parts[2], parts[0], parts[1]))
+
+
+def q_merged_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Conflicts between landings, with the first record of all that conflicts."""
+    parts = [observe_records(r) for r in _thirds(conflict_records(spark, sf))]
+    return _conflict_rows(conflict_report(merge_observations(*parts)))
+
+
+MIXED_SPEC = JobSpec("events", "mixed", ("id",))
+
+
+def _schema_rows(spark: SparkSession, schema: InferredSchema) -> DataFrame:
+    rows = [(path_text(p.path), p.type, p.format, p.nullable, schema.records_scanned) for p in schema.paths]
+    return spark.createDataFrame(rows, "path string, type string, format string, nullable boolean, records long")
+
+
+def q_schema_by_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """The saved schema after three landings, one of them observed again, each
+    reading only its own records."""
+    root = scratch_path(spark, "schemas")
+    landings = _thirds(mixed_records(spark, sf))
+    for day in (0, 1, 2, 1):
+        update_schema(spark, landings[day], MIXED_SPEC, root, f"day{day}")
+    return _schema_rows(spark, read_schema(spark, root, MIXED_SPEC.consumer, MIXED_SPEC.name))
+
+
+def q_merged_schema_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """2.16: two schema documents merged into the document of all records."""
+    first, *rest = (infer_schema(r, MIXED_SPEC) for r in _thirds(mixed_records(spark, sf)))
+    for schema in rest:
+        first = merge_schemas(first, schema)
+    return _schema_rows(spark, first)
+
+
 # --- upserts --------------------------------------------------------------------------
 
 def _event_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -456,6 +509,10 @@ def queries() -> dict:
         "infer_events_props": q_infer_events_props,
         "infer_mixed": q_infer_mixed,
         "infer_conflicts": q_infer_conflicts,
+        "merged_schema": q_merged_schema,
+        "merged_conflicts": q_merged_conflicts,
+        "schema_by_landing": q_schema_by_landing,
+        "merged_schema_documents": q_merged_schema_documents,
         "upsert_last_write": q_upsert_last_write,
         "tombstone_upsert": q_tombstone_upsert,
         "snapshot_latest_run": q_snapshot_latest_run,
