@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.sources import plugin
 from ledgerflow.sources.catalog import SourceRegistry
 from ledgerflow.sources.records import flatten_geojson, read_pages, unnest_pages
 from ledgerflow.spec import JobSpec
@@ -93,3 +94,24 @@ def read_records(spark: SparkSession, path: str, spec: JobSpec) -> DataFrame:
     """The records of a job's landing area (S1-S20): ``ordinal, record`` from the job's
     source function, resolved by name in the registry (G1), with its options (G6)."""
     return REGISTRY.fetch(spark, spec.consumer, path, spec)
+
+
+def _plugged(reader, landing: str, spec: JobSpec, options: dict[str, str]) -> DataFrame:
+    envelope, drop = ENVELOPES[spec.consumer]
+    if envelope:
+        options = options | {"envelope": envelope}
+    pages = reader.format(plugin.FORMAT).options(**options).load(f"{landing.rstrip('/')}/{spec.name}")
+    return plugin.page_records(pages, drop)
+
+
+def load_pages(spark: SparkSession, landing: str, spec: JobSpec, **options: str) -> DataFrame:
+    """The records of a vendor's landing area through the data source of :mod:`plugin`, which
+    cuts pages of any size into records while it reads them."""
+    plugin.register(spark)
+    return _plugged(spark.read, landing, spec, options)
+
+
+def stream_pages(spark: SparkSession, landing: str, spec: JobSpec, **options: str) -> DataFrame:
+    """The same as a stream: pages that land later come in later micro-batches."""
+    plugin.register(spark)
+    return _plugged(spark.readStream, landing, spec, options)

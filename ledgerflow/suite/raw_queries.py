@@ -21,7 +21,7 @@ from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.session import scratch_path
 from ledgerflow.sources import catalog
 from ledgerflow.sources.records import read_json_lines, records_from_json
-from ledgerflow.sources.vendors import read_records
+from ledgerflow.sources.vendors import load_pages, read_records, stream_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.suite import elt_oracle, oracle
 
@@ -143,9 +143,8 @@ VENDORS = {
 PAGE_ROWS = 250
 
 
-def q_vendor(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
-    """Rows landed in the vendor's envelope, ``PAGE_ROWS`` keys a page, and read back through
-    the source registry: key, fields, order and the dropped per-row key."""
+def _land(spark: SparkSession, sf: str, vendor: str) -> str:
+    """A landing area with the vendor's rows in its envelope, ``PAGE_ROWS`` keys a page."""
     from ledgerflow.sources.vendors import ENVELOPES
 
     job, table, key, fields, dropped = VENDORS[vendor]
@@ -157,7 +156,16 @@ def q_vendor(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
     doc = F.to_json(F.struct(F.col("rows").alias(envelope)) if envelope else F.col("rows"))
     landing = scratch_path(spark, f"landing-{vendor}")
     pages.select("page", doc.alias("value")).repartition(8, "page").write.partitionBy("page").option("maxRecordsPerFile", 1).text(f"{landing}/{job}")
-    records = read_records(spark, landing, JobSpec(vendor, job, ("id",)))
+    return landing
+
+
+def _vendor_spec(vendor: str) -> JobSpec:
+    return JobSpec(vendor, VENDORS[vendor][0], ("id",))
+
+
+def _vendor_rows(records: DataFrame, vendor: str) -> DataFrame:
+    """Key, fields, order and the dropped per-row key of landed records."""
+    _, _, _, fields, dropped = VENDORS[vendor]
     names = [f.rsplit(" as ", 1)[1] for f in fields]
     gone = [F.variant_get("record", f"$.{dropped}", "string").isNull().alias("dropped")] if dropped else []
     return records.select(
@@ -165,6 +173,30 @@ def q_vendor(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
         *[F.variant_get("record", f"$.{n}", "string").alias(n.lower()) for n in names], *gone)
 
 
+def q_vendor(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
+    """The vendor's landed rows, read back through the source registry."""
+    landing = _land(spark, sf, vendor)
+    return _vendor_rows(read_records(spark, landing, _vendor_spec(vendor)), vendor)
+
+
+def q_plugin(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
+    """G1: the same through ``spark.read.format("landed_pages")``."""
+    return _vendor_rows(load_pages(spark, _land(spark, sf, vendor), _vendor_spec(vendor), partition_bytes="1000000"), vendor)
+
+
+def q_plugin_stream(spark: SparkSession, sf: str, vendor: str) -> DataFrame:
+    """G1: the same through ``spark.readStream.format("landed_pages")``, in micro-batches."""
+    landing, out = _land(spark, sf, vendor), scratch_path(spark, f"streamed-{vendor}")
+    rows = _vendor_rows(stream_pages(spark, landing, _vendor_spec(vendor), files_per_batch="40"), vendor)
+    writer = rows.writeStream.option("checkpointLocation", scratch_path(spark, f"stream-{vendor}"))
+    query = writer.trigger(processingTime="0 seconds").format("parquet").start(out)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(out)
+
+
 def vendor_sql(vendor: str) -> str:
     _, table, key, fields, dropped = VENDORS[vendor]
     shown = ", ".join(f"CAST({e} AS VARCHAR) AS {n.lower()}" for e, n in (f.rsplit(" as ", 1) for f in fields))
@@ -429,6 +461,8 @@ def model_contracts_sql() -> str:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {f"stg_{m}": partial(q_staging, model=m) for m in STAGING}
     found |= {f"vendor_{v}": partial(q_vendor, vendor=v) for v in VENDORS}
+    found |= {f"plugin_{v}": partial(q_plugin, vendor=v) for v in ("netsuite", "ticketdesk")}
+    found |= {"plugin_stream_helpline": partial(q_plugin_stream, vendor="helpline")}
     return found | {
         "rejected_records": q_rejected_records,
         "landed_days_upsert": q_landed_days_upsert,
@@ -447,6 +481,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     found = {f"stg_{m}": sql for m, (_, _, sql) in STAGING.items()} | {f"vendor_{v}": vendor_sql(v) for v in VENDORS}
+    found |= {"plugin_netsuite": vendor_sql("netsuite"), "plugin_ticketdesk": vendor_sql("ticketdesk"),
+              "plugin_stream_helpline": vendor_sql("helpline")}
     return found | {
         "rejected_records": REJECTED_SQL,
         "landed_days_upsert": LANDED_DAYS_SQL,
