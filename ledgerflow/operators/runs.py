@@ -3,7 +3,7 @@ saved watermark (W4). All are aggregates, never a global sort."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,20 @@ def latest_snapshot(table: DataFrame, runs: DataFrame, job: str) -> DataFrame:
     )
 
 
+def append_snapshot(rows: DataFrame, path: str, run_id: str) -> None:
+    """Add one full-refresh run to a table laid out by run: its rows in a folder of their
+    own. The same run again replaces itself."""
+    rows.withColumn(RUN_ID, F.lit(run_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(RUN_ID).parquet(path)
+
+
+def read_snapshot(spark: SparkSession, path: str, runs: DataFrame, job: str) -> DataFrame:
+    """The rows of the job's latest successful run (F7/U7) from a table laid out by run: the
+    run id found in the log reaches the scan as a dynamic partition filter, so the folders
+    of all other runs are neither listed for reading nor opened."""
+    return latest_snapshot(spark.read.parquet(path), runs, job)
+
+
 def saved_watermarks(runs: DataFrame) -> DataFrame:
     """The saved high-water mark of every (consumer, job) (W4): the
     ``max_incremental_value`` of the latest finished succeeded run that has one.

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.scalars import day_series, is_weekday, week_start
+from ledgerflow.operators.ranges import interval_join
 
 BUCKETS = ("project_work", "client_bd", "internal_productive", "internal_admin", "exempt")
 REVENUE_DOCUMENTS = ("SalesOrd", "CustInvc", "CustCred")
@@ -14,6 +15,7 @@ REVENUE_ACCOUNT_TYPES = ("Income", "OthIncome", "DeferRevenue")
 REVENUE_CLASSES = ("revenue", "pass_through_travel", "pass_through_incentive")
 PASS_THROUGH_CLASSES = ("pass_through_travel", "pass_through_incentive")
 PENDING_PO_STATUSES = ("Pending Supervisor Approval", "Pending Billing")
+DAYS_OF_A_BIN = 32
 COST_CLASSES = ("field_cost", "incentive_cost", "travel_cost")
 
 
@@ -115,40 +117,28 @@ def categorize_time(
 def employee_days(employees: DataFrame, calendar_df: DataFrame, categorized: DataFrame) -> DataFrame:
     """The capacity spine: one row per employee per calendar day employed.
 
-    The range join ``day >= hire and (release is null or day <= release)`` is rewritten
-    as a per-employee day series clipped to the calendar window (J5): no nested-loop
-    join, and the work per employee is bounded by the window length, so a skewed
-    employee cannot make a hot task. The calendar is contiguous by construction, so its
-    week start and weekday flag are recomputed per day rather than joined back.
+    The calendar is joined, whatever days it holds: ``day >= hire and (release is null or
+    day <= release)`` is an interval join by bins of a month (J5), so there is no nested
+    loop, and an employee is at most one row per month of the calendar before the join.
     Exempt hours are pre-aggregated per (employee, day) before the join (J6).
     """
-    first_day = calendar_df.agg(F.min("date_day")).scalar()
-    last_day = calendar_df.agg(F.max("date_day")).scalar()
-    hire, release = F.col("hire_date"), F.col("release_date")
-    start = F.when(hire.isNotNull(), F.greatest(hire, first_day))
-    stop = F.least(F.coalesce(release, last_day), last_day)
-    spine = (
-        employees.select("employee_id", "hire_date", "release_date", "standard_hours_per_day")
-        .select(
-            "employee_id",
-            "standard_hours_per_day",
-            F.explode(day_series(start, stop)).alias("date_day"),
-        )
-    )
+    days = calendar_df.select("date_day", "week_start", "is_weekday")
+    spans = employees.select("employee_id", "hire_date", "release_date", "standard_hours_per_day")
+    spine = interval_join(days, spans, F.unix_date("date_day"), F.unix_date("hire_date"), F.unix_date("release_date"), DAYS_OF_A_BIN)
     exempt = categorized.groupBy("employee_id", "entry_date").agg(
         F.sum("exempt_hours").alias("exempt_hours")
     )
     joined = spine.join(
         exempt.withColumnRenamed("entry_date", "date_day"), ["employee_id", "date_day"], "left"
     )
-    weekday = is_weekday(F.col("date_day"))
+    weekday = F.col("is_weekday")
     std = F.col("standard_hours_per_day")
     exempt_h = F.coalesce(F.col("exempt_hours"), F.lit(0))
     return joined.select(
         "employee_id",
         "date_day",
-        week_start(F.col("date_day")).alias("week_start"),
-        weekday.alias("is_weekday"),
+        "week_start",
+        "is_weekday",
         F.when(weekday, std).otherwise(F.lit(0)).cast("decimal(8,2)").alias("standard_hours"),
         exempt_h.cast("decimal(8,2)").alias("exempt_hours"),
         F.when(weekday, F.greatest(std - exempt_h, F.lit(0)))

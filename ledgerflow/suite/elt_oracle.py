@@ -336,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
         "tombstone_upsert": tombstone_upsert_sql(),
         "snapshot_latest_run": snapshot_latest_run_sql(),
         "incremental_bound": incremental_bound_sql(),
+        "landed_bound": incremental_bound_sql(),
+        "snapshot_partitioned": snapshot_latest_run_sql(),
         "lookback_reload": lookback_reload_sql(),
         "exclusive_to_inclusive": exclusive_to_inclusive_sql(),
         "epoch_roundtrip": epoch_roundtrip_sql(),

@@ -34,12 +34,13 @@ from ledgerflow.operators.load import (
     unknown_fields,
     upsert,
 )
-from ledgerflow.operators.runs import RUNS_SCHEMA, latest_snapshot
+from ledgerflow.operators.runs import RUNS_SCHEMA, append_snapshot, latest_snapshot, read_snapshot
 from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import contracts, reporting
 from ledgerflow.plans.standins import StandIns
 from ledgerflow.session import scratch_path
 from ledgerflow.sources.catalog import read_schema, update_schema
+from ledgerflow.sources.landed import Landed, land
 from ledgerflow.sources.records import unnest_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
 from ledgerflow.streaming.upsert import stream_upsert
@@ -226,6 +227,17 @@ def q_snapshot_latest_run(spark: SparkSession, sf: str) -> DataFrame:
     return latest_snapshot(raw, runs, "orders").select("o_orderkey", "o_orderstatus", "_run_id")
 
 
+def q_snapshot_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a table laid out by run; a failed run's rows are there too."""
+    o, path = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), scratch_path(spark, "snapshots")
+    d = lambda day: datetime(2024, 1, day, tzinfo=UTC)
+    log = []
+    for day, (status, rows) in enumerate([("succeeded", o), ("succeeded", o.filter("o_orderstatus <> 'P'")), ("failed", o.limit(5))], 1):
+        append_snapshot(rows, path, f"run-{day}")
+        log.append(dict(run_id=f"run-{day}", consumer="erp", job="orders", status=status, started_at=d(day), finished_at=d(day)))
+    return read_snapshot(spark, path, _runs(spark, log), "orders").select("o_orderkey", "o_orderstatus", "_run_id")
+
+
 ORDER_SPEC = JobSpec("erp", "orders", ("o_orderkey",), IncrementalSpec("o_orderdate", "1995-01-01 00:00:00", "%Y-%m-%d %H:%M:%S"))
 
 
@@ -255,6 +267,15 @@ def q_incremental_bound(spark: SparkSession, sf: str) -> DataFrame:
     return _selected(incremental_filter(_order_records(spark, sf), ORDER_SPEC, bound))
 
 
+def q_landed_bound(spark: SparkSession, sf: str) -> DataFrame:
+    """the same bound below the JSON parse: orders in two landings, with a typed key."""
+    records, path = _order_records(spark, sf), scratch_path(spark, "landed-orders")
+    for half in (0, 1):
+        land(records.where(F.pmod("ordinal", F.lit(2)) == half), ORDER_SPEC, path, f"half-{half}")
+    bound = next_bound(_watermark_runs(spark, "erp", "orders", "1998-06-30 00:00:00"), ORDER_SPEC)
+    return _selected(Landed(path).since(spark, ORDER_SPEC, bound))
+
+
 def _event_offset_records(spark: SparkSession, sf: str) -> DataFrame:
     ev = _t(spark, sf, "events")
     local = F.from_utc_timestamp(F.col("ts").cast("timestamp"), "+02:00")
@@ -517,6 +538,8 @@ def queries() -> dict:
         "tombstone_upsert": q_tombstone_upsert,
         "snapshot_latest_run": q_snapshot_latest_run,
         "incremental_bound": q_incremental_bound,
+        "landed_bound": q_landed_bound,
+        "snapshot_partitioned": q_snapshot_partitioned,
         "lookback_reload": q_lookback_reload,
         "exclusive_to_inclusive": q_exclusive_to_inclusive,
         "epoch_roundtrip": q_epoch_roundtrip,

@@ -507,6 +507,7 @@ def oracle_sql() -> dict[str, str]:
         "date_dimension": date_dimension_sql(),
         "categorized_entries": categorized_entries_sql(),
         "employee_days": employee_days_sql(),
+        "employee_days_holidays": f"SELECT * FROM ({employee_days_sql()}) WHERE day(date_day) % 10 <> 5",
         "utilization_weekly": utilization_weekly_sql(),
         "capacity_from_released": capacity_from_released_sql(),
     }

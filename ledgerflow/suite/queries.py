@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import pages, reporting
+from ledgerflow.plans import intermediate, pages, reporting
 from ledgerflow.plans.standins import StandIns, for_driver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,13 @@ def q_employee_days(spark: SparkSession, sf: str) -> DataFrame:
     return for_driver(StandIns(spark, sf).capacity)
 
 
+def q_employee_days_holidays(spark: SparkSession, sf: str) -> DataFrame:
+    """R3/J5 over a calendar with holes: the 5th, 15th and 25th of a month are not in it."""
+    s = StandIns(spark, sf)
+    open_days = s.calendar.where(F.day("date_day") % 10 != 5)
+    return for_driver(intermediate.employee_days(s.employees, open_days, s.bucketed))
+
+
 def q_utilization_weekly(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
     return for_driver(reporting.utilization_weekly(s.capacity, s.bucketed, s.dim_employee))
@@ -148,6 +155,7 @@ def queries() -> dict[str, Query]:
         "date_dimension": q_date_dimension,
         "categorized_entries": q_categorized_entries,
         "employee_days": q_employee_days,
+        "employee_days_holidays": q_employee_days_holidays,
         "utilization_weekly": q_utilization_weekly,
         "capacity_from_released": q_capacity_from_released,
     }
