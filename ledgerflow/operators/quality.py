@@ -1,8 +1,7 @@
 """Data-quality checks and schema contracts (Q1-Q9).
 
 Each check yields its failing rows as a DataFrame; ``run_checks`` turns a list of checks
-into one summary frame ``(check, severity, failures, status)``. Column-level checks on
-the same table (not_null, accepted_values) share one aggregation pass.
+into one summary frame ``(check, severity, failures, status)`` and reads each table once.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,38 +113,102 @@ def failing_rows(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def _key_text(column: Column, kind: T.DataType) -> Column:
+    """A key in a form that is equal for equal keys of the two sides of a relationship."""
+    if isinstance(kind, T.IntegralType):
+        return column.cast("long").cast("string")
+    if isinstance(kind, T.DecimalType):
+        return column.cast("decimal(38,10)").cast("string")
+    return F.hex(column) if isinstance(kind, T.BinaryType) else column.cast("string")
+
+
+_ENTRY = "struct<check:int,key:array<string>,n:bigint,parent:boolean>"
+
+
+def _entry(number: int, key: Column | None, n: Column, parent: bool = False) -> Column:
+    fields = (F.lit(number), F.lit(None) if key is None else key, n, F.lit(parent))
+    return F.struct(*fields).cast(_ENTRY)
+
+
+def _table_entries(df: DataFrame, keys: dict[tuple[str, ...], list[tuple[int, str]]], rows: list[tuple[int, Column]]) -> DataFrame:
+    """Everything that the checks of one table need, from one reading of it: ``keys`` says
+    which checks want the distinct values of which columns, and in what part; ``rows`` are
+    conditions on a row that a check counts.
+
+    All sets of key columns and the whole table are the grouping sets of one aggregate, so a
+    key that a third of all rows hold is one row per task before the shuffle."""
+    names = list(dict.fromkeys(c for columns in keys for c in columns))
+    held = {c: f"__key{k}" for k, c in enumerate(names)}
+    kinds = {c: df.schema[c].dataType for c in names}
+    keyed = df.withColumns({held[c]: F.col(f"`{c}`") for c in names})
+    counted = [F.count(F.lit(1)).alias("__n"), *[F.count_if(bad).alias(f"__bad{k}") for k, (_, bad) in enumerate(rows)]]
+    whole = [_entry(number, None, F.col(f"__bad{k}")) for k, (number, _) in enumerate(rows)]
+    if not keys:
+        return df.agg(*counted).select(F.explode(F.array(*whole)).alias("e")).select("e.*")
+    sets = [[F.col(held[c]) for c in columns] for columns in keys]
+    grouped = keyed.groupingSets(sets + ([[]] if rows else []), *[F.col(held[c]) for c in names]).agg(
+        F.grouping_id().alias("__set"), *counted)
+    wanted = F.when(F.lit(False), F.array().cast(f"array<{_ENTRY}>"))
+    n = F.col("__n")
+    for columns, parts in keys.items():
+        number = sum(1 << (len(names) - 1 - k) for k, c in enumerate(names) if c not in columns)
+        key = F.array(*[_key_text(F.col(held[c]), kinds[c]) for c in columns])
+        full = reduce(lambda a, b: a & b, [F.col(held[c]).isNotNull() for c in columns])
+        entries = []
+        for check, part in parts:
+            if part == "combination":
+                entries.append(F.when(n > 1, _entry(check, None, F.lit(1))))
+            elif part == "unique":
+                entries.append(F.when(full & (n > 1), _entry(check, None, F.lit(1))))
+            else:
+                entries.append(F.when(full, _entry(check, key, n if part == "child" else F.lit(0), part == "parent")))
+        wanted = wanted.when(F.col("__set") == number, F.array_compact(F.array(*entries)))
+    if rows:
+        wanted = wanted.when(F.col("__set") == (1 << len(names)) - 1, F.array(*whole))
+    return grouped.select(F.explode(wanted).alias("e")).select("e.*")
+
+
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Q9: summary ``check, severity, failures, status``. not_null and accepted_values on
-    the same table are counted in a single aggregation over that table."""
+    """Q9: summary ``check, severity, failures, status`` of all checks, each table read once.
+
+    A table's uniqueness checks, relationship keys and row conditions are one aggregate over
+    grouping sets. What it finds of all tables meets in one more aggregate by (check, key):
+    there a relationship's child keys are counted as failures unless a parent has them, so
+    no table is joined. Tables that are one and the same frame are read as one."""
     spark: SparkSession = next(iter(tables.values())).sparkSession
+    frames: dict[int, DataFrame] = {id(df): df for df in tables.values()}
+    keys: dict[int, dict[tuple[str, ...], list[tuple[int, str]]]] = {}
+    rows: dict[int, list[tuple[int, Column]]] = {}
     parts: list[DataFrame] = []
-    single_pass: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            single_pass.setdefault(c.table, []).append(c)
-    for table, cs in single_pass.items():
-        exprs = []
-        for c in cs:
-            col = F.col(c.columns[0])
-            bad = col.isNull() if c.kind == "not_null" else (col.isNotNull() & ~col.isin(*c.params["values"]))
-            exprs.append(F.count_if(bad).alias(c.name))
-        counts = tables[table].agg(*exprs)
-        stack = F.explode(
-            F.array(*[F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"),
-                               F.col(f"`{c.name}`").cast("bigint").alias("failures")) for c in cs])
-        ).alias("r")
-        parts.append(counts.select(stack).select("r.*"))
-    for c in checks:
-        if c.kind in ("not_null", "accepted_values"):
-            continue
-        if c.kind == "relationships":
-            n = orphan_count(tables[c.table], c.columns[0], tables[c.params["to"]], c.params["field"])
+
+    def want(table: str, columns: tuple[str, ...], number: int, part: str) -> None:
+        keys.setdefault(id(tables[table]), {}).setdefault(columns, []).append((number, part))
+
+    for number, c in enumerate(checks):
+        column = F.col(f"`{c.columns[0]}`") if c.columns else None
+        if c.kind == "unique":
+            want(c.table, (c.columns[0],), number, "unique")
+        elif c.kind == "unique_combination":
+            want(c.table, tuple(c.columns), number, "combination")
+        elif c.kind == "relationships":
+            want(c.table, (c.columns[0],), number, "child")
+            want(c.params["to"], (c.params["field"],), number, "parent")
+        elif c.kind in ("not_null", "accepted_values", "expression"):
+            bad = {"not_null": lambda: column.isNull(),
+                   "accepted_values": lambda: column.isNotNull() & ~column.isin(*c.params["values"]),
+                   "expression": lambda: ~F.coalesce(F.expr(c.params["expr"]), F.lit(False))}[c.kind]()
+            rows.setdefault(id(tables[c.table]), []).append((number, bad))
         else:
-            n = failing_rows(tables, c).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-        parts.append(n.select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures"))
+            found = failing_rows(tables, c).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(found.select(_entry(number, None, F.col("n")).alias("e")).select("e.*"))
+    parts += [_table_entries(df, keys.get(k, {}), rows.get(k, [])) for k, df in frames.items() if k in keys or k in rows]
+    listed = spark.createDataFrame([(n, c.name, c.severity) for n, c in enumerate(checks)], "number int, name string, severity string")
     if not parts:
-        return spark.createDataFrame([], "check string, severity string, failures bigint, status string")
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+        return listed.select(F.col("name").alias("check"), "severity", F.lit(0).cast("bigint").alias("failures"), F.lit("pass").alias("status"))
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("check", "key").agg(F.sum("n").alias("n"), F.bool_or("parent").alias("parent"))
+    failed = per_key.where(~F.col("parent")).groupBy(F.col("check").alias("number")).agg(F.sum("n").alias("failures"))
+    out = listed.join(failed, "number", "left").select(
+        F.col("name").alias("check"), "severity", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
     return out.withColumn(
         "status",
         F.when(F.col("failures") == 0, F.lit("pass"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerflow.operators.quality import Check
+from ledgerflow.sources.seeds import ACCOUNT_CLASS_CODES, CATEGORY_CODES
 
 
 def _columns(text: str) -> list[tuple[str, str]]:
@@ -75,3 +76,44 @@ def model_checks() -> list[Check]:
         else:
             out.append(Check(f"unique_{model}", model, "unique_combination", key))
     return out
+
+
+# fixed values: the tests declared for staging, seeds, intermediate models and reports
+ROW_KEYS = {
+    "stg_accounts": "account_id", "stg_customers": "customer_id", "stg_departments": "department_id", "stg_employees": "employee_id",
+    "stg_items": "item_id", "stg_projects": "project_id", "stg_time_entries": "time_entry_id", "stg_transactions": "transaction_id",
+    "int_calendar": "date_day", "int_time_entries__categorized": "time_entry_id",
+    "time_categories": "item_name", "account_classes": "account_number", "department_groups": "department_name",
+    "rpt_project_margin": "project_id",
+}
+COMBINATIONS = {
+    "stg_transaction_lines": ("transaction_id", "line_id"), "stg_transaction_accounting_lines": ("transaction_id", "line_id"),
+    "int_employee_days": ("employee_id", "date_day"), "rpt_utilization_weekly": ("employee_id", "week_start"),
+}
+REQUIRED = (("stg_employees", "standard_hours_per_day"), ("stg_time_entries", "hours"))
+ACCEPTED = (
+    ("dim_employee", "employment_status", ("Current", "Released")),
+    ("stg_projects", "project_status_rank", (1, 2, 3, 4, 5)),
+    ("int_time_entries__categorized", "category_code", (*CATEGORY_CODES, "unmapped")),
+    ("time_categories", "category_code", CATEGORY_CODES),
+    ("account_classes", "account_class", ACCOUNT_CLASS_CODES),
+)
+REFERENCES = (
+    ("fct_time_entries", "entry_date", "dim_date", "date_day", "error"),
+    ("fct_time_entries", "employee_id", "dim_employee", "employee_id", "warn"),
+)
+
+
+def project_checks() -> list[Check]:
+    """Every test that the project declares, over all layers, as one list for
+    ``quality.run_checks``."""
+    out = model_checks()
+    for model, key in ROW_KEYS.items():
+        out += [Check(f"unique_{model}_{key}", model, "unique", (key,)), Check(f"not_null_{model}_{key}", model, "not_null", (key,))]
+    out.append(Check("unique_rpt_top_clients_client_id", "rpt_top_clients", "unique", ("client_id",)))
+    out += [Check(f"unique_{model}", model, "unique_combination", columns) for model, columns in COMBINATIONS.items()]
+    out += [Check(f"not_null_{model}_{column}", model, "not_null", (column,)) for model, column in REQUIRED]
+    out += [Check(f"accepted_{model}_{column}", model, "accepted_values", (column,), {"values": list(values)}) for model, column, values in ACCEPTED]
+    out += [Check(f"relationship_{model}_{column}", model, "relationships", (column,), {"to": to, "field": field}, severity)
+            for model, column, to, field, severity in REFERENCES]
+    return out

@@ -122,7 +122,8 @@ def employee_days(employees: DataFrame, calendar_df: DataFrame, categorized: Dat
     loop, and an employee is at most one row per month of the calendar before the join.
     Exempt hours are pre-aggregated per (employee, day) before the join (J6).
     """
-    days = calendar_df.select("date_day", "week_start", "is_weekday")
+    day = F.col("date_day")
+    days = calendar_df.select("date_day", week_start(day).alias("week_start"), is_weekday(day).alias("is_weekday"))
     spans = employees.select("employee_id", "hire_date", "release_date", "standard_hours_per_day")
     spine = interval_join(days, spans, F.unix_date("date_day"), F.unix_date("hire_date"), F.unix_date("release_date"), DAYS_OF_A_BIN)
     exempt = categorized.groupBy("employee_id", "entry_date").agg(

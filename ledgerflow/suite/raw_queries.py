@@ -19,7 +19,7 @@ from ledgerflow.operators.runs import RUNS_SCHEMA
 from ledgerflow.plans import contracts, pages, reporting, staging
 from ledgerflow.plans.standins import StandIns, for_driver
 from ledgerflow.session import scratch_path
-from ledgerflow.sources import catalog
+from ledgerflow.sources import catalog, seeds
 from ledgerflow.sources.records import read_json_lines, records_from_json
 from ledgerflow.sources.vendors import load_pages, read_records, stream_pages
 from ledgerflow.spec import IncrementalSpec, JobSpec
@@ -386,6 +386,24 @@ def q_model_checks(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_checks(_models(StandIns(spark, sf)), contracts.model_checks())
 
 
+def q_project_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every declared test over staging, seeds, intermediate models, marts and
+    reports in one run. The shown calendar lacks a day and the shown work categories one
+    item, so a relationship and an accepted-values test fail on purpose."""
+    s = StandIns(spark, sf)
+    tables = _models(s) | {f"stg_{m}": q_staging(spark, sf, m) for m in STAGING} | {
+        "int_calendar": s.calendar, "int_time_entries__categorized": s.categorized, "int_employee_days": s.capacity,
+        "time_categories": seeds.time_categories(spark).withColumn(
+            "category_code", F.when(F.col("item_name") == "FMLA", "leave").otherwise(F.col("category_code"))),
+        "account_classes": seeds.account_classes(spark), "department_groups": seeds.department_groups(spark),
+        "rpt_utilization_weekly": reporting.utilization_weekly(s.capacity, s.bucketed, s.dim_employee),
+        "rpt_top_clients": reporting.top_clients(s.resolved, s.dim_client, n=15),
+        "rpt_project_margin": reporting.project_margin(s.dim_project, s.financial_lines, s.categorized),
+        "dim_date": s.dim_date.where("date_day <> date'2024-01-10'"),
+    }
+    return quality.run_checks(tables, contracts.project_checks())
+
+
 def q_model_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """All twelve published models against their contracts; no dimension or fact
     among them shows a rate or a per-entry cost (the margin report has costs per project)."""
@@ -422,24 +440,59 @@ def margin_by_client_sql() -> str:
         FROM ({oracle.project_margin_sql()}) AS m GROUP BY ROLLUP (client_name, project_status_label)"""
 
 
-def model_checks_sql() -> str:
-    financial = oracle.financial_lines_sql()
-    source = {
-        "dim_date": oracle.date_dimension_sql(), "dim_employee": oracle.with_(oracle.EMP) + "SELECT employee_id FROM emp",
+def _values_sql(columns: str, rows: list[tuple]) -> str:
+    quoted = ", ".join("(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {quoted}) AS v({columns})"
+
+
+def _sources() -> dict[str, str]:
+    """Each checked model's rows, in SQL."""
+    return {
+        "dim_date": oracle.date_dimension_sql(), "dim_employee": elt_oracle.employee_dimension_sql(),
         "dim_client": oracle.with_(oracle.CLIENTS) + "SELECT client_id FROM clients",
         "dim_project": oracle.with_(oracle.PROJ) + "SELECT project_id FROM proj",
         "dim_item": oracle.with_(oracle.ITEMS) + "SELECT item_id FROM items",
-        "fct_time_entries": oracle.with_(oracle.TE) + "SELECT time_entry_id FROM te",
-        "fct_employee_capacity": oracle.employee_days_sql(), "fct_project_financials": financial,
+        "fct_time_entries": oracle.categorized_entries_sql(),
+        "fct_employee_capacity": oracle.employee_days_sql(), "fct_project_financials": oracle.financial_lines_sql(),
+    } | {f"stg_{m}": sql for m, (_, _, sql) in STAGING.items()} | {
+        "int_calendar": oracle.calendar_sql(), "int_time_entries__categorized": oracle.categorized_entries_sql(),
+        "int_employee_days": oracle.employee_days_sql(),
+        "time_categories": _values_sql("item_name, category_code", [(r[0], "leave" if r[0] == "FMLA" else r[1]) for r in seeds.TIME_CATEGORIES]),
+        "account_classes": _values_sql("account_number, account_class", [r[:2] for r in seeds.ACCOUNT_CLASSES]),
+        "department_groups": _values_sql("department_name, group_name", seeds.DEPARTMENT_GROUPS),
+        "rpt_utilization_weekly": oracle.utilization_weekly_sql(), "rpt_top_clients": oracle.top_clients_sql(),
+        "rpt_project_margin": oracle.project_margin_sql(),
     }
+
+
+def _checks_sql(checks: list[quality.Check], source: dict[str, str]) -> str:
+    models = dict.fromkeys(m for c in checks for m in (c.table, c.params.get("to")) if m)
     parts = []
-    for c in contracts.model_checks():
-        keys = ", ".join(c.columns)
-        rows = f"FROM ({source[c.table]}) AS m"
-        counted = (f"SELECT count(*) {rows} WHERE {keys} IS NULL" if c.kind == "not_null" else
-                   f"SELECT count(*) FROM (SELECT {keys} {rows} WHERE {c.columns[0]} IS NOT NULL GROUP BY {keys} HAVING count(*) > 1)")
+    for c in checks:
+        keys, first = ", ".join(c.columns), c.columns[0]
+        if c.kind == "not_null":
+            counted = f"SELECT count(*) FROM m_{c.table} WHERE {first} IS NULL"
+        elif c.kind == "accepted_values":
+            listed = ", ".join(repr(v) for v in c.params["values"])
+            counted = f"SELECT count(*) FROM m_{c.table} WHERE {first} NOT IN ({listed})"
+        elif c.kind == "relationships":
+            counted = (f"SELECT count(*) FROM m_{c.table} AS x WHERE {first} IS NOT NULL AND NOT EXISTS "
+                       f"(SELECT 1 FROM m_{c.params['to']} AS y WHERE y.{c.params['field']} = x.{first})")
+        else:
+            known = f"WHERE {first} IS NOT NULL" if c.kind == "unique" else ""
+            counted = f"SELECT count(*) FROM (SELECT {keys} FROM m_{c.table} {known} GROUP BY {keys} HAVING count(*) > 1)"
         parts.append(elt_oracle._check(c.name, c.severity, counted))
-    return "\nUNION ALL\n".join(parts)
+    return "WITH " + ",\n".join(f"m_{m} AS MATERIALIZED ({source[m]})" for m in models) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def model_checks_sql() -> str:
+    return _checks_sql(contracts.model_checks(), _sources())
+
+
+def project_checks_sql() -> str:
+    source = _sources()
+    source["dim_date"] = f"SELECT * FROM ({source['dim_date']}) WHERE date_day <> DATE '2024-01-10'"
+    return _checks_sql(contracts.project_checks(), source)
 
 
 def model_contracts_sql() -> str:
@@ -475,6 +528,7 @@ def queries() -> dict[str, Query]:
         "set_equality": q_set_equality,
         "margin_by_client": q_margin_by_client,
         "model_checks": q_model_checks,
+        "project_checks": q_project_checks,
         "model_contracts": q_model_contracts,
     }
 
@@ -500,5 +554,6 @@ def oracle_sql() -> dict[str, str]:
         "set_equality": SET_EQUALITY_SQL,
         "margin_by_client": margin_by_client_sql(),
         "model_checks": model_checks_sql(),
+        "project_checks": project_checks_sql(),
         "model_contracts": model_contracts_sql(),
     }
