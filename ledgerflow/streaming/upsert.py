@@ -5,11 +5,15 @@ per micro-batch); each micro-batch is validated, coerced, stamped, reduced to th
 per key and upserted into the touched buckets, exactly like a batch run (``foreachBatch``).
 The stream checkpoint (in the shared checkpoint folder) replaces the run-log watermark:
 files already processed are never re-read, and a restarted query resumes where it stopped.
+
+A micro-batch is committed once. Its run id is made of the stream (its checkpoint) and the
+epoch, so when Spark replays an epoch - it does if a query stops between the load and its own
+commit - the run is found in the log and the batch is not loaded again.
 """
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +27,11 @@ from ledgerflow.spec import JobSpec
 FILES_PER_BATCH = 1000
 
 
+def epoch_run(checkpoint: str, epoch_id: int) -> str:
+    """The run id of a stream's epoch."""
+    return f"stream-{hashlib.sha256(checkpoint.rstrip('/').encode()).hexdigest()[:16]}-{epoch_id:012d}"
+
+
 def stream_upsert(
     spark: SparkSession,
     source_dir: str,
@@ -48,7 +57,7 @@ def stream_upsert(
             schema,
             warehouse,
             full_refresh=True,  # the stream checkpoint already selects unseen input
-            run_id=f"stream-{epoch_id}-{datetime.now(UTC).strftime('%Y%m%d%H%M%S%f')}",
+            run_id=epoch_run(ckpt, epoch_id),
         )
 
     writer = lines.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", ckpt)
