@@ -270,6 +270,10 @@ class StandIns:
     def capacity(self) -> DataFrame:
         return intermediate.employee_days(self.employees, self.calendar, self.bucketed)
 
+    def capacity_on(self, entries: DataFrame) -> DataFrame:
+        """The capacity spine with the exempt hours of the given entries."""
+        return intermediate.employee_days(self.employees, self.calendar, entries)
+
     @cached_property
     def financial_lines(self) -> DataFrame:
         return intermediate.project_financial_lines(

@@ -501,6 +501,9 @@ def oracle_sql() -> dict[str, str]:
         "financial_lines": financial_lines_sql(),
         "project_margin": project_margin_sql(),
         "client_hours": client_hours_sql(),
+        "maintained_utilization": utilization_weekly_sql(),
+        "maintained_client_hours": client_hours_sql(),
+        "maintained_margin": project_margin_sql(),
         "top_clients": top_clients_sql(),
         "task_breakdown": task_breakdown_sql(),
         "calendar": calendar_sql(),
