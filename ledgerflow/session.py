@@ -86,6 +86,13 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in any store that Spark reads."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf).exists(place)
+
+
 def spread_skinny(df):
     """Round-robin ``df`` over the task slots when it has fewer partitions than slots
     (a single-file or single-row-group input), so heavy per-row work after it runs in

@@ -113,6 +113,7 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("escape", '"')  # a quote inside quotes is doubled
         .csv(path)
     )
 
