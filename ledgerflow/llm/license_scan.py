@@ -9,7 +9,7 @@ match is exact (pigeonhole). One Aho-Corasick pass over the line finds all seeds
 each the ``regex`` library's bounded-error matching decides and gives span and edits. Of
 overlapping finds the one with the smaller share of edits, then the longer, stands; what it
 leaves free of a stretch is searched again, before it and behind it, so a better copy never
-hides another one.
+hides another one. Copies without edits are placed before any fuzzy search.
 
 Defined results: NULL is empty; a text without words has no finds and score 0; finds of
 repeated notices count each; rows that repeat an id are returned each; an empty table gives
@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -50,6 +52,26 @@ NOTICES = {
     "all rights reserved": "reserved",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "proprietary and confidential": "proprietary",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "altered source versions must be plainly marked as such": "zlib",
+    "this software is provided as is without any express or implied warranty": "zlib",
+    "under the terms of the eclipse public license": "epl",
+    "distributed under the boost software license version 1 0": "bsl-1.0",
+    "cc0 1 0 universal public domain dedication": "cc0",
+    "has waived all copyright and related or neighboring rights": "cc0",
+    "licensed under the artistic license 2 0": "artistic-2.0",
+    "redistributions of source code must retain the above copyright notice": "bsd",
+    "redistributions in binary form must reproduce the above copyright notice": "bsd",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "licensed under the academic free license version 3 0": "afl-3.0",
+    "sil open font license version 1 1": "ofl-1.1",
+    "python software foundation license version 2": "psf-2.0",
+    "gnu free documentation license": "gfdl",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "microsoft public license ms pl": "ms-pl",
+    "do what the fuck you want to public license": "wtfpl",
 }
 PER_EDIT = 10  # characters of a notice for each edit allowed
 STRETCH = 4  # windows of a notice that one stretch spans at most, so long texts cost linear time
@@ -66,12 +88,21 @@ def seeds(notice: str, edits: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cut, cut[1:])]
 
 
+def _places(line: str, notice: str, lo: int, hi: int) -> Iterator[int]:
+    """Where the notice stands in a stretch of the line."""
+    at = line.find(notice, lo, hi)
+    while at >= 0:
+        yield at
+        at = line.find(notice, at + 1, hi)
+
+
 class Scanner:
     def __init__(self, notices: dict[str, str] | None = None, per_edit: int = PER_EDIT):
         import ahocorasick
         import regex
 
         self.notices = []
+        self.exact = list(NOTICES if notices is None else notices)
         found: dict[str, list[tuple[int, int]]] = {}
         for notice, label in (NOTICES if notices is None else notices).items():
             edits = max(1, len(notice) // per_edit)
@@ -113,19 +144,29 @@ class Scanner:
                 edits = sum(m.fuzzy_counts)
                 heappush(best, (edits / length, m.start() - m.end(), label, m.start(), m.end(), edits, n, lo, hi))
 
-        for n, spans in self.candidates(line).items():
-            for lo, hi in spans:
-                search(n, max(lo, 0), min(hi, len(line)))
-        while best:
-            _, _, label, start, end, edits, n, lo, hi = heappop(best)
+        def take(label: str, start: int, end: int, edits: int) -> None:
             at = bisect_right(ends, start)
             if at == len(starts) or starts[at] >= end:
                 starts.insert(at, start)
                 ends.insert(at, end)
                 out.append((label, start, end, edits))
+
+        def search_free(n: int, lo: int, hi: int) -> None:
             first, last = bisect_right(ends, lo), bisect_left(starts, hi)
             for a, b in zip([lo, *ends[first:last]], [*starts[first:last], hi]):
                 search(n, a, b)
+
+        found = [(n, max(lo, 0), min(hi, len(line))) for n, spans in self.candidates(line).items() for lo, hi in spans]
+        # finds without edits come first whatever else there is, and need no fuzzy search
+        for less, label, start in sorted((-len(self.exact[n]), self.notices[n][0], at) for n, lo, hi in found
+                                         for at in _places(line, self.exact[n], lo, hi)):
+            take(label, start, start - less, 0)
+        for n, lo, hi in found:
+            search_free(n, lo, hi)
+        while best:
+            _, _, label, start, end, edits, n, lo, hi = heappop(best)
+            take(label, start, end, edits)
+            search_free(n, lo, hi)
         return sorted(out, key=lambda f: f[1])
 
 
@@ -134,9 +175,11 @@ def base_places(words: bytes) -> list[tuple[int, str]]:
     line, out = b" " + words + b" ", []
     for phrase, label in BASE.items():
         phrase = b" " + phrase + b" "
-        at = line.find(phrase)
+        at, counted, word = line.find(phrase), 0, 0
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+            word += line.count(b" ", counted, at)  # from the last place on, so every byte once
+            counted = at
+            out.append((word, label))
             at = line.find(phrase, at + 1)
     return sorted(out)
 
@@ -155,8 +198,9 @@ def scan(text: str, scanner: Scanner) -> tuple:
     rows, score = [], 1.0 if base else 0.0
     if finds:
         spans = _word_spans(text)
+        after = list(accumulate(len(w) + 1 for w in line.split(" ")))  # where the next word starts
         for label, start, end, edits in finds:
-            first, last = line.count(" ", 0, start + 1), line.count(" ", 0, max(start + 1, end - 1))
+            first, last = bisect_right(after, start + 1), bisect_right(after, max(start + 1, end - 1))
             rows.append({"label": label, "first_word": first, "last_word": last,
                          "start": spans[first][0], "end": spans[last][1], "edits": edits})
             score = max(score, 1.0 - edits / (end - start))

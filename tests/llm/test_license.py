@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import license_scan as ls
 
@@ -126,3 +128,32 @@ def test_all_copies_of_a_stretch(seed):
     got, want = ls.Scanner(notices).finds(line), _brute_finds(line, notices)
     assert len(want) >= 6 and [(f[0], f[3]) for f in got] == [(f[0], f[3]) for f in want]
     assert all(g[1] < w[2] and w[1] < g[2] for g, w in zip(got, want))
+
+
+def test_long_texts_and_repeated_ids(spark):
+    """Five megabytes of hits cost time in proportion, and rows that repeat an id stay."""
+    unit = "Released under the MIT License. "
+    texts = ["cc-by " * 800_000, unit * 160_000, "x " + unit, "x " + unit]
+    started = time.monotonic()
+    docs = spark.createDataFrame([(n, t) for n, t in zip((1, 2, 3, 3), texts)], "doc_id long, text string").repartition(4)
+    rows = ls.scan_documents(docs).select(
+        "doc_id", "n_words", "n_base", "last_word", "labels", F.size("finds").alias("n"),
+        F.element_at("finds", -1).alias("last")).collect()
+    assert time.monotonic() - started < 60
+    got = {r["doc_id"]: r for r in rows}
+    assert len(rows) == 4 and sum(r["doc_id"] == 3 and r["n"] == 1 for r in rows) == 2
+    assert (got[1]["n_words"], got[1]["n_base"], got[1]["last_word"]) == (1_600_000, 800_000, 1_599_998)
+    assert got[2]["labels"] == "mit" and got[2]["n"] == 160_000
+    assert (got[2]["last"]["first_word"], got[2]["last"]["last_word"]) == (799_995, 799_999)
+    assert (got[2]["last"]["start"], got[2]["last"]["end"]) == (159_999 * 32, 159_999 * 32 + 30)
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee", "isc"),
+    ("Altered source versions must be plainly marked as such", "zlib"), ("Distributed under the Boost Software License, Version 1.0.", "bsl-1.0"),
+    ("made available under the terms of the Eclipse Public License", "epl"), ("CC0 1.0 Universal (Public Domain Dedication)", "cc0"),
+    ("Neither the name of the copyright holder nor the names of its contributers may", "bsd-3-clause"),
+    ("Licensed under the Artistic License 2.0", "artistic-2.0"),
+])
+def test_further_notices(text, label):
+    assert label in ls.scan(text, ls._scanner())[5].split(",")
