@@ -76,7 +76,10 @@ LABELERS = ("v_format", "v_gazetteer", "v_context", "v_ends")
 CONTEXT = 48  # characters before a candidate that the context labeler reads
 ROUNDS = 60
 
-_SPANS = "array<struct<s: int, e: int, t: string, before: string, after: string>>"
+BLOCK = 64  # items that a fold gathers at once
+CHUNK = 512  # characters that a text is cut into before it is put together again
+
+_SPAN = "struct<s: int, e: int, t: string, before: string, after: string>"
 
 
 def _q(pattern: str) -> str:
@@ -84,22 +87,45 @@ def _q(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _folded(size: str, start: str, kind: str, step: str) -> str:
+    """SQL: a fold over the places 0 to ``size`` - 1 that carries a value and puts out items.
+
+    ``step`` turns the state ``a`` (``c`` carried, ``out`` items of this block) and place
+    ``i`` into the next state. Items are gathered in blocks, as an append copies its array:
+    the cost grows with the places, not with their square. Gives (c, out)."""
+    none = f"cast(array() as array<{kind}>)"
+    block = f"""aggregate(sequence(k * {BLOCK}, least({size}, (k + 1) * {BLOCK}) - 1),
+        named_struct('c', b.c, 'out', {none}), (a, i) -> {step})"""
+    return f"""aggregate(sequence(0, shiftright({size} - 1, {BLOCK.bit_length() - 1})),
+        named_struct('c', {start}, 'out', cast(array() as array<array<{kind}>>)),
+        (b, k) -> transform(array({block}), r -> named_struct('c', r.c, 'out', array_append(b.out, r.out)))[0],
+        b -> named_struct('c', b.c, 'out', flatten(b.out)))"""
+
+
 def _located(name: str) -> Column:
     """The hits of one pattern with places and surroundings, from the matches ``h_name``
     and the texts around them ``p_name``."""
-    return F.expr(f"""
-        if(size(h_{name}) = 0, cast(array() as {_SPANS}),
-          aggregate(sequence(0, size(h_{name}) - 1),
-            named_struct('at', 0, 'out', cast(array() as {_SPANS})),
-            (a, i) -> named_struct(
-              'at', a.at + length(p_{name}[i]) + length(h_{name}[i]),
+    step = f"""named_struct(
+              'c', a.c + length(p_{name}[i]) + length(h_{name}[i]),
               'out', array_append(a.out, named_struct(
-                's', a.at + length(p_{name}[i]),
-                'e', a.at + length(p_{name}[i]) + length(h_{name}[i]),
+                's', a.c + length(p_{name}[i]),
+                'e', a.c + length(p_{name}[i]) + length(h_{name}[i]),
                 't', h_{name}[i],
                 'before', right(p_{name}[i], {CONTEXT}),
-                'after', left(p_{name}[i + 1], 1)))),
-            a -> a.out))""")
+                'after', left(p_{name}[i + 1], 1))))"""
+    return F.expr(f"""if(size(h_{name}) = 0, cast(array() as array<{_SPAN}>),
+        {_folded(f'size(h_{name})', '0', _SPAN, step)}.out)""")
+
+
+def _meets(spans: str) -> str:
+    """SQL condition: ``x`` overlaps one of the sorted ``spans``, which do not overlap each
+    other - the last of those that start before its end, found by halving."""
+    return f"""(size({spans}) > 0 and aggregate(sequence(1, length(bin(size({spans})))),
+        named_struct('lo', 0, 'hi', size({spans})),
+        (a, n) -> if(a.lo >= a.hi, a, if({spans}[shiftright(a.lo + a.hi, 1)].s < x.e,
+          named_struct('lo', shiftright(a.lo + a.hi, 1) + 1, 'hi', a.hi),
+          named_struct('lo', a.lo, 'hi', shiftright(a.lo + a.hi, 1)))),
+        a -> if(a.lo > 0, {spans}[a.lo - 1].e > x.s, false)))"""
 
 
 def _valid(kind: str) -> str:
@@ -169,13 +195,11 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.select("*", *[
         F.when(F.size(f"h_{n}") > 0, F.split("_text", patterns[n], -1)).alias(f"p_{n}") for n in names])
     step = step.select(*docs.columns, *[_located(n).alias(f"l_{n}") for n in names])
-    base = ", ".join(
-        f"transform(filter(l_{k}, x -> {_valid(k)}), x -> struct('{k}' as kind, true as base, x.s, x.e, x.t, x.before, x.after))"
-        for k in BASE)
-    step = step.select(*docs.columns, "l_other", F.expr(f"concat({base})").alias("b"))
-    free = f"""transform(filter(l_other, x -> not exists(b, y -> y.s < x.e and x.s < y.e)),
+    step = step.select(*docs.columns, "l_other", *[F.expr(f"filter(l_{k}, x -> {_valid(k)})").alias(f"b_{k}") for k in BASE])
+    as_base = [f"transform(b_{k}, x -> struct('{k}' as kind, true as base, x.s, x.e, x.t, x.before, x.after))" for k in BASE]
+    free = f"""transform(filter(l_other, x -> not ({' or '.join(_meets(f'b_{k}') for k in BASE)})),
         x -> struct({_kind_of_proposal()} as kind, false as base, x.s, x.e, x.t, x.before, x.after))"""
-    step = step.select(*docs.columns, F.expr(f"concat(b, {free})").alias("c"))
+    step = step.select(*docs.columns, F.expr(f"concat({', '.join(as_base)}, {free})").alias("c"))
     votes = ", ".join(f"{sql} as {name}" for name, sql in _votes().items())
     return step.select(*docs.columns, F.expr(f"""transform(c, x -> struct(x.kind, x.base, x.s, x.e, {votes},
         cast(least(4, (x.e - x.s) div 8) as int) as size,
@@ -288,25 +312,43 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     )
 
 
+def _between(start: str, end: str) -> str:
+    """SQL: the text from ``start`` to ``end``, from its pieces ``_chunks``: only those in
+    between are walked."""
+    first = f"({start} - q * {CHUNK})"
+    return f"""if({end} > {start}, array_join(transform(
+        sequence(cast({start} div {CHUNK} as int), cast(({end} - 1) div {CHUNK} as int)), q -> substring(_chunks[q],
+          greatest({first}, 0) + 1, least({end} - q * {CHUNK}, {CHUNK}) - greatest({first}, 0))), ''), '')"""
+
+
 def redact(docs: DataFrame, text: str = "text", count: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are
-    replaced together under the first one's kind."""
-    weights = fit(materialize(with_candidates(docs.select(docs[text].alias("_body")), "_body").drop("_body"), "pii-candidates"))
+    replaced together under the first one's kind.
+
+    The rows are written once with their candidates to the checkpoint folder; the model is
+    fitted on them and the texts are cut from them, so the texts are matched once."""
     names = [f"_{n}" for n in range(len(docs.columns))]  # the caller's names cannot clash with ours
     body, inner = names[docs.columns.index(text)], docs.toDF(*names)
-    step = with_candidates(inner, body).select(*names, F.expr(_chosen(weights)).alias("_spans"))
-    merged = """aggregate(array_sort(transform(_spans, x -> struct(x.s as s, -x.e as e, x.kind as kind))),
-        cast(array() as array<struct<s: int, e: int, kind: string>>),
-        (a, x) -> if(size(a) > 0 and x.s < element_at(a, -1).e,
-          concat(slice(a, 1, size(a) - 1), array(struct(
-            element_at(a, -1).s as s, greatest(element_at(a, -1).e, -x.e) as e, element_at(a, -1).kind as kind))),
-          array_append(a, struct(x.s as s, -x.e as e, x.kind as kind))))"""
-    step = step.select(*names, F.expr(f"if(size(_spans) > 0, {merged}, null)").alias("_cuts"))
+    found = materialize(with_candidates(inner, body), "pii-candidates")
+    step = found.select(*names, F.expr(_chosen(fit(found))).alias("_spans"))
+    step = step.select(*names, F.expr(
+        "array_sort(transform(_spans, x -> struct(x.s as s, -x.e as e, x.kind as kind)))").alias("_spans"))
+    cut = "struct<s: int, e: int, kind: string>"
+    span = "named_struct('s', _spans[i].s, 'e', -_spans[i].e, 'kind', _spans[i].kind)"
+    # carried is the span that later ones may still widen; it is put out when one starts behind it
+    step = step.select(*names, "_spans", F.expr(f"""if(size(_spans) > 0, {_folded(
+        'size(_spans)', f'cast(null as {cut})', cut, f"""case
+            when a.c is null then named_struct('c', {span}, 'out', a.out)
+            when _spans[i].s < a.c.e then named_struct(
+              'c', named_struct('s', a.c.s, 'e', greatest(a.c.e, -_spans[i].e), 'kind', a.c.kind), 'out', a.out)
+            else named_struct('c', {span}, 'out', array_append(a.out, a.c)) end""")}, null)""").alias("_merged"))
+    step = step.select(*names, F.expr("if(_merged is null, null, array_append(_merged.out, _merged.c))").alias("_cuts"))
+    step = step.select(*names, "_cuts", F.expr(
+        f"if(_cuts is null, null, regexp_extract_all({body}, '(?s).{{1,{CHUNK}}}', 0))").alias("_chunks"))
+    before = "if(i = 0, 0, _cuts[i - 1].e)"
     clean = f"""if(_cuts is null, {body}, concat(
-        array_join(transform(_cuts, (x, i) -> concat(
-          substring({body}, if(i = 0, 0, _cuts[i - 1].e) + 1, x.s - if(i = 0, 0, _cuts[i - 1].e)),
-          '[', upper(x.kind), ']')), ''),
-        substring({body}, element_at(_cuts, -1).e + 1)))"""
+        array_join(transform(_cuts, (x, i) -> concat({_between(before, 'x.s')}, '[', upper(x.kind), ']')), ''),
+        {_between('element_at(_cuts, -1).e', f'length({body})')}))"""
     out = step.withColumn("_clean", F.expr(clean))
     return out.select(*[
         F.col("_clean").alias(c) if c == text
