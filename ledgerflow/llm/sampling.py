@@ -7,6 +7,8 @@ import warnings
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.session import materialize
+
 MOST_CLASSES = 500
 
 
@@ -35,3 +37,17 @@ def sample_per_class(rows: DataFrame, label: str, key: str, most: int, most_clas
     cuts = {r[0]: top if r[1] <= most else int(most / r[1] * 2.0 ** 64) - (1 << 63) for r in counts}
     cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])[F.col(label)]
     return rows.where(F.xxhash64(F.col(key), F.lit("sample")) <= cut)
+
+
+def sample_every_class(rows: DataFrame, label: str, key: str, most: int, at_least: int = 1) -> DataFrame:
+    """As :func:`sample_per_class`, of every class with ``at_least`` rows, however many there
+    are: only classes with more than ``most`` rows, or too few, have a share of their own,
+    and those shares are a written table that the planner broadcasts if its size allows."""
+    rows = rows.where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    cut = rows.groupBy(F.col(label).alias("_class")).count().where((F.col("count") > most) | (F.col("count") < at_least))
+    wide = F.expr(f"cast({float(most)}D / count * {2.0 ** 64}D as decimal(38,0)) - {1 << 63}BD")
+    share = F.when(F.col("count") < at_least, F.lit(-(1 << 63))).otherwise(wide.cast("long"))
+    cuts = materialize(cut.select("_class", share.alias("_cut")), "class-shares")
+    joined = rows.join(cuts, F.col(label) == F.col("_class"), "left")
+    kept = F.col("_cut").isNull() | (F.xxhash64(F.col(key), F.lit("sample")) < F.col("_cut"))
+    return joined.where(kept).select(*[rows[c] for c in rows.columns])

@@ -130,15 +130,56 @@ def test_trigrams_over_pieces(monkeypatch):
 
 
 def test_stray_language_values_stop_nothing(spark):
-    """More values than a model holds: the frequent ones are learnt, every document is scored."""
+    """Every value is learnt, or those with enough texts; every document is scored."""
     real = [(t, l) for t, l in (("the dog and the cat", "en"), ("der hund und die katze", "de")) for _ in range(20)]
     rows = [(i, t, l) for i, (t, l) in enumerate(real + [("the dog", f"stray {n}") for n in range(10_001)])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
-    with pytest.warns(UserWarning, match="more than 2 values"):
-        model = language_id.fit(docs, most_languages=2)
+    model = language_id.fit(docs)
+    assert len(model.languages) == 10_003 and model.words.shape == (10_003, 133)
+    assert language_id.predict(docs.limit(100), model).count() == 100
+    model = language_id.fit(docs, at_least=2)
     assert model.languages == ["de", "en"]
     assert [model.predict(t)[0] for t in ("the dog", "die katze")] == ["en", "de"]
     assert language_id.predict(docs, model).count() == len(rows)
     with pytest.warns(UserWarning):
         sampled = sampling.sample_per_class(docs, "lang", "doc_id", 5)
     assert {"en", "de"} <= {r["lang"] for r in sampled.collect()} and sampled.select("lang").distinct().count() <= sampling.MOST_CLASSES
+
+
+def test_six_hundred_languages(spark):
+    """Languages of made-up words: all learnt, and texts not learnt from are told."""
+    def text(n, seed):
+        words = np.random.default_rng(n).integers(97, 123, (12, 5))
+        pick = np.random.default_rng([n, seed, 1]).integers(0, 12, 40)
+        return " ".join("".join(map(chr, words[k])) for k in pick)
+
+    rows = [(n * 4 + k, text(n, k), f"l{n:03d}") for n in range(600) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = language_id.fit(docs, calibrated=1000)
+    assert len(model.languages) == 600
+    assert np.mean([model.predict(text(n, 99))[0] == f"l{n:03d}" for n in range(0, 600, 3)]) >= 0.97
+
+
+def test_bit_weights_from_counts(spark):
+    rng, languages, words = np.random.default_rng(3), [f"l{n}" for n in range(9)], language_id.code(9)
+    counts = {(l, int(g)): float(rng.integers(1, 50)) for l in languages for g in rng.choice(language_id.DIMS, 300, replace=False)}
+    frame = spark.createDataFrame([(*k, n) for k, n in counts.items()], "lang string, gram int, n double").repartition(5)
+    totals = np.array([sum(n for (l, _), n in counts.items() if l == x) for x in languages])
+    share = np.full((9, language_id.DIMS), language_id.SMOOTH)
+    for (l, g), n in counts.items():
+        share[languages.index(l), g] += n
+    share /= share.sum(axis=1, keepdims=True)
+    want = np.stack([np.log(share[words[:, b] == 1].mean(axis=0)) - np.log(share[words[:, b] == -1].mean(axis=0)) for b in range(words.shape[1])], axis=1)
+    got = language_id.bit_weights(frame, languages, totals, words)
+    assert got.shape == want.shape and np.allclose(got, want, atol=1e-5)
+
+
+def test_sample_of_every_class(spark):
+    rows = spark.range(20_000).selectExpr("id", "case when id % 4 = 0 then 'a' when id % 5 = 0 then null when id < 9 then 'c' else 'b' end l")
+    got = {r["l"]: r["count"] for r in sampling.sample_every_class(rows, "l", "id", 500).groupBy("l").count().collect()}
+    assert got["c"] == rows.where("l = 'c'").count() and set(got) == {"a", "b", "c"}
+    assert all(400 < got[l] < 600 for l in "ab")
+    old = sampling.sample_per_class(rows, "l", "id", 500)
+    assert sampling.sample_every_class(rows.repartition(3), "l", "id", 500).exceptAll(old).count() == 0
+    assert {r["l"] for r in sampling.sample_every_class(rows, "l", "id", 500, at_least=100).collect()} == {"a", "b"}
+    assert sampling.sample_every_class(rows.limit(0), "l", "id", 5).count() == 0
