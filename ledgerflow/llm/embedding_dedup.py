@@ -1,24 +1,26 @@
 """Embedding near-dedup by E8 lattice hashing.
 
 Identical vectors are one class with a weight. In each of ``TABLES`` tables a class's unit
-vector is projected at random onto 8 dimensions (or several times 8), scaled, and decoded
-to its E8 lattice point: its home cell. Every class also probes the ``PROBES`` neighbouring
-cells that its projection leans to most. Classes of which one probes, or shares, the
-other's home cell are candidates; cosines are verified in double precision.
-
-A cell is worked as blocks of at most ``BLOCK`` classes: a larger cell is dealt into parts
-and each pair of parts is a unit of its own, so no cell is one task's. Pairs are compared
-inside a unit as matrix products and never leave it: a unit returns for each class the
-weight of its new links, and a spanning forest of the links it saw. A pair that several
-tables or cells find is counted by the first table alone, and there by one cell; both ends'
-cells in all tables follow from the vectors, so a unit can tell.
+vector is projected at random onto ``LATTICES`` times 8 dimensions, scaled, and each eight
+decoded to an E8 lattice point; the points together are its home cell. Every class also
+probes the ``PROBES`` neighbouring cells that its projection leans to most. Classes of which
+one probes, or shares, the other's home cell are candidates; cosines are verified in double
+precision.
+
+Ids move before vectors. Cells are first counted and fingerprinted by the ids in them; cells
+of the very same classes become one unit, and each class's vector is sent once to each unit
+that it is in. A cell of more than ``BLOCK`` classes is dealt into parts, and each pair of
+parts is a unit of its own, so no cell is one task's. Pairs are compared inside a unit as
+matrix products and never leave it: a unit returns for each class the weight of its new
+links, and a spanning forest of the links it saw. A pair that several tables or cells find
+is counted in one cell, the first that makes it a candidate; both ends' cells in all tables
+follow from the vectors, so a unit can tell. A product within ``ROUNDING`` of the wanted
+cosine is worked out again in one fixed order, so every unit judges a pair alike.
 
 The lattice is scaled to the wanted cosine: two vectors at that cosine lie ``REACH`` apart
 after projection, on average (half the smallest distance of lattice points is 0.71). At
-cosine 0.95 in 64 dimensions the expected recall with the defaults is above 0.99 (tests
-measure it against brute force). Above ``ONE_LATTICE`` classes a cell is a pair of lattice
-points, which keeps cells small as the corpus grows, with so many more tables and probes
-that the recall stays the same (``setting``).
+cosine 0.95 the expected recall with the defaults is above 0.99 for 16 to 384 dimensions, at
+any number of vectors, as nothing depends on it (tests measure it against brute force).
 
 Defined results: vectors that are NULL, empty, zero, or hold a NULL, NaN or infinite
 component link with nothing, not even copies; vectors of other lengths are never compared;
@@ -43,11 +45,12 @@ from ledgerflow.llm.rows import map_stream
 from ledgerflow.session import materialize
 
 COSINE = 0.95
-TABLES, PROBES = 4, 4
-REACH = 0.67
+TABLES, PROBES, LATTICES = 8, 8, 2
+REACH = 0.55
 BLOCK = 2048
-ONE_LATTICE = 1_000_000
+ROUNDING = 1e-9
 _AT_ONCE = 1024  # classes hashed at once
+_PAIRS = 1 << 16  # linked pairs looked at together
 
 
 def _shortest() -> np.ndarray:
@@ -159,8 +162,8 @@ def _keys(parameters: tuple):
                 for t in range(h.tables):
                     home, probes = h.cells(unit, t)
                     for (c, _), own, near in zip(same, home.view(np.int64).tolist(), probes.view(np.int64).tolist()):
-                        out.append((c, t, own, True))
-                        out += [(c, t, n, False) for n in near]
+                        out.append((c, own, True))
+                        out += [(c, n, False) for n in near]
             return out
 
         held = []
@@ -175,110 +178,136 @@ def _keys(parameters: tuple):
     return run
 
 
-class _Block:
-    """Classes of one unit, with their cells in every table, worked out when needed."""
-
-    def __init__(self, rows: list[tuple], parameters: tuple):
-        # rows: (cell, low, high, part, table, class, home, weight, vector)
-        self.table = rows[0][4]
-        self.part = np.array([r[3] for r in rows])
-        self.ids = np.array([r[5] for r in rows], np.int64)
-        self.home = np.array([r[6] for r in rows])
-        self.weight = np.array([r[7] for r in rows], np.int64)
-        self.unit = _units([r[8] for r in rows])
-        self.hasher = hasher(self.unit.shape[1], *parameters)
-        self._cells: dict[int, tuple] = {}
-
-    def cells(self, t: int):
-        if t not in self._cells:
-            self._cells[t] = self.hasher.cells(self.unit, t)
-        return self._cells[t]
-
-    def near(self, t: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether j probes i's home cell in table t."""
-        home, probes = self.cells(t)
-        return (probes[j] == home[i][:, None]).any(axis=1)
-
-    def links(self, low: int, high: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-        """Linked pairs that this unit's cell makes candidates."""
-        a = np.flatnonzero(self.part == low)
-        b = a if low == high else np.flatnonzero(self.part == high)
+class _Held:
+    """Units held together, so that the cells of all their linked classes are worked out at
+    once: ids, weights and unit vectors side by side, linked pairs by unit."""
+
+    def __init__(self, parameters: tuple):
+        self.cosine, self.hashing = parameters[0], parameters
+        self.ids, self.weight, self.unit, self.pairs = [], [], [], []
+        self.rows = self.linked = 0
+
+    def add(self, cells: list[int], rows: list[tuple], low: int, high: int) -> None:
+        """One unit: the cells it stands for and its classes of one vector length."""
+        part = np.array([r[3] for r in rows])
+        unit = _units([r[6] for r in rows])
+        a = np.flatnonzero(part == low)
+        b = a if low == high else np.flatnonzero(part == high)
+        i, j = self._links(unit, a, b)
+        if low == high:
+            i, j = i[i < j], j[i < j]
+        if len(i):
+            self.pairs.append((np.array(cells, np.int64), i + self.rows, j + self.rows))
+            self.ids += [r[4] for r in rows]
+            self.weight += [r[5] for r in rows]
+            self.unit.append(unit)
+            self.rows += len(rows)
+            self.linked += len(i)
+
+    def _links(self, unit: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = []
         for at in range(0, len(a), 256):
-            i, j = np.nonzero(self.unit[a[at:at + 256]] @ self.unit[b].T >= cosine)
+            cos = unit[a[at:at + 256]] @ unit[b].T
+            i, j = np.nonzero(cos >= self.cosine - ROUNDING)
+            unsure = np.flatnonzero(cos[i, j] < self.cosine + ROUNDING)
             i, j = a[at:at + 256][i], b[j]
-            keep = (self.home[i] | self.home[j]) & (self.ids[i] != self.ids[j])
-            if low == high:
-                keep &= i < j
+            keep = np.ones(len(i), bool)
+            keep[unsure] = (unit[i[unsure]] * unit[j[unsure]]).sum(axis=1) >= self.cosine
             found.append((i[keep], j[keep]))
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
 
-    def first(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which of the pairs no earlier table has, nor another cell of this one counts."""
-        i, j = np.where(self.home[i], i, j), np.where(self.home[i], j, i)  # i is at home here
-        both = ~self.home[j] & self.near(self.table, j, i)
-        count = ~(both & (self.ids[j] < self.ids[i]))
-        for t in range(self.table):
-            home, _ = self.cells(t)
-            count &= ~((home[i] == home[j]) | self.near(t, i, j) | self.near(t, j, i))
-        return count
-
-
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest position that each position is connected to."""
-    label = np.arange(n)
+    def results(self) -> list[tuple]:
+        """(class, root, NULL) of the units' spanning forests, (class, NULL, weight) of the
+        links counted here."""
+        if not self.pairs:
+            return []
+        ids, weight, unit = np.array(self.ids, np.int64), np.array(self.weight, np.int64), np.concatenate(self.unit)
+        h = hasher(unit.shape[1], *self.hashing)
+        in_links = np.unique(np.concatenate([x for _, i, j in self.pairs for x in (i, j)]))
+        place = np.zeros(len(ids), np.int64)
+        place[in_links] = np.arange(len(in_links))
+        cells = [tuple(c.view(np.int64) for c in h.cells(unit[in_links], t)) for t in range(h.tables)]
+
+        def first(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Whether a pair is a candidate, and the first cell that makes it one: a home
+            they share, or the home of one that the other probes (of two the smaller id's)."""
+            some, cell = np.zeros(len(i), bool), np.zeros(len(i), np.int64)
+            open_ = np.arange(len(i))
+            for home, probes in cells:
+                a, b = place[i[open_]], place[j[open_]]
+                same = home[a] == home[b]
+                to_a = same | (probes[b] == home[a][:, None]).any(axis=1)
+                to_b = same | (probes[a] == home[b][:, None]).any(axis=1)
+                use_a = to_a & (~to_b | (ids[i[open_]] <= ids[j[open_]]))
+                hit = to_a | to_b
+                some[open_[hit]] = True
+                cell[open_[hit]] = np.where(use_a, home[a], home[b])[hit]
+                open_ = open_[~hit]
+            return some, cell
+
+        out, total = [], np.zeros(len(ids), np.int64)
+        for own, i, j in self.pairs:
+            start, end = min(i.min(), j.min()), max(i.max(), j.max()) + 1
+            label = np.arange(end - start)
+            for at in range(0, len(i), _PAIRS):
+                p, q = i[at:at + _PAIRS], j[at:at + _PAIRS]
+                some, cell = first(p, q)
+                p, q, here = p[some], q[some], np.isin(cell[some], own)
+                label = _forest(label, p - start, q - start)
+                np.add.at(total, p[here], weight[q[here]])
+                np.add.at(total, q[here], weight[p[here]])
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            out += [(a, b, None) for a, b in zip(ids[start + moved].tolist(), ids[start + label[moved]].tolist())]
+        some = np.flatnonzero(total)
+        return out + [(c, None, n) for c, n in zip(ids[some].tolist(), total[some].tolist())]
+
+
+def _forest(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (the smallest position that each is connected to) after more links."""
+    label = label.copy()
     while len(i):
-        least = np.minimum(label[i], label[j])
-        if (label[i] == label[j]).all():
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
             break
-        np.minimum.at(label, label[i], least)
-        np.minimum.at(label, label[j], least)
-        label = label[label]
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
     return label
 
 
 def _compare(parameters: tuple):
-    cosine = parameters[0]
-
     def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        for (_, low, high, _), own in groupby(rows, key=lambda r: (r[0], r[1], r[2], len(r[8]))):
-            own = list(own)
-            if len(own) < 2 or not any(r[6] for r in own):
-                continue
-            block = _Block(own, parameters)
-            i, j = block.links(low, high, cosine)
-            if not len(i):
-                continue
-            root = _forest(len(own), i, j)
-            moved = np.flatnonzero(root != np.arange(len(own)))
-            out = [(a, b, None) for a, b in zip(block.ids[moved].tolist(), block.ids[root[moved]].tolist())]
-            new = block.first(i, j)
-            i, j = i[new], j[new]
-            total = np.zeros(len(own), np.int64)
-            np.add.at(total, i, block.weight[j])
-            np.add.at(total, j, block.weight[i])
-            some = np.flatnonzero(total)
-            out += [(c, None, n) for c, n in zip(block.ids[some].tolist(), total[some].tolist())]
-            yield out
+        # rows: (unit, low, high, part, class, weight, vector, cells), a unit's cells first
+        held: dict[int, _Held] = {}
+        for (unit, low, high), own in groupby(rows, key=lambda r: r[:3]):
+            cells = [unit]
+            for size, same in groupby(own, key=lambda r: len(r[6]) if r[6] is not None else None):
+                same = list(same)
+                if size is None:
+                    cells = same[0][7]
+                elif len(same) > 1:
+                    together = held.setdefault(size, _Held(parameters))
+                    together.add(cells, same, low, high)
+                    if together.rows >= _AT_ONCE or together.linked >= _PAIRS:
+                        yield held.pop(size).results()
+        for together in held.values():
+            yield together.results()
 
     return run
 
 
-def setting(lattices: int) -> tuple[int, int]:
-    """Tables and probes: a pair of lattice points takes ten tables for the recall that one
-    point has with four."""
-    return (TABLES if lattices == 1 else 5 * lattices), PROBES * lattices ** 2
-
-
 def near_groups(vectors: DataFrame, column: str = "embedding", key: str = "vec_id", cosine: float = COSINE,
-                tables: int | None = None, probes: int | None = None, lattices: int | None = None,
+                tables: int = TABLES, probes: int = PROBES, lattices: int = LATTICES,
                 block: int = BLOCK) -> DataFrame:
     """One row per input row: the id, n_links, component_id, kept."""
     known = classes(vectors, column, key)
     known = materialize(known.withColumn("class", F.monotonically_increasing_id()), "e8-classes")
-    lattices = lattices or (1 if known.count() <= ONE_LATTICE else 2)
-    own = setting(lattices)
-    parameters = (cosine, tables or own[0], probes or own[1], lattices)
+    parameters = (cosine, tables, probes, lattices)
 
     def packed(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         for c, weight, vector in rows:
@@ -287,15 +316,26 @@ def near_groups(vectors: DataFrame, column: str = "embedding", key: str = "vec_i
     flat = materialize(map_stream(known.select("class", "weight", "vector"), packed,
                                   "class long, weight long, vector binary"), "e8-vectors")
     keys = materialize(map_stream(flat.select("class", "vector"), _keys(parameters),
-                                  "class long, tab int, cell long, home boolean"), "e8-keys")
-    sizes = keys.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("lived")).where("n > 1 and lived")
+                                  "class long, cell long, home boolean"), "e8-keys")
+    # a cell's classes as a number of them and two hashes over their ids
+    cells = keys.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.max("home").alias("lived"),
+        F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y")).where("n > 1 and lived")
     parts = F.ceil(F.col("n") / block)
-    live = keys.join(sizes, "cell").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")))
+    # a class is in tables * (1 + probes) cells at most, and so are cells of the same classes
+    units = materialize(cells.groupBy("n", "x", "y", F.when(F.col("n") > block, F.col("cell")).alias("alone")).agg(
+        F.min("cell").alias("unit"), F.collect_list("cell").alias("cells")).select("unit", "cells", parts.alias("parts")), "e8-units")
+    live = keys.join(units, keys["cell"] == units["unit"]).select("unit", "parts", "class")
+    live = live.withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")))
     live = live.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    units = live.select("cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-                        "part", "tab", "class", "home")
-    rows = units.join(flat, "class").select("cell", "low", "high", "part", "tab", "class", "home", "weight", "vector")
-    rows = rows.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high", F.length("vector"))
+    members = live.select("unit", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "class")
+    rows = members.join(flat, "class").select("unit", "low", "high", "part", "class", "weight", "vector",
+                                              F.lit(None).cast("array<long>").alias("cells"))
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    rows = rows.union(units.where(F.size("cells") > 1).select(
+        "unit", zero, zero, none, none, none, F.lit(None).cast("binary"), "cells"))
+    rows = rows.repartition("unit", "low", "high").sortWithinPartitions(
+        "unit", "low", "high", F.length("vector").asc_nulls_first())
     found = materialize(map_stream(rows, _compare(parameters), "a long, b long, n long"), "e8-links")
     counts = found.where("n is not null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("links"))
     roots = connected_components(found.where("b is not null").select("a", "b"))
