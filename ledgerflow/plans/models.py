@@ -51,6 +51,11 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     if materialize_facts:
         m["int_time_entries__categorized"] = materialize(m["int_time_entries__categorized"], "fct_time_entries")
         m["int_time_entries__bucketed"] = m["int_time_entries__categorized"]
+        entries = m["int_time_entries__categorized"]  # reports read the written table
+        spent = reporting.project_time(entries)
+    else:  # reports read no step that they need no column of
+        entries = intermediate.resolve_references(m["int_time_entries__bucketed"], m["stg_projects"])
+        spent = reporting.project_time_by_rate(m["stg_time_entries"], m["stg_projects"], m["stg_employees"])
     m["int_employee_days"] = intermediate.employee_days(
         m["stg_employees"], m["int_calendar"], m["int_time_entries__bucketed"]
     )
@@ -69,11 +74,11 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], runs: DataFrame | None
     m["rpt_utilization_weekly"] = reporting.utilization_weekly(
         m["fct_employee_capacity"], m["int_time_entries__bucketed"], m["dim_employee"]
     )
-    m["rpt_project_margin"] = reporting.project_margin(m["dim_project"], m["fct_project_financials"], m["fct_time_entries"])
-    m["rpt_client_hours"] = reporting.client_hours(m["fct_time_entries"], m["dim_client"], m["dim_employee"])
-    m["rpt_top_clients"] = reporting.top_clients(m["fct_time_entries"], m["dim_client"], params.top_clients)
+    m["rpt_project_margin"] = reporting.project_margin_from(m["dim_project"], m["fct_project_financials"], spent)
+    m["rpt_client_hours"] = reporting.client_hours(entries, m["dim_client"], m["dim_employee"])
+    m["rpt_top_clients"] = reporting.top_clients(entries, m["dim_client"], params.top_clients)
     m["rpt_task_breakdown"] = reporting.task_breakdown(
-        m["fct_time_entries"], m["dim_employee"], m["dim_project"], m["dim_client"], m["dim_item"]
+        entries, m["dim_employee"], m["dim_project"], m["dim_client"], m["dim_item"]
     )
     for name in contracts.CONTRACTS:
         if name.startswith("rpt_"):

@@ -71,7 +71,38 @@ def utilization_weekly(capacity: DataFrame, entries: DataFrame, dim_employee: Da
     )
 
 
+def project_time(entries: DataFrame) -> DataFrame:
+    """Hours and cost per project (A5) of entries that carry their project and cost."""
+    return entries.filter(F.col("project_id").isNotNull()).groupBy("project_id").agg(
+        F.sum("hours").alias("total_hours"),
+        F.sum("time_cost").alias("time_cost"),
+        F.sum("burdened_time_cost").alias("burdened_time_cost"),
+    )
+
+
+def project_time_by_rate(entries: DataFrame, projects: DataFrame, employees: DataFrame) -> DataFrame:
+    """The same sums from plain entries: hours are summed per (reference, employee) before
+    rates and projects are joined, so no entry crosses a join. An hour is a hundredth and a
+    rate a cent, so hours x rate is exact in four digits and the sum of products is the
+    product of the sum. A reference that names no project (J10) is left out."""
+    spent = entries.groupBy("customer_ref_id", "employee_id").agg(F.sum("hours").alias("hours"))
+    p = projects.select("project_id")
+    on_project = spent.join(p, spent["customer_ref_id"] == p["project_id"])
+    emp = employees.select(F.col("employee_id").alias("__emp"), "cost_per_hour", "burdened_cost_per_hour")
+    costed = on_project.join(emp, on_project["employee_id"] == F.col("__emp"), "left")
+    return costed.groupBy("project_id").agg(
+        _dec(F.sum("hours"), 18, 2).alias("total_hours"),
+        *[_dec(F.sum(F.col("hours") * F.col(rate)), 24, 4).alias(name)
+          for rate, name in (("cost_per_hour", "time_cost"), ("burdened_cost_per_hour", "burdened_time_cost"))],
+    )
+
+
 def project_margin(dim_project: DataFrame, financials: DataFrame, entries: DataFrame) -> DataFrame:
+    """Project contribution margin (R7) from entries that carry their project and cost."""
+    return project_margin_from(dim_project, financials, project_time(entries))
+
+
+def project_margin_from(dim_project: DataFrame, financials: DataFrame, spent: DataFrame) -> DataFrame:
     """Project contribution margin (R7): each fact pre-aggregated per project, then left
     joined to the project dimension so neither fact fans out the other (J14)."""
     fin = financials.groupBy("project_id").agg(
@@ -81,15 +112,6 @@ def project_margin(dim_project: DataFrame, financials: DataFrame, entries: DataF
         F.sum("incentive_cost").alias("incentive_cost"),
         F.sum("travel_cost").alias("travel_cost"),
     )
-    spent = (
-        entries.filter(F.col("project_id").isNotNull())
-        .groupBy("project_id")
-        .agg(
-            F.sum("hours").alias("total_hours"),
-            F.sum("time_cost").alias("time_cost"),
-            F.sum("burdened_time_cost").alias("burdened_time_cost"),
-        )
-    )
     measures = ("total_hours", "time_cost", "burdened_time_cost", "price", "pass_through_revenue",
                 "field_cost", "incentive_cost", "travel_cost")
     projects = (

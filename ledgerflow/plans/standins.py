@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.plans import intermediate, marts, staging
+from ledgerflow.plans import intermediate, marts, reporting, staging
 from ledgerflow.sources import seeds
 
 CALENDAR_START = "2024-01-01"
@@ -266,6 +266,10 @@ class StandIns:
             self.time_entries, self.items, self.categories, self.projects, self.employees
         )
 
+    @cached_property
+    def project_time(self) -> DataFrame:
+        return reporting.project_time_by_rate(self.time_entries, self.projects, self.employees)
+
     @cached_property
     def capacity(self) -> DataFrame:
         return intermediate.employee_days(self.employees, self.calendar, self.bucketed)

@@ -74,7 +74,7 @@ def q_financial_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_project_margin(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    return for_driver(reporting.project_margin(s.dim_project, s.financial_lines, s.categorized))
+    return for_driver(reporting.project_margin_from(s.dim_project, s.financial_lines, s.project_time))
 
 
 def q_client_hours(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +175,7 @@ def q_persons_by_task(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_margin_measures(spark: SparkSession, sf: str) -> DataFrame:
     s = StandIns(spark, sf)
-    margin = reporting.project_margin(s.dim_project, s.financial_lines, s.categorized)
+    margin = reporting.project_margin_from(s.dim_project, s.financial_lines, s.project_time)
     return for_driver(pages.margin_page(margin))
 
 

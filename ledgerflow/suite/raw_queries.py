@@ -376,7 +376,7 @@ def _published(s: StandIns) -> dict[str, DataFrame]:
         "rpt_client_hours": reporting.client_hours(s.resolved, s.dim_client, s.dim_employee),
         "rpt_top_clients": reporting.top_clients(s.resolved, s.dim_client, n=15),
         "rpt_task_breakdown": reporting.task_breakdown(s.resolved, s.dim_employee, s.dim_project, s.dim_client, s.dim_item),
-        "rpt_project_margin": reporting.project_margin(s.dim_project, s.financial_lines, s.categorized),
+        "rpt_project_margin": reporting.project_margin_from(s.dim_project, s.financial_lines, s.project_time),
     }
     return {n: reporting.publish(n, df) for n, df in _models(s).items() if n in contracts.CONTRACTS} | reports
 
@@ -398,7 +398,7 @@ def q_project_checks(spark: SparkSession, sf: str) -> DataFrame:
         "account_classes": seeds.account_classes(spark), "department_groups": seeds.department_groups(spark),
         "rpt_utilization_weekly": reporting.utilization_weekly(s.capacity, s.bucketed, s.dim_employee),
         "rpt_top_clients": reporting.top_clients(s.resolved, s.dim_client, n=15),
-        "rpt_project_margin": reporting.project_margin(s.dim_project, s.financial_lines, s.categorized),
+        "rpt_project_margin": reporting.project_margin_from(s.dim_project, s.financial_lines, s.project_time),
         "dim_date": s.dim_date.where("date_day <> date'2024-01-10'"),
     }
     return quality.run_checks(tables, contracts.project_checks())
@@ -425,7 +425,7 @@ def q_margin_by_client(spark: SparkSession, sf: str) -> DataFrame:
     """M13-M18 through the star: the margin measures by client and project status with
     subtotals, the same measures at any grain of the project dimension."""
     s = StandIns(spark, sf)
-    margin = reporting.project_margin(s.dim_project, s.financial_lines, s.categorized)
+    margin = reporting.project_margin_from(s.dim_project, s.financial_lines, s.project_time)
     star = pages.Star(facts={"project_margin": margin}, dims={"project": s.dim_project})
     return for_driver(pages.pivot(star, [("project", "client_name"), ("project", "project_status_label")], list(MARGIN_MEASURES)))
 

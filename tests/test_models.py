@@ -174,6 +174,24 @@ def test_weekly_utilization_divides_by_expected_hours(spark):
     assert b.net_utilization_pct is None and b.exempt_pct is None
 
 
+def test_hours_summed_before_rates_give_the_same_costs(spark):
+    """A project's time from (reference, employee) sums equals the sum over costed entries:
+    references to clients, NULL references, people without a rate, NULL hours."""
+    entries = frame(spark, [
+        {"time_entry_id": n, "employee_id": e, "customer_ref_id": ref, "hours": h}
+        for n, (e, ref, h) in enumerate([(1, 500, 7.25), (1, 500, 0.33), (2, 500, 3.1), (1, 600, 2), (3, 600, 1.5), (9, 600, 1),
+                                         (None, 600, 4), (1, 10, 8), (2, None, 5), (2, 500, None), (3, 700, 2)])], TE)
+    projects = frame(spark, [{"project_id": p, "customer_id": 10} for p in (500, 600, 700, 800)], "project_id int, customer_id int")
+    people = frame(spark, [{"employee_id": 1, "cost_per_hour": 33.33, "burdened_cost_per_hour": 49.99},
+                           {"employee_id": 2, "cost_per_hour": 20.01, "burdened_cost_per_hour": None},
+                           {"employee_id": 3, "cost_per_hour": None, "burdened_cost_per_hour": None}],
+                   "employee_id int, cost_per_hour decimal(10,2), burdened_cost_per_hour decimal(10,2)")
+    costed = intermediate.cost_time(intermediate.resolve_references(entries, projects), people)
+    want, got = reporting.project_time(costed), reporting.project_time_by_rate(entries, projects, people)
+    assert got.schema == want.schema
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 3
+
+
 def test_project_margin_nets_out_pass_through_revenue(spark):
     dim = frame(spark, [{"project_id": 500, "project_display_name": "100051 North : Tracker", "project_status_label": "Closed"},
                         {"project_id": 600, "project_display_name": "100058 Blue : Interviews", "project_status_label": "Awarded"}],
