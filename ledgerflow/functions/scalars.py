@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out a single time per row, however often ``use``
+    names it. An expression that is named n times is otherwise written into the plan n times,
+    and so is what it is made of: a few such steps on top of each other, or a filter that the
+    optimizer moves below the column, multiply to hundreds of evaluations per row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -109,10 +119,10 @@ def parse_instant(col: str | Column, datetime_format: str | None = None) -> Colu
     c = _c(col)
     if datetime_format == "epoch":
         return F.timestamp_seconds(c.cast("long"))
-    parsed = F.try_to_timestamp(c)
-    if datetime_format:
-        parsed = F.coalesce(parsed, F.try_to_timestamp(c, F.lit(strptime_to_spark(datetime_format))))
-    return parsed
+    if not datetime_format:
+        return F.try_to_timestamp(c)
+    pattern = F.lit(strptime_to_spark(datetime_format))
+    return once(c, lambda text: F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, pattern)))
 
 
 def format_instant(col: str | Column, datetime_format: str) -> Column:
