@@ -93,17 +93,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(conf).exists(place)
 
 
+SKINNY_BYTES = 1 << 20  # of a share of an input that is spread; more slots than one only beyond it
+WAVES = 4
+
+
 def spread_skinny(df):
-    """Round-robin ``df`` over the task slots when it has fewer partitions than slots
-    (a single-file or single-row-group input), so heavy per-row work after it runs in
-    parallel. Large inputs already have many splits and are returned unchanged.
+    """Round-robin ``df`` when its splits are too few to keep the task slots busy (a file of
+    one or a few large row groups), so heavy per-row work after it runs in parallel: over all
+    slots, and over up to ``WAVES`` times as many shares as the input grows. Inputs with more
+    splits are returned unchanged.
 
-    Call it on scan-side frames: counting the partitions of a frame that already holds a
-    shuffle would run that shuffle's map stages (AQE finalizes the plan first)."""
+    Call it on the narrow scan, before the heavy work: what is worked out below it still
+    runs in the few splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    plan = df._jdf.queryExecution()
+    wanted = max(cores, min(WAVES * cores, int(plan.optimizedPlan().stats().sizeInBytes()) // SKINNY_BYTES))
+    # a frame that holds a shuffle says how many partitions it gives (scans say 0); counting
+    # them through the RDD would run the shuffle's map stages
+    held = plan.sparkPlan().outputPartitioning().numPartitions() or df.rdd.getNumPartitions()
+    return df if held >= wanted else df.repartition(wanted)
 
 
 # Settings the library's results depend on (not tuning): instants are rendered and

@@ -18,7 +18,7 @@ from ledgerflow.operators.load import exclude_soft_deleted, extraction_order, lo
 from ledgerflow.operators.runs import RUNS_SCHEMA
 from ledgerflow.plans import contracts, pages, reporting, staging
 from ledgerflow.plans.standins import StandIns, for_driver
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, spread_skinny
 from ledgerflow.sources import catalog, seeds
 from ledgerflow.sources.records import read_json_lines, records_from_json
 from ledgerflow.sources.vendors import load_pages, read_records, stream_pages
@@ -32,6 +32,11 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events, spread for the heavy work per row of making and parsing JSON."""
+    return spread_skinny(_t(spark, sf, "events"))
+
+
 # --- staging: raw text columns from a driver table (Spark SQL), and the expected model ---------
 
 # model: (driver table, raw columns, oracle SQL). Full-refresh extracts also carry _run_id:
@@ -222,7 +227,7 @@ def q_rejected_records(spark: SparkSession, sf: str) -> DataFrame:
         '"who":', if(event_type = 'error', '0.5', cast(user_id as string)), ',',
         '"amount":', if(event_type = 'purchase', '"much"', cast(value as string)),
         if(event_type = 'signup', ',"bonus":1', ''), '}')""")
-    events = _t(spark, sf, "events").select(F.col("event_id").alias("ordinal"), text.alias("text"))
+    events = _events(spark, sf).select(F.col("event_id").alias("ordinal"), text.alias("text"))
     schema = InferredSchema("events", "checked", ("id",), "at", "", 0, tuple(PathType((f".{n}",), t, False, f) for n, (t, f) in _TYPES.items()))
     out = rejected_records(records_from_json(events), schema, _CHECKED)
     return out.select(F.col("ordinal").alias("event_id"), F.array_join("reasons", "; ").alias("reasons"))
@@ -265,7 +270,7 @@ WHERE r = 1"""
 def q_infer_key_checks(spark: SparkSession, sf: str) -> DataFrame:
     """What inference says of four key choices over the events (props is absent from
     clicks, every field else is in each record)."""
-    ev = _t(spark, sf, "events")
+    ev = _events(spark, sf)
     text = F.to_json(F.struct("event_id", "user_id", F.when(F.col("event_type") != "click", F.col("props")).alias("props")))
     records = records_from_json(ev.select(F.col("event_id").alias("ordinal"), text.alias("text")))
     rows = []
@@ -299,7 +304,7 @@ def q_item_dimension(spark: SparkSession, sf: str) -> DataFrame:
 def q_saved_schema(spark: SparkSession, sf: str) -> DataFrame:
     """The schema inferred from the events, written as its document, read back and
     shown path by path."""
-    ev = _t(spark, sf, "events")
+    ev = _events(spark, sf)
     text = F.to_json(F.struct(F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), "user_id",
                               F.array("event_type").alias("tags"), F.from_json("props", "k bigint").alias("props"), "value"))
     records = records_from_json(ev.select(F.col("event_id").alias("ordinal"), text.alias("text")))
