@@ -38,7 +38,7 @@ from ledgerflow.operators.runs import RUNS_SCHEMA, append_snapshot, latest_snaps
 from ledgerflow.functions.scalars import format_instant, split_nonempty
 from ledgerflow.plans import contracts, reporting
 from ledgerflow.plans.standins import StandIns
-from ledgerflow.session import scratch_path
+from ledgerflow.session import scratch_path, spread_skinny
 from ledgerflow.sources.catalog import read_schema, update_schema
 from ledgerflow.sources.landed import Landed, land
 from ledgerflow.sources.records import unnest_pages
@@ -61,7 +61,8 @@ def _json(*cols: Column) -> Column:
 
 
 def _records(df: DataFrame, text: Column, ordinal: Column) -> DataFrame:
-    return df.select(ordinal.cast("long").alias("ordinal"), F.parse_json(text).alias("record"))
+    # spread before the text is made and parsed, which is the heavy part
+    return spread_skinny(df).select(ordinal.cast("long").alias("ordinal"), F.parse_json(text).alias("record"))
 
 
 # --- inference ------------------------------------------------------------------------
