@@ -224,14 +224,19 @@ def task_breakdown(
     per_key = entries.groupBy(
         F.trunc(F.col("entry_date"), "MM").alias("month_start"), "employee_id", "project_id", "client_id", "item_id"
     ).agg(F.sum("hours").alias("hours"))
-    e = per_key.alias("e")
+    # entries without a project match none: a key of their own spreads them over all tasks,
+    # which a NULL would gather in one
+    ids = [F.col(c) for c in ("month_start", "employee_id", "client_id", "item_id")]
+    e = per_key.withColumn("__spread", F.when(F.col("project_id").isNull(), F.xxhash64(*ids))).alias("e")
     emp = dim_employee.select("employee_id", "employee_name", "department_name").alias("emp")
-    prj = dim_project.select("project_id", "project_display_name", "department_name", "client_name").alias("prj")
+    prj = dim_project.select("project_id", "project_display_name", "department_name", "client_name").where(
+        F.col("project_id").isNotNull()).alias("prj")
     cli = dim_client.select("client_id", "client_name").alias("cli")
     itm = dim_item.select("item_id", "item_name", "category_name").alias("itm")
     joined = (
         e.join(emp, F.col("e.employee_id") == F.col("emp.employee_id"), "left")
-        .join(prj, F.col("e.project_id") == F.col("prj.project_id"), "left")
+        .join(prj, [F.coalesce(F.col("e.project_id"), F.col("e.__spread")) == F.col("prj.project_id"),
+                    F.col("e.__spread").isNull() == F.col("prj.project_id").isNotNull()], "left")
         .join(cli, F.col("e.client_id") == F.col("cli.client_id"), "left")
         .join(itm, F.col("e.item_id") == F.col("itm.item_id"), "left")
     )
