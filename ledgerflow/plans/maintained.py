@@ -114,11 +114,14 @@ def client_hours(entries: DataFrame, dim_client: DataFrame, dim_employee: DataFr
     return Report("rpt_client_hours", keys, build)
 
 
-def project_margin(dim_project: DataFrame, financials: DataFrame, entries: DataFrame) -> Report:
-    """R7 by project."""
+def project_margin(dim_project: DataFrame, financials: DataFrame | Callable[[DataFrame | None], DataFrame],
+                   entries: DataFrame) -> Report:
+    """R7 by project. ``financials`` may be a function that gives the lines of the touched
+    projects (None: all), where they can be found before what they are joined from is read."""
     on = {"project_id": "project_id"}
 
     def build(touched: DataFrame | None) -> DataFrame:
-        return reporting.project_margin(*[only(df, touched, on) for df in (dim_project, financials, entries)])
+        lines = only(financials, touched, on) if isinstance(financials, DataFrame) else financials(touched)
+        return reporting.project_margin(only(dim_project, touched, on), lines, only(entries, touched, on))
 
     return Report("rpt_project_margin", ("project_id",), build)

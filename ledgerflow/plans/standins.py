@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.plans import intermediate, marts, reporting, staging
+from ledgerflow.plans import intermediate, maintained, marts, reporting, staging
+from ledgerflow.session import materialize
 from ledgerflow.sources import seeds
 
 CALENDAR_START = "2024-01-01"
@@ -112,13 +113,13 @@ class StandIns:
     def items(self) -> DataFrame:
         rows = [(i, n, n.title(), "Service", False) for i, n in EVENT_ITEMS]
         # a literal of five rows: bounded by construction, so it is broadcast
-        return seeds.bounded(self.spark.createDataFrame(
-            rows, "item_id int, item_name string, display_name string, item_type string, is_inactive boolean"
+        return seeds.bounded(seeds.literal(
+            self.spark, rows, "item_id int, item_name string, display_name string, item_type string, is_inactive boolean"
         ))
 
     @cached_property
     def categories(self) -> DataFrame:
-        return seeds.bounded(self.spark.createDataFrame(EVENT_CATEGORIES, seeds.TIME_CATEGORIES_SCHEMA))
+        return seeds.bounded(seeds.literal(self.spark, EVENT_CATEGORIES, seeds.TIME_CATEGORIES_SCHEMA))
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -284,6 +285,15 @@ class StandIns:
             self.lines, self.projects, self.transactions, self.accounting, self.accounts, self.classes
         )
 
+    def financial_lines_on(self, touched: DataFrame | None) -> DataFrame:
+        """The financial lines of the touched projects. Their transaction lines are stored
+        first, so of the transactions and accounting lines only theirs are shuffled."""
+        if touched is None:
+            return self.financial_lines
+        lines = materialize(maintained.only(self.lines, touched, {"entity_id": "project_id"}), "touched-lines")
+        theirs = [maintained.only(df, lines, {"transaction_id": "transaction_id"}) for df in (self.transactions, self.accounting)]
+        return intermediate.project_financial_lines(lines, self.projects, *theirs, self.accounts, self.classes)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return marts.dim_date(self.calendar)

@@ -91,16 +91,26 @@ ACCOUNT_CLASS_CODES = (
 )
 
 
+def literal(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """Fixed rows as a local relation, whose size the planner knows - also behind a join,
+    where a broadcast hint is gone."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, r, strict=True)) for r in rows], schema=kinds))
+
+
 def time_categories(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TIME_CATEGORIES, TIME_CATEGORIES_SCHEMA)
+    return literal(spark, TIME_CATEGORIES, TIME_CATEGORIES_SCHEMA)
 
 
 def account_classes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ACCOUNT_CLASSES, ACCOUNT_CLASSES_SCHEMA)
+    return literal(spark, ACCOUNT_CLASSES, ACCOUNT_CLASSES_SCHEMA)
 
 
 def department_groups(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEPARTMENT_GROUPS, DEPARTMENT_GROUPS_SCHEMA)
+    return literal(spark, DEPARTMENT_GROUPS, DEPARTMENT_GROUPS_SCHEMA)
 
 
 def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

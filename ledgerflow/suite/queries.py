@@ -117,7 +117,7 @@ def q_maintained_client_hours(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_maintained_margin(spark: SparkSession, sf: str) -> DataFrame:
     """K6/R7 by project."""
-    return _maintained(spark, sf, lambda s, entries: maintained.project_margin(s.dim_project, s.financial_lines, entries))
+    return _maintained(spark, sf, lambda s, entries: maintained.project_margin(s.dim_project, s.financial_lines_on, entries))
 
 
 def q_top_clients(spark: SparkSession, sf: str) -> DataFrame:
