@@ -122,15 +122,24 @@ SEMANTIC_CONF = {
 }
 
 
+# set where the caller has not. Shuffled rows of the models shrink to a tenth or less, so
+# Spark's 64 MB of shuffled bytes for a task are over a gigabyte in its sorts and aggregates
+SESSION_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the semantic settings and the checkpoint folder to an existing session
     (e.g. one created by a caller with other defaults)."""
     for key, value in SEMANTIC_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+    for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
-            spark.conf.set(key, "true")
+            spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark
 
