@@ -10,7 +10,8 @@ Options: ``path``; ``envelope`` (the key of the array; absent for pages that are
 arrays); ``landed_on`` (the folder key of extraction days); ``partition_bytes`` (files read
 by one task). A filter on ``landed`` is used while partitions are planned: the folders of
 other days are not listed. The stream's offset is the modification time and name of the last
-file, so pages must be moved into the landing area whole and with a new time stamp;
+file, so pages must be moved into the landing area whole and with a new time stamp; the area
+is listed when all pages of the listing before have been read;
 ``files_per_batch`` bounds a micro-batch.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import codecs
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date
@@ -269,6 +271,10 @@ class PagesReader(DataSourceReader):
         return self.landing.rows(partition)
 
 
+def _place(page: Page) -> tuple[int, str]:
+    return page.changed, page.path
+
+
 class PagesStream(DataSourceStreamReader):
     """Offsets are (modification time, path) of the last file of a micro-batch."""
 
@@ -276,23 +282,35 @@ class PagesStream(DataSourceStreamReader):
         self.landing = Landing(options)
         self.most = int(options.get("files_per_batch", 1000))
         self.reached: tuple[int, str] = (-1, "")
+        # what the last listing found behind ``self.listed``, in order; kept on the driver
+        # like the backlog of Spark's own file source, one entry per page
+        self.listed: tuple[int, str] = (-1, "")
+        self.found: list[Page] = []
 
     def initialOffset(self) -> dict:
         return {"changed": -1, "path": ""}
 
-    def _after(self, start: tuple[int, str]) -> list[Page]:
-        return [p for p in self.landing.pages() if (p.changed, p.path) > start]
+    def _list(self, start: tuple[int, str]) -> None:
+        self.listed = start
+        self.found = [p for p in self.landing.pages() if _place(p) > start]
 
     def latestOffset(self) -> dict:
-        new = self._after(self.reached)[:self.most]
-        if new:
-            self.reached = (new[-1].changed, new[-1].path)
+        # the landing area is listed again only when the last listing is used up: once for a
+        # backlog of any size, not once for each of its micro-batches
+        if not self.found or _place(self.found[-1]) <= self.reached:
+            self._list(self.reached)
+        at = bisect_right(self.found, self.reached, key=_place)
+        if new := self.found[at:at + self.most]:
+            self.reached = _place(new[-1])
         return {"changed": self.reached[0], "path": self.reached[1]}
 
     def partitions(self, start: dict, end: dict):
         low, high = ((o["changed"], o["path"]) for o in (start, end))
         self.reached = max(self.reached, high)  # a restarted stream goes on behind its checkpoint
-        return self.landing.groups([p for p in self._after(low) if (p.changed, p.path) <= high])
+        if low < self.listed or not self.found or high > _place(self.found[-1]):
+            self._list(low)
+        first, behind = (bisect_right(self.found, o, key=_place) for o in (low, high))
+        return self.landing.groups(self.found[first:behind])
 
     def read(self, partition: PageGroup):
         return self.landing.rows(partition)
