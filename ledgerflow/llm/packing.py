@@ -20,8 +20,9 @@ again after a lost executor repeats its rows.
 
 Token ids of white-space separated chunks are remembered per worker: the tokenizer drops
 white space and splits at it before any merge, so a document's ids are its chunks' ids in
-order, and a plain Latin chunk's ids are those of its lower-cased runs (both tested against
-whole-text encoding).
+order, and a plain Latin chunk's ids are those of its lower-cased runs. A run is one unit of
+the tokenizer's split and is unchanged by its normalizer, so its ids come from the model
+alone (all tested against whole-text encoding).
 
 Defined results: a NULL or empty text is the end token alone; rows that repeat an id are
 packed each; a NULL id is packed like any other; a document of any length is cut into as
@@ -54,6 +55,7 @@ CHUNKS_KEPT = 1_000_000  # chunks whose ids a worker remembers
 _LATIN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F"
 _PLAIN = re.compile(f"[!-&(-~{_LATIN}]+")
 _RUNS = re.compile(f"[{_LATIN}]+|[0-9]|[^{_LATIN}0-9]+")
+_PROBES = ("the", "internationally", "qzxwvkj", "\u00e9t\u00e9", "stra\u00dfe", "\u0142\u00f3d\u017a", "7", "!", "...", "({[<=>]})", "\u00f1\u0101\u017f")
 
 SCHEMA = ("id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, window int, tier int, step_id long")
@@ -65,6 +67,26 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Known(dict):
+    """Ids by chunk and by run; what is missing is worked out and remembered."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self[chunk] = self.learn(chunk)
+        return ids
+
+
+def _byte_symbols() -> list[str]:
+    """The character that stands for a byte in byte-level models: printable bytes for
+    themselves, the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
 class ChunkEncoder:
     """Ids (little-endian unsigned 32-bit) of texts, chunk by chunk."""
 
@@ -73,32 +95,42 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.symbols = dict(enumerate(_byte_symbols()))
+        # runs skip the normalizer and the splitter, which leave them as they are, where the
+        # model alone gives the same ids
+        self.by_model = all(self._merged(r.encode()) == self._whole(r) for r in _PROBES)
+        self.known = _Known(self._learn)
 
     def encode(self, text: bytes) -> bytes:
-        words, known = text.split(), self.known
-        if new := set(words).difference(known):
-            if len(known) > CHUNKS_KEPT:
-                known.clear()
-                new = set(words)
-            self._learn([w.decode("utf-8", "replace") for w in new], new)
-        return b"".join(map(known.__getitem__, words))
-
-    def _learn(self, chunks: list[str], words: set[bytes]) -> None:
-        """Ids of new chunks: plain ones from their runs, of which only new ones are encoded."""
-        known, runs, whole = self.known, {}, set()
-        for chunk, word in zip(chunks, words):
-            if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-                runs[word] = [r.encode() for r in _RUNS.findall(chunk.lower())]
-            else:
-                whole.add(word)
-        whole |= {r for found in runs.values() for r in found if r not in known}
-        fresh = list(whole)
-        for w, e in zip(fresh, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)):
-            known[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
-        for word, found in runs.items():
-            if word not in known:
-                known[word] = b"".join(map(known.__getitem__, found))
+        if len(self.known) > CHUNKS_KEPT:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, text.split()))
+
+    def _learn(self, chunk: bytes) -> bytes:
+        """Ids of a new chunk: a plain one's from its runs, of which only new ones are encoded."""
+        if chunk.isalpha():  # ASCII letters alone
+            run = chunk.lower()
+            return self._run(run) if run == chunk else self.known[run]
+        text = chunk.decode("utf-8", "replace")
+        if not _PLAIN.fullmatch(text) or "<|" in text:
+            return self._whole(text)
+        runs = _RUNS.findall(text.lower())
+        if len(runs) == 1 and runs[0] == text:
+            return self._run(chunk)
+        return b"".join([self.known[r.encode()] for r in runs])
+
+    def _run(self, run: bytes) -> bytes:
+        return self._merged(run) if self.by_model else self._whole(run.decode())
+
+    def _merged(self, run: bytes) -> bytes:
+        text = run.decode("latin-1")
+        ids = [t.id for t in self.tokenize(text if run.isascii() else text.translate(self.symbols))]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)

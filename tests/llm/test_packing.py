@@ -48,6 +48,29 @@ def test_chunks_encode_like_whole_texts():
         assert np.frombuffer(e.encode(text.encode()), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_chunks_skip_the_whole_tokenizer():
+    """Their runs need neither normalizer nor splitter: the ids come from the model alone."""
+    e = packing.ChunkEncoder(packing.default_tokenizer())
+    whole = e.tokenizer
+
+    class Watched:
+        asked: list = []
+
+        def encode(self, text, **kw):
+            self.asked.append(text)
+            return whole.encode(text, **kw)
+
+        def encode_batch(self, texts, **kw):
+            self.asked += texts
+            return whole.encode_batch(texts, **kw)
+
+    e.tokenizer = Watched()
+    plain = "The quick, QUICK (brown) fox: \u00e9t\u00e9 \u00c9T\u00c9 stra\u00dfe 3.14 a1b2 --> x!? \u0141\u00f3d\u017a"
+    for text in (plain, plain, "don't \u65e5\u672c <|endoftext|>"):
+        assert np.frombuffer(e.encode(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert sorted(Watched.asked) == sorted("don't \u65e5\u672c <|endoftext|>".split())
+
+
 @pytest.mark.parametrize("group", [200, 1 << 20])
 def test_round_trip(spark, group):
     texts = [*ODD, None, *[" ".join(f"w{(i * j) % 997}" for j in range(i * 9 % 700)) for i in range(60)], "long " * 9000]
