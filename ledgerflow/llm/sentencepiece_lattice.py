@@ -17,10 +17,11 @@ that joins two neighbours, leftmost first, until none does; the state is the set
 boundaries as bits of one long. Characters outside the vocabulary become byte pieces.
 
 *Assembly.* The most frequent words, at most ``HOT`` of them and at most ``HOT_BYTES`` with
-their ids, are broadcast as sorted word hashes with their ids. A document that holds any other word is
-set aside: its other words are looked up by an equi-join and come back to it as rows, and
-only such documents are shuffled. Words longer than ``LONGEST`` characters that have no safe cut are rare runs;
-they are encoded one by one by the library inside the tasks.
+their ids, are broadcast as sorted word hashes with their ids. One pass over the texts makes
+every document's ids from them, with holes for its other words; those are looked up by an
+equi-join, come back to their documents as rows and fill the holes. Only ids are shuffled, no
+text. Words longer than ``LONGEST`` characters that have no safe cut are rare runs; they are
+encoded one by one by the library inside the tasks.
 
 Defined results: NULL and empty texts have no ids and decode to the empty text; rows that
 repeat an id are encoded each; a NULL id is encoded like any other; a literal U+2581 decodes
@@ -49,10 +50,13 @@ LONGEST = 60  # characters of a word in the lattice: its boundaries fit one long
 HOT = 8_000_000  # words whose ids are broadcast
 HOT_BYTES = 32 << 20  # and their bytes: hash, check and place, and the ids
 _WORD_BYTES = 8 + 2 + 4
+_HOLE16, _ANY_HOLE = 0xFFFF, b"\xff" * 4
 _SHARES = 64  # parts that words of about the same count are taken in
-CACHED = 200_000  # words, and runs, whose ids a worker keeps at hand
+CACHED = 300_000  # words, and chunks, whose ids a worker keeps at hand
+_KEPT_LENGTH = 200  # characters of a chunk that is kept
 WORDS_PER_TASK = 30_000  # distinct words whose edges a task groups
-_RUNS_AT_ONCE = 1 << 17  # distinct runs that a task counts before it hands their words on
+_CHUNKS_AT_ONCE = 1 << 18  # distinct chunks that a task counts before it hands their words on
+_CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -99,10 +103,20 @@ class Pieces:
     def longest(self) -> int:
         return max((len(p) for p, _, _ in self.pieces), default=1)
 
+    @cached_property
+    def late(self) -> frozenset[str]:
+        """Pieces that begin or end a longer piece of no worse score: joining them can enable
+        an edge that stands before their own by score."""
+        score, out = {p: s for p, _, s in self.pieces}, set()
+        for p, _, s in self.pieces:
+            for n in range(1, len(p)):
+                out.update(part for part in (p[:n], p[n:]) if score.get(part, float("inf")) <= s)
+        return frozenset(out)
+
     @cached_property
     def words(self) -> re.Pattern:
         """Matches the words of an escaped text, one after another."""
-        if any(b == SPACE and a != SPACE for a, b in self.inside):
+        if self._across:
             return re.compile(r"(?s).+")  # pieces reach across spaces: no cut is safe
         if any("\n" in p for p, _, _ in self.pieces):
             return re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -120,11 +134,36 @@ class Pieces:
         they are its escaped form."""
         return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def chunks(self, text: str) -> list[str]:
+        """A text cut before its spaces, where every run ends; ``runs_of`` the chunks, one after
+        another, are the text's runs. Each is its escaped form without the space in front."""
+        if not text:
+            return []
+        if self._across:
+            return [text.replace(" ", SPACE)]
+        if "  " in text or text[0] == " " or SPACE in text:
+            return [c[1:] for c in _CHUNKS.findall(SPACE + text.replace(" ", SPACE))]
+        return text.split(" ")
+
+    def runs_of(self, chunk: str) -> list[str]:
+        return self.words.findall(SPACE + chunk)
+
+    @cached_property
+    def _across(self) -> list[tuple[str, str]]:
+        return [pair for pair in self.inside if pair[1] == SPACE and pair[0] != SPACE]
+
     def parts(self, run: str) -> list[str]:
         """The words of a run: cut at every pair of characters that no piece holds."""
+        if self.inside.issuperset(zip(run, run[1:])):
+            return [run]
         cuts = [n for n, pair in enumerate(zip(run, run[1:]), 1) if pair not in self.inside]
         return [run[a:b] for a, b in zip([0, *cuts], [*cuts, len(run)])]
 
+    @property
+    def top(self) -> int:
+        """The highest id."""
+        return max([self.unknown, *self.byte_ids, *(i for _, i, _ in self.pieces)])
+
     def long_word(self, word: str) -> list[int]:
         """The library's ids of a word too long for the lattice."""
         library = _library(self.path)
@@ -156,18 +195,19 @@ def pieces(path: str) -> Pieces:
 def count_words(docs: DataFrame, table_of, text: str = "text") -> DataFrame:
     """(word, n) of all texts; every task adds its words up before anything is shuffled."""
 
-    def words_of(table: Pieces, runs: Counter) -> list[tuple]:
+    def words_of(table: Pieces, chunks: Counter) -> list[tuple]:
         words = Counter()
-        for run, n in runs.items():
-            for part in table.parts(run):
-                words[part] += n
+        for chunk, n in chunks.items():
+            for run in table.runs_of(chunk):
+                for part in table.parts(run):
+                    words[part] += n
         return sorted(words.items())
 
     def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         table, seen = table_of(), Counter()
         for (t,) in rows:
-            seen.update(table.split(t))
-            if len(seen) >= _RUNS_AT_ONCE:
+            seen.update(table.chunks(t))
+            if len(seen) >= _CHUNKS_AT_ONCE:
                 yield words_of(table, seen)
                 seen = Counter()
         yield words_of(table, seen)
@@ -177,8 +217,9 @@ def count_words(docs: DataFrame, table_of, text: str = "text") -> DataFrame:
 
 
 def lattice(words: DataFrame, table: Pieces) -> DataFrame:
-    """(word, s, e, id, score, rank): the edges of every word - pieces, and single characters
-    outside the vocabulary with a NULL id. ``rank`` counts scores from the best (0) on.
+    """(word, s, e, id, score, rank, late): the edges of every word - pieces, and single
+    characters outside the vocabulary with a NULL id. ``rank`` counts scores from the best (0)
+    on; ``late`` marks a piece that can enable a better one (``Pieces.late``).
 
     The exploded substrings keep the words' partitioning, so grouping them by word again
     moves nothing."""
@@ -186,42 +227,45 @@ def lattice(words: DataFrame, table: Pieces) -> DataFrame:
         raise ValueError("a piece table of over half a million pieces is not broadcast")
     ranks = {score: n for n, score in enumerate(sorted({s for _, _, s in table.pieces}, reverse=True))}
     rows = words.sparkSession.createDataFrame(
-        [(p, i, float(s), ranks[s]) for p, i, s in table.pieces], "piece string, id int, score double, rank int")
+        [(p, i, float(s), ranks[s], p in table.late) for p, i, s in table.pieces],
+        "piece string, id int, score double, rank int, late boolean")
     start = words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
     spans = start.select("word", "s", F.explode(F.sequence(
         F.col("s") + 1, F.least(F.length("word"), F.col("s") + table.longest))).alias("e"))
     spans = spans.withColumn("part", F.expr("substring(word, s + 1, e - s)"))
     edges = spans.join(F.broadcast(rows), F.col("part") == F.col("piece"), "left").where("id is not null or e = s + 1")
-    return edges.select("word", "s", "e", "id", "score", "rank")
+    return edges.select("word", "s", "e", "id", "score", "rank", "late")
 
 
 def fold_bpe(edges: DataFrame) -> DataFrame:
     """(word, path): edges joined by the best score, leftmost first, until none joins two
     neighbours; bit p of the state is a boundary before character p.
 
-    An edge travels as one long - rank, start, end, id from the highest bits down - so
-    sorting the longs sorts by score, then start."""
+    An edge travels as one long - rank, start, end, late, id from the highest bits down - so
+    sorting the longs sorts by score, then start. A round goes through the sorted edges and
+    joins as it goes: what a join enables begins or ends with the joined piece, so it comes
+    later in the order unless the piece is ``late``; such a join ends the round (its ``keep``
+    takes the GO bit, which every edge asks for). A round that kept GO found all joins."""
     packed = F.expr("""shiftleft(cast(coalesce(rank, 0) as bigint), 44) | shiftleft(cast(s as bigint), 36)
-        | shiftleft(cast(e as bigint), 28) | cast(coalesce(id, 268435455) as bigint)""")
+        | shiftleft(cast(e as bigint), 28) | if(late, 134217728L, 0L) | cast(coalesce(id, 134217727) as bigint)""")
     words = edges.groupBy("word").agg(F.collect_list(packed).alias("edges"))
-    bits = words.select("word", F.expr("""transform(array_sort(edges), x -> struct(
+    go = f"{1 << 62}L"
+    bits = words.select("word", F.expr("""transform(sort_array(edges), x -> struct(
         cast(shiftright(x, 36) & 255 as int) as s, cast(shiftright(x, 28) & 255 as int) as e,
-        cast(x & 268435455 as int) as id))""").alias("edges"))
-    bits = bits.select("word", F.expr("""transform(edges, x -> struct(x.s, x.e, x.id,
-        shiftleft(1L, x.s) | shiftleft(1L, x.e) as ends, shiftleft(1L, x.e) - shiftleft(1L, x.s + 1) as inside))""").alias("edges"))
-    bits = bits.select("word", "edges", F.expr("filter(edges, x -> x.e > x.s + 1)").alias("joins"))
-    # a round looks for the first edge that joins two neighbours; rounds after one that
-    # found none do nothing
-    first = """aggregate(joins, 0L, (r, x) -> if(r <> 0L, r,
-        if((a.m & x.ends) = x.ends and bit_count(a.m & x.inside) = 1, x.inside, 0L)))"""
-    bits = bits.select("word", "edges", F.expr(f"""aggregate(
-        if(size(joins) = 0, cast(array() as array<int>), sequence(2, length(word))),
-        struct(shiftleft(1L, length(word) + 1) - 1 as m, true as go),
-        (a, n) -> if(a.go, transform(array({first}), v -> struct(a.m & ~v as m, v <> 0L as go))[0], a),
-        a -> a.m)""").alias("m"))
-    return bits.select("word", F.expr("""array_sort(transform(
-        filter(edges, x -> (m & x.ends) = x.ends and (m & x.inside) = 0),
-        x -> struct(x.s, x.e, nullif(x.id, 268435455) as id, substring(word, x.s + 1, x.e - x.s) as ch)))""").alias("path"))
+        cast(x & 134217727 as int) as id, (x & 134217728) <> 0 as late))""").alias("edges"))
+    joins = f"""transform(filter(edges, x -> x.e > x.s + 1), x -> struct(
+        shiftleft(1L, x.s) | shiftleft(1L, x.e) | {go} as ends, shiftleft(1L, x.e) - shiftleft(1L, x.s + 1) as inside,
+        ~((shiftleft(1L, x.e) - shiftleft(1L, x.s + 1)) | if(x.late, {go}, 0L)) as keep))"""
+    # every round but the last joins something, so a word has no more than its length; rounds
+    # after one that kept GO do nothing
+    joined = f"""aggregate(sequence(1, length(word)), shiftleft(1L, length(word) + 1) - 1,
+        (a, n) -> if(a >= {go}, a, aggregate(joins, a | {go},
+            (r, x) -> if((r & x.ends) = x.ends and bit_count(r & x.inside) = 1, r & x.keep, r))))"""
+    path = """sort_array(transform(
+        filter(edges, x -> (m & (shiftleft(1L, x.s) | (shiftleft(2L, x.e) - shiftleft(2L, x.s)))) = (shiftleft(1L, x.s) | shiftleft(1L, x.e))),
+        x -> struct(x.s, x.e, nullif(x.id, 134217727) as id, if(x.id = 134217727, substring(word, x.s + 1, x.e - x.s), null) as ch)))"""
+    # arrays of one bind what the lambdas use: the optimizer would write it out inside them
+    return bits.select("word", F.expr(f"transform(transform(array({joins}), joins -> {joined}), m -> {path})[0]").alias("path"))
 
 
 def fold_viterbi(edges: DataFrame, unknown_score: float) -> DataFrame:
@@ -269,7 +313,7 @@ class HotWords:
     def __init__(self, hashes: np.ndarray, checks: np.ndarray, blob: bytes, place: np.ndarray):
         self.hashes, self.checks, self.blob, self.place = hashes, checks, blob, place
         self.cache: dict[str, bytes | None] = {}
-        self.runs: dict[str, bytes] = {}  # ids of whole runs, kept by the assembly
+        self.chunks: dict[str, tuple] = {}  # what the assembly knows of whole chunks
 
     @staticmethod
     def sorted(hashes: np.ndarray, checks: np.ndarray, blob: np.ndarray, place: np.ndarray) -> HotWords:
@@ -358,64 +402,77 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
     known = materialize(encode_words(words.select("word").repartition(parts, "word"), table), "piece-ids")
     shared = spark.sparkContext.broadcast(hot_words(words, known, hot, hot_bytes))
 
-    def whole(table: Pieces, run: str, get) -> bytes | None:
-        """A run's ids from its words', or None if ``get`` misses one."""
-        out = []
-        for word in table.parts(run):
-            ids = get(word) if len(word) <= LONGEST else _packed(table.long_word(word))
-            if ids is None:
-                return None
-            out.append(ids)
-        return b"".join(out)
-
-    def look_up(table: Pieces, runs: list[str]) -> dict[str, bytes | None]:
-        """Every different run of a document once; None where a word is not broadcast."""
-        own, out = shared.value, {}
-        for run in set(runs):
-            ids = own.runs.get(run)
-            if ids is None and (ids := whole(table, run, own.get)) is not None:
-                if len(own.runs) >= CACHED:
-                    own.runs.clear()
-                own.runs[run] = ids
-            out[run] = ids
-        return out
-
-    def others(table: Pieces, ids: dict[str, bytes | None]) -> list[str]:
-        get = shared.value.get
-        missing = (w for run, known in ids.items() if known is None for w in table.parts(run))
-        return list({w for w in missing if len(w) <= LONGEST and get(w) is None})
-
-    def finish(table: Pieces, i, runs: list[str], ids: dict[str, bytes | None]) -> tuple:
-        packed = b"".join(map(ids.__getitem__, runs))
-        return i, len(runs), packed, table.decode(struct.unpack(f"<{len(packed) // 4}I", packed))
-
-    def direct(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        table = table_of()
-        split = ((i, runs, look_up(table, runs)) for i, runs in ((i, table.split(t)) for i, t in rows))
-        return in_lists(finish(table, i, runs, ids) for i, runs, ids in split if None not in ids.values())
-
-    def set_aside(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        table = table_of()
-        return in_lists((i, t, found) for i, t in rows if (found := others(table, look_up(table, table.split(t)))))
+    wide = table.top >= _HOLE16  # ids travel as 16 or 32 bits; the highest value is a hole
+    width, hole = ("<u4", 0xFFFFFFFF) if wide else ("<u2", _HOLE16)
+
+    def looked_up(table: Pieces, chunk: str) -> tuple[int, bytes, tuple]:
+        """A chunk's number of runs, its ids with a hole for every word that is not broadcast,
+        and those words."""
+        runs, out, missing = table.runs_of(chunk), [], []
+        for run in runs:
+            for word in table.parts(run):
+                if len(word) > LONGEST:
+                    out.append(_packed(table.long_word(word)))
+                elif (ids := shared.value.get(word)) is not None:
+                    out.append(ids)
+                else:
+                    out.append(_ANY_HOLE)
+                    missing.append(word)
+        ids = np.frombuffer(b"".join(out), "<u4")  # 32-bit holes end in the 16-bit hole
+        return len(runs), ids.astype(width).tobytes(), tuple(missing)
+
+    def with_holes(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        table, own = table_of(), shared.value.chunks
+
+        def one(i, t: str, seat: int) -> tuple:
+            chunks, found = table.chunks(t), []
+            if len(own) >= CACHED:
+                own.clear()
+            for chunk in chunks:
+                if (known := own.get(chunk)) is None:
+                    known = looked_up(table, chunk)
+                    if len(chunk) <= _KEPT_LENGTH:
+                        own[chunk] = known
+                found.append(known)
+            ids = b"".join([f[1] for f in found])
+            missing = [w for f in found if f[2] for w in f[2]]
+            return i, seat, sum([f[0] for f in found]), len(ids), pa.compress(ids, "zstd", asbytes=True), missing
+
+        import pyarrow as pa
+
+        return in_lists(one(*row) for row in rows)
 
     def complete():
-        table, get = table_of(), shared.value.get
+        import pyarrow as pa
+
+        table = table_of()
 
-        def one(i, t: str, found) -> tuple:
-            extra, runs = {f["word"]: _packed(f["ids"]) for f in found}, table.split(t)
-            ids = look_up(table, runs)
-            for run in [r for r, known in ids.items() if known is None]:
-                ids[run] = whole(table, run, lambda w: get(w) or extra[w])
-            return finish(table, i, runs, ids)
+        def one(i, n_runs: int, size: int, packed: bytes, missing: list[str], found) -> tuple:
+            ids = np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), width).astype("<u4")
+            if missing:
+                extra = {f["word"]: f["ids"] for f in found}
+                places = np.flatnonzero(ids == hole)
+                sizes = np.ones(len(ids), np.int64)
+                sizes[places] = [len(extra[w]) for w in missing]
+                filled = np.repeat(ids, sizes)
+                filled[np.repeat(ids == hole, sizes)] = np.concatenate([extra[w] for w in missing])
+                ids = filled.astype("<u4")
+            return i, n_runs, ids.tobytes(), table.decode(ids.tolist())
 
         return one
 
-    rows, result = id_and_text(docs, text, key), "id long, n_runs long, ids binary, decoded string"
-    done = map_stream(rows, direct, result)
-    if words.count() > shared.value.size:  # some words are not broadcast
-        aside = map_stream(rows, set_aside, "id long, text string, others array<string>")
-        asked = aside.select("id", F.explode("others").alias("word")).distinct().join(known, "word")
-        found = asked.groupBy(F.col("id").alias("own_id")).agg(F.collect_list(F.struct("word", "ids")).alias("found"))
-        joined = aside.join(found, aside["id"].eqNullSafe(found["own_id"])).select("id", "text", "found")
-        done = done.unionByName(map_rows(joined, complete, result))
-    return done.withColumnRenamed("id", key)
+    # a row's seat is where its words come back to: equal only for rows of the same id and
+    # text, or by a collision, which brings words that a row does not ask for
+    rows = id_and_text(docs, text, key)
+    held = map_stream(rows.withColumn("seat", F.xxhash64("id", "text")), with_holes,
+                      "id long, seat long, n_runs long, size long, packed binary, missing array<string>").repartition("seat")
+    result = "id long, n_runs long, ids binary, decoded string"
+    if words.count() <= shared.value.size:  # all words are broadcast
+        none = F.lit(None).cast("array<struct<word: string, ids: array<int>>>").alias("found")
+        done = held.select("id", "n_runs", "size", "packed", "missing", none)
+    else:
+        # the same rows twice, of the same columns, so that they are made and dealt out once
+        asked = map_stream(held, lambda rows: in_lists((r[1], w) for r in rows for w in set(r[5])), "own_seat long, word string")
+        found = asked.distinct().join(known, "word").groupBy("own_seat").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
+        done = held.join(found, F.col("seat") == F.col("own_seat"), "left").select("id", "n_runs", "size", "packed", "missing", "found")
+    return map_rows(done, complete, result).withColumnRenamed("id", key)

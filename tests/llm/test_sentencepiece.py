@@ -66,6 +66,43 @@ def test_words_join_to_the_text(texts):
                 assert "".join(parts) == w and all(pair in table.inside for p in parts for pair in zip(p, p[1:]))
 
 
+def test_chunks_hold_the_runs(texts):
+    table = sl.pieces(sl.default_model())
+    for t in [*texts, "foo\u2581 bar", "\u2581", " \u2581 a", "a \n b", "tail ", "a\u2581b c", "x \n"]:
+        if t:
+            assert [r for c in table.chunks(t) for r in table.runs_of(c)] == table.split(t)
+
+
+def test_texts_are_cut_once_for_their_ids(spark, texts, tmp_path):
+    """Documents whose words are not broadcast are not cut again, and their texts not moved."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = sl.encode(docs, hot=60).select("doc_id", "ids")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    passes = [line for line in plan.splitlines() if "ReusedExchange" not in line and "seat" in line and "missing" in line and "MapInArrow" in line]
+    assert "ReusedExchange" in plan
+    assert len([line for line in passes if "packed" in line and "own_seat" not in line.split("], [")[-1]]) == 1
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "text" in line]
+
+
+def test_late_pieces_and_many_joins(spark):
+    """A random BPE table: the fold's rounds against joining the best edge, one at a time."""
+    rng = random.Random(3)
+    found = list({"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))) for _ in range(60)} | {"a", "b", "c"})
+    rng.shuffle(found)
+    table = sl.Pieces(None, tuple((p, n + 1, -float(n // 2)) for n, p in enumerate(found)), (), 0, True)
+    score, ids = {p: s for p, _, s in table.pieces}, {p: i for p, i, _ in table.pieces}
+    words = sorted({"".join(rng.choice("abcz") for _ in range(rng.randint(1, 40))) for _ in range(200)} | {"a" * 60, "abc" * 20})
+    frame = spark.createDataFrame([(w,) for w in words], "word string").repartition(3, "word")
+    assert table.late
+    for r in sl.encode_words(frame, table).collect():
+        parts = list(r["word"])
+        while best := max(((score[a + b], -n) for n, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in score), default=None):
+            n = -best[1]
+            parts[n:n + 2] = [parts[n] + parts[n + 1]]
+        assert [*r["ids"]] == [ids.get(p, 0) for p in parts], r["word"]
+
+
 def _paths(word, table):
     """All segmentations with their scores; unknown characters as single steps."""
     known = {p: (i, s) for p, i, s in table.pieces}
