@@ -3,8 +3,8 @@
 *Words.* A text becomes its escaped form (spaces as U+2581, one in front) and is cut where
 no piece can reach across: into runs (before a space, around line feeds, between letters and
 symbols that no piece joins to letters) and each run into words at every pair of characters
-that no piece holds - all read off the piece table. Distinct words are counted in Spark;
-each is encoded once, however often it stands.
+that no piece holds - all read off the piece table. A task cuts many texts at once with
+numpy (``Cutter``); distinct words are collected in Spark and encoded, however often they stand.
 
 *Lattice.* Every word's substrings of bounded length are exploded and equi-joined to the
 piece table (broadcast: its size is the vocabulary's, checked), and the matches - edges from
@@ -16,12 +16,13 @@ encoding is not the path with the best sum, so the fold applies the edge with th
 that joins two neighbours, leftmost first, until none does; the state is the set of
 boundaries as bits of one long. Characters outside the vocabulary become byte pieces.
 
-*Assembly.* The most frequent words, at most ``HOT`` of them and at most ``HOT_BYTES`` with
-their ids, are broadcast as sorted word hashes with their ids. One pass over the texts makes
-every document's ids from them, with holes for its other words; those are looked up by an
-equi-join, come back to their documents as rows and fill the holes. Only ids are shuffled, no
-text. Words longer than ``LONGEST`` characters that have no safe cut are rare runs; they are
-encoded one by one by the library inside the tasks.
+*Assembly.* The words of every ``SHARE``-th text, by a hash of it, are counted; the most
+frequent, at most ``HOT`` and at most ``HOT_BYTES`` with their ids, are broadcast as sorted
+word hashes with their ids. The share only decides which words are at hand: one pass over all
+texts makes every document's ids, with holes for its other words; those are encoded by the
+same lattice, come back to their documents as rows, with the words' hashes, and fill the holes. Only ids are shuffled,
+no text. Words longer than ``LONGEST`` characters that have no safe cut are rare runs; they
+are encoded one by one by the library inside the tasks.
 
 Defined results: NULL and empty texts have no ids and decode to the empty text; rows that
 repeat an id are encoded each; a NULL id is encoded like any other; a literal U+2581 decodes
@@ -31,7 +32,7 @@ to a space, as in the library; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-import struct
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,13 +50,14 @@ SPACE = "▁"
 LONGEST = 60  # characters of a word in the lattice: its boundaries fit one long
 HOT = 8_000_000  # words whose ids are broadcast
 HOT_BYTES = 32 << 20  # and their bytes: hash, check and place, and the ids
+SHARE = 8  # one text in so many is counted for the words to broadcast
 _WORD_BYTES = 8 + 2 + 4
-_HOLE16, _ANY_HOLE = 0xFFFF, b"\xff" * 4
+_HOLE16, _HOLE32 = 0xFFFF, 0xFFFFFFFF
 _SHARES = 64  # parts that words of about the same count are taken in
-CACHED = 300_000  # words, and chunks, whose ids a worker keeps at hand
-_KEPT_LENGTH = 200  # characters of a chunk that is kept
 WORDS_PER_TASK = 30_000  # distinct words whose edges a task groups
-_CHUNKS_AT_ONCE = 1 << 18  # distinct chunks that a task counts before it hands their words on
+_WORDS_AT_ONCE = 1 << 18  # distinct words that a task counts before it hands them on
+_CHARS_AT_ONCE = 1 << 19  # characters of texts that are cut together
+_SEATS_AT_ONCE = 1 << 18  # documents that a task remembers to have asked for
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -120,15 +122,20 @@ class Pieces:
             return re.compile(r"(?s).+")  # pieces reach across spaces: no cut is safe
         if any("\n" in p for p, _, _ in self.pieces):
             return re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        marks = set(_PUNCTUATION)
-        sticky = {c for a, b in self.inside for c, other in ((a, b), (b, a))
-                  if c in marks and other not in marks and other != SPACE}
+        marks, sticky = set(_PUNCTUATION), self.sticky
         esc = lambda cs: "".join(re.escape(c) for c in sorted(cs))
         mark, safe = esc(marks), esc(marks - sticky)
         not_sticky = f"(?![{esc(sticky)}])" if sticky else ""
         runs = [rf"[^{mark}{SPACE}\n]++{not_sticky}", rf"[{safe}]++{not_sticky}" if safe else "", rf"[^{SPACE}\n]+"]
         return re.compile(rf"{SPACE}*(?:" + "|".join(r for r in runs if r) + rf")|\n|{SPACE}+")
 
+    @cached_property
+    def sticky(self) -> frozenset[str]:
+        """Symbols that some piece joins to letters."""
+        marks = set(_PUNCTUATION)
+        return frozenset(c for a, b in self.inside for c, other in ((a, b), (b, a))
+                         if c in marks and other not in marks and other != SPACE)
+
     def split(self, text: str) -> list[str]:
         """The runs of a text - to the next space or, where safe, change of kind; joined
         they are its escaped form."""
@@ -159,6 +166,10 @@ class Pieces:
         cuts = [n for n, pair in enumerate(zip(run, run[1:]), 1) if pair not in self.inside]
         return [run[a:b] for a, b in zip([0, *cuts], [*cuts, len(run)])]
 
+    @cached_property
+    def cutter(self) -> Cutter:
+        return Cutter(self)
+
     @property
     def top(self) -> int:
         """The highest id."""
@@ -192,25 +203,106 @@ def pieces(path: str) -> Pieces:
     return Pieces.load(path)
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Texts cut into words: word w is ``escaped[starts[w]:ends[w]]``, those of text t are
+    ``bounds[t]`` to ``bounds[t + 1]``; ``n_runs`` by text."""
+
+    escaped: str
+    points: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    bounds: np.ndarray
+    n_runs: np.ndarray
+
+    def word(self, w: int) -> str:
+        return self.escaped[self.starts[w]:self.ends[w]]
+
+
+class Cutter:
+    """``Pieces.split`` and ``Pieces.parts`` of many texts at once."""
+
+    def __init__(self, table: Pieces):
+        self.across = bool(table._across)
+        lines = self.across or any("\n" in p for p, _, _ in table.pieces)
+        # line feeds and symbols are as letters where pieces hold line feeds
+        self.feed = sys.maxunicode + 1 if lines else ord("\n")
+        self.kinds = np.zeros(128, np.uint8)  # 1: symbol, 3: symbol that pieces join to letters
+        for c in "" if lines else _PUNCTUATION:
+            self.kinds[ord(c)] = 3 if c in table.sticky else 1
+        before, after = {}, {}
+        for a, b in table.inside:
+            before.setdefault(a, len(before) + 1)
+            after.setdefault(b, len(after) + 1)
+        self.row, self.column = np.zeros(sys.maxunicode + 1, np.int32), np.zeros(sys.maxunicode + 1, np.int32)
+        for places, index, step in ((before, self.row, len(after) + 1), (after, self.column, 1)):
+            for c, n in places.items():
+                index[ord(c)] = n * step
+        self.apart = np.ones((len(before) + 1) * (len(after) + 1), bool)
+        for a, b in table.inside:
+            self.apart[self.row[ord(a)] + self.column[ord(b)]] = False
+
+    def cut(self, texts: list[str]) -> Cut:
+        escaped = "".join([SPACE + t for t in texts if t]).replace(" ", SPACE)
+        points = np.frombuffer(escaped.encode("utf-32-le"), np.uint32)
+        lengths = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        places = np.concatenate(([0], np.cumsum(lengths)))
+        heads = places[:-1][lengths > 0]
+        begins = np.ones(len(points), bool)
+        if len(points):
+            begins[1:] = self.apart[self.row[points[:-1]] + self.column[points[1:]]]
+            begins[heads] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(points))
+        runs = (lengths > 0).astype(np.int64) if self.across else self._runs(points, heads, places)
+        return Cut(escaped, points, starts, ends, np.searchsorted(starts, places), runs)
+
+    def _runs(self, points: np.ndarray, heads: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Runs by text: stretches without spaces and line feeds, their changes between letters
+        and symbols before the first sticky symbol, line feeds, and spaces before line feeds or
+        the end."""
+        space, feed = points == ord(SPACE), points == self.feed
+        kind = self.kinds[np.minimum(points, 127)]
+        body = ~(space | feed)
+        first = body.copy()
+        first[1:] &= ~body[:-1]  # a text's first character is a space
+        change = body & ~first
+        change[1:] &= kind[1:] != kind[:-1]
+        at = np.arange(len(points), dtype=np.int32)
+        change &= np.maximum.accumulate(np.where(kind == 3, at, -1)) < np.maximum.accumulate(np.where(first, at, -1))
+        closed = np.zeros(len(points), bool)
+        closed[:-1] = feed[1:]
+        closed[heads[1:] - 1] = True
+        closed[-1:] = True
+        runs = np.concatenate(([0], np.cumsum(first | change | feed | space & closed)))
+        return runs[places[1:]] - runs[places[:-1]]
+
+
+def _in_batches(rows: Iterator[tuple], column: int) -> Iterator[list[tuple]]:
+    """Rows whose texts have about ``_CHARS_AT_ONCE`` characters, or one longer."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[column])
+        if size >= _CHARS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def count_words(docs: DataFrame, table_of, text: str = "text") -> DataFrame:
     """(word, n) of all texts; every task adds its words up before anything is shuffled."""
 
-    def words_of(table: Pieces, chunks: Counter) -> list[tuple]:
-        words = Counter()
-        for chunk, n in chunks.items():
-            for run in table.runs_of(chunk):
-                for part in table.parts(run):
-                    words[part] += n
-        return sorted(words.items())
-
     def run(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        table, seen = table_of(), Counter()
-        for (t,) in rows:
-            seen.update(table.chunks(t))
-            if len(seen) >= _CHUNKS_AT_ONCE:
-                yield words_of(table, seen)
+        cutter, seen = table_of().cutter, Counter()
+        for held in _in_batches(rows, 0):
+            cut = cutter.cut([t for (t,) in held])
+            seen.update([cut.escaped[a:b] for a, b in zip(cut.starts.tolist(), cut.ends.tolist())])
+            if len(seen) >= _WORDS_AT_ONCE:
+                yield sorted(seen.items())
                 seen = Counter()
-        yield words_of(table, seen)
+        yield sorted(seen.items())
 
     rows = docs.select(F.coalesce(docs[text], F.lit("")).alias("text"))
     return map_stream(rows, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -302,91 +394,148 @@ def encode_words(words: DataFrame, table: Pieces) -> DataFrame:
         transform(sequence(1, octet_length(x.ch)), i -> {first} + cast(conv(substring(hex(x.ch), 2 * i - 1, 2), 16, 10) as int)))))""").alias("ids"))
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+_BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd
+
+
+@lru_cache(maxsize=1)
+def _character_values() -> np.ndarray:
+    v = np.arange(1, sys.maxunicode + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    v = (v ^ v >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    v = (v ^ v >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return v ^ v >> np.uint64(31)
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base modulo 2^64, and of its inverse."""
+    factors = np.ones((2, n + 1), np.uint64)
+    factors[0, 1:], factors[1, 1:] = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+    return tuple(np.cumprod(factors, axis=1, dtype=np.uint64))
+
+
+def word_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of stretches of characters: 64-bit sums of their values times powers of a base, and the
+    highest 16 bits of a second sum."""
+    values, room = _character_values()[points], 1 << max(20, len(points).bit_length())
+    sums = []
+    for base, value in zip(_BASES, (values, values ^ values >> np.uint64(29))):
+        powers, inverse = _powers(base, room)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * powers[:len(points)], dtype=np.uint64)))
+        sums.append((total[ends] - total[starts]) * inverse[starts])
+    return sums[0], (sums[1] >> np.uint64(48)).astype(np.uint16)
+
+
+def _hashes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    places = np.concatenate(([0], np.cumsum([len(w) for w in words], dtype=np.int64)))
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    return word_hashes(points, places[:-1], places[1:])
 
 
 class HotWords:
     """Ids by word: sorted 64-bit hashes, 16 more bits of a second hash, and all ids end to
-    end (a word's are between its place and the next)."""
+    end (a word's are between its place and the next), in ``kind``."""
 
-    def __init__(self, hashes: np.ndarray, checks: np.ndarray, blob: bytes, place: np.ndarray):
-        self.hashes, self.checks, self.blob, self.place = hashes, checks, blob, place
-        self.cache: dict[str, bytes | None] = {}
-        self.chunks: dict[str, tuple] = {}  # what the assembly knows of whole chunks
+    def __init__(self, hashes: np.ndarray, checks: np.ndarray, blob: bytes, place: np.ndarray, kind: str):
+        self.hashes, self.checks, self.blob, self.place, self.kind = hashes, checks, blob, place, kind
 
     @staticmethod
-    def sorted(hashes: np.ndarray, checks: np.ndarray, blob: np.ndarray, place: np.ndarray) -> HotWords:
+    def sorted(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray, place: np.ndarray) -> HotWords:
         """From words in any order: id i of the result comes from where its word's are."""
-        order, first = np.argsort(hashes), place // 4
-        sizes = np.diff(first)[order]
+        order = np.argsort(hashes)
+        sizes = np.diff(place)[order]
         new = np.concatenate(([0], np.cumsum(sizes)))
-        source = np.repeat((first[:-1][order] - new[:-1]).astype(np.int32), sizes) + np.arange(new[-1], dtype=np.int32)
-        ids = blob[:place[-1]].view(np.uint32)[source]
-        return HotWords(hashes[order], checks[order], ids.tobytes(), (new * 4).astype(np.int32))
+        source = np.repeat((place[:-1][order] - new[:-1]).astype(np.int32), sizes) + np.arange(new[-1], dtype=np.int32)
+        return HotWords(hashes[order], checks[order], ids[source].tobytes(), new.astype(np.int32), ids.dtype.str)
+
+    @staticmethod
+    def none() -> HotWords:
+        return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32), "<u2")
 
     @property
     def size(self) -> int:
         return len(self.hashes)
 
+    @cached_property
+    def ids(self) -> np.ndarray:
+        return np.frombuffer(self.blob, self.kind)
+
+    @cached_property
+    def _shift(self) -> np.uint64:
+        return np.uint64(64 - (self.size.bit_length() + 1))
+
+    @cached_property
+    def _first(self) -> np.ndarray:
+        """Where the hashes begin whose highest bits are 0, 1, ..."""
+        n = np.bincount((self.hashes >> self._shift).astype(np.int64), minlength=1 << 64 - int(self._shift))
+        return np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+
     def __reduce__(self):
-        return HotWords, (self.hashes, self.checks, self.blob, self.place)
+        return HotWords, (self.hashes, self.checks, self.blob, self.place, self.kind)
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places in the sorted hashes, -1 for words that are not there."""
+        bucket = (hashes >> self._shift).astype(np.int64)
+        at, end = self._first[bucket], self._first[bucket + 1]
+        out = np.full(len(hashes), -1, np.int32)
+        todo = np.flatnonzero(at < end)
+        at, end = at[todo], end[todo]
+        while len(todo):
+            same = (self.hashes[at] == hashes[todo]) & (self.checks[at] == checks[todo])
+            out[todo[same]] = at[same]
+            at += 1
+            more = ~same & (at < end)
+            todo, at, end = todo[more], at[more], end[more]
+        return out
 
     def get(self, word: str) -> bytes | None:
         """The word's packed ids, or None."""
-        if word in self.cache:
-            return self.cache[word]
-        if len(self.cache) >= CACHED:
-            self.cache.clear()
-        h, check = word_hashes(word)
-        at, found = int(np.searchsorted(self.hashes, np.uint64(h))), None
-        while at < len(self.hashes) and int(self.hashes[at]) == h:
-            if int(self.checks[at]) == check:
-                found = self.blob[self.place[at]:self.place[at + 1]]
-            at += 1
-        self.cache[word] = found
-        return found
-
-
-def word_hashes(word: str) -> tuple[int, int]:
-    h = xxhash.xxh3_128_intdigest(word)
-    return h & (1 << 64) - 1, h >> 64 & 0xFFFF
+        at = int(self.find(*_hashes_of([word]))[0])
+        return None if at < 0 else self.ids[self.place[at]:self.place[at + 1]].astype("<u4").tobytes()
 
 
 def hot_words(words: DataFrame, known: DataFrame, most: int, most_bytes: int = HOT_BYTES) -> HotWords:
     """Ids of the most frequent words, at most ``most`` and at most ``most_bytes``: the words
     in the highest classes of log-scaled counts that fit together, and of the first class
-    that does not fit the share by word hash that fits. The driver sees one row per class
+    that does not fit the share by word hash that fits. ``known`` may hold the counts. The driver sees one row per class
     and share, then the hashes and ids of those words."""
     tier = F.floor(F.log2("n") * 16).cast("int")
     share = F.pmod(F.xxhash64("word"), F.lit(_SHARES))
-    sized = words.select("word", tier.alias("tier"), share.alias("share")).join(known, "word")
-    whole = F.sum(F.lit(_WORD_BYTES) + 4 * F.size("ids"))
+    counted = known if "n" in known.columns else words.join(known, "word")
+    sized = counted.select("word", "ids", tier.alias("tier"), share.alias("share"))
+    classes = sized.groupBy("tier", "share").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("ids"), F.max(F.array_max("ids")).alias("top"))
+    classes = classes.orderBy(F.desc("tier"), "share").collect()
+    kind = np.dtype("<u2" if max((r["top"] for r in classes), default=0) < _HOLE16 else "<u4")
     left, room, least = most, most_bytes, None
-    for r in sized.groupBy("tier", "share").agg(F.count("*").alias("n"), whole.alias("bytes")).orderBy(F.desc("tier"), "share").collect():
-        left, room = left - r["n"], room - r["bytes"]
+    for r in classes:
+        left, room = left - r["n"], room - _WORD_BYTES * r["n"] - kind.itemsize * r["ids"]
         if left < 0 or room < 0:
             break
         least = r["tier"], r["share"]
     if least is None:
-        return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32))
+        return HotWords.none()
 
-    def hashed(word: str, ids: list[int]) -> tuple:
-        h, check = word_hashes(word)
-        return h - (1 << 64) if h >> 63 else h, check, _packed(ids)
+    def hashed(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+        for some in in_lists(rows, 1 << 14):
+            h, check = _hashes_of([w for w, _ in some])
+            yield list(zip(h.view(np.int64).tolist(), check.tolist(), [np.array(ids, kind).tobytes() for _, ids in some]))
 
     chosen = sized.where((F.col("tier") > least[0]) | (F.col("tier") == least[0]) & (F.col("share") <= least[1])).select("word", "ids")
-    table = map_rows(chosen, lambda: hashed, "h long, c int, ids binary").toArrow()
+    table = map_stream(chosen, hashed, "h long, c int, ids binary").toArrow()
     ids = table["ids"].combine_chunks()
     if not len(ids):
-        return HotWords(np.zeros(0, np.uint64), np.zeros(0, np.uint16), b"", np.zeros(1, np.int32))
+        return HotWords.none()
     place = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+    blob = np.frombuffer(ids.buffers()[2], np.uint8)[:place[-1]]
     return HotWords.sorted(table["h"].to_numpy().view(np.uint64), table["c"].to_numpy().astype(np.uint16),
-                           np.frombuffer(ids.buffers()[2], np.uint8), place)
+                           blob.view(kind), place // kind.itemsize)
 
 
 def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str | None = None, hot: int = HOT,
-           hot_bytes: int = HOT_BYTES) -> DataFrame:
+           hot_bytes: int = HOT_BYTES, share: int = SHARE) -> DataFrame:
     """One row per input row: the id, ids (little-endian unsigned 32-bit, as the library's
     ids in order), n_runs and decoded (the ids turned back into text)."""
     spark, path = docs.sparkSession, model or default_model()
@@ -395,62 +544,72 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
     def table_of() -> Pieces:
         return pieces(path)
 
-    words = count_words(docs, table_of, text).where(F.length("word") <= LONGEST)
-    words = materialize(words, "piece-words")
+    counted = docs.where(F.pmod(F.xxhash64(docs[text]), F.lit(share)) == 0)
+    words = materialize(count_words(counted, table_of, text).where(F.length("word") <= LONGEST), "piece-words")
     # a word's edges are many times the word: partitions hold a bounded number of words
-    parts = max(1, -(-words.count() // WORDS_PER_TASK))
-    known = materialize(encode_words(words.select("word").repartition(parts, "word"), table), "piece-ids")
+    n_words = words.count()
+    parts = max(1, -(-n_words // WORDS_PER_TASK))
+    dealt = words.repartition(parts, "word")
+    known = materialize(encode_words(dealt.select("word"), table).join(dealt, "word"), "piece-ids")
     shared = spark.sparkContext.broadcast(hot_words(words, known, hot, hot_bytes))
 
     wide = table.top >= _HOLE16  # ids travel as 16 or 32 bits; the highest value is a hole
-    width, hole = ("<u4", 0xFFFFFFFF) if wide else ("<u2", _HOLE16)
-
-    def looked_up(table: Pieces, chunk: str) -> tuple[int, bytes, tuple]:
-        """A chunk's number of runs, its ids with a hole for every word that is not broadcast,
-        and those words."""
-        runs, out, missing = table.runs_of(chunk), [], []
-        for run in runs:
-            for word in table.parts(run):
-                if len(word) > LONGEST:
-                    out.append(_packed(table.long_word(word)))
-                elif (ids := shared.value.get(word)) is not None:
-                    out.append(ids)
-                else:
-                    out.append(_ANY_HOLE)
-                    missing.append(word)
-        ids = np.frombuffer(b"".join(out), "<u4")  # 32-bit holes end in the 16-bit hole
-        return len(runs), ids.astype(width).tobytes(), tuple(missing)
+    width, hole, lowest = ("<u4", _HOLE32, 0) if wide else ("<u2", _HOLE16, 1 << 15)
 
     def with_holes(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-        table, own = table_of(), shared.value.chunks
-
-        def one(i, t: str, seat: int) -> tuple:
-            chunks, found = table.chunks(t), []
-            if len(own) >= CACHED:
-                own.clear()
-            for chunk in chunks:
-                if (known := own.get(chunk)) is None:
-                    known = looked_up(table, chunk)
-                    if len(chunk) <= _KEPT_LENGTH:
-                        own[chunk] = known
-                found.append(known)
-            ids = b"".join([f[1] for f in found])
-            missing = [w for f in found if f[2] for w in f[2]]
-            return i, seat, sum([f[0] for f in found]), len(ids), pa.compress(ids, "zstd", asbytes=True), missing
-
         import pyarrow as pa
 
-        return in_lists(one(*row) for row in rows)
+        table, own = table_of(), shared.value
+        cutter, zstd = table.cutter, pa.Codec("zstd", compression_level=3)
+        ids = np.append(own.ids.astype(width), np.array([hole], width))
+        sizes = np.append(np.diff(own.place), 1)  # -1, a word that is not there: a hole
+
+        def coded(held: list[tuple]) -> list[tuple]:
+            cut = cutter.cut([t for _, t, _ in held])
+            at = own.find(*word_hashes(cut.points, cut.starts, cut.ends))
+            size, place = sizes[at], own.place[at]
+            long = {int(w): np.array(table.long_word(cut.word(w)), width)
+                    for w in np.flatnonzero(cut.ends - cut.starts > LONGEST)}
+            for w, found in long.items():
+                size[w] = len(found)
+                place[w] = -1
+            new = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+            source = np.repeat(place - new[:-1], size) + np.arange(new[-1])
+            out = ids[np.where(source < len(ids), source, 0)] if long else ids[source]
+            for w, found in long.items():
+                out[new[w]:new[w + 1]] = found
+            missing = np.flatnonzero(at < 0)
+            missing = [w for w in missing.tolist() if w not in long] if long else missing
+            names = [cut.escaped[a:b] for a, b in zip(cut.starts[missing].tolist(), cut.ends[missing].tolist())]
+            of = np.searchsorted(missing, cut.bounds).tolist()
+            first = new[cut.bounds].tolist()
+            return [(i, seat, n, (b - a) * out.itemsize, zstd.compress(out[a:b], asbytes=True), names[c:d])
+                    for (i, _, seat), n, a, b, c, d in zip(held, cut.n_runs.tolist(), first, first[1:], of, of[1:])]
+
+        for held in _in_batches(rows, 1):
+            yield coded(held)
+
+    def asked_by(rows: Iterator[tuple]) -> Iterator[tuple]:
+        """The words of every document; rows of the same seat and words ask once or a few times."""
+        seen = set()
+        for _, seat, _, _, _, missing in rows:
+            words = tuple(dict.fromkeys(missing))
+            if words and (seat, hash(words)) not in seen:
+                if len(seen) >= _SEATS_AT_ONCE:
+                    seen.clear()
+                seen.add((seat, hash(words)))
+                yield from ((seat, w) for w in words)
 
     def complete():
         import pyarrow as pa
 
-        table = table_of()
+        table, zstd = table_of(), pa.Codec("zstd", compression_level=3)
 
         def one(i, n_runs: int, size: int, packed: bytes, missing: list[str], found) -> tuple:
-            ids = np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), width).astype("<u4")
+            ids = np.frombuffer(zstd.decompress(packed, size), width).astype("<u4")
             if missing:
-                extra = {f["word"]: f["ids"] for f in found}
+                extra = {f["h"]: np.array(f["ids"], np.int64) + lowest for f in found}
+                missing = [_signed(xxhash.xxh64_intdigest(w, 42)) for w in missing]
                 places = np.flatnonzero(ids == hole)
                 sizes = np.ones(len(ids), np.int64)
                 sizes[places] = [len(extra[w]) for w in missing]
@@ -462,17 +621,23 @@ def encode(docs: DataFrame, text: str = "text", key: str = "doc_id", model: str
         return one
 
     # a row's seat is where its words come back to: equal only for rows of the same id and
-    # text, or by a collision, which brings words that a row does not ask for
+    # text, or by a collision, of which each row asks for its own words
     rows = id_and_text(docs, text, key)
     held = map_stream(rows.withColumn("seat", F.xxhash64("id", "text")), with_holes,
                       "id long, seat long, n_runs long, size long, packed binary, missing array<string>").repartition("seat")
-    result = "id long, n_runs long, ids binary, decoded string"
-    if words.count() <= shared.value.size:  # all words are broadcast
-        none = F.lit(None).cast("array<struct<word: string, ids: array<int>>>").alias("found")
-        done = held.select("id", "n_runs", "size", "packed", "missing", none)
+    # the same rows twice, of the same columns, so that they are made and dealt out once; all
+    # texts have at most ``share`` times the distinct words of an even share of them
+    parts = max(parts * share, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked = map_stream(held, lambda rows: in_lists(asked_by(rows)), "own_seat long, word string")
+    asked = asked.where("own_seat is not null and word is not null").repartition(parts, "word")
+    others = asked.groupBy("word").agg(F.max("own_seat").alias("seat")).where("seat is not null").select("word")
+    if n_words > shared.value.size:  # some counted words are not broadcast, but encoded
+        met = others.join(known, "word", "left_anti")
+        ids_of = encode_words(met, table).unionByName(known.select("word", "ids"))
     else:
-        # the same rows twice, of the same columns, so that they are made and dealt out once
-        asked = map_stream(held, lambda rows: in_lists((r[1], w) for r in rows for w in set(r[5])), "own_seat long, word string")
-        found = asked.distinct().join(known, "word").groupBy("own_seat").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
-        done = held.join(found, F.col("seat") == F.col("own_seat"), "left").select("id", "n_runs", "size", "packed", "missing", "found")
-    return map_rows(done, complete, result).withColumnRenamed("id", key)
+        ids_of = encode_words(others, table)
+    small = "ids" if wide else f"transform(ids, i -> cast(i - {lowest} as short))"
+    found = asked.join(ids_of, "word").select("own_seat", F.xxhash64("word").alias("h"), F.expr(small).alias("ids")).repartition("own_seat")
+    found = found.groupBy("own_seat").agg(F.collect_list(F.struct("h", "ids")).alias("found"))
+    done = held.join(found, F.col("seat") == F.col("own_seat"), "left").select("id", "n_runs", "size", "packed", "missing", "found")
+    return map_rows(done, complete, "id long, n_runs long, ids binary, decoded string").withColumnRenamed("id", key)

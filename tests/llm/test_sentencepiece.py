@@ -73,6 +73,46 @@ def test_chunks_hold_the_runs(texts):
             assert [r for c in table.chunks(t) for r in table.runs_of(c)] == table.split(t)
 
 
+def test_many_texts_are_cut_as_one_by_one(texts):
+    rng = random.Random(2)
+    found = [None, "", *texts, *("".join(rng.choice("aae  .,'!*é\n-(\u2581漢😀") for _ in range(rng.randint(0, 30))) for _ in range(2000))]
+    small = [["ab", "a\n", "\u2581a", "!a"], ["a", "ab", "a\u2581b", "!!"], ["a!", "!!", "..", "é,", "\u2581\u2581"]]
+    tables = [sl.Pieces(None, tuple((p, n + 1, -float(n)) for n, p in enumerate(ps)), (), 0, True) for ps in small]
+    for table in [sl.pieces(sl.default_model()), *tables]:
+        cut = table.cutter.cut(found)
+        for i, t in enumerate(found):
+            runs = table.split(t or "")
+            assert cut.n_runs[i] == len(runs), t
+            assert [cut.word(w) for w in range(cut.bounds[i], cut.bounds[i + 1])] == [p for r in runs for p in table.parts(r)], t
+
+
+def test_words_are_found_by_their_hashes():
+    rng = random.Random(5)
+    words = list({"".join(rng.choice("abcdé漢😀") for _ in range(rng.randint(1, 60))) for _ in range(5000)} | {"a", "b"})
+    cut = sl.pieces(sl.default_model()).cutter.cut([" ".join(words)])
+    hashes, checks = sl.word_hashes(cut.points, cut.starts, cut.ends)
+    alone = [sl._hashes_of([cut.word(w)]) for w in range(0, len(cut.starts), 50)]
+    assert [(int(h[0]), int(c[0])) for h, c in alone] == list(zip(hashes[::50].tolist(), checks[::50].tolist()))
+    own = sl.HotWords.sorted(*sl._hashes_of(words[:3000]), np.arange(6000, dtype="<u2"), np.arange(0, 6001, 2))
+    assert [own.get(w) for w in words] == [np.array([2 * n, 2 * n + 1], "<u4").tobytes() if n < 3000 else None for n in range(len(words))]
+
+
+@pytest.mark.parametrize("share", [1, 3])
+def test_few_bytes_are_shuffled(spark, share):
+    """Words at hand, words counted but not at hand and words not counted; the words that come
+    back to their documents travel as hashes, with narrow ids."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(1, 8))) for _ in range(60)) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=sl.default_model())
+    out = sl.encode(docs, hot_bytes=3000, share=share)
+    for r in out.collect():
+        assert np.frombuffer(bytes(r["ids"]), "<u4").tolist() == library.encode(texts[r["doc_id"]])
+        assert r["decoded"] == texts[r["doc_id"]] and r["n_runs"] == len(sl.pieces(sl.default_model()).split(texts[r["doc_id"]]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "as smallint" in plan and not [p for p in plan.splitlines() if "collect_list" in p and "struct(word" in p]
+
+
 def test_texts_are_cut_once_for_their_ids(spark, texts, tmp_path):
     """Documents whose words are not broadcast are not cut again, and their texts not moved."""
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
